@@ -80,17 +80,18 @@ def with_row_index(df, keys, order, block, name: str = "row_index") -> DataFrame
     return with_running_sum(df, keys, order, block, {name: F.lit(1).cast("long")})
 
 
-def with_last_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, values: Mapping[str, ColumnLike]
-) -> DataFrame:
-    """Last non-null value per key up to and including the row (forward fill)."""
+def _known(df, keys, order, block, values, forward: bool) -> DataFrame:
     keys = list(keys)
     base = _with_block(df, block)
     rank = F.struct(*[F.col(o) for o in order])
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    if forward:
+        sort, block_sort, edge = [F.col(o).desc() for o in order], F.col(BLOCK).desc(), F.min_by
+    else:
+        sort, block_sort, edge = [F.col(o) for o in order], F.col(BLOCK), F.max_by
+    inner = W.partitionBy(*keys, BLOCK).orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(*keys).orderBy(block_sort).rowsBetween(W.unboundedPreceding, -1)
     edges = base.groupBy(*keys, BLOCK).agg(
-        *[F.max_by(c(v), F.when(c(v).isNotNull(), rank)).alias(f"__e_{n}") for n, v in values.items()]
+        *[edge(c(v), F.when(c(v).isNotNull(), rank)).alias(f"__e_{n}") for n, v in values.items()]
     )
     carry = edges.select(
         *keys, BLOCK, *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in values]
@@ -101,6 +102,20 @@ def with_last_known(
                       *[F.coalesce(f"__i_{n}", f"__c_{n}").alias(n) for n in values])
 
 
+def with_last_known(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, values: Mapping[str, ColumnLike]
+) -> DataFrame:
+    """Last non-null value per key up to and including the row (forward fill)."""
+    return _known(df, keys, order, block, values, forward=False)
+
+
+def with_next_known(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, values: Mapping[str, ColumnLike]
+) -> DataFrame:
+    """First non-null value per key from the row on (backward fill)."""
+    return _known(df, keys, order, block, values, forward=True)
+
+
 def with_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Group totals beside every row: aggregate with map-side combine, then join back."""
     totals = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])

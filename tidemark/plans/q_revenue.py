@@ -286,7 +286,7 @@ SELECT d AS date_day, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, strftim
  CAST(fy AS INTEGER) AS fiscal_year, fq AS fiscal_quarter, CAST(CASE WHEN m = 1 THEN 12 ELSE m - 1 END AS INTEGER) AS month_of_fiscal_year, fq0 AS first_day_of_fiscal_quarter, fq1 AS last_day_of_fiscal_quarter, fy0 AS first_day_of_fiscal_year, fy1 AS last_day_of_fiscal_year,
  CAST(fy AS VARCHAR) || '-Q' || fq AS fiscal_quarter_name, 'FY' || substr(CAST(fy AS VARCHAR), 3, 2) || '-Q' || fq AS fiscal_quarter_name_fy, CAST(fy AS VARCHAR) || '-' || strftime(d, '%b') AS fiscal_month_name,
  hol AS holiday_desc, hol IS NOT NULL AS is_holiday, CAST(dfq AS INTEGER) AS day_of_fiscal_quarter, CAST(dfy AS INTEGER) AS day_of_fiscal_year,
- CAST(date_diff('week', fy0, d) + 1 AS INTEGER) AS week_of_fiscal_year, CAST(floor(date_diff('day', fq0, d) / 7.0) AS INTEGER) AS week_of_fiscal_quarter,
+ CAST(date_diff('day', date_trunc('week', fy0), date_trunc('week', d)) // 7 + 1 AS INTEGER) AS week_of_fiscal_year, CAST(floor(date_diff('day', fq0, d) / 7.0) AS INTEGER) AS week_of_fiscal_quarter,
  CAST(90 - date_diff('day', d, fq1) AS INTEGER) AS day_of_fiscal_quarter_normalised, wn AS week_of_fiscal_quarter_normalised, CASE WHEN wn < 5 THEN wn WHEN wn < 9 THEN wn - 4 ELSE wn - 8 END AS week_of_month_normalised,
  CAST(365 - date_diff('day', d, fy1) AS INTEGER) AS day_of_fiscal_year_normalised, CASE WHEN (date_diff('day', d, fq1) - 6) % 7 = 0 OR d = fq0 THEN 1 ELSE 0 END AS is_first_day_of_fiscal_quarter_week,
  CAST(date_diff('day', d, m1) AS INTEGER) AS days_until_last_day_of_month, CAST(bd AS INTEGER) AS business_day_of_quarter, CAST(date_trunc('month', fq1) AS DATE) = d AS is_first_day_of_last_month_of_fiscal_quarter,
