@@ -137,7 +137,7 @@ def geo_tree(t: Tables) -> DataFrame:
 SQL_INVOICES = """invoices AS (
   SELECT o_orderkey AS invoice_id, o_custkey AS account_id, CAST(o_orderdate AS DATE) AS invoice_date,
          CAST(o_orderdate + INTERVAL 30 DAY AS DATE) AS due_date, o_totalprice AS amount,
-         CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN round(o_totalprice / 2, 2) ELSE o_totalprice END AS balance
+         CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN floor(o_totalprice / 2) ELSE o_totalprice END AS balance
   FROM orders),
 payments AS (
   SELECT invoice_id, account_id, invoice_date, CAST(invoice_date + to_days(CAST(invoice_id % 60 AS INTEGER)) AS DATE) AS payment_date,
@@ -152,7 +152,7 @@ def invoices(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_orderkey").alias("invoice_id"), F.col("o_custkey").alias("account_id"), d.alias("invoice_date"),
         F.date_add(d, 30).alias("due_date"), total.alias("amount"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(0.0)).when(F.col("o_orderstatus") == "P", F.round(total / 2, 2))
+        F.when(F.col("o_orderstatus") == "F", F.lit(0.0)).when(F.col("o_orderstatus") == "P", F.floor(total / 2).cast("double"))
         .otherwise(total).alias("balance"),
     )
 
