@@ -189,14 +189,14 @@ def company_score(df: DataFrame, group: str, company: str, user: str, role: str)
         return F.countDistinct(F.when(F.col(role) == kind, F.col(user)))
 
     kinds = ("creator", "owner", "user")
-    total = df.groupBy(group).agg(F.countDistinct(user).alias("all_users"), *[count(k).alias(f"all_{k}s") for k in kinds])
+    total = df.groupBy(group).agg(F.countDistinct(user).alias("everyone"), *[count(k).alias(f"all_{k}s") for k in kinds])
     per = df.groupBy(group, company).agg(*[count(k).alias(f"n_{k}") for k in kinds])
     j = per.join(total, group)
     part = {k: F.coalesce(ratio(f"n_{k}", f"all_{k}s"), F.lit(0.0)) for k in kinds}
     user_score = part["creator"] * 0.6 + part["owner"] * 0.3 + part["user"] * 0.1
     pair = lambda a, b: ((F.col(f"n_{a}") > 0) & (F.col(f"n_{b}") > 0)).cast("int")
     spread = (pair("creator", "user") + pair("creator", "owner") + pair("owner", "user")) / 3
-    most = F.when((F.col("n_creator") + F.col("n_owner") + F.col("n_user")) / F.col("all_users") > 0.5, 1).otherwise(0)
+    most = F.when((F.col("n_creator") + F.col("n_owner") + F.col("n_user")) / F.col("everyone") > 0.5, 1).otherwise(0)
     j = j.select(group, company, *[f"n_{k}" for k in kinds], user_score.alias("user_score"), most.alias("company_score"),
                  ((user_score + most + spread) / 3 * 100).alias("combined_score"))
     best = j.groupBy(group).agg(F.max_by(company, F.struct("combined_score", company)).alias("best_company"))

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import least_or_null, ratio, seconds_between
@@ -89,7 +90,7 @@ def top_issues_by_value(tags: DataFrame, text: str, pattern: str, customer: str,
     return g.orderBy(F.col("total_value").desc(), "reference").limit(n)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def histogram_mode(values: pd.Series) -> float:
     """Centre of the fullest bin of an automatically binned histogram (first one on a tie)."""
     x = values.dropna().to_numpy(dtype=float)
