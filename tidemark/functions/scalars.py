@@ -160,7 +160,7 @@ def split_part(x: ColumnLike, sep: str, n: int) -> Column:
 
 def strtok_array(x: ColumnLike, delimiters: str) -> Column:
     """Tokens between any of the delimiter characters, empty ones dropped."""
-    klass = "[" + "".join("\\" + d for d in delimiters) + "]"
+    klass = "[" + "".join(d if d.isalnum() else "\\" + d for d in delimiters) + "]"
     return F.filter(F.split(c(x), klass), lambda t: t != "")
 
 

@@ -154,14 +154,14 @@ def expand_interval(df: DataFrame, start: str, end: str, unit: str = "month", ho
                     name: str = "period") -> DataFrame:
     """One row per day or month in which the row is active: [start, end), an open end runs to ``horizon`` (included).
 
-    The dates are generated inside the row, so no range join and no shuffle is needed.
+    By month both ends count as their month, so a row that ends inside a month is not active in it. The dates are generated inside the row, so no range join and no shuffle is needed.
     """
     if unit not in ("day", "month"):
         raise ValueError(unit)
     cut = (lambda x: F.trunc(x, "month")) if unit == "month" else (lambda x: x)
     first = cut(F.col(start).cast("date"))
     if unit == "month":
-        last = F.when(F.col(end).isNotNull(), cut(F.date_sub(F.col(end).cast("date"), 1)))
+        last = F.add_months(cut(F.col(end).cast("date")), -1)
     else:
         last = F.date_sub(F.col(end).cast("date"), 1)
     if horizon is not None:

@@ -37,7 +37,7 @@ def explode_feed(df: DataFrame, json: str, element: str) -> DataFrame:
 
 def search_files(spark: SparkSession, path: str, pattern: str, glob: str = "*") -> DataFrame:
     """Lines of the files under a folder that match a pattern, with path and 1-based line number."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True, recursiveFileLookup=True)
     lines = files.where(F.col("value").rlike(pattern)).select(F.input_file_name().alias("path"), F.posexplode(F.split("value", "\n")).alias("__p", "line"))
     return lines.where(F.col("line").rlike(pattern)).select("path", (F.col("__p") + 1).alias("line_number"), "line")
 
