@@ -25,10 +25,10 @@ def targets(t):
 
 
 @query("targets_daily", covers="P44", sql=f"""WITH {SQL_TARGETS}, d AS (SELECT segment, nation, CAST(unnest(generate_series(month, CAST(last_day(month) AS DATE), INTERVAL 1 DAY)) AS DATE) AS day, target / day(last_day(month)) AS daily_target FROM targets)
-SELECT segment, day, round(sum(daily_target), 4) AS daily_target FROM d GROUP BY 1, 2""")
+SELECT segment, day, round(sum(daily_target), 5) AS daily_target FROM d GROUP BY 1, 2""")
 def targets_daily(t):
     seg = targets(t).groupBy("segment", "month").agg(F.sum("target").alias("target"))
-    return planning.allocate_target_daily(seg, "month", "target").select("segment", "day", r4("daily_target").alias("daily_target"))
+    return planning.allocate_target_daily(seg, "month", "target").select("segment", "day", F.round("daily_target", 5).alias("daily_target"))
 
 
 @query("to_date_totals", covers="P43 W10", sql="""WITH d AS (SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 2) AS amount FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)

@@ -192,7 +192,7 @@ WHERE (o_orderdate < DATE '1997-01-01' AND day(o_orderdate) = 8) OR (o_orderdate
 def snapshot_pick(t):
     daily = t.orders.select(i.day("o_orderdate").alias("snapshot_date"), "o_totalprice")
     picked = revenue.snapshot_pick(daily, "snapshot_date", [
-        (dt.date(1, 1, 1), dt.date(1997, 1, 1), 8), (dt.date(1997, 1, 1), dt.date(1999, 1, 1), 5), (dt.date(1999, 1, 1), dt.date(9999, 1, 1), 4)])
+        (dt.date(1900, 1, 1), dt.date(1997, 1, 1), 8), (dt.date(1997, 1, 1), dt.date(1999, 1, 1), 5), (dt.date(1999, 1, 1), dt.date(9999, 1, 1), 4)])
     return picked.groupBy("snapshot_date").agg(F.count("*").alias("orders"), r2(F.sum("o_totalprice")).alias("amount"))
 
 
