@@ -138,16 +138,27 @@ def date_dimension(spine: DataFrame, start_month: int = 2) -> DataFrame:
 
 
 def densify(df: DataFrame, keys: Sequence[str], month: str, extra_months: int = 1, fill: Sequence[str] = ()) -> DataFrame:
-    """Every month from a key's first to its last (plus ``extra_months``); missing months get zeros.
+    """Every month from a key's first to its last (plus ``extra_months``); missing months get zeros, other columns NULL.
 
-    Rows per key are bounded by the calendar; the input is expected at (keys, month) grain.
+    Input unique at (keys, month). Each row generates the months up to the key's next one, so the table is read once
+    and not joined with a spine; rows per key are bounded by the calendar.
     """
-    ends = df.groupBy(*keys).agg(F.min(month).alias("__a"), F.max(month).alias("__b"))
-    spine = ends.select(
-        *keys, F.explode(F.sequence("__a", F.add_months("__b", extra_months), F.expr("INTERVAL 1 MONTH"))).alias(month)
-    )
-    out = spine.join(df, [*keys, month], "left")
-    return out.withColumns({f: F.coalesce(f, F.lit(0).cast(df.schema[f].dataType)) for f in fill})
+    next_month = F.lead(month).over(W.partitionBy(*keys).orderBy(month))
+    until = F.coalesce(F.add_months(next_month, -1), F.add_months(F.col(month), extra_months))
+    grown = df.withColumn("__until", until).withColumn("__m", F.explode(F.sequence(month, "__until", F.expr("INTERVAL 1 MONTH"))))
+    own = F.col("__m") == F.col(month)
+    out = []
+    for name in df.columns:
+        if name == month:
+            out.append(F.col("__m").alias(month))
+        elif name in keys:
+            out.append(F.col(name))
+        elif name in fill:
+            zero = F.lit(0).cast(df.schema[name].dataType)
+            out.append(F.when(own, F.coalesce(name, zero)).otherwise(zero).alias(name))
+        else:
+            out.append(F.when(own, F.col(name)).alias(name))
+    return grown.select(*out)
 
 
 def expand_interval(df: DataFrame, start: str, end: str, unit: str = "month", horizon: dt.date | None = None,

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.operators import ordered
 from tidemark.operators.calendar import expand_interval
@@ -20,12 +21,13 @@ def collapse_scd(df: DataFrame, keys: Sequence[str], values: Sequence[str], star
     ``start`` must be unique per key. Two rows are consecutive when the later starts where the earlier ends. The
     previous row and the island number are carried over time blocks, so a key with a long history is spread.
     """
-    prev = ordered.with_previous(df, keys, [start], block, {**{f"__p_{v}": v for v in values}, "__p_end": end, "__p_start": start})
-    opens = F.col("__p_start").isNull() | F.coalesce(F.col("__p_end") != F.col(start), F.lit(True))
-    for v in values:
-        opens = opens | ~F.col(v).eqNullSafe(F.col(f"__p_{v}"))
-    flagged = prev.select(*df.columns, opens.cast("int").alias("__opens"))
-    islands = ordered.with_running_sum(flagged, keys, [start], block, {"__island": "__opens"})
+    def opens(prev):
+        out = F.coalesce(prev["__end"] != F.col(start), F.lit(True))
+        for v in values:
+            out = out | ~F.col(v).eqNullSafe(prev[v])
+        return out
+
+    islands = ordered.with_islands(df, keys, [start], block, {**{v: v for v in values}, "__end": end}, opens, "__island")
     open_end = F.max(F.col(end).isNull())
     return (
         islands.groupBy(*keys, "__island", *values)
@@ -101,12 +103,48 @@ def versions_to_history(audit: DataFrame, keys: Sequence[str], order: Sequence[s
     return ordered.with_next(prev, keys, order, block, {"valid_to": at})
 
 
+def _months_touched(start: Column, end: Column) -> Column:
+    """Firsts of the months that [start, end) touches."""
+    last = F.date_sub(end, 1)
+    return F.when(start <= last, F.sequence(F.trunc(start, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH")))
+
+
+def _without_gaps(scd: DataFrame, key: str, value: str, start: str, end: str, first: Column, horizon_end: Column) -> DataFrame:
+    """Validity rows with explicit NULL-valued rows for the time before, between and after them.
+
+    Versions of a key are at most one per day, so the window is bounded by the calendar.
+    """
+    w = W.partitionBy(key).orderBy(start)
+    until, nxt = F.coalesce(end, horizon_end), F.coalesce(F.lead(start).over(w), horizon_end)
+    none = F.lit(None).cast(scd.schema[value].dataType)
+    piece = lambda v, a, b: F.struct(v.alias(value), a.alias("__from"), b.alias("__to"))
+    rows = scd.select(key, value, F.col(start).alias("__s"), until.alias("__u"), nxt.alias("__n"), F.row_number().over(w).alias("__rn"))
+    pieces = F.array_compact(F.array(
+        piece(F.col(value), F.col("__s"), F.col("__u")),
+        F.when(F.col("__u") < F.col("__n"), piece(none, F.col("__u"), F.col("__n"))),
+        F.when((F.col("__rn") == 1) & (first < F.col("__s")), piece(none, first, F.col("__s")))))
+    return rows.select(key, F.explode(pieces).alias("p")).select(key, "p.*")
+
+
 def state_on_day(entities: DataFrame, labels: DataFrame, key: str, opened: str, closed: str, horizon: dt.date,
                  label: str, label_from: str, label_to: str) -> DataFrame:
-    """Every day an entity is open, with its age in days and the label valid that day."""
-    open_days = expand_interval(entities, opened, closed, "day", horizon, "day").withColumn("age_days", F.datediff("day", opened))
-    label_days = expand_interval(labels, label_from, label_to, "day", horizon, "day").select(key, "day", label)
-    return open_days.join(label_days, [key, "day"], "left")
+    """Every day an entity is open, with its age in days and the label valid that day (NULL when there is none).
+
+    Entities and label versions meet in month bins by equality, and only the overlapping days are generated, after
+    the last shuffle; an entity-day never travels.
+    """
+    end_of_time = F.lit(horizon + dt.timedelta(days=1))
+    e = entities.withColumns({"__a": F.col(opened), "__b": F.coalesce(closed, end_of_time)})
+    first = entities.agg(F.min(opened).alias("m")).scalar()
+    lab = _without_gaps(labels, key, label, label_from, label_to, first, end_of_time)
+    lab = lab.select(key, label, "__from", "__to", F.explode(_months_touched(F.col("__from"), F.col("__to"))).alias("__bin"))
+    binned = e.withColumn("__bin", F.explode(_months_touched(F.col("__a"), F.col("__b"))))
+    j = binned.join(lab, [key, "__bin"], "left")
+    a = F.greatest("__a", "__bin", F.coalesce("__from", "__bin"))
+    b = F.least("__b", F.add_months("__bin", 1), F.coalesce("__to", "__b"))
+    days = F.when(a < b, F.sequence(a, F.date_sub(b, 1), F.expr("INTERVAL 1 DAY")))
+    out = j.select(*[F.col(x) for x in entities.columns], label, F.explode(days).alias("day"))
+    return out.withColumn("age_days", F.datediff("day", opened))
 
 
 def union_partitions(parts: Sequence[DataFrame], key: str, loaded_at: str, since) -> DataFrame:

@@ -8,7 +8,7 @@ number is bounded by the number of blocks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +75,39 @@ def with_running_sum(
     return out.select(*[F.col(x) for x in df.columns], *[v.alias(n) for n, v in total.items()])
 
 
+def with_islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, values: Mapping[str, ColumnLike],
+                 opens: Callable[[Column], Column], name: str) -> DataFrame:
+    """1-based number of the run of rows a row belongs to; ``opens(prev)`` says whether a row starts a new run.
+
+    ``prev`` is the struct of the preceding row's ``values``. A key's first row always opens. One summary row per
+    block holds its first and last values and the openings inside it, which settles both the previous row of a
+    block's first row and the count of openings before it, so the input is read twice in all.
+    """
+    keys = list(keys)
+    base = _with_block(df, block)
+    packed = F.struct(*[c(v).alias(n) for n, v in values.items()])
+    rank = F.struct(*[F.col(o) for o in order])
+    inner = W.partitionBy(*keys, BLOCK).orderBy(*order)
+    outer = W.partitionBy(*keys).orderBy(BLOCK)
+    seen = base.withColumn("__cur", packed).withColumn("__near", F.lag(packed).over(inner))
+
+    def flag(prev: Column) -> Column:
+        return F.coalesce(opens(prev), F.lit(True)).cast("long")
+
+    seen = seen.withColumn("__open", F.when(F.col("__near").isNotNull(), flag(F.col("__near"))))
+    first = [F.min_by(F.col(x), rank).alias(f"__f_{x}") for x in df.columns if x not in keys]
+    blocks = seen.groupBy(*keys, BLOCK).agg(F.sum("__open").alias("__inside"), F.max_by("__cur", rank).alias("__last"), *first)
+    blocks = blocks.withColumn("__carry", F.lag("__last").over(outer))
+    # the first row of the block as a row of its own, so that ``opens`` can be asked about it
+    heads = blocks.select(*[F.col(x) if x in keys else F.col(f"__f_{x}").alias(x) for x in df.columns], BLOCK, "__inside", "__carry")
+    heads = heads.withColumn("__head", F.when(F.col("__carry").isNull(), F.lit(1).cast("long")).otherwise(flag(F.col("__carry"))))
+    before = F.sum(F.col("__head") + F.coalesce("__inside", F.lit(0))).over(outer.rowsBetween(W.unboundedPreceding, -1))
+    heads = heads.select(*keys, BLOCK, (F.coalesce(before, F.lit(0)) + F.col("__head")).alias("__base"))
+    so_far = F.coalesce(F.sum("__open").over(inner.rowsBetween(W.unboundedPreceding, 0)), F.lit(0))
+    out = seen.withColumn("__so_far", so_far).join(heads, [*keys, BLOCK], "left")
+    return out.select(*[F.col(x) for x in df.columns], (F.col("__base") + F.col("__so_far")).alias(name))
+
+
 def with_row_index(df, keys, order, block, name: str = "row_index") -> DataFrame:
     """1-based position of the row within its key."""
     return with_running_sum(df, keys, order, block, {name: F.lit(1).cast("long")})

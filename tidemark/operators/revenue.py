@@ -69,11 +69,22 @@ def decompose_delta(df: DataFrame, kind: str = "change_type") -> DataFrame:
 
 
 def shifted_pair(df: DataFrame, keys: Sequence[str], month: str, measures: Sequence[str], lag_months: int, how: str) -> DataFrame:
-    """Every row beside the same key's row ``lag_months`` later."""
-    now = df.select(*keys, F.add_months(month, lag_months).alias("later_month"),
-                    *[F.col(m).alias(f"then_{m}") for m in measures])
-    later = df.select(*keys, F.col(month).alias("later_month"), *[F.col(m).alias(f"later_{m}") for m in measures])
-    return now.join(later, [*keys, "later_month"], how)
+    """Every row beside the same key's row ``lag_months`` later; ``how`` is left (all earlier rows) or full.
+
+    Each row stands for itself and for its shifted month, and the two meet in one aggregation by (keys, month): one
+    shuffle instead of a self join. Input unique at (keys, month).
+    """
+    none = {m: F.lit(None).cast(df.schema[m].dataType) for m in measures}
+    now = F.struct(F.col(month).alias("later_month"), F.lit(False).alias("__then"), *[none[m].alias(f"then_{m}") for m in measures],
+                   *[F.col(m).alias(f"later_{m}") for m in measures])
+    then = F.struct(F.add_months(month, lag_months).alias("later_month"), F.lit(True).alias("__then"),
+                    *[F.col(m).alias(f"then_{m}") for m in measures], *[none[m].alias(f"later_{m}") for m in measures])
+    rows = df.select(*keys, F.explode(F.array(now, then)).alias("r")).select(*keys, "r.*")
+    values = [f"{side}_{m}" for side in ("then", "later") for m in measures]
+    out = rows.groupBy(*keys, "later_month").agg(F.max("__then").alias("__then"), *[F.max(v).alias(v) for v in values])
+    if how == "left":
+        out = out.where("__then")
+    return out.drop("__then")
 
 
 def retention(df: DataFrame, keys: Sequence[str], month: str, amount: str, lag_months: int = 12) -> DataFrame:

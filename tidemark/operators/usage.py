@@ -53,13 +53,10 @@ def drop_bots(df: DataFrame, agent: str, words: Sequence[str] = BOT_WORDS) -> Da
 def sessionize(events: DataFrame, user: str, ts: str, tie: str, minutes: int = 30) -> DataFrame:
     """Session number per user; a gap of more than ``minutes`` opens a new one.
 
-    The previous time and the running count are carried over days, so a very active user is spread.
+    The previous time and the count are carried over days, so a very active user is spread.
     """
-    day = F.to_date(F.col(ts))
-    prev = ordered.with_previous(events, [user], [ts, tie], day, {"__prev": ts})
-    gap = F.col("__prev").isNull() | (F.timestamp_diff("MICROSECOND", F.col("__prev"), F.col(ts)) > minutes * 60_000_000)
-    flagged = prev.select(*events.columns, gap.cast("long").alias("__opens"))
-    return ordered.with_running_sum(flagged, [user], [ts, tie], day, {"session_index": "__opens"}).drop("__opens")
+    gap = lambda prev: F.timestamp_diff("MICROSECOND", prev["ts"], F.col(ts)) > minutes * 60_000_000
+    return ordered.with_islands(events, [user], [ts, tie], F.to_date(F.col(ts)), {"ts": ts}, gap, "session_index")
 
 
 def page_views(events: DataFrame, page: str, kind: str, ts: str, width: str, height: str, x: str, y: str,
