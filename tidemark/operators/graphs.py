@@ -154,17 +154,25 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
     costs = n.select(F.col(run).alias("__run"), F.col(node).alias("parent"), "__cost")
     out_edges = cut_lineage(e.join(costs, ["__run", "parent"]))
     best = cut_lineage(best)
+    finished = []
     for r in range(1, max_rounds + 1):
         grown = best.where(F.col("__round") == r - 1)
         if grown.isEmpty():
             break
+        # runs that did not change any more leave the working set
+        live = grown.select("__run").distinct()
+        finished.append(best.join(live, "__run", "left_anti"))
         sent = grown.withColumnRenamed("__node", "parent").join(out_edges, ["__run", "parent"]).select(
             "__run", F.col("child").alias("__node"), (F.col("length") + F.col("__cost")).alias("length"),
             F.array_append("path", F.col("child")).alias("path"), F.lit(r).alias("__round"))
         # on equal length the earlier entry stays, so a round without gain ends
         pick = F.struct("length", -F.col("__round"), "path")
-        best = cut_lineage(best.unionByName(sent).groupBy("__run", "__node").agg(
+        best = cut_lineage(best.join(live, "__run", "left_semi").unionByName(sent).groupBy("__run", "__node").agg(
             F.max_by(F.struct("length", "path", "__round"), pick).alias("b")).select("__run", "__node", "b.*"))
+    else:
+        if not best.where(F.col("__round") == max_rounds).isEmpty():
+            raise ValueError(f"graph deeper than {max_rounds} levels, or with a cycle")
+    best = reduce(DataFrame.unionByName, finished, best)
     ends = best.join(parents, ["__run", "__node"], "left_anti")
     top = ends.groupBy("__run").agg(F.max_by(F.struct("length", "path"), F.struct("length", "path")).alias("b"))
     return top.select(F.col("__run").alias(run), F.col("b.length").alias("path_length"), F.col("b.path").alias("critical_path"))

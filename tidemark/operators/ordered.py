@@ -158,16 +158,18 @@ def with_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
 
 
 def _binned_counts(df, keys, x, bins, scale) -> DataFrame:
-    """Distinct (key, value) with their count and a value bin, bins spread between the key's extremes."""
+    """Distinct (key, value) with their count and a value bin, bins spread between the key's extremes.
+
+    ``keys`` may be empty: then the whole table is one group, still spread over the bins.
+    """
     scale = scale or (lambda v: v)
     counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("__n"))
-    ends = counts.groupBy(*keys).agg(
-        F.min(x).alias("__lo"), F.max(x).alias("__hi"), F.sum("__n").alias("__total")
-    )
+    ends = {"__lo": F.min(x), "__hi": F.max(x), "__total": F.sum("__n")}
+    counts = with_totals(counts, keys, ends)
     lo, hi, at = (scale(F.col(v).cast("double")) for v in ("__lo", "__hi", x))
     width = F.when(hi > lo, (hi - lo) / F.lit(float(bins)))
     block = F.coalesce(F.floor(F.try_divide(at - lo, width)), F.lit(0)).cast("long")
-    return counts.join(ends, list(keys)).withColumn("__bin", block).drop("__lo", "__hi")
+    return counts.withColumn("__bin", block).drop("__lo", "__hi")
 
 
 def with_cumulative_count(df, keys, x, bins: int = 512, scale=None) -> DataFrame:

@@ -167,19 +167,24 @@ def match_entities(left: DataFrame, right: DataFrame, left_id: str, left_name: s
     """Match two lists by mail domain and by cleaned company name; one best match per left row.
 
     Names on the stop list, too short, or among the ``too_common`` most frequent of the left list do not match by
-    name. Both rules are equi-joins; the rank keeps one row per left id before the shuffle.
+    name. The domain beats the name and the smallest right id wins, so the right list is folded to one id per domain
+    and per name before the join: a common domain costs its rows, never all pairs.
     """
     clean = left.select(left_id, F.lower(left_domain).alias("__d"), clean_company_name(F.col(left_name)).alias("__n"))
-    usable = (F.length("__n") >= min_length) & ~F.col("__n").isin(*stop_names) if stop_names else F.length("__n") >= min_length
-    counts = clean.groupBy("__n").agg(F.count("*").alias("c"))
-    common = counts.orderBy(F.col("c").desc(), "__n").limit(too_common).select("__n") if too_common else None
-    by_name = clean.where(usable)
-    if common is not None:
-        by_name = by_name.join(common, "__n", "left_anti")
-    r = right.select(F.col(right_id).alias("match_id"), F.lower(right_domain).alias("__d"), clean_company_name(F.col(right_name)).alias("__n"))
-    a = clean.where(F.col("__d").isNotNull()).join(r.select("match_id", "__d"), "__d").select(left_id, "match_id", F.lit("domain").alias("rule"), F.lit(1).alias("__p"))
-    b = by_name.join(r.select("match_id", "__n"), "__n").select(left_id, "match_id", F.lit("name").alias("rule"), F.lit(2).alias("__p"))
-    return latest_per_key(a.unionByName(b), [left_id], [F.col("__p"), F.col("match_id")]).drop("__p")
+    usable = F.length("__n") >= min_length
+    if stop_names:
+        usable = usable & ~F.col("__n").isin(*stop_names)
+    keyed = clean.withColumn("__k", F.when(usable, F.col("__n")))
+    if too_common:
+        counts = clean.groupBy("__n").agg(F.count("*").alias("c"))
+        common = counts.orderBy(F.col("c").desc(), "__n").limit(too_common).select(F.col("__n").alias("__k"), F.lit(True).alias("__common"))
+        keyed = keyed.join(common, "__k", "left").withColumn("__k", F.when(F.col("__common").isNull(), F.col("__k"))).drop("__common")
+    r = right.select(F.col(right_id).alias("id"), F.lower(right_domain).alias("__d"), clean_company_name(F.col(right_name)).alias("__k"))
+    by_domain = r.where(F.col("__d").isNotNull()).groupBy("__d").agg(F.min("id").alias("__by_domain"))
+    by_name = r.groupBy("__k").agg(F.min("id").alias("__by_name"))
+    out = keyed.join(by_domain, "__d", "left").join(by_name, "__k", "left")
+    rule = F.when(F.col("__by_domain").isNotNull(), "domain").when(F.col("__by_name").isNotNull(), "name")
+    return out.select(left_id, F.coalesce("__by_domain", "__by_name").alias("match_id"), rule.alias("rule")).where(F.col("rule").isNotNull())
 
 
 def company_score(df: DataFrame, group: str, company: str, user: str, role: str) -> DataFrame:

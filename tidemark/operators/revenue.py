@@ -136,10 +136,9 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
     """
     from tidemark.operators.ordered import with_cumulative_count
 
-    keyed = df.select("*", F.lit(1).alias("__all"))
-    below = with_cumulative_count(keyed, ["__all"], amount, scale=F.log1p)
-    below = below.select("__all", amount, (F.col("__total") - F.col("__below") - F.col("__n") + 1).alias("amount_rank"))
-    out = keyed.join(below, ["__all", amount], "left").drop("__all")
+    below = with_cumulative_count(df, [], amount, scale=F.log1p)
+    below = below.select(amount, (F.col("__total") - F.col("__below") - F.col("__n") + 1).alias("amount_rank"))
+    out = df.join(below, amount, "left")
     rank_band = F.lit(None).cast("string")
     for r in sorted(ranks, reverse=True):
         rank_band = F.when(F.col("amount_rank") <= r, F.lit(f"Top {r}")).otherwise(rank_band)

@@ -63,23 +63,32 @@ def split_rows(df: DataFrame, text: str, sep_pattern: str) -> DataFrame:
 
 def parse_kv_blob(df: DataFrame, key: Sequence[str], text: str, fields: Mapping[str, str], deferred: Sequence[str] = ()) -> DataFrame:
     """``key: value`` lines to columns. The value of a ``deferred`` timestamp key that does not parse on its own line
-    is taken from the third or fourth line after it."""
-    lines = F.split(text, "\n")
+    is taken from the third or fourth line after it.
 
+    A text is taken apart and put into columns inside its row, so nothing is exploded or shuffled.
+    """
     def value_at(line: Column) -> Column:
         v = F.regexp_replace(F.regexp_extract(line, r"^\s*[^:]*:\s(.*)$", 1), "^'|'$", "")
         return F.nullif(v, F.lit(""))
 
-    rows = df.select(*key, lines.alias("__lines"), F.posexplode(lines).alias("__pos", "__line")).select(
-        *key, F.trim(F.split_part("__line", F.lit(": "), F.lit(1))).alias("__key"), value_at(F.col("__line")).alias("__value"),
-        value_at(F.get("__lines", F.col("__pos") + 3)).alias("__v3"), value_at(F.get("__lines", F.col("__pos") + 4)).alias("__v4"))
-    aggs = []
-    for name, kind in fields.items():
-        got = F.col("__value").try_cast(kind)
-        if name in deferred:
-            got = F.coalesce(got, F.col("__v3").try_cast(kind), F.col("__v4").try_cast(kind))
-        aggs.append(F.max(F.when(F.col("__key") == name, got)).alias(name))
-    return rows.groupBy(*key).agg(*aggs)
+    lines = df.select(*key, F.split(text, "\n").alias("__lines"))
+
+    def entry(line: Column, pos: Column) -> Column:
+        later = [value_at(F.get("__lines", pos + n)).alias(f"v{n}") for n in (3, 4)] if deferred else []
+        return F.struct(F.trim(F.split_part(line, F.lit(": "), F.lit(1))).alias("key"), value_at(line).alias("value"), *later)
+
+    entries = lines.select(*key, F.transform("__lines", entry).alias("__entries"))
+
+    def field(name: str, kind: str) -> Column:
+        def read(e: Column) -> Column:
+            got = e["value"].try_cast(kind)
+            if name in deferred:
+                got = F.coalesce(got, e["v3"].try_cast(kind), e["v4"].try_cast(kind))
+            return got
+
+        return F.array_max(F.transform(F.filter("__entries", lambda e: e["key"] == name), read))
+
+    return entries.select(*key, *[field(n, k).alias(n) for n, k in fields.items()])
 
 
 def object_array_to_map(x: Column) -> Column:

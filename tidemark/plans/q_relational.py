@@ -84,7 +84,7 @@ def having(t):
 
 # --- joins ----------------------------------------------------------------------------------------
 
-@query("left_join_chain", covers="J01 J06", sql="SELECT o_orderkey, c_name, n_name, r_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
+@query("left_join_chain", covers="S02 S03 J01 J06", sql="SELECT o_orderkey, c_name, n_name, r_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def left_join_chain(t):
     c = t.customer.where(F.col("c_acctbal") > 0)
     return (t.orders.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -264,9 +264,9 @@ def distinct_over_partition(t):
 @query("global_rank", covers="W19 O06", sql="SELECT o_orderkey, CAST(rank() OVER (ORDER BY o_totalprice) AS BIGINT) AS price_rank FROM orders")
 def global_rank(t):
     """Rank over the whole table through value bins instead of one sorted task."""
-    o = t.orders.select("o_orderkey", "o_totalprice", F.lit(1).alias("all"))
-    ranks = ordered.with_cumulative_count(o, ["all"], "o_totalprice").select("all", "o_totalprice", (F.col("__below") + 1).alias("price_rank"))
-    return o.join(ranks, ["all", "o_totalprice"]).select("o_orderkey", "price_rank")
+    o = t.orders.select("o_orderkey", "o_totalprice")
+    ranks = ordered.with_cumulative_count(o, [], "o_totalprice").select("o_totalprice", (F.col("__below") + 1).alias("price_rank"))
+    return o.join(ranks, "o_totalprice").select("o_orderkey", "price_rank")
 
 
 # --- ordering and sets ----------------------------------------------------------------------------

@@ -47,7 +47,7 @@ def stream_merge_sum(t):
     return streams.read_log(t.spark, out, ["clean_id"]).withColumn("last_loaded_at", F.col("last_loaded_at").cast("timestamp_ntz"))
 
 
-@query("stream_append", covers="T01", sql="""SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'""")
+@query("stream_append", covers="T01 S05", sql="""SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'""")
 def stream_append(t):
     e = t.events.select("event_id", "user_id", "ts", "event_type")
     out = arrivals(t, e, "append", lambda s, o, c: streams.run_append(s.where(F.col("event_type") == "purchase").drop("event_type", "drop"), o, c))
