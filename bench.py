@@ -31,6 +31,7 @@ def main() -> None:
     times = {}
     for name in names:
         runs = []
+        run(name, spark, folder).write.format("noop").mode("overwrite").save()  # warm-up
         for _ in range(repeats):
             start = time.perf_counter()
             run(name, spark, folder).write.format("noop").mode("overwrite").save()

@@ -165,6 +165,14 @@ def discount_analysis(items: DataFrame, invoice: str, order: Sequence[str], bloc
                        (price * F.col(quantity) * F.lit(365.0) / F.greatest(term_days, F.lit(1))).alias("yearly_amount"))
 
 
+def effective_days(start: Column, end: Column) -> Column:
+    """Days of a term, a leap day inside it (both ends included) not counted, so that a year is always 365."""
+    years = F.sequence(F.year(start), F.year(end))
+    leap = lambda y: ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    inside = F.exists(years, lambda y: leap(y) & F.date_add(F.make_date(y, F.lit(2), F.lit(28)), 1).between(start, end))
+    return F.datediff(end, start) - F.when(inside, 1).otherwise(0)
+
+
 def three_way_reconcile(a: DataFrame, b: DataFrame, c: DataFrame, key: str) -> DataFrame:
     """Full outer bridge of three systems by key, with the match status."""
     tag = lambda d, n: d.select(key, F.lit(True).alias(n), *[x for x in d.columns if x != key])

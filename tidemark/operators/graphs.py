@@ -137,6 +137,16 @@ def expand_membership(group_members: DataFrame, project_members: DataFrame, proj
     return whole.join(top, "namespace_id").withColumn("is_guest", guest)
 
 
+def flag_billable(members: DataFrame, state: str, kind: str, requested_at: str, plan: str, guest_free_plans: Sequence[str], bot: str = "Project Bot") -> DataFrame:
+    """Active and billable flags: active are people in active state not awaiting access; guests are free on some plans.
+
+    Wants ``is_guest`` of ``expand_membership``.
+    """
+    active = F.coalesce((F.col(state) == "active") & (F.col(kind).isNull() | (F.col(kind) != bot)) & F.col(requested_at).isNull(), F.lit(False))
+    free = F.col(plan).isin(*guest_free_plans) & F.col("is_guest")
+    return members.select("*", active.alias("is_active"), F.coalesce(active & ~free, F.lit(False)).alias("is_billable"))
+
+
 def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost: str, max_rounds: int = 1000) -> DataFrame:
     """Costliest start-to-end path of every run; the last node's own cost is not counted.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import ratio
-from tidemark.operators.calendar import densify
+from tidemark.operators.calendar import densify, fiscal_attributes
 from tidemark.operators.keys import latest_per_key
 
 # Names of a change of recurring amount.
@@ -151,21 +151,22 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
 def available_to_renew(terms: DataFrame, name: str, version: str, look_ahead: int = 14) -> DataFrame:
     """Terms that come up for renewal.
 
-    A version is left out when one of its successors starts earlier (it was backed out) or repeats its end or start
-    month; the newest version per term end counts, and the segments of one ramp are merged to the ramp's first start
-    and last end. Wants ``term_start, term_end, ramp_id``. Version counts per subscription are small by nature; the
-    look-ahead is one bounded frame instead of a chain of leads.
+    Wants ``term_start, term_end, ramp_id``. A term outside a ramp is a duplicate when the next version starts in the
+    same month. Of the others a version is left out when the next one repeats its start month, end month or fiscal end
+    year, the second next its end month, or any of the next ``look_ahead`` starts earlier (it was backed out). The
+    newest version per term end counts, and the segments of one ramp are merged to the ramp's first start and last
+    end. Version counts per subscription are small by nature; the look-ahead is one bounded frame, not a chain of leads.
     """
+    by_ramp = W.partitionBy(name).orderBy(F.col("ramp_id").asc_nulls_last(), version)
     w = W.partitionBy(name).orderBy(version)
-    ahead = w.rowsBetween(1, look_ahead)
     start_month, end_month = F.trunc("term_start", "month"), F.trunc("term_end", "month")
-    superseded = (
-        F.coalesce(F.lead(end_month).over(w) == end_month, F.lit(False))
-        | F.coalesce(F.lead(end_month, 2).over(w) == end_month, F.lit(False))
-        | F.coalesce(F.lead(start_month).over(w) == start_month, F.lit(False))
-        | F.coalesce(F.min(start_month).over(ahead) < start_month, F.lit(False))
-    )
-    kept = terms.withColumn("__gone", superseded).where(~F.col("__gone")).drop("__gone")
+    end_year = fiscal_attributes(F.col("term_end"))["fiscal_year"]
+    same = lambda x, n=1: F.coalesce(F.lead(x, n).over(w) == x, F.lit(False))
+    duplicate = F.col("ramp_id").isNull() & F.coalesce(F.lead(start_month).over(by_ramp) == start_month, F.lit(False))
+    single = terms.withColumn("__dup", duplicate).where(~F.col("__dup")).drop("__dup")
+    backed_out = F.coalesce(F.min(start_month).over(w.rowsBetween(1, look_ahead)) < start_month, F.lit(False))
+    superseded = same(end_month) | same(end_month, 2) | same(end_year) | same(start_month) | backed_out
+    kept = single.withColumn("__gone", superseded).where(~F.col("__gone")).drop("__gone")
     last = latest_per_key(kept, [name, "term_end"], [F.col("ramp_id").asc_nulls_last(), F.col(version).desc()])
     ramps = last.where(F.col("ramp_id").isNotNull()).groupBy("ramp_id").agg(
         F.min("term_start").alias("__rs"), F.max("term_end").alias("__re"))
@@ -174,6 +175,33 @@ def available_to_renew(terms: DataFrame, name: str, version: str, look_ahead: in
                       F.coalesce("__re", "term_end").alias("renewal_term_end"))
 
 
+def renewal_amounts(renewals: DataFrame, charges: DataFrame, version: str) -> DataFrame:
+    """Amount up for renewal: charges of the version that end with its term, empty charges left out."""
+    live = charges.where(F.col("charge_start") != F.col("charge_end"))
+    folded = live.groupBy(version, F.col("charge_end").alias("term_end")).agg(F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"))
+    return renewals.join(folded, [version, "term_end"])
+
+
+def retention_labels(df: DataFrame) -> DataFrame:
+    """Labels of a retained amount (inferred names): what happened, why, and the change of plan and seats.
+
+    Wants ``then_`` and ``later_`` columns of amount, quantity and tier; a missing later side counts as zero.
+    """
+    a0, a1 = F.col("then_amount"), F.coalesce("later_amount", F.lit(0.0))
+    q0, q1 = F.col("then_quantity"), F.coalesce("later_quantity", F.lit(0.0))
+    t0, t1 = F.col("then_tier"), F.col("later_tier")
+    step = ratio(a1, q1) - ratio(a0, q0)
+    gone, seats, tier, price = a1 == 0, q0 != q1, t0 != t1, F.coalesce(F.abs(step) > 0.005, F.lit(False))
+    reason = (F.when(gone, "Cancellation").when(a1 == a0, "No Change").when(tier & seats, "Product and Seat Change").when(tier, "Product Change")
+              .when(seats & price, "Price and Seat Change").when(seats, "Seat Change").otherwise("Price Change"))
+    return df.select(
+        "*", change_type(a1, a0, F.lit(2)).alias("retention_type"), reason.alias("retention_reason"),
+        F.when(gone, "Cancelled").when(t1 > t0, "Upgraded").when(t1 < t0, "Downgraded").otherwise("Maintained").alias("plan_change"),
+        F.when(gone, "Cancelled").when(q1 > q0, "Expanded").when(q1 < q0, "Contracted").otherwise("Maintained").alias("seat_change"),
+        F.when(gone, "Full Churn").when(a1 < a0, "Partial Churn").alias("churn_type"),
+        F.when(a1 > a0, F.when(t1 > t0, "Upsell").otherwise("Seat or Price Growth")).alias("growth_type"), step.alias("price_per_seat_change"))
+
+
 def link_records(left: DataFrame, right: DataFrame, left_id: str, passes: Sequence[tuple[str, Column]],
                  tie_break: Sequence[Column]) -> DataFrame:
     """Match records through ordered rule passes; the first pass that matches wins, ties go by ``tie_break``.

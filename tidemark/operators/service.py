@@ -59,12 +59,14 @@ def nps(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
                                  *[F.count_if(kind == k).alias(f"{k}s") for k in ("promoter", "passive", "detractor")])
 
 
-def scorecard(df: DataFrame, ids: Sequence[str], metrics: Sequence[str], probs: Mapping[str, float], cut: float = 0.1) -> DataFrame:
-    """Percentiles per metric after values at or below the ``cut`` percentile are dropped as outliers."""
+def scorecard(df: DataFrame, ids: Sequence[str], metrics: Sequence[str], probs: Mapping[str, float], within: Sequence[str] = (), cut: float = 0.1) -> DataFrame:
+    """Percentiles per metric (and ``within`` columns, which are among the ids) after values at or below the ``cut``
+    percentile are dropped as outliers."""
     long = df.unpivot(list(ids), [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
-    low = ordered.quantiles(long, ["metric"], "value", {"__cut": cut})
-    kept = long.join(low, "metric").where(F.col("value") > F.col("__cut")).select("metric", "value")
-    return ordered.quantiles(kept, ["metric"], "value", probs)
+    group = [*within, "metric"]
+    low = ordered.quantiles(long, group, "value", {"__cut": cut})
+    kept = long.join(low, group).where(F.col("value") > F.col("__cut")).select(*group, "value")
+    return ordered.quantiles(kept, group, "value", probs)
 
 
 def percent_rank_threshold(df: DataFrame, keys: Sequence[str], x: str, threshold: float) -> DataFrame:

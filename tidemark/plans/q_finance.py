@@ -155,6 +155,14 @@ def discount_analysis(t):
     return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "list_price", "realised_price", "delta_quantity")
 
 
+@query("effective_days", covers="P107", sql="""WITH x AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate + to_months(CAST(o_orderkey % 30 AS INTEGER)) AS DATE) AS b FROM orders)
+SELECT o_orderkey, date_diff('day', a, b) - CASE WHEN DATE '1996-02-29' BETWEEN a AND b OR DATE '2000-02-29' BETWEEN a AND b OR DATE '2004-02-29' BETWEEN a AND b THEN 1 ELSE 0 END AS days FROM x""")
+def effective_days(t):
+    a = i.day("o_orderdate")
+    b = F.add_months(a, (F.col("o_orderkey") % 30).cast("int"))
+    return t.orders.select("o_orderkey", a.alias("a"), b.alias("b")).select("o_orderkey", finance.effective_days(F.col("a"), F.col("b")).alias("days"))
+
+
 @query("three_way_reconcile", covers="P115 J03", sql="""WITH a AS (SELECT c_custkey AS key FROM customer WHERE c_custkey % 2 = 0), b AS (SELECT o_custkey AS key, count(*) AS orders FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1), c AS (SELECT user_id AS key, count(*) AS events FROM events GROUP BY 1),
 j AS (SELECT coalesce(a.key, b.key, c.key) AS key, orders, events, a.key IS NOT NULL AS ia, b.key IS NOT NULL AS ib, c.key IS NOT NULL AS ic FROM a FULL JOIN b ON a.key = b.key FULL JOIN c ON coalesce(a.key, b.key) = c.key)
 SELECT key, orders, events, CASE WHEN ia AND ib AND ic THEN 'all three' WHEN ia AND ib THEN 'a and b' WHEN ia AND ic THEN 'a and c' WHEN ib AND ic THEN 'b and c' WHEN ia THEN 'a only' WHEN ib THEN 'b only' ELSE 'c only' END AS match_status FROM j""")

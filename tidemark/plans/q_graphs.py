@@ -87,6 +87,14 @@ def expand_membership(t):
     return graphs.expand_membership(gm, pm, projects, gl, pl, lineage, owners)
 
 
+@query("billable_members", covers="P86", sql="""SELECT c_custkey, c_custkey % 5 = 0 AS is_guest, c_acctbal > 0 AND (c_custkey % 7 <> 0) AND c_custkey % 11 <> 0 AS is_active, c_acctbal > 0 AND (c_custkey % 7 <> 0) AND c_custkey % 11 <> 0 AND NOT (c_mktsegment = 'MACHINERY' AND c_custkey % 5 = 0) AS is_billable FROM customer""")
+def billable_members(t):
+    k = F.col("c_custkey")
+    m = t.customer.select("c_custkey", (k % 5 == 0).alias("is_guest"), F.when(F.col("c_acctbal") > 0, "active").otherwise("blocked").alias("state"), F.when(k % 7 == 0, "Project Bot").alias("kind"),
+                          F.when(k % 11 == 0, F.lit("2024-01-01")).alias("requested_at"), F.col("c_mktsegment").alias("plan"))
+    return graphs.flag_billable(m, "state", "kind", "requested_at", "plan", ["MACHINERY"]).select("c_custkey", "is_guest", "is_active", "is_billable")
+
+
 SQL_DAG = """nodes AS (SELECT l_orderkey AS run_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS node, l_extendedprice AS cost FROM lineitem)"""
 
 

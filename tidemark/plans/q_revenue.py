@@ -128,20 +128,23 @@ def segment_accounts(t):
     return revenue.segment_by_amount_and_rank(c, "amount", [10, 100], [1e6, 3e6])
 
 
-@query("available_to_renew", covers="P37a W06", sql="""WITH terms AS (
+SQL_RENEW = """terms AS (
   SELECT o_custkey AS account_id, o_orderkey AS version, CAST(o_orderdate AS DATE) AS term_start,
     CAST(o_orderdate + to_months(CASE WHEN o_orderpriority < '3' THEN 12 ELSE 24 END) AS DATE) AS term_end,
     CASE WHEN o_orderstatus = 'P' THEN concat('R', CAST(o_custkey AS VARCHAR)) END AS ramp_id FROM orders),
-m AS (SELECT *, date_trunc('month', term_start) AS sm, date_trunc('month', term_end) AS em FROM terms),
-f AS (SELECT *, (coalesce(lead(em) OVER w = em, false) OR coalesce(lead(em, 2) OVER w = em, false) OR coalesce(lead(sm) OVER w = sm, false)
+m AS (SELECT *, date_trunc('month', term_start) AS sm, date_trunc('month', term_end) AS em, year(term_end) + CASE WHEN month(term_end) < 2 THEN 0 ELSE 1 END AS ey FROM terms),
+dup AS (SELECT *, ramp_id IS NULL AND coalesce(lead(sm) OVER (PARTITION BY account_id ORDER BY ramp_id NULLS LAST, version) = sm, false) AS is_dup FROM m),
+f AS (SELECT *, (coalesce(lead(em) OVER w = em, false) OR coalesce(lead(em, 2) OVER w = em, false) OR coalesce(lead(ey) OVER w = ey, false) OR coalesce(lead(sm) OVER w = sm, false)
    OR coalesce(min(sm) OVER (PARTITION BY account_id ORDER BY version ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) < sm, false)) AS gone
-  FROM m WINDOW w AS (PARTITION BY account_id ORDER BY version)),
+  FROM dup WHERE NOT is_dup WINDOW w AS (PARTITION BY account_id ORDER BY version)),
 l AS (SELECT *, row_number() OVER (PARTITION BY account_id, term_end ORDER BY ramp_id NULLS LAST, version DESC) AS rn FROM f WHERE NOT gone),
 b AS (SELECT * FROM l WHERE rn = 1),
-ra AS (SELECT ramp_id, min(term_start) AS rs, max(term_end) AS re FROM b WHERE ramp_id IS NOT NULL GROUP BY 1)
-SELECT account_id, version, term_start, term_end, b.ramp_id, coalesce(rs, term_start) AS renewal_term_start, coalesce(re, term_end) AS renewal_term_end
-FROM b LEFT JOIN ra ON b.ramp_id = ra.ramp_id WHERE b.ramp_id IS NULL OR re = term_end""")
-def available_to_renew(t):
+ra AS (SELECT ramp_id, min(term_start) AS rs, max(term_end) AS re FROM b WHERE ramp_id IS NOT NULL GROUP BY 1),
+renewals AS (SELECT account_id, version, term_start, term_end, b.ramp_id, coalesce(rs, term_start) AS renewal_term_start, coalesce(re, term_end) AS renewal_term_end
+FROM b LEFT JOIN ra ON b.ramp_id = ra.ramp_id WHERE b.ramp_id IS NULL OR re = term_end)"""
+
+
+def renewals(t):
     d = i.day("o_orderdate")
     terms = t.orders.select(
         F.col("o_custkey").alias("account_id"), F.col("o_orderkey").alias("version"), d.alias("term_start"),
@@ -150,6 +153,32 @@ def available_to_renew(t):
     return revenue.available_to_renew(terms, "account_id", "version")
 
 
+@query("available_to_renew", covers="P37a W06", sql=f"WITH {SQL_RENEW} SELECT * FROM renewals")
+def available_to_renew(t):
+    return renewals(t)
+
+
+@query("renewal_amounts", covers="P37a", sql=f"""WITH {SQL_RENEW}, c AS (SELECT l_orderkey AS version, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate + to_months(CASE WHEN l_linenumber % 2 = 0 THEN 12 ELSE 24 END) AS DATE) AS term_end, l_quantity AS quantity, l_extendedprice AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT account_id, renewals.version, renewals.term_end, sum(quantity) AS quantity, round(sum(amount), 2) AS amount FROM renewals JOIN c ON renewals.version = c.version AND renewals.term_end = c.term_end AND s <> c.term_end GROUP BY 1, 2, 3""")
+def renewal_amounts(t):
+    d = i.day("o_orderdate")
+    c = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("version"), d.alias("charge_start"), F.add_months(d, F.when(F.col("l_linenumber") % 2 == 0, 12).otherwise(24)).alias("charge_end"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("amount"))
+    return revenue.renewal_amounts(renewals(t), c, "version").select("account_id", "version", "term_end", "quantity", r2("amount").alias("amount"))
+
+
+@query("retention_labels", covers="P33 M05 W02", sql=f"""WITH {i.SQL_ACCOUNT_MONTH}, p AS (SELECT a.account_id, CAST(a.month + INTERVAL 12 MONTH AS DATE) AS later_month, a.amount AS a0, a.quantity AS q0, a.tier AS t0, coalesce(b.amount, 0) AS a1, coalesce(b.quantity, 0) AS q1, b.tier AS t1
+  FROM account_month a LEFT JOIN account_month b ON a.account_id = b.account_id AND b.month = CAST(a.month + INTERVAL 12 MONTH AS DATE)), s AS (SELECT *, a1 / nullif(q1, 0) - a0 / nullif(q0, 0) AS step FROM p)
+SELECT account_id, later_month, CASE WHEN a1 = 0 AND a0 > 0 THEN 'Churn' WHEN a1 < a0 THEN 'Contraction' WHEN a1 > a0 THEN 'Expansion' ELSE 'No Impact' END AS retention_type,
+ CASE WHEN a1 = 0 THEN 'Cancellation' WHEN a1 = a0 THEN 'No Change' WHEN t0 <> t1 AND q0 <> q1 THEN 'Product and Seat Change' WHEN t0 <> t1 THEN 'Product Change' WHEN q0 <> q1 AND abs(step) > 0.005 THEN 'Price and Seat Change' WHEN q0 <> q1 THEN 'Seat Change' ELSE 'Price Change' END AS retention_reason,
+ CASE WHEN a1 = 0 THEN 'Cancelled' WHEN t1 > t0 THEN 'Upgraded' WHEN t1 < t0 THEN 'Downgraded' ELSE 'Maintained' END AS plan_change, CASE WHEN a1 = 0 THEN 'Cancelled' WHEN q1 > q0 THEN 'Expanded' WHEN q1 < q0 THEN 'Contracted' ELSE 'Maintained' END AS seat_change,
+ CASE WHEN a1 = 0 THEN 'Full Churn' WHEN a1 < a0 THEN 'Partial Churn' END AS churn_type, CASE WHEN a1 > a0 THEN CASE WHEN t1 > t0 THEN 'Upsell' ELSE 'Seat or Price Growth' END END AS growth_type, step AS price_per_seat_change FROM s""")
+def retention_labels(t):
+    pair = revenue.shifted_pair(i.account_month(t), ["account_id"], "month", ["amount", "quantity", "tier"], 12, "left")
+    return revenue.retention_labels(pair).drop(*[f"{a}_{m}" for a in ("then", "later") for m in ("amount", "quantity", "tier")])
+
+
 @query("link_orders_to_items", covers="P39a J23", sql="""WITH li AS (SELECT l_orderkey, l_partkey, count(*) AS n, round(sum(l_extendedprice), 2) AS amount, max(CAST(l_shipdate AS DATE)) AS ship_date FROM lineitem GROUP BY 1, 2),
 h AS (SELECT o_orderkey, l_partkey, amount, 1 AS link_pass, 'same day' AS link_rule FROM orders JOIN li ON o_orderkey = l_orderkey AND ship_date = CAST(o_orderdate AS DATE)
  UNION ALL SELECT o_orderkey, l_partkey, amount, 2, 'same month' FROM orders JOIN li ON o_orderkey = l_orderkey AND date_trunc('month', ship_date) = date_trunc('month', o_orderdate)

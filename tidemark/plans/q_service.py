@@ -52,13 +52,13 @@ def nps(t):
     return service.nps(t.part.withColumn("x", F.col("p_size") % 11), ["p_brand"], "x").withColumn("nps", r6("nps"))
 
 
-@query("scorecard", covers="P70 A11 A28", sql="""WITH m AS (SELECT l_suppkey, round(sum(l_extendedprice), 2) AS revenue, CAST(count(*) AS DOUBLE) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1),
-u AS (SELECT 'revenue' AS metric, revenue AS value FROM m UNION ALL SELECT 'lines', lines FROM m UNION ALL SELECT 'quantity', quantity FROM m), c AS (SELECT metric, quantile_cont(value, 0.1) AS cut FROM u GROUP BY 1)
-SELECT metric, round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75, round(quantile_cont(value, 0.8), 4) AS p80, round(quantile_cont(value, 0.9), 4) AS p90, round(max(value), 4) AS p100 FROM u JOIN c USING (metric) WHERE value > cut GROUP BY 1""")
+@query("scorecard", covers="P70 A11 A28", sql="""WITH m AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, round(sum(l_extendedprice), 2) AS revenue, CAST(count(*) AS DOUBLE) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2),
+u AS (SELECT year, 'revenue' AS metric, revenue AS value FROM m UNION ALL SELECT year, 'lines', lines FROM m UNION ALL SELECT year, 'quantity', quantity FROM m), c AS (SELECT year, metric, quantile_cont(value, 0.1) AS cut FROM u GROUP BY 1, 2)
+SELECT year, metric, round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75, round(quantile_cont(value, 0.8), 4) AS p80, round(quantile_cont(value, 0.9), 4) AS p90, round(max(value), 4) AS p100 FROM u JOIN c USING (year, metric) WHERE value > cut GROUP BY 1, 2""")
 def scorecard(t):
-    m = t.lineitem.groupBy("l_suppkey").agg(r2(F.sum("l_extendedprice")).alias("revenue"), F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
-    s = service.scorecard(m, ["l_suppkey"], ["revenue", "lines", "quantity"], {"p25": .25, "p50": .5, "p75": .75, "p80": .8, "p90": .9, "p100": 1.0})
-    return s.select("metric", *[F.round(c, 4).alias(c) for c in s.columns[1:]])
+    m = t.lineitem.groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg(r2(F.sum("l_extendedprice")).alias("revenue"), F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+    s = service.scorecard(m, ["l_suppkey", "year"], ["revenue", "lines", "quantity"], {"p25": .25, "p50": .5, "p75": .75, "p80": .8, "p90": .9, "p100": 1.0}, ["year"])
+    return s.select("year", "metric", *[F.round(c, 4).alias(c) for c in s.columns[2:]])
 
 
 @query("price_quantiles", covers="A10 A11", sql="""SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS p50, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, round(quantile_cont(l_extendedprice, 0.99), 4) AS p99 FROM lineitem GROUP BY 1, 2""")
