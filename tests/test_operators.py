@@ -50,6 +50,15 @@ def test_blocked_windows_equal_plain_windows(skewed):
     assert rows(out.select("id", "px", "pid", "nx", "nid", "n", "sx", "lx", "fx")) == sorted(want, key=repr)
 
 
+def test_next_rows_cross_blocks(skewed):
+    df, con = skewed
+    for unit in ("hour", "day", "year"):
+        out = ordered.with_next_rows(df, ["k"], ["ts", "id"], F.date_trunc(unit, "ts"), {"id": "id"}, 5, "ahead")
+        got = out.select("id", F.transform("ahead", lambda r: r["id"]).alias("a"))
+        want = con.execute("SELECT id, coalesce(list(id) OVER (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING), []) FROM d").fetchall()
+        assert rows(got) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("scale", [None, F.log1p])
 def test_quantiles_and_ranks(skewed, scale):
     df, con = skewed
@@ -64,6 +73,22 @@ def test_quantiles_and_ranks(skewed, scale):
     assert rows(p) == sorted(want, key=repr)
 
 
+def test_islands_equal_plain_windows(skewed):
+    df, con = skewed
+    opens = lambda prev: (F.col("ts") - prev["ts"]) > F.expr("INTERVAL 25 MINUTES")
+    out = ordered.with_islands(df, ["k"], ["ts", "id"], F.to_date("ts"), {"ts": "ts"}, opens, "island").select("id", "island")
+    want = con.execute("""SELECT id, CAST(sum(o) OVER (PARTITION BY k ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS BIGINT) FROM (SELECT *,
+      CASE WHEN coalesce(ts - lag(ts) OVER (PARTITION BY k ORDER BY ts, id) > INTERVAL 25 MINUTE, true) THEN 1 ELSE 0 END AS o FROM d)""").fetchall()
+    assert rows(out) == sorted(want, key=repr)
+
+
+def test_ranks_without_keys(skewed):
+    df, con = skewed
+    got = ordered.with_cumulative_count(df, [], "x").select("x", "__below", "__n", "__total")
+    want = con.execute("SELECT x, CAST(sum(n) OVER (ORDER BY x) - n AS BIGINT), n, CAST(sum(n) OVER () AS BIGINT) FROM (SELECT x, count(*) AS n FROM d WHERE x IS NOT NULL GROUP BY 1)").fetchall()
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_quantile_of_one_value(spark):
     df = spark.createDataFrame([(1, 5.0), (1, 5.0), (2, 3.0)], "k int, x double")
     assert rows(ordered.quantiles(df, ["k"], "x", {"m": 0.5})) == [(1, 5.0), (2, 3.0)]
@@ -267,4 +292,4 @@ def test_available_to_renew_drops_backed_out(spark):
     d = dt.date
     terms = spark.createDataFrame([("s", 1, d(2024, 1, 1), d(2025, 1, 1), None), ("s", 2, d(2023, 6, 1), d(2024, 6, 1), None), ("s", 3, d(2024, 7, 1), d(2025, 7, 1), None)],
                                   "name string, version int, term_start date, term_end date, ramp_id string")
-    assert [r.version for r in revenue.available_to_renew(terms, "name", "version").orderBy("version").collect()] == [2, 3]
+    assert [r.version for r in revenue.available_to_renew(terms, "name", "version", F.col("version")).orderBy("version").collect()] == [2, 3]

@@ -59,6 +59,27 @@ def with_next(
     return _neighbour(df, keys, order, block, values, forward=True)
 
 
+def with_next_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, values: Mapping[str, ColumnLike],
+                   n: int, name: str) -> DataFrame:
+    """Array of the next n rows' values per key, nearest first; shorter at the end of the key.
+
+    Every block passes on its first n rows only (cut by rank before the shuffle), and a block looks at the n blocks
+    after it, each of which has a row.
+    """
+    keys = list(keys)
+    base = _with_block(df, block)
+    packed = F.struct(*[c(v).alias(x) for x, v in values.items()])
+    inner = W.partitionBy(*keys, BLOCK).orderBy(*order)
+    outer = W.partitionBy(*keys).orderBy(BLOCK)
+    heads = base.select(*keys, BLOCK, *[o for o in order if o not in keys], packed.alias("__v")).withColumn("__rn", F.row_number().over(inner)).where(F.col("__rn") <= n)
+    heads = heads.groupBy(*keys, BLOCK).agg(F.array_sort(F.collect_list(F.struct("__rn", "__v"))).alias("__first"))
+    ahead = F.flatten(F.collect_list("__first").over(outer.rowsBetween(1, n)))
+    heads = heads.select(*keys, BLOCK, F.transform(ahead, lambda x: x["__v"]).alias("__carry"))
+    near = F.collect_list(packed).over(inner.rowsBetween(1, n))
+    out = base.withColumn("__near", near).join(heads, [*keys, BLOCK], "left")
+    return out.select(*[F.col(x) for x in df.columns], F.slice(F.concat("__near", "__carry"), 1, n).alias(name))
+
+
 def with_running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ColumnLike, sums: Mapping[str, ColumnLike]
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import ratio
+from tidemark.operators import ordered
 from tidemark.operators.calendar import densify, fiscal_attributes
 from tidemark.operators.keys import latest_per_key
 
@@ -134,9 +135,7 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
 
     The rank is the count of larger values, taken over value bins, so no task sorts the whole table.
     """
-    from tidemark.operators.ordered import with_cumulative_count
-
-    below = with_cumulative_count(df, [], amount, scale=F.log1p)
+    below = ordered.with_cumulative_count(df, [], amount, scale=F.log1p)
     below = below.select(amount, (F.col("__total") - F.col("__below") - F.col("__n") + 1).alias("amount_rank"))
     out = df.join(below, amount, "left")
     rank_band = F.lit(None).cast("string")
@@ -148,25 +147,29 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
     return out.select("*", F.coalesce(rank_band, F.lit("Other")).alias("rank_band"), band.alias("amount_band"))
 
 
-def available_to_renew(terms: DataFrame, name: str, version: str, look_ahead: int = 14) -> DataFrame:
+def available_to_renew(terms: DataFrame, name: str, version: str, block: Column, look_ahead: int = 14) -> DataFrame:
     """Terms that come up for renewal.
 
-    Wants ``term_start, term_end, ramp_id``. A term outside a ramp is a duplicate when the next version starts in the
-    same month. Of the others a version is left out when the next one repeats its start month, end month or fiscal end
-    year, the second next its end month, or any of the next ``look_ahead`` starts earlier (it was backed out). The
-    newest version per term end counts, and the segments of one ramp are merged to the ramp's first start and last
-    end. Version counts per subscription are small by nature; the look-ahead is one bounded frame, not a chain of leads.
+    Wants ``term_start, term_end, ramp_id``. A term outside a ramp is a duplicate when the next one outside a ramp
+    starts in the same month. Of the others a version is left out when the next one repeats its start month, end
+    month or fiscal end year, the second next its end month, or any of the next ``look_ahead`` starts earlier (it was
+    backed out). The newest version per term end counts, and the segments of one ramp are merged to the ramp's first
+    start and last end. The look-ahead works over blocks of versions (``block`` does not decrease with the version),
+    so a subscription with very many versions is spread.
     """
-    by_ramp = W.partitionBy(name).orderBy(F.col("ramp_id").asc_nulls_last(), version)
-    w = W.partitionBy(name).orderBy(version)
     start_month, end_month = F.trunc("term_start", "month"), F.trunc("term_end", "month")
     end_year = fiscal_attributes(F.col("term_end"))["fiscal_year"]
-    same = lambda x, n=1: F.coalesce(F.lead(x, n).over(w) == x, F.lit(False))
-    duplicate = F.col("ramp_id").isNull() & F.coalesce(F.lead(start_month).over(by_ramp) == start_month, F.lit(False))
-    single = terms.withColumn("__dup", duplicate).where(~F.col("__dup")).drop("__dup")
-    backed_out = F.coalesce(F.min(start_month).over(w.rowsBetween(1, look_ahead)) < start_month, F.lit(False))
-    superseded = same(end_month) | same(end_month, 2) | same(end_year) | same(start_month) | backed_out
-    kept = single.withColumn("__gone", superseded).where(~F.col("__gone")).drop("__gone")
+    alone = ordered.with_next(terms.where(F.col("ramp_id").isNull()), [name], [version], block, {"__next_start": start_month})
+    alone = alone.where(~F.coalesce(F.col("__next_start") == start_month, F.lit(False))).drop("__next_start")
+    single = alone.unionByName(terms.where(F.col("ramp_id").isNotNull()))
+    ahead = ordered.with_next_rows(single, [name], [version], block, {"s": start_month, "e": end_month, "y": end_year}, look_ahead, "__ahead")
+    nxt, second = F.get("__ahead", F.lit(0)), F.get("__ahead", F.lit(1))
+    no = F.lit(False)
+    superseded = (
+        F.coalesce(nxt["e"] == end_month, no) | F.coalesce(second["e"] == end_month, no) | F.coalesce(nxt["y"] == end_year, no)
+        | F.coalesce(nxt["s"] == start_month, no) | F.exists("__ahead", lambda r: F.coalesce(r["s"] < start_month, no))
+    )
+    kept = ahead.withColumn("__gone", superseded).where(~F.col("__gone")).drop("__gone", "__ahead")
     last = latest_per_key(kept, [name, "term_end"], [F.col("ramp_id").asc_nulls_last(), F.col(version).desc()])
     ramps = last.where(F.col("ramp_id").isNotNull()).groupBy("ramp_id").agg(
         F.min("term_start").alias("__rs"), F.max("term_end").alias("__re"))

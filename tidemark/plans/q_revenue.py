@@ -150,7 +150,7 @@ def renewals(t):
         F.col("o_custkey").alias("account_id"), F.col("o_orderkey").alias("version"), d.alias("term_start"),
         F.add_months(d, F.when(F.col("o_orderpriority") < "3", 12).otherwise(24)).alias("term_end"),
         F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("R"), F.col("o_custkey").cast("string"))).alias("ramp_id"))
-    return revenue.available_to_renew(terms, "account_id", "version")
+    return revenue.available_to_renew(terms, "account_id", "version", F.floor(F.col("version") / 4096))
 
 
 @query("available_to_renew", covers="P37a W06", sql=f"WITH {SQL_RENEW} SELECT * FROM renewals")
