@@ -27,16 +27,20 @@ def apply_mapping_by_priority(facts: DataFrame, mapping: DataFrame, patterns: Se
     """Measures split by the most specific mapping that matches; facts without one keep their whole amount.
 
     A mapping row leaves some keys NULL (any value). ``patterns`` lists the sets of filled keys in order of
-    precedence. The winner is found once per distinct key combination of the facts, one equi-join per pattern, so
-    neither facts nor wildcards are compared pair by pair.
+    precedence. The winner is found once per distinct key combination of the facts: each combination tries every
+    pattern with its other keys blanked, in one null-safe equi-join, so neither facts nor wildcards are compared pair
+    by pair.
     """
-    combos = facts.select(*keys).distinct()
-    hits = []
-    for rank, used in enumerate(patterns):
-        cond = reduce(lambda a, b: a & b, [F.col(k).isNotNull() if k in used else F.col(k).isNull() for k in keys])
-        rules = mapping.where(cond).select(*used, percent, *outputs)
-        hits.append(combos.join(rules, list(used)).select(*keys, F.lit(rank).alias("__rank"), percent, *outputs))
-    found = reduce(DataFrame.unionByName, hits)
+    def masked(rank: int, used: Sequence[str]) -> Column:
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in used], F.lit(True))
+        wild = [F.col(k).alias(f"__{k}") if k in used else F.lit(None).cast(facts.schema[k].dataType).alias(f"__{k}") for k in keys]
+        return F.when(known, F.struct(F.lit(rank).alias("__rank"), *wild))
+
+    tries = F.array_compact(F.array(*[masked(n, used) for n, used in enumerate(patterns)]))
+    combos = facts.select(*keys).distinct().select(*keys, F.explode(tries).alias("t")).select(*keys, "t.*")
+    rules = mapping.select(*[F.col(k).alias(f"__m_{k}") for k in keys], percent, *outputs)
+    same = reduce(lambda a, b: a & b, [F.col(f"__{k}").eqNullSafe(F.col(f"__m_{k}")) for k in keys])
+    found = combos.join(rules, same).select(*keys, "__rank", percent, *outputs)
     best = found.groupBy(*keys).agg(F.min("__rank").alias("__rank"))
     winners = found.join(best, [*keys, "__rank"]).drop("__rank")
     share = F.coalesce(percent, F.lit(1.0))

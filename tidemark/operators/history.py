@@ -46,7 +46,7 @@ def asof_scd(fact: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence
     at = "__at"
     ver = F.struct(*[F.col(a) for a in attrs], *([F.col(end).alias("__until")] if end else []))
     kind = fact.schema[ts].dataType
-    d = dim.select(key, F.col(start).cast(kind).alias(at), F.lit(0).alias("__side"), ver.alias("__ver"))
+    d = dim.where(F.col(key).isNotNull()).select(key, F.col(start).cast(kind).alias(at), F.lit(0).alias("__side"), ver.alias("__ver"))
     f = fact.select(key, F.col(ts).alias(at), F.lit(1).alias("__side"), F.struct(*[F.col(x) for x in fact.columns]).alias("__fact"))
     line = d.unionByName(f, allowMissingColumns=True)
     filled = ordered.with_last_known(line, [key], [at, "__side"], F.date_trunc(block_unit, F.col(at)), {"__now": "__ver"})

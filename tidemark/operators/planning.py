@@ -90,21 +90,27 @@ def attribution(touches: DataFrame, conversions: DataFrame, key: str, at: str, t
 
     A touch belongs to the key's next conversion when that follows within ``window_days``. Time decay is 0.33 of a
     first-touch and 0.67 of a last-touch weight, each falling to 0 over ``decay_days`` and normalised; the blend is
-    0.4 time decay and 0.6 channel weight, renormalised. Sums per conversion are aggregates joined back.
+    0.4 time decay and 0.6 channel weight, renormalised. The sums of a conversion come from its touches folded to one
+    row per day and channel (at most ``window_days`` days), so a conversion with very many touches is never gathered.
     """
     linked = history.next_match(touches.select(key, at, touch_id, channel), conversions.select(key, at, conversion_id), [key], at,
                                 [conversion_id], F.date_trunc("day", F.col(at)))
     conv, conv_at = f"matched_{conversion_id}", f"matched_{at}"
-    t = linked.where(F.datediff(conv_at, at).between(0, window_days)).withColumn("__w", weight)
-    t = ordered.with_totals(t, [conv], {"__first": F.min(at), "__last": F.max(at), "__sum_w": F.sum("__w"), "channels": F.countDistinct(channel)})
+    t = linked.where(F.datediff(conv_at, at).between(0, window_days)).select(
+        F.col(conv).alias("conversion"), touch_id, channel, F.to_date(F.col(at)).alias("__day"), weight.alias("__w"))
     fade = lambda days: 1 - F.least(F.lit(1.0), days / decay_days)
-    t = t.withColumns({"__fw": fade(F.datediff(at, "__first")), "__lw": fade(F.datediff("__last", at)), "data_weight": div0("__w", "__sum_w")})
-    t = ordered.with_totals(t, [conv], {"__sum_f": F.sum("__fw"), "__sum_l": F.sum("__lw")})
-    decay = 0.67 * div0null("__lw", "__sum_l") + 0.33 * div0null("__fw", "__sum_f")
-    t = t.withColumn("time_decay_weight", decay).withColumn("__blend", 0.4 * F.col("time_decay_weight") + 0.6 * F.col("data_weight"))
-    t = ordered.with_totals(t, [conv], {"__sum_b": F.sum("__blend")})
-    return t.select(F.col(conv).alias("conversion"), touch_id, channel, "channels", "time_decay_weight", "data_weight",
-                    div0null("__blend", "__sum_b").alias("weight"))
+    w = W.partitionBy("conversion")
+    days = t.groupBy("conversion", "__day", channel).agg(F.count("*").alias("__n"), F.sum("__w").alias("__w"))
+    days = days.select("*", F.min("__day").over(w).alias("__first"), F.max("__day").over(w).alias("__last"))
+    sums = days.groupBy("conversion", "__first", "__last").agg(
+        F.sum(F.col("__n") * fade(F.datediff("__day", "__first"))).alias("__sum_f"), F.sum(F.col("__n") * fade(F.datediff("__last", "__day"))).alias("__sum_l"),
+        F.sum("__w").alias("__sum_w"), F.countDistinct(channel).alias("channels"))
+    t = t.join(sums, "conversion")
+    decay = 0.67 * div0null(fade(F.datediff("__last", "__day")), "__sum_l") + 0.33 * div0null(fade(F.datediff("__day", "__first")), "__sum_f")
+    t = t.select("conversion", touch_id, channel, "channels", decay.alias("time_decay_weight"), div0("__w", "__sum_w").alias("data_weight"), "__sum_w")
+    # the first and the last touch weigh 1, so both decays are normalised; the channel weights are unless all are 0
+    total = F.when(F.col("__sum_w") == 0, 0.4).otherwise(1.0)
+    return t.withColumn("weight", (0.4 * F.col("time_decay_weight") + 0.6 * F.col("data_weight")) / total).drop("__sum_w")
 
 
 def scaffold(dim_sets: Sequence[DataFrame], periods: Column) -> DataFrame:

@@ -67,10 +67,11 @@ def math_functions(t):
  make_timestamp(CAST(o_orderkey AS BIGINT) * 1000000) AS from_seconds, [o_orderkey] AS arr, TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE '1.5' END AS DOUBLE) IS NOT NULL AS real FROM orders""")
 def conversion_functions(t):
     k = F.col("o_orderkey")
+    utc = lambda x: F.convert_timezone(F.current_timezone(), F.lit("UTC"), x.cast("timestamp_ntz"))
     day = lambda m, n: F.concat(F.lit(f"2020-{m}-"), F.lpad((k % n + 1).cast("string"), 2, "0"))
     return t.orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("txt"), F.when(k % 3 == 0, "x1").otherwise(k.cast("string")).try_cast("bigint").alias("num"),
                            F.when(k % 2 == 0, "true").otherwise("maybe").try_cast("boolean").alias("flag"), F.date_format("o_orderdate", "yyyy/MM").alias("formatted"), F.to_date(day("01", 28)).alias("parsed"),
-                           day("02", 40).try_cast("date").alias("maybe_date"), F.timestamp_millis(k * 1000000).cast("timestamp_ntz").alias("from_millis"), F.timestamp_seconds(k).cast("timestamp_ntz").alias("from_seconds"),
+                           day("02", 40).try_cast("date").alias("maybe_date"), utc(F.timestamp_millis(k * 1000000)).alias("from_millis"), utc(F.timestamp_seconds(k)).alias("from_seconds"),
                            F.array(k).alias("arr"), s.is_real(F.when(k % 5 == 0, "n/a").otherwise("1.5")).alias("real"))
 
 
