@@ -68,22 +68,19 @@ def parse_kv_blob(df: DataFrame, key: Sequence[str], text: str, fields: Mapping[
     A text is taken apart and put into columns inside its row, so nothing is exploded or shuffled.
     """
     def value_at(line: Column) -> Column:
-        v = F.regexp_replace(F.regexp_extract(line, r"^\s*[^:]*:\s(.*)$", 1), "^'|'$", "")
-        return F.nullif(v, F.lit(""))
+        at = F.locate(": ", line)
+        return F.nullif(F.btrim(F.when(at > 0, F.substr(line, at + 2)), F.lit("'")), F.lit(""))
 
     lines = df.select(*key, F.split(text, "\n").alias("__lines"))
-
-    def entry(line: Column, pos: Column) -> Column:
-        later = [value_at(F.get("__lines", pos + n)).alias(f"v{n}") for n in (3, 4)] if deferred else []
-        return F.struct(F.trim(F.split_part(line, F.lit(": "), F.lit(1))).alias("key"), value_at(line).alias("value"), *later)
-
-    entries = lines.select(*key, F.transform("__lines", entry).alias("__entries"))
+    entries = lines.select(*key, "__lines", F.transform(
+        "__lines", lambda line, pos: F.struct(F.trim(F.split_part(line, F.lit(": "), F.lit(1))).alias("key"), pos.alias("pos"), line.alias("line"))).alias("__entries"))
 
     def field(name: str, kind: str) -> Column:
         def read(e: Column) -> Column:
-            got = e["value"].try_cast(kind)
+            got = value_at(e["line"]).try_cast(kind)
             if name in deferred:
-                got = F.coalesce(got, e["v3"].try_cast(kind), e["v4"].try_cast(kind))
+                later = [value_at(F.get("__lines", e["pos"] + n)).try_cast(kind) for n in (3, 4)]
+                got = F.coalesce(got, *later)
             return got
 
         return F.array_max(F.transform(F.filter("__entries", lambda e: e["key"] == name), read))
