@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, rules
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,9 @@ off AS (
   FROM line l JOIN aim a ON l.source IS NOT DISTINCT FROM a.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate * rk + u) - floor(rate * (rk - 1) + u)))::BIGINT AS taken FROM off
 """
+
+
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
