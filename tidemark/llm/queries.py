@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, rules
+from tidemark.llm import chat, mixing, rules, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,17 @@ SELECT conv_id, count(*) AS n_turns,
        sum({len(chat.START + chat.SEP + chat.END)} + length(role) + length(text) + {_escapes("role")} + {_escapes("text")})::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+URL_RULES = [
+    urls.PathRule("allow", "org", "/"),
+    urls.PathRule("block", "example.org", "/es/"),
+    urls.PathRule("block", "example.org", "/en/1"),
+    urls.PathRule("allow", "com", "/fr/"),
+    urls.PathRule("block", "com", "/de/"),
+]
+
+
+@query
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
