@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, rules, substrings, urls
+from tidemark.llm import chat, jaccard, mixing, rules, substrings, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = substrings.remove_repeats(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.similar(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies", "n_shingles")
