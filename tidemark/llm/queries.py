@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, mixing, rules, substrings, urls
+from tidemark.llm import chat, jaccard, lines, mixing, rules, substrings, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,27 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.similar(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "n_links", "n_copies", "n_shingles")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+SQL["op3_line_dedup"] = """
+WITH line AS (
+  SELECT r, doc_id, pos, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS pos
+        FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+often AS (
+  SELECT k, max(coalesce(doc_id, -9223372036854775808)) AS last FROM line WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT r) >= 3),
+judged AS (
+  SELECT line.*, often.k IS NOT NULL AND coalesce(doc_id, -9223372036854775808) <> last AS gone FROM line LEFT JOIN often ON line.k = often.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
