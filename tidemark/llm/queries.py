@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, lines, mixing, rules, substrings, urls
+from tidemark.llm import chat, decontaminate, jaccard, lines, mixing, rules, substrings, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,40 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
        sha256(coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY r
 """
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    hit = F.aggregate("hits", F.lit(0), lambda a, r: a + r["end"] - r["first"]).cast("long")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
+SQL["op7_decontamination"] = """
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i + 1 : i + least(10, len(w))], ' ') AS k, least(10, len(w)) AS n
+  FROM (SELECT item_id, w, unnest(range(greatest(1, len(w) - 9))) AS i FROM item WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM win),
+spot AS (
+  SELECT r, i, n, array_to_string(w[i + 1 : i + n], ' ') AS k
+  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM doc, size WHERE len(w) >= n)),
+hit AS (SELECT spot.r, spot.i, spot.n, win.item_id FROM spot JOIN win ON spot.k = win.k AND spot.n = win.n),
+word AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
+"""
