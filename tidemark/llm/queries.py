@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, jaccard, lines, mixing, quality, rules, substrings, urls
+from tidemark.llm import brown, chat, decontaminate, jaccard, lines, mixing, quality, rules, substrings, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,11 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN named USING (r)
 @query
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = brown.held_out(F.col("doc_id"))
+    scored = brown.score(docs, brown.fit(docs.where(~held)))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
