@@ -237,7 +237,7 @@ def remove_repeats(
     parse = scratch(rows.where(F.octet_length("text") >= length).select("id", "fp", "text").mapInArrow(_parse(length, span), shape))
 
     cores = parse.groupBy("core").agg(F.count("*").alias("n"), (F.min("whole") == F.max("whole")).alias("alike")).where("n > 1")
-    again = scratch(parse.join(cores.select("core", "alike"), "core"))
+    again = scratch(parse.join(scratch(cores.select("core", "alike")), "core"))  # a common core is split among tasks
     mixed = again.where("not alike")
     here = F.struct("id", "fp", "lo", "hi", "at")
     entries = scratch(mixed.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(here).alias("here")))
@@ -247,7 +247,7 @@ def remove_repeats(
 
     kinds = entries.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     asked = scratch(
-        entries.join(kinds.select("core", (F.col("kinds") > most).alias("crowd")), "core")
+        entries.join(scratch(kinds.select("core", (F.col("kinds") > most).alias("crowd"))), "core")
         .select("here.*", "core", (F.col("n") > 1).alias("known"), "crowd")
         .groupBy("id", "fp")
         .agg(F.collect_list(F.struct("lo", "hi", "at", "core", "known", "crowd")).alias("entries"))
