@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.common import scratch, smaller_batches
+from tidemark.llm.common import fresh, scratch, smaller_batches
 
 #: Every byte that is no word character becomes a blank; A-Z become a-z; bytes of longer characters stay.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -148,5 +148,5 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents in which a window of an item occurs."""
-    outs = ("_n_words", "_hits", "_items", "_spans")
-    return contamination(docs, items, outs=outs, **options).where(F.size("_hits") == 0).drop(*outs)
+    outs = tuple(fresh(docs, c) for c in ("_n_words", "_hits", "_items", "_spans"))
+    return contamination(docs, items, outs=outs, **options).where(F.size(outs[1]) == 0).drop(*outs)

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import WHITE_BYTES, scratch, smaller_batches
+from tidemark.llm.common import WHITE_BYTES, fresh, scratch, smaller_batches
 from tidemark.llm.groups import components, forest, whole_groups
 
 SAMPLES = 64
@@ -298,14 +298,16 @@ def similar(
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without all but one row of each class of :func:`similar`: the one with the least id. Columns stay as they are."""
     found = similar(docs, doc_id, text, **options)
-    lost = scratch(found.where("not first").select(F.col("id").alias("_id"), F.col("fp").alias("_fp")).distinct())
-    twice = scratch(found.where("first and n_copies > 1").groupBy("id", "fp").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("fp").alias("_fp")))
-    own_id = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(2**63)))
-    own_fp = F.hash(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    here = [own_id == F.col("_id"), own_fp == F.col("_fp")]
+    id_, fp, number = (fresh(docs, c) for c in ("_id", "_fp", "_n"))
+    key = [F.col("id").alias(id_), F.col("fp").alias(fp)]
+    lost = scratch(found.where("not first").select(*key).distinct())
+    twice = scratch(found.where("first and n_copies > 1").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    here = [
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(2**63))) == F.col(id_),
+        F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))) == F.col(fp),
+    ]
     kept = docs.join(lost, here, "left_anti")
     if twice.isEmpty():
         return kept
-    number = F.row_number().over(W.partitionBy("_id", "_fp").orderBy(F.lit(1)))
-    again = kept.join(twice, here).withColumn("_n", number).where("_n = 1").drop("_n", "_id", "_fp")
-    return kept.join(twice, here, "left_anti").unionByName(again)
+    again = kept.join(twice, here).withColumn(number, F.row_number().over(W.partitionBy(id_, fp).orderBy(F.lit(1))))
+    return kept.join(twice, here, "left_anti").unionByName(again.where(F.col(number) == 1).drop(number, id_, fp))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import WHITE_BYTES, scratch, smaller_batches
+from tidemark.llm.common import WHITE_BYTES, fresh, scratch, smaller_batches
 
 NONE = -(2**63)  # stands for a null id, below all others
 SLOTS = 4
@@ -213,11 +213,11 @@ def delete(index: LineIndex, ids: DataFrame, doc_id: str = "doc_id") -> LineInde
     return LineIndex(left, refs, filters, index.shards, index.batch)
 
 
-def _apply(least: int, text: str):
+def _apply(least: int, text: str, marks: str, counts: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, lines, dropped = [], [], []
-            lost = b["_drop"]
+            lost = b[marks]
             pairs = np.stack([lost.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2")], axis=1).astype(np.int64).tobytes()
             ends = np.append(0, np.cumsum([n or 0 for n in lost.value_lengths().to_pylist()])) * 16
             for i, whole in enumerate(b[text].to_pylist()):
@@ -231,37 +231,41 @@ def _apply(least: int, text: str):
                 else:
                     kept.append(whole)
                     dropped.append(0)
-            names = [n for n in b.schema.names if n != "_drop"]
+            names = [n for n in b.schema.names if n != marks]
             new = [pa.array(kept, pa.string()) if n == text else b[n] for n in names]
-            yield pa.RecordBatch.from_arrays([*new, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, "_lines", "_dropped"])
+            yield pa.RecordBatch.from_arrays([*new, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, *counts])
 
     return run
 
 
 def clean(
-    docs: DataFrame, found: DataFrame, index: LineIndex, doc_id: str = "doc_id", text: str = "text", least: int = 20, at_least: int = 3
+    docs: DataFrame, found: DataFrame, index: LineIndex, doc_id: str = "doc_id", text: str = "text", least: int = 20, at_least: int = 3,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """``docs`` without the lines whose key ``at_least`` documents of the index hold, except in the largest of these; ``_lines``, ``_dropped`` count.
+    """``docs`` without the lines whose key ``at_least`` documents of the index hold, except in the largest of these; ``counts`` are added.
 
     ``found`` are the postings of ``docs``. All lines with such a key go, or all stay (largest document). Each row counts as a document,
     also one with a repeated id; rows of one id are treated alike. A null id is below all others. A null or empty text is one
-    empty line, and a text that loses no line stays as it is, null too; one that loses all is empty. Column names ``_drop``, ``_lines``,
-    ``_dropped`` must be free; no rows give no rows.
+    empty line, and a text that loses no line stays as it is, null too; one that loses all is empty. Other columns stay, but for any named
+    like ``counts``; no rows give no rows.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in {x.lower() for x in counts}])
     often = index.refs.where(F.col("n_docs") >= at_least).select("k1", "k2", "last")
     lost = found.join(often, ["k1", "k2"]).where("id < last").select("id", F.struct("k1", "k2").alias("key"))
-    lost = lost.groupBy(F.col("id").alias("_lost")).agg(F.collect_set("key").alias("_drop"))
-    joined = docs.join(lost, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NONE)) == F.col("_lost"), "left").drop("_lost")
-    shape = StructType([*docs.schema.fields, StructField("_lines", LongType()), StructField("_dropped", LongType())])
-    return joined.mapInArrow(_apply(least, text), shape)
+    own, marks = fresh(docs, "_lost"), fresh(docs, "_marks")
+    lost = scratch(lost.groupBy(F.col("id").alias(own)).agg(F.collect_set("key").alias(marks)))
+    joined = docs.join(lost, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NONE)) == F.col(own), "left").drop(own)
+    shape = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in counts]])
+    return joined.mapInArrow(_apply(least, text, marks, counts), shape)
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 20, at_least: int = 3, batches: int = 2, keys_per_shard: int = 500_000
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 20, at_least: int = 3, batches: int = 2, keys_per_shard: int = 500_000,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """:func:`clean` for a whole table, inserted into a new index in ``batches`` by a hash of the id, as deliveries would be."""
     found = scratch(postings(docs, doc_id, text, least))
     index = empty_index(docs.sparkSession, max(1, -(-found.count() // keys_per_shard)))
     for i in range(batches):
         index = insert(index, found.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == i))
-    return clean(docs, found, index, doc_id, text, least, at_least)
+    return clean(docs, found, index, doc_id, text, least, at_least, counts)

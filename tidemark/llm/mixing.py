@@ -53,52 +53,50 @@ def copies(
     source: str = "source",
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``at_most``, rounded up).
+    """Columns ``row`` (a struct of the columns of ``docs``), ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``at_most``, rounded up).
 
     A null source is a source of its own, the last one. A null or empty text has size 0 and shares the expectation of its source; a
-    source of size 0 yields no copies. Equal ids are ranked by size; equal rows may swap their copies, which no result shows. Columns of
-    ``docs`` named like a result are replaced. No rows give no rows. The same rows give the same copies in any layout, as places follow from ids.
+    source of size 0 yields no copies. Equal ids are ranked by size; equal rows may swap their copies, which no result shows. Extra columns,
+    whatever their names, stay in ``row``. No rows give no rows. The same rows give the same copies in any layout, as places follow from
+    ids.
     """
-    names = ("size", "source_size", "target", "copies")
-    kept = [c for c in docs.columns if c.lower() not in names]
-    id_, src, cls, bucket, rank, hit = (fresh(docs, c) for c in ("_id", "_source", "_class", "_bucket", "_rank", "_cell"))
     at = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         size.cast("long").alias("size"),
-        F.col(f"`{source}`").alias(src),
-        F.col(f"`{doc_id}`").alias(id_),
+        F.col(f"`{source}`").alias("source"),
+        F.col(f"`{doc_id}`").alias("id"),
     )
-    at = at.withColumn(cls, F.floor(16 * F.log2(F.col("size") + 1.5)).cast("int"))
-    at = at.withColumn(bucket, F.floor(buckets * unit(seed, F.coalesce(F.col(id_).cast("string"), F.lit("")))).cast("int"))
-    cell = [src, cls, bucket]
+    at = at.withColumn("class", F.floor(16 * F.log2(F.col("size") + 1.5)).cast("int"))
+    at = at.withColumn("bucket", F.floor(buckets * unit(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))).cast("int"))
+    cell = ["source", "class", "bucket"]
 
     cells = scratch(at.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").cast("double").alias("words")))
-    line = W.partitionBy(src).orderBy(cls, bucket).rowsBetween(W.unboundedPreceding, -1)
+    line = W.partitionBy("source").orderBy("class", "bucket").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(line), F.lit(0)))
-    aims = targets(cells.groupBy(F.col(src).alias("source")).agg(F.sum("words").alias("source_size")), weights, share, at_most)
+    aims = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, at_most)
     aims = aims.select(
-        F.col("source").alias(hit), "source_size", "target",
+        F.col("source").alias("aim"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"),
     )
-    cells = cells.join(aims, F.col(src).eqNullSafe(F.col(hit)), "left").select(
-        F.struct(*cell).alias(hit), "before", "rate", F.col("source_size").cast("long").alias("source_size"), "target"
+    cells = cells.join(aims, F.col("source").eqNullSafe(F.col("aim")), "left").select(
+        F.struct(*cell).alias("cell"), "before", "rate", F.col("source_size").cast("long").alias("source_size"), "target"
     )
-    placed = at.withColumn(rank, F.row_number().over(W.partitionBy(*cell).orderBy("size", id_)))
-    key = [F.coalesce(F.col(src), F.lit("")), F.col(src).isNull(), F.col(cls), F.col(bucket)]
-    told = [F.coalesce(F.col(f"{hit}.{src}"), F.lit("")), F.col(f"{hit}.{src}").isNull(), F.col(f"{hit}.{cls}"), F.col(f"{hit}.{bucket}")]
-    both = placed.join(cells, [a == b for a, b in zip(key, told, strict=True)])
-    offset = unit(seed, F.col(src).isNull(), F.coalesce(F.col(src), F.lit("")))
-    end = F.col("before") + F.col(rank)
+    placed = at.withColumn("rank", F.row_number().over(W.partitionBy(*cell).orderBy("size", "id")))
+    both = placed.join(
+        cells,
+        (F.coalesce("source", F.lit("")) == F.coalesce("cell.source", F.lit("")))
+        & (F.col("source").isNull() == F.col("cell.source").isNull())
+        & (F.col("class") == F.col("cell.class"))
+        & (F.col("bucket") == F.col("cell.bucket")),
+    )
+    offset = unit(seed, F.col("source").isNull(), F.coalesce("source", F.lit("")))
+    end = F.col("before") + F.col("rank")
     emitted = F.floor(F.col("rate") * end + offset) - F.floor(F.col("rate") * (end - 1) + offset)
-    return both.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", emitted.cast("long").alias("copies"))
+    return both.select("row", "size", "source_size", "target", emitted.cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, text: str = "text", copy: str = "copy", **options) -> DataFrame:
-    """The mixed corpus: each row of ``docs`` once for every copy, with its number from 1 in column ``copy``. Sizes are words of ``text``."""
-    dealt = copies(docs, n_words(F.col(f"`{text}`")), **options)
-    kept = [c for c in dealt.columns if c not in ("size", "source_size", "target", "copies") and c != copy]
-    return (
-        dealt.where("copies > 0")
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*[F.col(f"`{c}`") for c in kept], copy)
-    )
+    """The mixed corpus: each row of ``docs`` once for every copy, with its number from 1 in a further column ``copy``. Sizes are words of ``text``."""
+    dealt = copies(docs, n_words(F.col(f"`{text}`")), **options).where("copies > 0")
+    number = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(fresh(docs, copy))
+    return dealt.select("row.*", number)

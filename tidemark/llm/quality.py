@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm import boosting
-from tidemark.llm.common import crc, scratch, smaller_batches
+from tidemark.llm.common import crc, fresh, scratch, smaller_batches
 
 FEATURES = (
     "log_bytes", "log_words", "log_lines", "word_length", "word_length_spread", "longest_word", "short_words", "distinct_words",
@@ -125,10 +125,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7, doc_id: st
     """The rows of ``docs`` with a score of ``least`` or more, whole. Texts are described a second time, so that they need not be shuffled."""
     model = fit(described(docs, doc_id, text), labels, ~held_out(F.col("doc_id")), doc_id=doc_id, **options)
 
+    name = fresh(docs, "_score")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([statistics(t) for t in b[text].to_pylist()]).reshape(-1, len(FEATURES))
-            yield b.append_column("_score", pa.array(model.chance(x)))
+            yield b.append_column(name, pa.array(model.chance(x)))
 
-    shape = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
-    return docs.mapInArrow(run, shape).where(F.col("_score") >= least).drop("_score")
+    shape = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(run, shape).where(F.col(name) >= least).drop(name)

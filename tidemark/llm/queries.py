@@ -28,7 +28,7 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     sized = scratch(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
     dealt = mixing.copies(sized, F.col("size"))
-    return dealt.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return dealt.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 SQL["op4_mixing"] = r"""
@@ -134,7 +134,7 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select(
-        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+        "doc_id", "n_lines", "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 
