@@ -128,7 +128,7 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
             gain = (_xlogx(with_row) - _xlogx(between)).sum(axis=1) + (_xlogx(with_col) - _xlogx(between)).sum(axis=0)
             diagonal, both = between[each, each], r + c + loop
             gain += _xlogx(diagonal + both) + _xlogx(diagonal) - _xlogx(diagonal + r) - _xlogx(diagonal + c)
-            out, come = between.sum(axis=1), between.sum(axis=0)
+            out, come = between.sum(axis=1) + c, between.sum(axis=0) + r  # with the item, wherever it goes
             gain -= _xlogx(out + r.sum() + loop) - _xlogx(out) + _xlogx(come + c.sum() + loop) - _xlogx(come)
             gain[0] = -np.inf
             new = int(gain.argmax())
