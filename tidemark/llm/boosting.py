@@ -33,6 +33,8 @@ class Trees:
 
     @classmethod
     def unpack(cls, d) -> Trees:
+        if not len(d["feature"]):
+            return cls(float(d["base"]), np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 2)))
         return cls(float(d["base"]), np.array(d["feature"], np.int64), np.array(d["threshold"], float), np.array(d["leaf"], float))
 
 

@@ -48,7 +48,7 @@ def fitting(host: Column, path: Column, rules: list[PathRule]) -> Column:
 
 def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     """Features of one URL, all doubles; an empty URL has zeros."""
-    n = F.length(url).cast("double")
+    n = F.nullif(F.length(url).cast("double"), F.lit(0.0))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
     letters = F.array_distinct(F.split(url, ""))
     share = lambda c: (n - F.length(F.replace(url, c, F.lit("")))) / n
