@@ -214,6 +214,7 @@ def chosen_paths(nodes: DataFrame, runs: int, depth: int, bucket: int) -> DataFr
     for level in range(1, depth + 1):
         at = scratch(at)
         sizes = at.groupBy("path").agg(F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("content")).where("size > 1")
+        sizes = scratch(sizes)
         once = scratch(sizes.groupBy("size", "content").agg(F.min("path").alias("path")))
         small = at.join(once.where((F.col("size") <= bucket) | F.lit(level == depth)).select("path", "size"), "path").select("node", "path", "size")
         done = small if done is None else done.unionByName(small)
@@ -236,6 +237,7 @@ def similar(
     depth: int = 3,
     bucket: int = 1024,
     slack: float = 0.2,
+    sent: int = 500_000,
 ) -> DataFrame:
     """A row per row of ``docs``: ``doc_id``, ``class_id``, ``n_links``, ``n_copies``, ``n_shingles``, ``first`` (this row stands for its class).
 
@@ -244,7 +246,8 @@ def similar(
     ``n_copies`` the rows with the same set, itself included. A class is what links connect, named by its least id (a null id counts as the least and
     names it null). A text without words (null, empty) is linked to nothing and a class of its own, with no copies but itself. Repeated rows are
     copies. Extra columns are ignored; no rows give no rows. A bucket misses a pair when fewer than ``threshold - slack`` of its samples agree
-    (at 0.8, once in 10,000 pairs), which another run or the rest of the group makes up for.
+    (at 0.8, once in 10,000 pairs), which another run or the rest of the group makes up for. Up to ``sent`` rows of candidate groups (48 bytes
+    each) are broadcast to find their texts.
     """
     smaller_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[doc_id]
@@ -270,7 +273,8 @@ def similar(
     members = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct())
     sizes = members.groupBy("root").agg(F.ceil(F.count("*") / bucket).alias("blocks"))
     asked = scratch(members.join(sizes, "root").join(nodes.select("node", "copies", "here.*"), "node"))
-    texts = rows.select("id", "fp", "text").join(asked, ["id", "fp"]).select("text", "node", "copies", "root", "blocks")
+    few = asked.count() <= sent  # then texts stay where they are; else they are shuffled to the rows that ask for them
+    texts = rows.select("id", "fp", "text").join(F.broadcast(asked) if few else asked, ["id", "fp"]).select("text", "node", "copies", "root", "blocks")
     sets = texts.mapInArrow(_sets(size), "node long, copies long, root long, blocks long, tokens binary")
     linked = scratch(_in_groups(sets, "root", "node", "blocks").mapInArrow(_links(threshold), "node long, links long, root long"))
     degree = linked.groupBy("node").agg(F.sum("links").alias("links")).where("links > 0")
