@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import scalars as s
-from tidemark.operators import calendar, finance, graphs, history, ordered, quality, revenue, service, text_rules, usage
+from tidemark.operators import calendar, finance, graphs, history, keys, ordered, quality, revenue, semistructured, service, text_rules, usage
 from tidemark.plans import run
 from tidemark.sources import files
 
@@ -127,12 +127,54 @@ def test_long_chain_takes_few_rounds(spark):
     assert out.agg(F.max("steps"), F.countDistinct("root"), F.count("*")).first() == (n - 1, 1, n)
 
 
-def test_hierarchy_cuts_at_depth(spark):
-    df = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (4, 3, "d")], "id long, parent long, name string")
-    out = graphs.flatten_hierarchy(df, "id", "parent", "name", 3)
-    assert sorted(r.id for r in out.collect()) == [1, 2, 3]
-    top = {r.id: (r.lvl_1_name, r.lvl_2_name, r.lvl_3_name) for r in out.collect()}
-    assert top[3] == ("a", "b", "c") and top[1] == ("a", None, None)
+def test_hierarchy_has_no_depth_limit(spark):
+    chain = [(k, k - 1 or None, f"n{k}") for k in range(1, 14)]
+    df = spark.createDataFrame([*chain, (50, 99, "orphan"), (60, 61, "circle"), (61, 60, "circle")], "id long, parent long, name string")
+    got = {r.id: r for r in graphs.flatten_hierarchy(df, "id", "parent", "name", 3).collect()}
+    assert sorted(got) == list(range(1, 14))
+    assert (got[3].lvl_1_name, got[3].lvl_2_name, got[3].lvl_3_name, got[3].deeper) == ("n1", "n2", "n3", [])
+    assert got[13].hierarchy_level == 13 and [d.id for d in got[13].deeper] == list(range(4, 14))
+
+
+def test_nested_payload_has_no_depth_limit(spark):
+    text = '{"a":' * 12 + "[7]" + "}" * 12
+    got = semistructured.flatten_metrics(spark.createDataFrame([(1, text), (2, None), (3, "{}")], "id int, payload string"), "id", "payload").collect()
+    assert [(r.path, r.value) for r in got if r.id == 1] == [(".".join("a" * 12) + "[0]", "7")]
+
+
+def test_long_lineage_and_cycles(spark):
+    d = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    df = spark.createDataFrame([(k, k - 1 or None, d(0), d(9)) for k in range(1, 71)], "id int, parent int, f date, u date")
+    assert graphs.temporal_lineage(df, "id", "parent", "f", "u").agg(F.max("depth")).first()[0] == 70
+    nodes = spark.createDataFrame([(1, x, 1.0) for x in "abcd"], "run int, node string, cost double")
+    edges = spark.createDataFrame([(1, "a", "b"), (1, "b", "c"), (1, "c", "b"), (1, "c", "d")], "run int, parent string, child string")
+    with pytest.raises(ValueError, match="cycle"):
+        graphs.critical_path(nodes, edges, "run", "node", "cost")
+
+
+def test_hash_keeps_parts_apart(spark):
+    now = spark.createDataFrame([(1, "x|y", "z"), (2, "~", "a"), (3, "1:a", None)], "id int, a string, b string")
+    old = spark.createDataFrame([(1, "x", "y|z"), (2, None, "a"), (3, "1:a", None)], "id int, a string, b string").withColumn("last_changed", F.lit(dt.date(2020, 1, 1)))
+    got = {r.id: r.status for r in keys.hash_diff(now, old, "id", ["a", "b"], dt.date(2024, 1, 1)).collect()}
+    assert got == {1: "changed", 2: "changed", 3: "unchanged"}
+
+
+def test_null_keys_are_a_key(spark):
+    df = spark.createDataFrame([(None, 1, 2.0), (None, 2, 4.0), (1, 1, 8.0)], "k int, t int, x double")
+    part = F.lit(0)
+    got = {(r.k, r.t): (r.s, r.p) for r in ordered.with_previous(ordered.with_running_sum(df, ["k"], ["t"], part, {"s": "x"}), ["k"], ["t"], part, {"p": "x"}).collect()}
+    assert got == {(None, 1): (2.0, None), (None, 2): (6.0, 2.0), (1, 1): (8.0, None)}
+    assert {r.k: r.total for r in ordered.with_totals(df, ["k"], {"total": F.sum("x")}).collect()} == {None: 6.0, 1: 8.0}
+    facts = spark.createDataFrame([("b1", None, 100.0)], "brand string, kind string, cost double")
+    rules = spark.createDataFrame([("b1", None, 0.5, "half")], "brand string, kind string, pct double, label string")
+    out = finance.apply_mapping_by_priority(facts, rules, [["brand", "kind"], ["brand"]], ["brand", "kind"], "pct", ["cost"], ["label"]).collect()
+    assert [(r.label, r.cost) for r in out] == [("half", 50.0)]
+
+
+def test_points_on_a_threshold(spark):
+    df = spark.createDataFrame([(0.5,), (0.8,), (0.79,)], "x double")
+    got = [tuple(r) for r in df.select(usage.points(F.col("x"), 0.5, 0.8, True), usage.points(F.col("x"), 0.5, 0.8)).collect()]
+    assert got == [(63, 25), (88, 63), (63, 63)]
 
 
 def test_critical_path(spark):
@@ -260,7 +302,7 @@ def test_ip_number(spark):
 
 def test_histogram_mode(spark):
     df = spark.createDataFrame([(1, x) for x in (1.0, 1.1, 1.2, 1.1, 9.0)] + [(2, 4.0)], "k int, x double")
-    got = {r.k: r.m for r in df.groupBy("k").agg(service.histogram_mode("x").alias("m")).collect()}
+    got = {r.k: r.m for r in service.histogram_mode(df, ["k"], "x", "m").collect()}
     assert 1.0 < got[1] < 4.0 and got[2] == 4.0
 
 

@@ -45,7 +45,9 @@ def apply_mapping_by_priority(facts: DataFrame, mapping: DataFrame, patterns: Se
     winners = found.join(best, [*keys, "__rank"]).drop("__rank")
     share = F.coalesce(percent, F.lit(1.0))
     rest = [x for x in facts.columns if x not in measures]
-    return facts.join(winners, list(keys), "left").select(*rest, *outputs, *[(F.col(m) * share).alias(m) for m in measures])
+    winners = winners.withColumnsRenamed({k: f"__w_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__w_{k}")) for k in keys])
+    return facts.join(winners, same, "left").select(*rest, *outputs, *[(F.col(m) * share).alias(m) for m in measures])
 
 
 def overlap_attribution(intervals: DataFrame, meters: DataFrame, key: str, interval_id: str, credits: str) -> DataFrame:

@@ -57,50 +57,49 @@ def lineage_paths(edges: DataFrame, node: str, parent: str, starts: str) -> Data
             .select(node, "root", (F.col("steps") + 1).alias("position"), "chain_length", "cohort_start"))
 
 
-def flatten_hierarchy(tree: DataFrame, node: str, parent: str, name: str, max_depth: int = 10) -> DataFrame:
-    """Level columns from the root down for every node at most ``max_depth`` levels deep.
+def flatten_hierarchy(tree: DataFrame, node: str, parent: str, name: str, levels: int = 10) -> DataFrame:
+    """Level columns from the root down for every node that a root (a node without parent) leads to.
 
-    Each node walks up one level per join; the path array is bounded by ``max_depth``.
+    From the roots downwards, one join per level of the deepest branch, so a node whose parent is missing or whose
+    ancestors form a circle is left out. ``deeper`` lists id and name of the levels after the last column, however many.
     """
-    up = tree.select(F.col(node).alias("__id"), F.col(parent).alias("__next"), F.col(name).alias("__name"))
-    walk = tree.select(node, name, F.col(parent).alias("__top"), F.array(node).alias("__ids"), F.array(name).alias("__names"))
-    for _ in range(max_depth - 1):
-        walk = walk.join(up, F.col("__top") == F.col("__id"), "left").select(
-            node, name, F.col("__next").alias("__top"),
-            F.when(F.col("__id").isNotNull(), F.array_prepend("__ids", F.col("__id"))).otherwise(F.col("__ids")).alias("__ids"),
-            F.when(F.col("__id").isNotNull(), F.array_prepend("__names", F.col("__name"))).otherwise(F.col("__names")).alias("__names"),
-        )
-    whole = walk.where(F.col("__top").isNull())
-    return whole.select(
-        node, name, F.size("__ids").alias("hierarchy_level"),
-        *[F.get("__ids", F.lit(k)).alias(f"lvl_{k + 1}_id") for k in range(max_depth)],
-        *[F.get("__names", F.lit(k)).alias(f"lvl_{k + 1}_name") for k in range(max_depth)],
-    )
-
-
-def temporal_lineage(scd_edges: DataFrame, node: str, parent: str, start: str, end: str, max_depth: int = 20) -> DataFrame:
+    t = cut_lineage(tree.select(node, name, parent))
+    own = F.struct(F.col(node).alias("id"), F.col(name).alias("name"))
+    front, reached = t.where(F.col(parent).isNull()).select(node, name, F.array(own).alias("__path")), []
+    while True:
+        front = cut_lineage(front)
+        reached.append(front)
+        if front.isEmpty():
+            break
+        up = front.select(F.col(node).alias(parent), "__path")
+        front = t.join(up, parent).where(~F.exists("__path", lambda p: p["id"] == F.col(node))).select(
+            node, name, F.array_append("__path", own).alias("__path"))
+    step = lambda k, part: F.get("__path", F.lit(k))[part].alias(f"lvl_{k + 1}_{part}")
+    return reduce(DataFrame.unionByName, reached).select(
+        node, name, F.size("__path").alias("hierarchy_level"), *[step(k, "id") for k in range(levels)], *[step(k, "name") for k in range(levels)],
+        F.slice("__path", levels + 1, F.greatest(F.size("__path"), F.lit(1))).alias("deeper"))
+
+
+def temporal_lineage(scd_edges: DataFrame, node: str, parent: str, start: str, end: str) -> DataFrame:
     """Root paths of effective-dated edges, valid only where all intervals on the way overlap.
 
-    Level by level from the roots; every step narrows the interval and drops empty ones and cycles.
+    Level by level from the roots until none is left; every step narrows the interval and drops empty ones and cycles, so it ends.
     """
     e = cut_lineage(scd_edges.select(node, parent, start, end))
     front = e.where(F.col(parent).isNull()).select(
         node, F.col(start).alias("valid_from"), F.col(end).alias("valid_to"), F.array(node).alias("path"))
     levels = []
-    for _ in range(max_depth):
+    while True:
         front = cut_lineage(front)
+        levels.append(front)
         if front.isEmpty():
             break
-        levels.append(front)
         up = front.select(F.col(node).alias(parent), "valid_from", "valid_to", "path")
         front = e.join(up, parent).select(
             node, F.greatest("valid_from", F.col(start)).alias("valid_from"),
             F.least("valid_to", F.col(end)).alias("valid_to"), "path",
         ).where((F.col("valid_from") < F.col("valid_to")) & ~F.array_contains("path", F.col(node))).withColumn(
             "path", F.array_append("path", F.col(node)))
-    else:
-        if not front.isEmpty():
-            raise ValueError(f"hierarchy deeper than {max_depth} levels")
     whole = reduce(DataFrame.unionByName, levels)
     return whole.select(node, F.get("path", F.lit(0)).alias("root"), F.size("path").alias("depth"), "path", "valid_from", "valid_to")
 
@@ -147,11 +146,12 @@ def flag_billable(members: DataFrame, state: str, kind: str, requested_at: str,
     return members.select("*", active.alias("is_active"), F.coalesce(active & ~free, F.lit(False)).alias("is_billable"))
 
 
-def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost: str, max_rounds: int = 1000) -> DataFrame:
+def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost: str) -> DataFrame:
     """Costliest start-to-end path of every run; the last node's own cost is not counted.
 
     ``edges(run, parent, child)``. The longest path is relaxed for all runs at once, one round per level of the
-    deepest graph; only nodes improved in the last round send to their children, and each keeps one best entry.
+    deepest graph; only nodes improved in the last round send to their children, and each keeps one best entry. A path has no
+    more steps than its run has nodes, so a further round proves a cycle and fails.
     """
     n = cut_lineage(nodes.select(run, node, F.col(cost).alias("__cost")))
     known = n.select(F.col(run).alias("__run"), F.col(node).alias("__node"))
@@ -165,7 +165,8 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
     out_edges = cut_lineage(e.join(costs, ["__run", "parent"]))
     best = cut_lineage(best)
     finished = []
-    for r in range(1, max_rounds + 1):
+    most = n.groupBy(run).count().agg(F.max("count")).first()[0] or 0
+    for r in range(1, most + 1):
         grown = best.where(F.col("__round") == r - 1)
         if grown.isEmpty():
             break
@@ -180,8 +181,8 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
         best = cut_lineage(best.join(live, "__run", "left_semi").unionByName(sent).groupBy("__run", "__node").agg(
             F.max_by(F.struct("length", "path", "__round"), pick).alias("b")).select("__run", "__node", "b.*"))
     else:
-        if not best.where(F.col("__round") == max_rounds).isEmpty():
-            raise ValueError(f"graph deeper than {max_rounds} levels, or with a cycle")
+        if not best.where(F.col("__round") == most).isEmpty():
+            raise ValueError("a run's graph has a cycle")
     best = reduce(DataFrame.unionByName, finished, best)
     ends = best.join(parents, ["__run", "__node"], "left_anti")
     top = ends.groupBy("__run").agg(F.max_by(F.struct("length", "path"), F.struct("length", "path")).alias("b"))

@@ -42,7 +42,9 @@ def hash_pii(df: DataFrame, cols: Sequence[str], salt: str, keep: Sequence[str]
 
 
 def row_hash(cols: Sequence[str]) -> Column:
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("~")) for x in cols]))
+    """Hash of the columns' texts, each behind its length, so that neither separators nor NULL can be mistaken for a value."""
+    text = [F.col(x).cast("string") for x in cols]
+    return F.md5(F.concat(F.lit(""), *[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in text]))
 
 
 def hash_diff(now: DataFrame, prev: DataFrame, key: str, cols: Sequence[str], as_of) -> DataFrame:

@@ -16,27 +16,32 @@ from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import ColumnLike, c
 
-BLOCK = "__block"
+BLOCK, KEY = "__block", "__key"
 
 
-def _with_block(df: DataFrame, block: ColumnLike) -> DataFrame:
-    return df.withColumn(BLOCK, c(block))
+def _key(keys: Sequence[str]) -> Column:
+    """The keys as one struct: not NULL itself, and equal to another where all parts are, NULLs included."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.lit(1)
+
+
+def _with_block(df: DataFrame, keys: Sequence[str], block: ColumnLike) -> DataFrame:
+    return df.withColumns({BLOCK: c(block), KEY: _key(keys)})
 
 
 def _neighbour(df, keys, order, block, values, forward: bool) -> DataFrame:
     keys, names = list(keys), list(values)
-    base = _with_block(df, block)
+    base = _with_block(df, keys, block)
     packed = F.struct(*[c(v).alias(n) for n, v in values.items()])
     rank = F.struct(*[F.col(o) for o in order])
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*order)
-    outer = W.partitionBy(*keys).orderBy(BLOCK)
+    inner = W.partitionBy(KEY, BLOCK).orderBy(*order)
+    outer = W.partitionBy(KEY).orderBy(BLOCK)
     edge = (F.min_by if forward else F.max_by)(packed, rank)
     shift = F.lead if forward else F.lag
     edges = (
-        base.groupBy(*keys, BLOCK).agg(edge.alias("__edge"))
-        .select(*keys, BLOCK, shift("__edge").over(outer).alias("__carry"))
+        base.groupBy(KEY, BLOCK).agg(edge.alias("__edge"))
+        .select(KEY, BLOCK, shift("__edge").over(outer).alias("__carry"))
     )
-    out = base.withColumn("__near", shift(packed).over(inner)).join(edges, [*keys, BLOCK], "left")
+    out = base.withColumn("__near", shift(packed).over(inner)).join(edges, [KEY, BLOCK], "left")
     got = F.coalesce("__near", "__carry")
     return out.select(*[F.col(x) for x in df.columns], *[got[n].alias(n) for n in names])
 
@@ -46,8 +51,8 @@ def with_previous(
 ) -> DataFrame:
     """Values of the preceding row per key (``lag``).
 
-    ``order`` must be a total ascending order of non-null columns, ``block`` a non-decreasing function of it, and
-    ``keys`` non-null.
+    ``order`` must be a total ascending order of non-null columns and ``block`` a non-decreasing function of it. NULL keys are a
+    key of their own, as in a window.
     """
     return _neighbour(df, keys, order, block, values, forward=False)
 
@@ -67,16 +72,16 @@ def with_next_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], blo
     after it, each of which has a row.
     """
     keys = list(keys)
-    base = _with_block(df, block)
+    base = _with_block(df, keys, block)
     packed = F.struct(*[c(v).alias(x) for x, v in values.items()])
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*order)
-    outer = W.partitionBy(*keys).orderBy(BLOCK)
-    heads = base.select(*keys, BLOCK, *[o for o in order if o not in keys], packed.alias("__v")).withColumn("__rn", F.row_number().over(inner)).where(F.col("__rn") <= n)
-    heads = heads.groupBy(*keys, BLOCK).agg(F.array_sort(F.collect_list(F.struct("__rn", "__v"))).alias("__first"))
+    inner = W.partitionBy(KEY, BLOCK).orderBy(*order)
+    outer = W.partitionBy(KEY).orderBy(BLOCK)
+    heads = base.select(KEY, BLOCK, *order, packed.alias("__v")).withColumn("__rn", F.row_number().over(inner)).where(F.col("__rn") <= n)
+    heads = heads.groupBy(KEY, BLOCK).agg(F.array_sort(F.collect_list(F.struct("__rn", "__v"))).alias("__first"))
     ahead = F.flatten(F.collect_list("__first").over(outer.rowsBetween(1, n)))
-    heads = heads.select(*keys, BLOCK, F.transform(ahead, lambda x: x["__v"]).alias("__carry"))
+    heads = heads.select(KEY, BLOCK, F.transform(ahead, lambda x: x["__v"]).alias("__carry"))
     near = F.collect_list(packed).over(inner.rowsBetween(1, n))
-    out = base.withColumn("__near", near).join(heads, [*keys, BLOCK], "left")
+    out = base.withColumn("__near", near).join(heads, [KEY, BLOCK], "left")
     return out.select(*[F.col(x) for x in df.columns], F.slice(F.concat("__near", "__carry"), 1, n).alias(name))
 
 
@@ -85,13 +90,13 @@ def with_running_sum(
 ) -> DataFrame:
     """Running totals per key up to and including the row."""
     keys = list(keys)
-    base = _with_block(df, block)
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    totals = base.groupBy(*keys, BLOCK).agg(*[F.sum(c(v)).alias(f"__t_{n}") for n, v in sums.items()])
-    carry = totals.select(*keys, BLOCK, *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums])
+    base = _with_block(df, keys, block)
+    inner = W.partitionBy(KEY, BLOCK).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(KEY).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    totals = base.groupBy(KEY, BLOCK).agg(*[F.sum(c(v)).alias(f"__t_{n}") for n, v in sums.items()])
+    carry = totals.select(KEY, BLOCK, *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums])
     out = base.select("*", *[F.sum(c(v)).over(inner).alias(f"__i_{n}") for n, v in sums.items()])
-    out = out.join(carry, [*keys, BLOCK], "left")
+    out = out.join(carry, [KEY, BLOCK], "left")
     total = {n: F.coalesce(F.col(f"__c_{n}") + F.col(f"__i_{n}"), f"__c_{n}", f"__i_{n}") for n in sums}
     return out.select(*[F.col(x) for x in df.columns], *[v.alias(n) for n, v in total.items()])
 
@@ -105,11 +110,11 @@ def with_islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
     block's first row and the count of openings before it, so the input is read twice in all.
     """
     keys = list(keys)
-    base = _with_block(df, block)
+    base = _with_block(df, keys, block)
     packed = F.struct(*[c(v).alias(n) for n, v in values.items()])
     rank = F.struct(*[F.col(o) for o in order])
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*order)
-    outer = W.partitionBy(*keys).orderBy(BLOCK)
+    inner = W.partitionBy(KEY, BLOCK).orderBy(*order)
+    outer = W.partitionBy(KEY).orderBy(BLOCK)
     seen = base.withColumn("__cur", packed).withColumn("__near", F.lag(packed).over(inner))
 
     def flag(prev: Column) -> Column:
@@ -117,15 +122,15 @@ def with_islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
 
     seen = seen.withColumn("__open", F.when(F.col("__near").isNotNull(), flag(F.col("__near"))))
     first = [F.min_by(F.col(x), rank).alias(f"__f_{x}") for x in df.columns if x not in keys]
-    blocks = seen.groupBy(*keys, BLOCK).agg(F.sum("__open").alias("__inside"), F.max_by("__cur", rank).alias("__last"), *first)
+    blocks = seen.groupBy(KEY, BLOCK).agg(F.sum("__open").alias("__inside"), F.max_by("__cur", rank).alias("__last"), *first)
     blocks = blocks.withColumn("__carry", F.lag("__last").over(outer))
     # the first row of the block as a row of its own, so that ``opens`` can be asked about it
-    heads = blocks.select(*[F.col(x) if x in keys else F.col(f"__f_{x}").alias(x) for x in df.columns], BLOCK, "__inside", "__carry")
+    heads = blocks.select(*[F.col(KEY)[x].alias(x) if x in keys else F.col(f"__f_{x}").alias(x) for x in df.columns], KEY, BLOCK, "__inside", "__carry")
     heads = heads.withColumn("__head", F.when(F.col("__carry").isNull(), F.lit(1).cast("long")).otherwise(flag(F.col("__carry"))))
     before = F.sum(F.col("__head") + F.coalesce("__inside", F.lit(0))).over(outer.rowsBetween(W.unboundedPreceding, -1))
-    heads = heads.select(*keys, BLOCK, (F.coalesce(before, F.lit(0)) + F.col("__head")).alias("__base"))
+    heads = heads.select(KEY, BLOCK, (F.coalesce(before, F.lit(0)) + F.col("__head")).alias("__base"))
     so_far = F.coalesce(F.sum("__open").over(inner.rowsBetween(W.unboundedPreceding, 0)), F.lit(0))
-    out = seen.withColumn("__so_far", so_far).join(heads, [*keys, BLOCK], "left")
+    out = seen.withColumn("__so_far", so_far).join(heads, [KEY, BLOCK], "left")
     return out.select(*[F.col(x) for x in df.columns], (F.col("__base") + F.col("__so_far")).alias(name))
 
 
@@ -136,22 +141,22 @@ def with_row_index(df, keys, order, block, name: str = "row_index") -> DataFrame
 
 def _known(df, keys, order, block, values, forward: bool) -> DataFrame:
     keys = list(keys)
-    base = _with_block(df, block)
+    base = _with_block(df, keys, block)
     rank = F.struct(*[F.col(o) for o in order])
     if forward:
         sort, block_sort, edge = [F.col(o).desc() for o in order], F.col(BLOCK).desc(), F.min_by
     else:
         sort, block_sort, edge = [F.col(o) for o in order], F.col(BLOCK), F.max_by
-    inner = W.partitionBy(*keys, BLOCK).orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy(block_sort).rowsBetween(W.unboundedPreceding, -1)
-    edges = base.groupBy(*keys, BLOCK).agg(
+    inner = W.partitionBy(KEY, BLOCK).orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(KEY).orderBy(block_sort).rowsBetween(W.unboundedPreceding, -1)
+    edges = base.groupBy(KEY, BLOCK).agg(
         *[edge(c(v), F.when(c(v).isNotNull(), rank)).alias(f"__e_{n}") for n, v in values.items()]
     )
     carry = edges.select(
-        *keys, BLOCK, *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in values]
+        KEY, BLOCK, *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in values]
     )
     out = base.select("*", *[F.last(c(v), ignorenulls=True).over(inner).alias(f"__i_{n}") for n, v in values.items()])
-    out = out.join(carry, [*keys, BLOCK], "left")
+    out = out.join(carry, [KEY, BLOCK], "left")
     return out.select(*[F.col(x) for x in df.columns],
                       *[F.coalesce(f"__i_{n}", f"__c_{n}").alias(n) for n in values])
 
@@ -172,10 +177,11 @@ def with_next_known(
 
 def with_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Group totals beside every row: aggregate with map-side combine, then join back."""
-    totals = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
     if not keys:
+        totals = df.agg(*[a.alias(n) for n, a in aggs.items()])
         return df.select("*", *[totals.select(n).scalar().alias(n) for n in aggs])
-    return df.join(totals, list(keys), "left")
+    totals = df.groupBy(_key(keys).alias(KEY)).agg(*[a.alias(n) for n, a in aggs.items()])
+    return df.withColumn(KEY, _key(keys)).join(totals, KEY, "left").select(*[F.col(x) for x in df.columns], *aggs)
 
 
 def _binned_counts(df, keys, x, bins, scale) -> DataFrame:
@@ -204,10 +210,10 @@ def with_percent_rank(df: DataFrame, keys: Sequence[str], x: str, name: str = "p
     """``percent_rank`` of x within the keys: rows below divided by rows less one. NULLs of x give NULL."""
     ranks = with_cumulative_count(df, keys, x, scale=scale)
     ranks = ranks.select(
-        *keys, x,
+        _key(keys).alias(KEY), x,
         F.when(F.col("__total") == 1, F.lit(0.0)).otherwise(F.col("__below") / (F.col("__total") - 1)).alias(name),
     )
-    return df.join(ranks, [*keys, x], "left")
+    return df.withColumn(KEY, _key(keys)).join(ranks, [KEY, x], "left").select(*[F.col(v) for v in df.columns], name)
 
 
 def quantiles(

@@ -172,7 +172,7 @@ def match_entities(left: DataFrame, right: DataFrame, left_id: str, left_name: s
                    right_domain: str, stop_names: Sequence[str] = (), too_common: int = 25, min_length: int = 4) -> DataFrame:
     """Match two lists by mail domain and by cleaned company name; one best match per left row.
 
-    Names on the stop list, too short, or among the ``too_common`` most frequent of the left list do not match by
+    Names on the stop list, too short, or borne by ``too_common`` rows of the left list or more do not match by
     name. The domain beats the name and the smallest right id wins, so the right list is folded to one id per domain
     and per name before the join: a common domain costs its rows, never all pairs.
     """
@@ -183,7 +183,7 @@ def match_entities(left: DataFrame, right: DataFrame, left_id: str, left_name: s
     keyed = clean.withColumn("__k", F.when(usable, F.col("__n")))
     if too_common:
         counts = clean.groupBy("__n").agg(F.count("*").alias("c"))
-        common = counts.orderBy(F.col("c").desc(), "__n").limit(too_common).select(F.col("__n").alias("__k"), F.lit(True).alias("__common"))
+        common = counts.where(F.col("c") >= too_common).select(F.col("__n").alias("__k"), F.lit(True).alias("__common"))
         keyed = keyed.join(common, "__k", "left").withColumn("__k", F.when(F.col("__common").isNull(), F.col("__k"))).drop("__common")
     r = right.select(F.col(right_id).alias("id"), F.lower(right_domain).alias("__d"), clean_company_name(F.col(right_name)).alias("__k"))
     by_domain = r.where(F.col("__d").isNotNull()).groupBy("__d").agg(F.min("id").alias("__by_domain"))

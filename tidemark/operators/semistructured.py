@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 CONTEXTS = "STRUCT<data: ARRAY<STRUCT<schema: STRING, data: STRING>>>"
 
 
@@ -28,23 +30,25 @@ def unpack_event(df: DataFrame, name: str, names: Sequence[str], json: str, fiel
     return out.select(*df.columns, *[F.col("__body")[k].try_cast(kind).alias(f"{prefix}{k}") for k, kind in fields.items()])
 
 
-def flatten_metrics(df: DataFrame, key: str, payload: str, max_depth: int = 6) -> DataFrame:
+def flatten_metrics(df: DataFrame, key: str, payload: str) -> DataFrame:
     """Leaves of a nested JSON payload as (path, value); -1 stands for a timed-out count and becomes 0 with a flag.
 
-    One generator per level, all inside the row's task; a payload nested deeper than ``max_depth`` keeps its deep part
-    as text of the last level.
+    One generator per level, until no level is left; the nested part of a level is written once before the next.
     """
     spark = df.sparkSession
     level = df.select(key, F.try_parse_json(payload).alias("__v"), F.lit("").alias("__path"))
     leaves = []
-    for depth in range(max_depth):
+    while True:
         parts = level.lateralJoin(spark.tvf.variant_explode(F.col("__v").outer())).select(
             F.col(key), F.col("value").alias("__v"),
             F.when(F.col("key").isNotNull(), F.concat(F.col("__path"), F.when(F.col("__path") == "", "").otherwise("."), F.col("key")))
             .otherwise(F.concat(F.col("__path"), F.lit("["), F.col("pos").cast("string"), F.lit("]"))).alias("__path"))
         nested = F.schema_of_variant("__v").rlike("^(OBJECT|ARRAY)")
-        leaves.append(parts.where(~nested) if depth < max_depth - 1 else parts)
+        parts = cut_lineage(parts)
+        leaves.append(parts.where(~nested))
         level = parts.where(nested)
+        if level.isEmpty():
+            break
     rows = reduce(DataFrame.unionByName, leaves)
     text = F.try_variant_get("__v", "$", "string")
     late = F.coalesce(text == "-1", F.lit(False))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,26 +90,27 @@ def top_issues_by_value(tags: DataFrame, text: str, pattern: str, customer: str,
     return g.orderBy(F.col("total_value").desc(), "reference").limit(n)
 
 
-@F.pandas_udf(T.DoubleType())
-def histogram_mode(values: pd.Series) -> float:
-    """Centre of the fullest bin of an automatically binned histogram (first one on a tie)."""
-    x = values.dropna().to_numpy(dtype=float)
-    if not len(x):
-        return None
-    counts, edges = np.histogram(x, bins="auto")
-    k = int(np.argmax(counts))
-    return float((edges[k] + edges[k + 1]) / 2)
+def histogram_mode(df: DataFrame, keys: Sequence[str], x: str, name: str = "mode_value") -> DataFrame:
+    """Centre of the fullest of a key's equally wide bins, the lowest on a tie.
 
+    There are as many bins as the greater of two rules asks for: log2 of the count plus one, and the range over twice the middle
+    half's width by the cube root of the count. Equal values are one bin; NULLs don't count.
+    """
+    known = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("__x"))
+    half = F.percentile("__x", 0.75) - F.percentile("__x", 0.25)
+    size = ordered.with_totals(known, keys, {"__n": F.count("*"), "__lo": F.min("__x"), "__hi": F.max("__x"), "__half": half})
+    span = F.col("__hi") - F.col("__lo")
+    by_spread = F.when(F.col("__half") > 0, F.ceil(span / (2 * F.col("__half") / F.pow(F.col("__n"), 1.0 / 3))))
+    bins = F.when(span > 0, F.greatest(F.ceil(F.log2("__n") + 1), by_spread)).otherwise(1)
+    size = size.withColumn("__bins", bins)
+    bin_ = F.when(span > 0, F.least(F.floor((F.col("__x") - F.col("__lo")) / (span / F.col("__bins"))), F.col("__bins") - 1)).otherwise(0)
+    filled = size.groupBy(*keys, "__lo", "__hi", "__bins", bin_.alias("__bin")).agg(F.count("*").alias("__c"))
+    centre = F.col("__lo") + (F.col("__bin") + 0.5) * span / F.col("__bins")
+    return filled.groupBy(*keys).agg(F.max_by(centre, F.struct("__c", -F.col("__bin"))).alias(name))
 
-def run_stats(df: DataFrame, keys: Sequence[str], ok: Column, order: Sequence[Column], x: str, n: int, with_mode: bool = False) -> DataFrame:
-    """Count, minimum, maximum (and histogram mode) over the last n successful runs per key.
 
-    The rank cut leaves at most n rows per key before the shuffle, which bounds the array the mode works on.
-    """
+def run_stats(df: DataFrame, keys: Sequence[str], ok: Column, order: Sequence[Column], x: str, n: int, with_mode: bool = False) -> DataFrame:
+    """Count, minimum, maximum (and histogram mode) over the last n successful runs per key, cut by rank before the shuffle."""
     last = latest_per_key(df.where(ok), keys, order, n)
-    if not with_mode:
-        return last.groupBy(*keys).agg(F.count("*").alias("occurrences"), F.min(x).alias("min_value"), F.max(x).alias("max_value"))
     stats = last.groupBy(*keys).agg(F.count("*").alias("occurrences"), F.min(x).alias("min_value"), F.max(x).alias("max_value"))
-    mode = last.groupBy(*keys).agg(histogram_mode(F.col(x)).alias("__mode"))
-    return stats.join(mode, list(keys)).select(*keys, "occurrences", "min_value", "max_value",
-                                               F.when(F.col("occurrences") == 1, F.col("min_value")).otherwise(F.col("__mode")).alias("mode_value"))
+    return stats.join(histogram_mode(last, keys, x), list(keys), "left") if with_mode else stats

@@ -30,9 +30,12 @@ ZONE_REPAIRS = {
 }
 
 # Words of a user agent that mark a bot.
-BOT_WORDS = ("bot", "crawl", "slurp", "spider", "archiv", "spinn", "sniff", "seo", "audit", "survey", "pingdom",
-             "worm", "capture", "browsershots", "screenshots", "analyz", "index", "thumb", "check", "facebook",
-             "phantomjs", "siteuptime", "headless")
+BOT_WORDS = ("bot", "crawl", "slurp", "spider", "archiv", "spinn", "sniff", "seo", "audit", "survey", "pingdom", "worm", "capture",
+             "browsershots", "screenshots", "analyz", "index", "thumb", "check", "facebook", "phantomjs", "a_archiver",
+             "facebookexternalhit", "bingpreview", "360user-agent", "semalt")
+# Browser family and types that mark one.
+BOT_FAMILY = "Robot/Spider"
+BOT_TYPES = ("Bot/Crawler", "Robot")
 
 
 def repair_zone(zone: Column) -> Column:
@@ -44,10 +47,24 @@ def repair_zone(zone: Column) -> Column:
     return F.replace(out.when(~shape, F.lit(None).cast("string")).otherwise(zone), F.lit("%2F"), F.lit("/"))
 
 
-def drop_bots(df: DataFrame, agent: str, words: Sequence[str] = BOT_WORDS) -> DataFrame:
-    """Rows whose user agent holds none of the bot words; a NULL agent stays."""
+def drop_bots(df: DataFrame, agent: str, words: Sequence[str] = BOT_WORDS, family: str | None = None, kind: str | None = None,
+              user: str | None = None, session_index: str | None = None) -> DataFrame:
+    """Rows whose user agent holds none of the bot words; a NULL agent stays.
+
+    Where the columns are given: a browser ``family`` or ``kind`` of a robot goes (NULL stays), and so does a row without
+    ``user`` or without a positive ``session_index``.
+    """
     pattern = "(?i)(" + "|".join(words) + ")"
-    return df.where(F.col(agent).isNull() | ~F.col(agent).rlike(pattern))
+    keep = F.col(agent).isNull() | ~F.col(agent).rlike(pattern)
+    if family:
+        keep &= F.col(family).isNull() | (F.col(family) != BOT_FAMILY)
+    if kind:
+        keep &= F.col(kind).isNull() | ~F.col(kind).isin(*BOT_TYPES)
+    if user:
+        keep &= F.col(user).isNotNull()
+    if session_index:
+        keep &= F.coalesce(F.col(session_index).try_cast("int") > 0, F.lit(False))
+    return df.where(keep)
 
 
 def sessionize(events: DataFrame, user: str, ts: str, tie: str, minutes: int = 30) -> DataFrame:
@@ -94,7 +111,7 @@ def page_views(events: DataFrame, page: str, kind: str, ts: str, width: str, hei
         "scroll_x_min", "scroll_x_max", "scroll_y_min", "scroll_y_max",
         depth(F.col("scroll_x_max"), "document_width").alias("horizontal_percentage_scrolled"),
         depth(F.col("scroll_y_max"), "document_height").alias("vertical_percentage_scrolled"),
-        ((F.col("page_ping_count") > 0) & (F.coalesce(depth(F.col("scroll_y_max"), "document_height"), F.lit(0)) >= 25)).alias("user_engaged"),
+        ((engaged >= 30) & (F.coalesce(depth(F.col("scroll_y_max"), "document_height"), F.lit(0)) >= 25)).alias("user_engaged"),
     )
 
 
@@ -133,7 +150,8 @@ def active_users(events: DataFrame, user: str, account: str, ts: str, kind: str,
     """Distinct users and accounts per month and stage in the month's last ``window_days``, as total, free and paid.
 
     An account's plan is the one at its last event of the month. Rows are first folded to one per user, account and
-    stage in a month, so the distinct counts work on the folded rows; the three user groups come from one pass.
+    stage in a month, so the distinct counts work on the folded rows; the three user groups come from one pass. Events without
+    an account count in the total only.
     """
     day = F.to_date(F.col(ts))
     last_day = F.last_day(day)
@@ -141,9 +159,9 @@ def active_users(events: DataFrame, user: str, account: str, ts: str, kind: str,
         F.trunc(day, "month").alias("month"), F.col(user).alias("user"), F.col(account).alias("account"), F.col(ts).alias("ts"),
         F.col(kind).alias("kind"), stage.alias("stage"), paid.alias("paid"))
     folded = e.groupBy("month", "stage", "account", "user").agg(F.count("*").alias("n"))
-    plan = e.groupBy("month", "account").agg(F.max_by("paid", F.struct("ts", "kind")).alias("paid"))
-    rows = folded.join(plan, ["month", "account"])
-    groups = F.explode(F.array(F.lit("total"), F.when(F.col("paid"), "paid").otherwise("free")))
+    plan = e.where(F.col("account").isNotNull()).groupBy("month", "account").agg(F.coalesce(F.max_by("paid", F.struct("ts", "kind")), F.lit(False)).alias("paid"))
+    rows = folded.join(plan, ["month", "account"], "left")
+    groups = F.explode(F.array_compact(F.array(F.lit("total"), F.when(F.col("paid"), "paid").when(~F.col("paid"), "free"))))
     names = e.groupBy("month", "stage").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("event_names"))
     return rows.select("*", groups.alias("user_group")).groupBy("month", "stage", "user_group").agg(
         F.sum("n").alias("event_count"), F.countDistinct("account").alias("account_count"), F.countDistinct("user").alias("user_count"),
@@ -232,24 +250,28 @@ def colour(score: Column) -> Column:
     return F.when(score == 25, "Red").when(score == 63, "Yellow").when(score == 88, "Green")
 
 
-def points(x: Column, low: float, high: float | None) -> Column:
-    """25 / 63 / 88 points; without a second threshold the middle class is missing."""
+def points(x: Column, low: float, high: float | None, at_least: bool = False) -> Column:
+    """25 / 63 / 88 points; without a second threshold the middle class is missing. A value on a threshold belongs to the class
+    below it, or with ``at_least`` to the one above."""
+    if at_least:
+        return F.when(x < low, 25).when(x < (low if high is None else high), 63).when(x >= low, 88)
     if high is None:
         return F.when(x <= low, 25).when(x > low, 88)
     return F.when(x <= low, 25).when(x <= high, 63).when(x > high, 88)
 
 
 def health_score(df: DataFrame, age: str, metric: str, by_age: Sequence[tuple[int, int | None, float, float | None]],
-                 plain: Mapping[str, tuple[float, float]], weights: Mapping[str, float]) -> DataFrame:
+                 plain: Mapping[str, tuple], weights: Mapping[str, float]) -> DataFrame:
     """Points and colours per metric and their weighted mean over the metrics that have a score.
 
-    ``by_age`` gives (age from, age below, low, high) rows for ``metric``; ``plain`` fixed thresholds for the others.
+    ``by_age`` gives (age from, age below, low, high) rows for ``metric``; ``plain`` fixed thresholds for the others, with a
+    third entry True where a value on a threshold belongs to the class above.
     """
     score = F.lit(None).cast("int")
     for a, b, lo, hi in by_age:
         inside = (F.col(age) >= a) & (F.lit(True) if b is None else F.col(age) < b)
         score = F.when(inside, points(F.col(metric), lo, hi)).otherwise(score)
-    scores = {metric: score, **{m: points(F.col(m), lo, hi) for m, (lo, hi) in plain.items()}}
+    scores = {metric: score, **{m: points(F.col(m), *limits) for m, limits in plain.items()}}
     out = df.select("*", *[v.alias(f"{m}_score") for m, v in scores.items()])
     weight = sum((F.when(F.col(f"{m}_score").isNotNull(), w).otherwise(0.0) for m, w in weights.items()), F.lit(0.0))
     total = sum((F.coalesce(F.col(f"{m}_score") * w, F.lit(0.0)) for m, w in weights.items()), F.lit(0.0))

@@ -196,3 +196,14 @@ def stage_history(t: Tables) -> DataFrame:
 
 def one_day():
     return F.expr("INTERVAL 1 DAY")
+
+
+def thirds(df, overlap: dt.timedelta = dt.timedelta(0)) -> list:
+    """``df`` in three parts by ``ts``; later parts may reach back into the one before, rows without time are in the first."""
+    lo, hi = df.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return [df, df.limit(0), df.limit(0)]
+    a, b = (F.lit(lo + (hi - lo) * k / 3).cast("timestamp_ntz") for k in (1, 2))
+    back = lambda k: F.lit(lo + (hi - lo) * k / 3 - overlap).cast("timestamp_ntz")
+    ts = F.col("ts")
+    return [df.where(ts.isNull() | (ts < a)), df.where((ts >= back(1)) & (ts < b)), df.where(ts >= back(2))]

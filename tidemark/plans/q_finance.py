@@ -41,7 +41,7 @@ def mapping_by_priority(t):
 
 
 SQL_METERS = """iv AS (SELECT event_id, user_id % 8 AS wh, ts AS a, ts + to_minutes(CAST(event_id % 180 + 1 AS INTEGER)) AS b FROM events),
-mt AS (SELECT wh, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR)) AS ms FROM (SELECT DISTINCT user_id % 8 AS wh FROM events)),
+mt AS (SELECT wh, unnest(generate_series((SELECT date_trunc('hour', min(a)) FROM iv), (SELECT max(b) FROM iv), INTERVAL 1 HOUR)) AS ms FROM (SELECT DISTINCT user_id % 8 AS wh FROM events)),
 meters AS (SELECT wh, ms, ms + INTERVAL 1 HOUR AS me, 1.0 + wh + hour(ms) AS credits FROM mt)"""
 
 
@@ -51,7 +51,8 @@ SELECT wh, event_id, meter_start, overlap_ms, round(overlap_ms / nullif(sum(over
 def overlap_attribution(t):
     wh = (F.col("user_id") % 8).alias("wh")
     iv = t.events.select("event_id", wh, F.col("ts").alias("start"), F.timestamp_add("MINUTE", (F.col("event_id") % 180 + 1).cast("int"), F.col("ts")).alias("end"))
-    hours = F.sequence(F.expr("timestamp_ntz'2024-01-01'"), F.expr("timestamp_ntz'2024-02-01'"), F.expr("INTERVAL 1 HOUR"))
+    span = iv.agg(F.date_trunc("hour", F.min("start")).cast("timestamp_ntz").alias("a"), F.max("end").cast("timestamp_ntz").alias("b"))
+    hours = F.sequence(span.select("a").scalar(), span.select("b").scalar(), F.expr("INTERVAL 1 HOUR"))
     m = t.events.select(wh).distinct().select("wh", F.explode(hours).alias("start"))
     m = m.select("wh", "start", F.timestamp_add("HOUR", F.lit(1), F.col("start")).alias("end"), (1.0 + F.col("wh") + F.hour("start")).alias("credits"))
     out = finance.overlap_attribution(iv, m, "wh", "event_id", "credits")

@@ -30,10 +30,10 @@ def resolve_redirects(t):
 h AS (SELECT id, name, 1 AS lvl, id AS lvl_1_id, name AS lvl_1_name, CAST(NULL AS BIGINT) AS lvl_2_id, CAST(NULL AS VARCHAR) AS lvl_2_name, CAST(NULL AS BIGINT) AS lvl_3_id, CAST(NULL AS VARCHAR) AS lvl_3_name FROM geo_tree WHERE parent_id IS NULL
  UNION ALL SELECT g.id, g.name, lvl + 1, lvl_1_id, lvl_1_name, CASE WHEN lvl = 1 THEN g.id ELSE lvl_2_id END, CASE WHEN lvl = 1 THEN g.name ELSE lvl_2_name END, CASE WHEN lvl = 2 THEN g.id END, CASE WHEN lvl = 2 THEN g.name END
  FROM h JOIN geo_tree g ON g.parent_id = h.id)
-SELECT id, name, lvl AS hierarchy_level, lvl_1_id, lvl_2_id, lvl_3_id, lvl_1_name, lvl_2_name, lvl_3_name, CAST(NULL AS BIGINT) AS lvl_4_id FROM h""")
+SELECT id, name, lvl AS hierarchy_level, lvl_1_id, lvl_2_id, lvl_3_id, lvl_1_name, lvl_2_name, lvl_3_name, CAST(NULL AS BIGINT) AS lvl_4_id, 0 AS n_deeper FROM h""")
 def flatten_hierarchy(t):
-    f = graphs.flatten_hierarchy(i.geo_tree(t), "id", "parent_id", "name", 10)
-    return f.select("id", "name", "hierarchy_level", *[f"lvl_{k}_id" for k in range(1, 5)], *[f"lvl_{k}_name" for k in range(1, 4)])
+    f = graphs.flatten_hierarchy(i.geo_tree(t), "id", "parent_id", "name")
+    return f.select("id", "name", "hierarchy_level", F.size("deeper").alias("n_deeper"), *[f"lvl_{k}_id" for k in range(1, 5)], *[f"lvl_{k}_name" for k in range(1, 4)])
 
 
 @query("recursive_sql_hierarchy", covers="J21 F07", sql=f"""WITH RECURSIVE {i.SQL_GEO_TREE},
@@ -59,7 +59,7 @@ def temporal_lineage(t):
     e = i.order_edges(t)
     d = F.col("starts").cast("date")
     te = e.select("id", F.when(F.col("id") % 4 != 0, F.col("parent_id")).alias("parent_id"), d.alias("a"), F.date_add(d, 400).alias("b"))
-    out = graphs.temporal_lineage(te, "id", "parent_id", "a", "b", 60)
+    out = graphs.temporal_lineage(te, "id", "parent_id", "a", "b")
     return out.withColumn("path", F.array_join("path", ","))
 
 

@@ -86,9 +86,8 @@ def order_state_on_day(t):
 @query("union_event_partitions", covers="P87 S10 U04 U05 T03", sql="""SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-05'""")
 def union_event_partitions(t):
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    cut = [dt.datetime(2024, 1, d) for d in (1, 11, 21)] + [dt.datetime(2024, 2, 1)]
-    # neighbouring parts overlap by a day, as reprocessed partitions do
-    parts = [e.where((F.col("ts") >= F.lit(a - dt.timedelta(days=1)).cast("timestamp_ntz")) & (F.col("ts") < F.lit(b).cast("timestamp_ntz"))) for a, b in zip(cut, cut[1:])]
+    # neighbouring parts overlap by a day, as reprocessed partitions do; the first and the last are open
+    parts = i.thirds(e, dt.timedelta(days=1))
     return history.union_partitions(parts, "event_id", "ts", dt.date(2024, 1, 5))
 
 

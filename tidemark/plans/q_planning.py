@@ -104,12 +104,13 @@ def attribution(t):
 
 
 @query("targets_and_actuals", covers="P50 J05", sql=f"""WITH {SQL_TARGETS}, a AS (SELECT c_mktsegment AS segment, c_nationkey AS nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(sum(o_totalprice), 2) AS actual FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
-g AS (SELECT * FROM (SELECT segment, nation FROM targets UNION SELECT segment, nation FROM a) CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS DATE) AS period))
+g AS (SELECT * FROM (SELECT segment, nation FROM targets UNION SELECT segment, nation FROM a) CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT min(month) FROM a), (SELECT max(month) FROM targets), INTERVAL 1 MONTH)) AS DATE) AS period))
 SELECT g.segment, g.nation, period, actual, round(target, 3) AS target FROM g LEFT JOIN a ON a.segment = g.segment AND a.nation = g.nation AND a.month = period LEFT JOIN targets x ON x.segment = g.segment AND x.nation = g.nation AND x.month = period""")
 def targets_and_actuals(t):
     tg = targets(t).withColumnRenamed("month", "period")
     a = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"), i.month("o_orderdate").alias("period")).agg(r2(F.sum("o_totalprice")).alias("actual"))
-    months = F.sequence(F.lit(dt.date(1995, 1, 1)), F.lit(dt.date(2002, 12, 1)), F.expr("INTERVAL 1 MONTH"))
+    # from the first month with orders to the last with a target, a year after the last order
+    months = F.sequence(a.agg(F.min("period")).scalar(), tg.agg(F.max("period")).scalar(), F.expr("INTERVAL 1 MONTH"))
     g = planning.scaffold([tg.select("segment", "nation"), a.select("segment", "nation")], months)
     key = ["segment", "nation", "period"]
     return g.join(a, key, "left").join(tg, key, "left").select(*key, "actual", F.round("target", 3).alias("target"))
@@ -153,14 +154,14 @@ def forecast_buckets(t):
 
 
 @query("match_entities", covers="P62", sql="""WITH l AS (SELECT s_suppkey AS left_id, CASE WHEN s_suppkey % 3 = 0 THEN 'n' || s_nationkey || '.example.com' END AS d, 'company' || (s_suppkey % 60) AS n FROM supplier), r AS (SELECT c_custkey AS match_id, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey || '.example.com' END AS d, 'company' || (c_custkey % 90) AS n FROM customer),
-common AS (SELECT n FROM l GROUP BY 1 ORDER BY count(*) DESC, n LIMIT 5), h AS (SELECT left_id, match_id, 'domain' AS rule, 1 AS p FROM l JOIN r USING (d) UNION ALL SELECT left_id, match_id, 'name', 2 FROM l JOIN r USING (n) WHERE n NOT IN (SELECT n FROM common))
+common AS (SELECT n FROM l GROUP BY 1 HAVING count(*) >= 2), h AS (SELECT left_id, match_id, 'domain' AS rule, 1 AS p FROM l JOIN r USING (d) UNION ALL SELECT left_id, match_id, 'name', 2 FROM l JOIN r USING (n) WHERE n NOT IN (SELECT n FROM common))
 SELECT left_id, match_id, rule FROM h QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY p, match_id) = 1""")
 def match_entities(t):
     left = t.supplier.select(F.col("s_suppkey").alias("left_id"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("N"), F.col("s_nationkey").cast("string"), F.lit(".Example.com"))).alias("domain"),
                              F.concat(F.lit("Company"), (F.col("s_suppkey") % 60).cast("string"), F.lit(" GmbH")).alias("name"))
     right = t.customer.select(F.col("c_custkey").alias("right_id"), F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(".example.com"))).alias("domain"),
                               F.concat(F.lit("COMPANY"), (F.col("c_custkey") % 90).cast("string"), F.lit(", Inc.")).alias("name"))
-    return planning.match_entities(left, right, "left_id", "name", "domain", "right_id", "name", "domain", ["company"], 5)
+    return planning.match_entities(left, right, "left_id", "name", "domain", "right_id", "name", "domain", ["company"], too_common=2)
 
 
 @query("company_score", covers="P63 W16", sql="""WITH d AS (SELECT l_suppkey % 50 AS grp, o_custkey % 7 AS company, o_custkey AS usr, CASE l_returnflag WHEN 'A' THEN 'creator' WHEN 'N' THEN 'owner' ELSE 'user' END AS role FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

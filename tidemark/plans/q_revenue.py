@@ -273,9 +273,11 @@ def hash_diff(t):
     return keys.hash_diff(now, was, "c_custkey", ["c_name", "c_mktsegment"], i.ORDERS_AS_OF)
 
 
-@query("with_audit", covers="P85 S18")
+@query("with_audit", covers="P85 S18", sql="""SELECT *, '@builder' AS created_by, '@builder' AS updated_by, DATE '2024-01-01' AS model_created_date, DATE '2024-01-02' AS model_updated_date, true AS is_built FROM nation""")
 def with_audit(t):
-    return keys.with_audit(t.nation, "@builder", "@builder", "2024-01-01", "2024-01-02")
+    """All but the build time itself, of which only its presence can be compared."""
+    built = keys.with_audit(t.nation, "@builder", "@builder", "2024-01-01", "2024-01-02")
+    return built.withColumn("is_built", F.col("built_at") <= F.current_timestamp()).drop("built_at")
 
 
 @query("missing_member", covers="P89 U01", sql="""WITH dim AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name FROM customer WHERE c_custkey % 10 <> 0 UNION ALL SELECT md5('-1'), 'Missing member'),

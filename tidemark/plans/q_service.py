@@ -100,19 +100,26 @@ def run_stats(t):
     return service.run_stats(e, ["event_type", "worker"], F.col("event_type") != "error", [F.col("ts").desc(), F.col("event_id").desc()], "value", 30)
 
 
-@query("histogram_mode", covers="P95 M01")
+@query("histogram_mode", covers="P95 M01", sql="""WITH l AS (SELECT l_suppkey, l_extendedprice AS x FROM lineitem WHERE l_quantity > 0 QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_extendedprice) <= 200),
+s AS (SELECT l_suppkey, count(*) AS n, min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM l GROUP BY 1),
+b AS (SELECT *, CASE WHEN hi > lo THEN greatest(ceil(log2(n) + 1), CASE WHEN iqr > 0 THEN ceil((hi - lo) / (2 * iqr / pow(n, 1.0 / 3))) ELSE 0 END) ELSE 1 END AS bins FROM s),
+c AS (SELECT l_suppkey, n, lo, hi, bins, CASE WHEN hi > lo THEN least(floor((x - lo) / ((hi - lo) / bins)), bins - 1) ELSE 0 END AS bin, count(*) AS c FROM l JOIN b USING (l_suppkey) GROUP BY ALL)
+SELECT l_suppkey, n AS occurrences, lo AS min_value, hi AS max_value, round(lo + (bin + 0.5) * (hi - lo) / bins, 6) AS mode_value FROM c QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY c DESC, bin) = 1""")
 def histogram_mode(t):
     order = [F.col("l_shipdate").desc(), *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")]]
-    return service.run_stats(t.lineitem, ["l_suppkey"], F.col("l_quantity") > 0, order, "l_extendedprice", 200, with_mode=True)
+    stats = service.run_stats(t.lineitem, ["l_suppkey"], F.col("l_quantity") > 0, order, "l_extendedprice", 200, with_mode=True)
+    return stats.withColumn("mode_value", F.round("mode_value", 6))
 
 
 # --- quality ------------------------------------------------------------------------------------
 
-@query("rule_results", covers="P81 J04", sql="""WITH d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2002-01-31', INTERVAL 1 DAY)) AS DATE) AS run_date), o AS (SELECT CAST(o_orderdate AS DATE) AS run_date, 'positive price' AS rule, o_totalprice > 5000 AS ok FROM orders UNION ALL SELECT CAST(o_orderdate AS DATE), 'known status', o_orderstatus IN ('F', 'O') FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE), 'small discount', l_discount < 0.09 FROM lineitem),
+@query("rule_results", covers="P81 J04", sql="""WITH d AS (SELECT CAST(unnest(generate_series((SELECT CAST(least(min(o_orderdate), (SELECT min(l_shipdate) FROM lineitem)) AS DATE) FROM orders), (SELECT CAST(greatest(max(o_orderdate), (SELECT max(l_shipdate) FROM lineitem)) AS DATE) FROM orders), INTERVAL 1 DAY)) AS DATE) AS run_date), o AS (SELECT CAST(o_orderdate AS DATE) AS run_date, 'positive price' AS rule, o_totalprice > 5000 AS ok FROM orders UNION ALL SELECT CAST(o_orderdate AS DATE), 'known status', o_orderstatus IN ('F', 'O') FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE), 'small discount', l_discount < 0.09 FROM lineitem),
 g AS (SELECT run_date, rule, count(*) AS processed, count(*) FILTER (ok) AS passed FROM o GROUP BY 1, 2), x AS (SELECT run_date, rule FROM d CROSS JOIN (SELECT DISTINCT rule FROM o))
 SELECT run_date, rule, coalesce(processed, 0) AS processed, coalesce(passed, 0) AS passed, coalesce(processed, 0) - coalesce(passed, 0) AS failed FROM g RIGHT JOIN x USING (run_date, rule)""")
 def rule_results(t):
-    days = calendar.date_spine(t.spark, dt.date(1995, 1, 1), dt.date(2002, 2, 1), "day", "run_date")
+    dates = t.orders.select(F.to_date("o_orderdate").alias("d")).unionByName(t.lineitem.select(F.to_date("l_shipdate").alias("d")))
+    first, last = dates.agg(F.min("d"), F.max("d")).first()
+    days = calendar.date_spine(t.spark, first, last + dt.timedelta(days=1), "day", "run_date")
     return quality.rule_results({
         "positive price": (t.orders, "o_orderdate", F.col("o_totalprice") > 5000), "known status": (t.orders, "o_orderdate", F.col("o_orderstatus").isin("F", "O")),
         "small discount": (t.lineitem, "l_shipdate", F.col("l_discount") < 0.09)}, days)

@@ -26,16 +26,16 @@ def scratch(t, name: str) -> str:
     return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-ARRIVALS = ("2024-01-01", "2024-01-12", "2024-01-23", "2024-02-01")
-
-
 def arrivals(t, df, name: str, start):
-    """The events as they would arrive: three drops into a landing folder, the stream run after each."""
+    """The events as they would arrive: three drops into a landing folder, the stream run after each.
+
+    The drops are the thirds of the table's own time range; the first and the last are open, so no row is left out.
+    """
     base = scratch(t, name)
     land, out, state = f"{base}/land", f"{base}/out", f"{base}/state"
-    for a, b in zip(ARRIVALS, ARRIVALS[1:]):
-        df.where((F.col("ts") >= ntz(a)) & (F.col("ts") < ntz(b))).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{land}/drop={a}")
-        schema = t.spark.read.parquet(f"{land}/drop={a}").schema
+    for n, drop in enumerate(i.thirds(df)):
+        drop.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{land}/drop={n}")
+        schema = t.spark.read.parquet(f"{land}/drop={n}").schema
         start(streams.stream_files(t.spark, land, schema), out, state)
     return out
 

@@ -53,7 +53,7 @@ def nested_payload(t):
 SELECT payload.id, replace(substr(fullkey, 3), '"', '') AS path, CASE WHEN json_extract_string(atom, '$') = '-1' THEN '0' ELSE json_extract_string(atom, '$') END AS value, json_extract_string(atom, '$') = '-1' AS has_timed_out
 FROM payload, json_tree(payload.payload) AS j WHERE j.type NOT IN ('OBJECT', 'ARRAY')""")
 def flatten_metrics(t):
-    return ss.flatten_metrics(nested_payload(t), "id", "payload", 5)
+    return ss.flatten_metrics(nested_payload(t), "id", "payload")
 
 
 @query("payload_fields", covers="P14", sql=f"""WITH {SQL_NESTED}

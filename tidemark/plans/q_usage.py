@@ -83,15 +83,23 @@ def last_page_in_session(t):
     return usage.with_last_in_session(v, ["user_id", "session_id"], "page_view_start", "page_id").drop("page_view_start")
 
 
-AGENTS = ("Mozilla/5.0 (X11; Linux)", "Googlebot/2.1", "Mozilla/5.0 (Macintosh)", "SiteUptime monitor", "HeadlessChrome/90", "curl/8", "Yahoo! Slurp")
+AGENTS = ("Mozilla/5.0 (X11; Linux)", "Googlebot/2.1", "Mozilla/5.0 (Macintosh)", "BingPreview/1.0", "HeadlessChrome/90", "curl/8", "Yahoo! Slurp")
+FAMILIES = ("'Chrome'", "'Robot/Spider'", "NULL")
+KINDS = ("'Browser'", "NULL", "'Robot'", "'Bot/Crawler'")
 BOTS_SQL = "|".join(usage.BOT_WORDS)
 
 
-@query("drop_bots", covers="P12 F20", sql=f"""WITH a AS (SELECT event_id, [{', '.join("'" + a + "'" for a in AGENTS)}][event_id % 7 + 1] AS agent FROM events)
-SELECT agent, count(*) AS events FROM a WHERE NOT regexp_matches(agent, '{BOTS_SQL}', 'i') GROUP BY 1""")
+@query("drop_bots", covers="P12 F20", sql=f"""WITH a AS (SELECT event_id, [{', '.join("'" + a + "'" for a in AGENTS)}][event_id % 7 + 1] AS agent, [{', '.join(FAMILIES)}][event_id % 3 + 1] AS family,
+ [{', '.join(KINDS)}][event_id % 4 + 1] AS kind, nullif(user_id, 3) AS user_id, event_id % 5 AS session_index FROM events)
+SELECT agent, family, kind, count(*) AS events FROM a WHERE NOT regexp_matches(agent, '{BOTS_SQL}', 'i') AND coalesce(family, '') <> 'Robot/Spider' AND coalesce(kind, '') NOT IN ('Bot/Crawler', 'Robot') AND user_id IS NOT NULL AND session_index > 0 GROUP BY 1, 2, 3""")
 def drop_bots(t):
-    a = t.events.select("event_id", F.element_at(F.array(*[F.lit(x) for x in AGENTS]), (F.col("event_id") % 7 + 1).cast("int")).alias("agent"))
-    return usage.drop_bots(a, "agent").groupBy("agent").agg(F.count("*").alias("events"))
+    def pick(values, n):
+        return F.element_at(F.array(*[F.expr(x) for x in values]), (F.col("event_id") % n + 1).cast("int"))
+
+    a = t.events.select(pick([f"'{x}'" for x in AGENTS], 7).alias("agent"), pick(FAMILIES, 3).alias("family"), pick(KINDS, 4).alias("kind"),
+                        F.nullif("user_id", F.lit(3)).alias("user_id"), (F.col("event_id") % 5).alias("session_index"))
+    kept = usage.drop_bots(a, "agent", family="family", kind="kind", user="user_id", session_index="session_index")
+    return kept.groupBy("agent", "family", "kind").agg(F.count("*").alias("events"))
 
 
 ZONES = ("Asia/Calcutt", "America/New_York", "bad zone", "UTC", "EuropeALondon", "SystemV/EST5", "Asia%2FTokyo", "America/Argentina/Salta")
@@ -104,27 +112,30 @@ def repair_zones(t):
     return t.events.select(z.alias("zone")).groupBy("zone", usage.repair_zone(F.col("zone")).alias("repaired")).agg(F.count("*").alias("events"))
 
 
-@query("active_users_monthly", covers="P37 A04 T15 A15 A16", sql=f"""WITH e AS (SELECT *, CAST(date_trunc('month', ts) AS DATE) AS month, user_id % 40 AS account, CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type IN ('signup', 'purchase') THEN 'convert' ELSE 'other' END AS stage,
+@query("active_users_monthly", covers="P37 A04 T15 A15 A16", sql=f"""WITH e AS (SELECT *, CAST(date_trunc('month', ts) AS DATE) AS month, nullif(user_id % 40, 7) AS account, CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type IN ('signup', 'purchase') THEN 'convert' ELSE 'other' END AS stage,
  {K_SQL} % 3 = 0 AS paid FROM events WHERE CAST(ts AS DATE) >= last_day(CAST(ts AS DATE)) - INTERVAL 27 DAY),
-p AS (SELECT month, account, arg_max(paid, (ts, event_type)) AS account_paid FROM e GROUP BY 1, 2), j AS (SELECT * FROM e JOIN p USING (month, account)),
-g AS (SELECT *, 'total' AS user_group FROM j UNION ALL SELECT *, CASE WHEN account_paid THEN 'paid' ELSE 'free' END FROM j)
+p AS (SELECT month, account, arg_max(paid, (ts, event_type)) AS account_paid FROM e WHERE account IS NOT NULL GROUP BY 1, 2), j AS (SELECT * FROM e LEFT JOIN p USING (month, account)),
+g AS (SELECT *, 'total' AS user_group FROM j UNION ALL SELECT *, CASE WHEN account_paid THEN 'paid' ELSE 'free' END FROM j WHERE account IS NOT NULL)
 SELECT g.month, g.stage, user_group, count(*) AS event_count, count(DISTINCT account) AS account_count, count(DISTINCT user_id) AS user_count, any_value(names) AS event_names
 FROM g JOIN (SELECT month, stage, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS names FROM e GROUP BY 1, 2) n ON g.month = n.month AND g.stage = n.stage GROUP BY 1, 2, 3""")
 def active_users_monthly(t):
-    e = t.events.withColumn("account", F.col("user_id") % 40)
+    e = t.events.withColumn("account", F.nullif(F.col("user_id") % 40, F.lit(7)))  # some events have no account
     stage = F.when(F.col("event_type").isin("view", "click"), "browse").when(F.col("event_type").isin("signup", "purchase"), "convert").otherwise("other")
     return usage.active_users(e, "user_id", "account", "ts", "event_type", stage, K() % 3 == 0)
 
 
-@query("first_last_version", covers="P38 A13")
+@query("first_last_version", covers="P38 A13", sql=f"""SELECT event_type, min({K_SQL} % 17 * 100 + {K_SQL} % 13) AS first_version, max({K_SQL} % 17 * 100 + {K_SQL} % 13) AS last_version, true AS estimate_is_near FROM events GROUP BY 1""")
 def first_last_version(t):
+    """The approximate number of installs stands within 15 % of the exact one (three times its stated deviation)."""
     e = t.events.select("event_type", "user_id", F.concat((K() % 17).cast("string"), F.lit("."), (K() % 13).cast("string"), F.lit(".0")).alias("version"))
-    return usage.first_last_version(e, "event_type", "version", "user_id")
+    exact = e.groupBy("event_type").agg(F.countDistinct("user_id").alias("installs"))
+    near = F.abs(F.col("installs_estimate") - F.col("installs")) <= 0.15 * F.col("installs")
+    return usage.first_last_version(e, "event_type", "version", "user_id").join(exact, "event_type").select("event_type", "first_version", "last_version", near.alias("estimate_is_near"))
 
 
 @query("first_last_version_exact", covers="P38", sql=f"""SELECT event_type, min({K_SQL} % 17 * 100 + {K_SQL} % 13) AS first_version, max({K_SQL} % 17 * 100 + {K_SQL} % 13) AS last_version FROM events GROUP BY 1""")
 def first_last_version_exact(t):
-    return first_last_version(t).drop("installs_estimate")
+    return first_last_version(t).drop("estimate_is_near")
 
 
 @query("usage_estimate", covers="P39", sql="""WITH u AS (SELECT c_mktsegment, c_nationkey % 3 <> 0 AS reporting, c_custkey % 50 + 1 AS seats, coalesce(n, 0) AS recorded FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey),
@@ -200,7 +211,7 @@ SQL_CUSTOMER_RATIOS = """u AS (SELECT c_custkey, CAST(date_diff('month', min(o_o
 
 @query("health_score", covers="P68", sql=f"""WITH {SQL_CUSTOMER_RATIOS}, s AS (SELECT *, CASE WHEN age_months < 3 THEN NULL WHEN age_months < 7 THEN CASE WHEN license_use <= 0.1 THEN 25 WHEN license_use <= 0.5 THEN 63 ELSE 88 END
  WHEN age_months < 10 THEN CASE WHEN license_use <= 0.5 THEN 25 WHEN license_use <= 0.75 THEN 63 ELSE 88 END ELSE CASE WHEN license_use <= 0.75 THEN 25 ELSE 88 END END AS license_use_score,
- CASE WHEN engagement <= 0.5 THEN 25 WHEN engagement <= 0.8 THEN 63 ELSE 88 END AS engagement_score, CASE WHEN activity <= 0.1 THEN 25 WHEN activity <= 0.33 THEN 63 ELSE 88 END AS activity_score FROM u)
+ CASE WHEN engagement < 0.5 THEN 25 WHEN engagement < 0.8 THEN 63 ELSE 88 END AS engagement_score, CASE WHEN activity <= 0.1 THEN 25 WHEN activity <= 0.33 THEN 63 ELSE 88 END AS activity_score FROM u)
 SELECT c_custkey, license_use_score, engagement_score, activity_score, CASE license_use_score WHEN 25 THEN 'Red' WHEN 63 THEN 'Yellow' WHEN 88 THEN 'Green' END AS license_use_color,
  round((coalesce(license_use_score * 0.5, 0) + engagement_score * 0.3 + activity_score * 0.2) / (CASE WHEN license_use_score IS NULL THEN 0 ELSE 0.5 END + 0.3 + 0.2), 4) AS overall_score FROM s""")
 def health_score(t):
@@ -211,7 +222,7 @@ def health_score(t):
     u = g.select("c_custkey", (boundary_diff("month", F.col("first"), F.lit(i.ORDERS_AS_OF)) % 15).alias("age_months"),
                  (F.col("f") / F.col("n")).alias("license_use"), (F.col("o") / F.col("n")).alias("engagement"), (F.col("m") / 20).alias("activity"))
     s = usage.health_score(u, "age_months", "license_use", [(3, 7, .1, .5), (7, 10, .5, .75), (10, None, .75, None)],
-                           {"engagement": (.5, .8), "activity": (.1, .33)}, {"license_use": .5, "engagement": .3, "activity": .2})
+                           {"engagement": (.5, .8, True), "activity": (.1, .33)}, {"license_use": .5, "engagement": .3, "activity": .2})
     return s.select("c_custkey", "license_use_score", "engagement_score", "activity_score", "license_use_color", r4("overall_score").alias("overall_score"))
 
 
