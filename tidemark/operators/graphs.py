@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,23 +15,31 @@ def resolve_chains(df: DataFrame, node: str, target: str) -> DataFrame:
     """End of the chain every node points along, and the number of steps to it.
 
     Pointer doubling: each round every open node jumps to where its pointer points, so a chain of length n takes
-    log2(n) joins on unique ids. Nodes that run into a cycle or a missing node have no end and are left out.
+    log2(n) joins on unique ids. A finished node is written once; only open ones are carried on. Nodes that run into a missing
+    node drop out, and those in a cycle stay open while none finishes any more: both have no end and are left out.
     """
+    def done(state: DataFrame) -> DataFrame:
+        return state.where(F.col("up").isNull())
+
     state = cut_lineage(df.select(
         F.col(node).alias("id"), F.col(target).alias("up"),
         F.when(F.col(target).isNull(), F.col(node)).alias("root"),
         F.when(F.col(target).isNull(), 0).otherwise(1).cast("long").alias("steps"),
     ))
-    rounds = math.ceil(math.log2(max(state.count(), 2))) + 1
-    for _ in range(rounds):
-        open_nodes = state.where(F.col("up").isNotNull())
-        if open_nodes.isEmpty():
+    finished, open_nodes, before = [done(state)], state.where(F.col("up").isNotNull()), None
+    while True:
+        left = open_nodes.agg(F.count("*"), F.sum("steps")).first()
+        # round k leaves only nodes more than 2 ** k steps from their end; as many as before twice over are cycles
+        if not left[0] or (before is not None and left[0] == before[0] and len(finished) > 1 and finished[-1].isEmpty()):
             break
-        jump = state.select(F.col("id").alias("up"), F.col("up").alias("__up"), F.col("root").alias("__root"), F.col("steps").alias("__s"))
-        moved = open_nodes.join(jump, "up").select(
-            "id", F.col("__up").alias("up"), F.col("__root").alias("root"), (F.col("steps") + F.col("__s")).alias("steps"))
-        state = cut_lineage(state.where(F.col("up").isNull()).unionByName(moved))
-    return state.where(F.col("up").isNull()).select(F.col("id").alias(node), "root", "steps")
+        before = left
+        known = reduce(DataFrame.unionByName, finished).unionByName(open_nodes)
+        jump = known.select(F.col("id").alias("up"), F.col("up").alias("__up"), F.col("root").alias("__root"), F.col("steps").alias("__s"))
+        moved = cut_lineage(open_nodes.join(jump, "up").select(
+            "id", F.col("__up").alias("up"), F.col("__root").alias("root"), (F.col("steps") + F.col("__s")).alias("steps")))
+        finished.append(done(moved))
+        open_nodes = moved.where(F.col("up").isNotNull())
+    return reduce(DataFrame.unionByName, finished).select(F.col("id").alias(node), "root", "steps")
 
 
 def resolve_redirects(df: DataFrame, node: str, target: str) -> DataFrame:
@@ -189,17 +196,21 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
     return top.select(F.col("__run").alias(run), F.col("b.length").alias("path_length"), F.col("b.path").alias("critical_path"))
 
 
-def manager_entitlements(accounts: DataFrame, users: DataFrame, account: str, owner: str, user: str, manager: str, levels: int = 3) -> DataFrame:
-    """Who may see an account: its owner and the managers above (unpivoted), and users who own nothing see their own team's.
+def account_entitlements(accounts: DataFrame, users: DataFrame, segments: DataFrame, account: str, owners: Sequence[str], segment: str, user: str,
+                         manager: str, active: str, basis: str, levels: int = 3) -> DataFrame:
+    """Who may see an account: its active owners in any role, and their active managers up to ``levels`` above; ``account_ownership``.
 
-    The second path holds for users who own no account: they see the accounts owned by their manager.
+    Users found nowhere among these see the accounts of the segments that ``segments`` (user, segment, basis) gives them,
+    with ``geo_`` before its basis. An inactive manager ends the chain.
     """
-    up = users.select(F.col(user).alias("__u"), F.col(manager).alias("__m"))
-    walk = accounts.select(account, F.col(owner).alias("l0"))
-    for k in range(levels):
-        walk = walk.join(up, F.col(f"l{k}") == F.col("__u"), "left").withColumn(f"l{k + 1}", F.col("__m")).drop("__u", "__m")
-    rows = walk.unpivot([account], [f"l{k}" for k in range(levels + 1)], "level", "user_id").where(F.col("user_id").isNotNull())
-    first = rows.groupBy(account, "user_id").agg(F.min("level").alias("path"))
-    idle = users.join(accounts.select(F.col(owner).alias(user)).distinct(), user, "left_anti")
-    second = idle.join(accounts, F.col(manager) == F.col(owner)).select(account, F.col(user).alias("user_id"), F.lit("team").alias("path"))
-    return first.unionByName(second.join(first.select(account, "user_id"), [account, "user_id"], "left_anti"))
+    staff = users.where(active).select(F.col(user).alias("__u"), F.col(manager).alias("__m"))
+    at = accounts.select(account, segment, F.explode(F.array_distinct(F.array_compact(F.array(*owners)))).alias("__next"))
+    found = []
+    for _ in range(levels + 1):
+        at = at.join(staff, F.col("__next") == F.col("__u")).select(account, segment, F.col("__u").alias(user), F.col("__m").alias("__next")).distinct()
+        found.append(at.drop("__next"))
+        at = at.drop(user)
+    owned = reduce(DataFrame.unionByName, found).distinct()
+    others = segments.join(owned.select(user).distinct(), user, "left_anti")
+    seen = accounts.select(account, segment).join(others, segment).select(account, segment, user, F.concat(F.lit("geo_"), basis).alias("entitlement_basis"))
+    return owned.withColumn("entitlement_basis", F.lit("account_ownership")).unionByName(seen.distinct())

@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from tidemark.functions.scalars import ColumnLike, c
 
 BLOCK, KEY = "__block", "__key"
+BINS, STRIDE = 256, 16
 
 
 def _key(keys: Sequence[str]) -> Column:
@@ -184,31 +185,31 @@ def with_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
     return df.withColumn(KEY, _key(keys)).join(totals, KEY, "left").select(*[F.col(x) for x in df.columns], *aggs)
 
 
-def _binned_counts(df, keys, x, bins, scale) -> DataFrame:
-    """Distinct (key, value) with their count and a value bin, bins spread between the key's extremes.
+def _binned_counts(df, keys, x) -> DataFrame:
+    """Distinct (key, value) with their count and a value bin of about equal depth.
 
-    ``keys`` may be empty: then the whole table is one group, still spread over the bins.
+    A bin holds about a ``BINS``th of a key's distinct values, wherever they lie: its edges are approximate quantiles of
+    the key, looked up in two steps of ``STRIDE``. ``keys`` may be empty: then the whole table is one group.
     """
-    scale = scale or (lambda v: v)
     counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("__n"))
-    ends = {"__lo": F.min(x), "__hi": F.max(x), "__total": F.sum("__n")}
-    counts = with_totals(counts, keys, ends)
-    lo, hi, at = (scale(F.col(v).cast("double")) for v in ("__lo", "__hi", x))
-    width = F.when(hi > lo, (hi - lo) / F.lit(float(bins)))
-    block = F.coalesce(F.floor(F.try_divide(at - lo, width)), F.lit(0)).cast("long")
-    return counts.withColumn("__bin", block).drop("__lo", "__hi")
+    at = F.col(x).cast("double")
+    edges = F.percentile_approx(at, [k / BINS for k in range(1, BINS)], 10 * BINS)
+    counts = with_totals(counts, keys, {"__edges": edges, "__total": F.sum("__n")})
+    coarse = F.size(F.filter(F.sequence(F.lit(STRIDE), F.lit(BINS - 1), F.lit(STRIDE)), lambda k: F.get("__edges", k - 1) < at))
+    fine = F.size(F.filter(F.slice("__edges", coarse * STRIDE + 1, STRIDE), lambda e: e < at))
+    return counts.withColumn("__bin", (coarse * STRIDE + fine).cast("long")).drop("__edges")
 
 
-def with_cumulative_count(df, keys, x, bins: int = 512, scale=None) -> DataFrame:
+def with_cumulative_count(df, keys, x) -> DataFrame:
     """Distinct (key, value) rows with ``__below`` rows smaller, ``__n`` rows equal and ``__total`` rows in the key."""
-    counts = _binned_counts(df, keys, x, bins, scale)
+    counts = _binned_counts(df, keys, x)
     run = with_running_sum(counts, keys, [x], F.col("__bin"), {"__upto": "__n"})
     return run.withColumn("__below", F.col("__upto") - F.col("__n")).drop("__bin", "__upto")
 
 
-def with_percent_rank(df: DataFrame, keys: Sequence[str], x: str, name: str = "percent_rank", scale=None) -> DataFrame:
+def with_percent_rank(df: DataFrame, keys: Sequence[str], x: str, name: str = "percent_rank") -> DataFrame:
     """``percent_rank`` of x within the keys: rows below divided by rows less one. NULLs of x give NULL."""
-    ranks = with_cumulative_count(df, keys, x, scale=scale)
+    ranks = with_cumulative_count(df, keys, x)
     ranks = ranks.select(
         _key(keys).alias(KEY), x,
         F.when(F.col("__total") == 1, F.lit(0.0)).otherwise(F.col("__below") / (F.col("__total") - 1)).alias(name),
@@ -216,15 +217,13 @@ def with_percent_rank(df: DataFrame, keys: Sequence[str], x: str, name: str = "p
     return df.withColumn(KEY, _key(keys)).join(ranks, [KEY, x], "left").select(*[F.col(v) for v in df.columns], name)
 
 
-def quantiles(
-    df: DataFrame, keys: Sequence[str], x: str, probs: Mapping[str, float], bins: int = 512, scale=None
-) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], x: str, probs: Mapping[str, float]) -> DataFrame:
     """Exact continuous quantiles per key (linear interpolation between the neighbouring ranks).
 
     Only counts travel: values are first folded to (key, value, count), ranked in bins, and the wanted ranks picked
     by a conditional aggregate, so neither a hot key nor a hot value meets one task whole.
     """
-    ranked = with_cumulative_count(df, keys, x, bins, scale)
+    ranked = with_cumulative_count(df, keys, x)
 
     def at_rank(r: Column) -> Column:
         hit = (F.col("__below") <= r) & (r < F.col("__below") + F.col("__n"))

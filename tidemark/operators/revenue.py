@@ -135,7 +135,7 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
 
     The rank is the count of larger values, taken over value bins, so no task sorts the whole table.
     """
-    below = ordered.with_cumulative_count(df, [], amount, scale=F.log1p)
+    below = ordered.with_cumulative_count(df, [], amount)
     below = below.select(amount, (F.col("__total") - F.col("__below") - F.col("__n") + 1).alias("amount_rank"))
     out = df.join(below, amount, "left")
     rank_band = F.lit(None).cast("string")

@@ -112,15 +112,21 @@ def critical_path(t):
     return out.select("run_id", F.round("path_length", 2).alias("path_length"), F.array_join("critical_path", ",").alias("path"))
 
 
-@query("entitlements", covers="P104", sql="""WITH u AS (SELECT s_suppkey AS user_id, CASE WHEN s_suppkey > 0 THEN s_suppkey // 3 END AS manager FROM supplier),
-a AS (SELECT c_custkey AS account_id, (c_custkey * 7) % (SELECT count(*) FROM supplier) AS owner FROM customer WHERE c_custkey % 2 = 0),
-w AS (SELECT account_id, owner AS l0, u0.manager AS l1, u1.manager AS l2, u2.manager AS l3 FROM a LEFT JOIN u u0 ON owner = u0.user_id LEFT JOIN u u1 ON u0.manager = u1.user_id LEFT JOIN u u2 ON u1.manager = u2.user_id),
-r AS (SELECT account_id, l0 AS user_id, 'l0' AS path FROM w UNION ALL SELECT account_id, l1, 'l1' FROM w UNION ALL SELECT account_id, l2, 'l2' FROM w UNION ALL SELECT account_id, l3, 'l3' FROM w),
-f AS (SELECT account_id, user_id, min(path) AS path FROM r WHERE user_id IS NOT NULL GROUP BY 1, 2),
-s AS (SELECT a.account_id, u.user_id, 'team' AS path FROM u JOIN a ON u.manager = a.owner WHERE u.user_id NOT IN (SELECT owner FROM a))
-SELECT * FROM f UNION ALL SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.account_id = s.account_id AND f.user_id = s.user_id)""")
+@query("entitlements", covers="P104", sql="""WITH n AS (SELECT count(*) AS n FROM supplier), u AS (SELECT s_suppkey AS user_id, s_suppkey // 3 AS manager FROM supplier WHERE s_suppkey % 7 <> 0),
+a AS (SELECT c_custkey AS account_id, c_mktsegment AS segment, (c_custkey * 7) % (n // 3 + 1) AS o1, (c_custkey * 11) % (n // 4 + 1) AS o2, CASE WHEN c_custkey % 5 = 0 THEN (c_custkey * 13) % (n // 5 + 1) END AS o3 FROM customer, n WHERE c_custkey % 2 = 0),
+c AS (SELECT a.account_id, a.segment, u0.user_id AS l0, u1.user_id AS l1, u2.user_id AS l2, u3.user_id AS l3 FROM a JOIN u u0 ON u0.user_id IN (o1, o2, o3) LEFT JOIN u u1 ON u0.manager = u1.user_id LEFT JOIN u u2 ON u1.manager = u2.user_id LEFT JOIN u u3 ON u2.manager = u3.user_id),
+owned AS (SELECT DISTINCT account_id, segment, user_id FROM (SELECT account_id, segment, unnest([l0, l1, l2, l3]) AS user_id FROM c) WHERE user_id IS NOT NULL),
+g AS (SELECT s_suppkey AS user_id, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY', 'HOUSEHOLD'][s_suppkey // 10 % 5 + 1] AS segment FROM supplier WHERE s_suppkey % 10 = 0)
+SELECT *, 'account_ownership' AS entitlement_basis FROM owned UNION ALL SELECT account_id, segment, user_id, 'geo_segment' FROM (SELECT DISTINCT a.account_id, a.segment, g.user_id FROM a JOIN g ON g.segment = a.segment WHERE g.user_id NOT IN (SELECT user_id FROM owned))""")
 def entitlements(t):
-    users = t.supplier.select(F.col("s_suppkey").alias("user_id"), F.when(F.col("s_suppkey") > 0, F.floor(F.col("s_suppkey") / 3)).alias("manager"))
+    """Three owner roles, inactive users, and segments for those who own nothing."""
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
     total = t.supplier.agg(F.count("*").alias("n")).scalar()
-    accounts = t.customer.where(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").alias("account_id"), ((F.col("c_custkey") * 7) % total).alias("owner"))
-    return graphs.manager_entitlements(accounts, users, "account_id", "owner", "user_id", "manager")
+    part = lambda d: F.floor(total / d).cast("long") + 1
+    users = t.supplier.select(k.alias("user_id"), F.floor(k / 3).cast("long").alias("manager"), (k % 7 != 0).alias("is_active"))
+    accounts = t.customer.where(c % 2 == 0).select(
+        c.alias("account_id"), F.col("c_mktsegment").alias("segment"), ((c * 7) % part(3)).alias("o1"), ((c * 11) % part(4)).alias("o2"),
+        F.when(c % 5 == 0, (c * 13) % part(5)).alias("o3"))
+    names = F.array(*[F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")])
+    segments = t.supplier.where(k % 10 == 0).select(k.alias("user_id"), F.element_at(names, (F.floor(k / 10) % 5 + 1).cast("int")).alias("segment"), F.lit("segment").alias("basis"))
+    return graphs.account_entitlements(accounts, users, segments, "account_id", ["o1", "o2", "o3"], "segment", "user_id", "manager", "is_active", "basis")

@@ -11,11 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def newest(target: DataFrame, ts: str) -> Column | None:
+    """The greatest value of a column as a literal, so that a filter by it reaches the scan of the source; None for an empty table."""
+    text = target.agg(F.max(ts).cast("string")).first()[0]
+    return None if text is None else F.lit(text).cast(target.schema[ts].dataType)
+
+
 def append_since(source: DataFrame, target: DataFrame, ts: str, inclusive: bool = False) -> DataFrame:
     """Source rows newer than the newest in the target; all rows while the target is empty."""
-    mark = target.agg(F.max(ts).alias("m")).scalar()
-    newer = (F.col(ts) >= mark) if inclusive else (F.col(ts) > mark)
-    return source.where(mark.isNull() | newer)
+    mark = newest(target, ts)
+    if mark is None:
+        return source
+    return source.where((F.col(ts) >= mark) if inclusive else (F.col(ts) > mark))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,9 +66,9 @@ def touched(all_rows: DataFrame, since: Column, ts: str, keys: Sequence[str]) ->
 
 
 def lookback(source: DataFrame, target: DataFrame, ts: str, days: int) -> DataFrame:
-    """Source rows from ``days`` before the target's newest on."""
-    mark = target.agg(F.max(ts).alias("m")).scalar()
-    return source.where(F.col(ts) >= F.date_sub(F.to_date(mark), days))
+    """Source rows from ``days`` before the target's newest on; all rows while the target is empty."""
+    mark = newest(target, ts)
+    return source if mark is None else source.where(F.col(ts) >= F.date_sub(F.to_date(mark), days).cast(source.schema[ts].dataType))
 
 
 def rolling_window(df: DataFrame, ts: str, unit: str, n: int, as_of: Column) -> DataFrame:
