@@ -202,3 +202,67 @@ def op8_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
     held = brown.held_out(F.col("doc_id"))
     scored = brown.score(docs, brown.fit(docs.where(~held)))
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+SQL["op1_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(greatest(1, len(w) - 4)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))) END AS s
+  FROM d),
+t AS (SELECT r, len(s) AS n, unnest(s) AS g FROM s),
+common AS (SELECT a.r AS a, b.r AS b, any_value(a.n) AS x, any_value(b.n) AS y, count(*) AS c FROM t a JOIN t b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+link AS (SELECT a, b FROM common WHERE c / (x + y - c) >= 0.8),
+reach AS (SELECT r AS a, r AS b FROM s UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+class AS (SELECT a AS r, min(doc_id) AS class_id FROM reach JOIN s ON s.r = reach.b GROUP BY 1),
+n_link AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY 1)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, CASE WHEN len(s) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY s) END AS n_copies, len(s)::BIGINT AS n_shingles
+FROM s JOIN class USING (r) LEFT JOIN n_link USING (r)
+"""
+
+
+def _rules_sql(risk: float = 0.01, error: float = 0.05) -> str:
+    """The operator's steps over the same rules, with the binomial bound as a plain sum."""
+    def passed(r: rules.Rule) -> str:
+        sign = ">" if r.above else "<"
+        return " + ".join(f"coalesce(({r.top} / nullif({r.bottom}, 0) {sign} {c})::INT, 0)" for c in r.grid)
+
+    places = ", ".join(f"[{i}, {passed(r)}]" for i, r in enumerate(rules.RULES))
+    cutoffs = sum(len(r.grid) for r in rules.RULES)
+    lone = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{lone}')) AS ls
+  FROM documents),
+win AS (SELECT r, i, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM (SELECT r, w, unnest(range(len(w) - 2)) AS i FROM d WHERE len(w) > 2)),
+twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1),
+again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY 1),
+s AS (
+  SELECT doc_id, stratum, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(again.n, 0)::BIGINT AS n_repeat_words, length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g'))::BIGINT AS n_capitals, length(regexp_replace(t, '[^!]+', '', 'g'))::BIGINT AS n_exclamations
+  FROM d LEFT JOIN again USING (r)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{places}] AS places FROM s),
+held AS (SELECT stratum, quality = 1 AS good, unnest(places) AS p FROM j JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IS NOT NULL),
+cell AS (SELECT stratum, p[1] AS rule, p[2] AS passed, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad FROM held GROUP BY 1, 2, 3),
+found AS (
+  SELECT *, sum(good) OVER (PARTITION BY stratum, rule) AS n, sum(bad) OVER (PARTITION BY stratum, rule) AS n_bad,
+         sum(good) OVER (PARTITION BY stratum, rule ORDER BY passed DESC) AS k, sum(bad) OVER (PARTITION BY stratum, rule ORDER BY passed DESC) AS k_bad
+  FROM cell),
+safe AS (
+  SELECT *, k_bad * n - k * n_bad AS gain,
+         list_sum(list_transform(range((k + 1)::BIGINT), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) AS tail
+  FROM found WHERE passed > 0 AND k < n * {risk}),
+best AS (
+  SELECT stratum, rule, passed FROM safe WHERE gain > 0 AND tail * (SELECT count(DISTINCT stratum) FROM cell) * {cutoffs} <= {error}
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, passed DESC) = 1),
+cut AS (SELECT stratum, list([rule, passed]) AS cuts FROM best GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(len(list_filter(cuts, lambda c: places[c[1] + 1][2] >= c[2])), 0) = 0 AS kept
+FROM j LEFT JOIN cut USING (stratum)
+"""
+
+
+SQL["op2_quality_rules"] = _rules_sql()
