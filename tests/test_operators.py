@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import scalars as s
-from tidemark.operators import calendar, finance, graphs, history, keys, ordered, quality, revenue, semistructured, service, text_rules, usage
+from tidemark.operators import calendar, finance, graphs, history, keys, ordered, planning, quality, revenue, semistructured, service, text_rules, usage
 from tidemark.plans import run
 from tidemark.sources import files
 
@@ -182,6 +182,17 @@ def test_cycles_and_lost_ends_have_no_root(spark):
     assert got == {1: (1, 0), 2: (1, 1), 100: (1, 1)} | {k: (1, k - 99) for k in range(101, 140)}
 
 
+def test_open_per_day_equals_counting_days(spark):
+    d = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    rnd = random.Random(3)
+    data = [(k, rnd.choice(["a", "b", None]), d(rnd.randrange(30)), rnd.choice([None, d(rnd.randrange(40))])) for k in range(200)]
+    df = spark.createDataFrame(data, "id int, g string, f date, u date")
+    days = calendar.expand_interval(df, "f", "u", "day", d(35), "day").groupBy("g", "day").agg(F.count("*").alias("n"), F.sum(F.datediff("day", "f")).alias("age"))
+    assert rows(calendar.open_per_day(df, ["g"], "f", "u", d(35)).select("g", "day", "open_count", "total_age")) == rows(days.select("g", "day", "n", "age"))
+    pieces = calendar.expand_interval(planning.ramp_intervals(df, "f", "u", 5).where("ramp_from < coalesce(ramp_to, date'2030-01-01')"), "ramp_from", "ramp_to", "day", d(35), "day")
+    assert rows(pieces.select("id", "day", "ramp_status")) == rows(planning.ramp_status(df, "f", "u", d(35), 5).select("id", "day", "ramp_status"))
+
+
 def test_points_on_a_threshold(spark):
     df = spark.createDataFrame([(0.5,), (0.8,), (0.79,)], "x double")
     got = [tuple(r) for r in df.select(usage.points(F.col("x"), 0.5, 0.8, True), usage.points(F.col("x"), 0.5, 0.8)).collect()]

@@ -161,6 +161,26 @@ def densify(df: DataFrame, keys: Sequence[str], month: str, extra_months: int =
     return grown.select(*out)
 
 
+def open_per_day(df: DataFrame, keys: Sequence[str], start: str, end: str, horizon: dt.date, born: str | None = None, name: str = "day") -> DataFrame:
+    """How many intervals ``[start, end)`` are open on each day per key: ``open_count``, and ``total_age`` in days since ``born`` (else ``start``).
+
+    Equal to expanding every interval to its days and counting, but an interval is only +1 on its first day and -1 after its last.
+    Changes are summed per day before they meet, so a key has at most one row per day. Open ends run to ``horizon``, included; days
+    without an open interval have no row.
+    """
+    until = F.coalesce(end, F.lit(horizon + dt.timedelta(days=1)))
+    since = F.datediff(born or start, F.lit(dt.date(1970, 1, 1))).cast("long")
+    change = lambda at, sign: F.struct(at.alias("at"), F.lit(sign).alias("n"), (sign * since).alias("born"))
+    changes = df.where(F.col(start) < until).select(*keys, F.explode(F.array(change(F.col(start), 1), change(until, -1))).alias("c"))
+    days = changes.groupBy(*keys, F.col("c.at").alias("__at")).agg(F.sum("c.n").alias("__n"), F.sum("c.born").alias("__born"))
+    w = W.partitionBy(*keys).orderBy("__at")
+    so_far = w.rowsBetween(W.unboundedPreceding, 0)
+    held = days.select(*keys, "__at", F.lead("__at").over(w).alias("__next"), F.sum("__n").over(so_far).alias("open_count"), F.sum("__born").over(so_far).alias("__born"))
+    out = held.where("open_count > 0").withColumn(name, F.explode(F.sequence("__at", F.date_sub("__next", 1), F.expr("INTERVAL 1 DAY"))))
+    age = F.col("open_count") * F.datediff(name, F.lit(dt.date(1970, 1, 1))) - F.col("__born")
+    return out.select(*keys, name, "open_count", age.cast("long").alias("total_age"))
+
+
 def expand_interval(df: DataFrame, start: str, end: str, unit: str = "month", horizon: dt.date | None = None,
                     name: str = "period") -> DataFrame:
     """One row per day or month in which the row is active: [start, end), an open end runs to ``horizon`` (included).

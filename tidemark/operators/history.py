@@ -126,12 +126,11 @@ def _without_gaps(scd: DataFrame, key: str, value: str, start: str, end: str, fi
     return rows.select(key, F.explode(pieces).alias("p")).select(key, "p.*")
 
 
-def state_on_day(entities: DataFrame, labels: DataFrame, key: str, opened: str, closed: str, horizon: dt.date,
-                 label: str, label_from: str, label_to: str) -> DataFrame:
-    """Every day an entity is open, with its age in days and the label valid that day (NULL when there is none).
+def state_intervals(entities: DataFrame, labels: DataFrame, key: str, opened: str, closed: str, horizon: dt.date,
+                    label: str, label_from: str, label_to: str) -> DataFrame:
+    """Intervals ``[open_from, open_to)`` in which an entity is open under one label (NULL when there is none), cut at months.
 
-    Entities and label versions meet in month bins by equality, and only the overlapping days are generated, after
-    the last shuffle; an entity-day never travels.
+    Entities and label versions meet in month bins by equality.
     """
     end_of_time = F.lit(horizon + dt.timedelta(days=1))
     e = entities.withColumns({"__a": F.col(opened), "__b": F.coalesce(closed, end_of_time)})
@@ -142,8 +141,18 @@ def state_on_day(entities: DataFrame, labels: DataFrame, key: str, opened: str,
     j = binned.join(lab, [key, "__bin"], "left")
     a = F.greatest("__a", "__bin", F.coalesce("__from", "__bin"))
     b = F.least("__b", F.add_months("__bin", 1), F.coalesce("__to", "__b"))
-    days = F.when(a < b, F.sequence(a, F.date_sub(b, 1), F.expr("INTERVAL 1 DAY")))
-    out = j.select(*[F.col(x) for x in entities.columns], label, F.explode(days).alias("day"))
+    return j.where(a < b).select(*[F.col(x) for x in entities.columns], label, a.alias("open_from"), b.alias("open_to"))
+
+
+def state_on_day(entities: DataFrame, labels: DataFrame, key: str, opened: str, closed: str, horizon: dt.date,
+                 label: str, label_from: str, label_to: str) -> DataFrame:
+    """Every day an entity is open, with its age in days and the label valid that day (NULL when there is none).
+
+    The days are generated after the last shuffle; an entity-day never travels. To count them, see ``calendar.open_per_day``.
+    """
+    pieces = state_intervals(entities, labels, key, opened, closed, horizon, label, label_from, label_to)
+    days = F.sequence("open_from", F.date_sub("open_to", 1), F.expr("INTERVAL 1 DAY"))
+    out = pieces.select(*[F.col(x) for x in entities.columns], label, F.explode(days).alias("day"))
     return out.withColumn("age_days", F.datediff("day", opened))
 
 

@@ -152,6 +152,14 @@ def ramp_status(people: DataFrame, start: str, end: str, horizon: dt.date, ramp_
     return days.withColumn("ramp_status", F.when(age < ramp_days, "ramping").otherwise("ramped"))
 
 
+def ramp_intervals(people: DataFrame, start: str, end: str, ramp_days: int) -> DataFrame:
+    """The part of a service spent ramping and the part after it, as intervals ``[ramp_from, ramp_to)``; an open end stays open."""
+    turn = F.date_add(start, ramp_days)
+    piece = lambda label, a, b: F.struct(F.lit(label).alias("ramp_status"), a.alias("ramp_from"), b.alias("ramp_to"))
+    parts = F.array(piece("ramping", F.col(start), F.least(F.coalesce(F.col(end), turn), turn)), piece("ramped", turn, F.col(end)))
+    return people.select("*", F.explode(parts).alias("__p")).select(*people.columns, "__p.*")
+
+
 def forecast_buckets(booked: DataFrame, snapshots: DataFrame, account: str, quarter: str) -> DataFrame:
     """Bookings by whether the account had open business at the quarter's start. ``snapshots`` holds (account, quarter)."""
     had = snapshots.select(account, quarter).distinct().withColumn("__had", F.lit(True))

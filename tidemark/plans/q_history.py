@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import history, ordered
+from tidemark.operators import calendar, history, ordered
 from tidemark.plans import inputs as i
 from tidemark.plans.registry import query
 
@@ -79,8 +79,8 @@ SELECT day, value AS label, count(*) AS open_orders, sum(date_diff('day', opened
 def order_state_on_day(t):
     ship = t.lineitem.groupBy("l_orderkey").agg(F.max(i.day("l_shipdate")).alias("closed"))
     o = t.orders.join(ship, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", F.col("o_custkey").alias("key"), i.day("o_orderdate").alias("opened"), "closed")
-    days = history.state_on_day(o, i.plan_history(t).withColumnRenamed("value", "label"), "key", "opened", "closed", i.ORDERS_AS_OF, "label", "valid_from", "valid_to")
-    return days.groupBy("day", "label").agg(F.count("*").alias("open_orders"), F.sum("age_days").cast("long").alias("total_age"))
+    pieces = history.state_intervals(o, i.plan_history(t).withColumnRenamed("value", "label"), "key", "opened", "closed", i.ORDERS_AS_OF, "label", "valid_from", "valid_to")
+    return calendar.open_per_day(pieces, ["label"], "open_from", "open_to", i.ORDERS_AS_OF, "opened").withColumnRenamed("open_count", "open_orders")
 
 
 @query("union_event_partitions", covers="P87 S10 U04 U05 T03", sql="""SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-05'""")

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import planning
+from tidemark.operators import calendar, planning
 from tidemark.plans import inputs as i
 from tidemark.plans.registry import query
 
@@ -141,8 +141,8 @@ SELECT day, s_nationkey, count(*) FILTER (date_diff('day', a, day) < 90) AS ramp
 def ramp_status(t):
     p = t.supplier.select("s_suppkey", "s_nationkey", F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("s_suppkey") % 200).cast("int")).alias("a"),
                           F.when(F.col("s_suppkey") % 4 == 0, F.lit(dt.date(2001, 6, 1))).alias("b"))
-    r = planning.ramp_status(p, "a", "b", i.ORDERS_AS_OF, 90)
-    return r.groupBy("day", "s_nationkey").agg(*[F.count_if(F.col("ramp_status") == k).alias(k) for k in ("ramping", "ramped")])
+    r = calendar.open_per_day(planning.ramp_intervals(p, "a", "b", 90), ["s_nationkey", "ramp_status"], "ramp_from", "ramp_to", i.ORDERS_AS_OF)
+    return r.groupBy("day", "s_nationkey").agg(*[F.coalesce(F.sum(F.when(F.col("ramp_status") == k, F.col("open_count"))), F.lit(0)).alias(k) for k in ("ramping", "ramped")])
 
 
 @query("forecast_buckets", covers="P52a", sql="""WITH b AS (SELECT o_custkey, date_trunc('quarter', o_orderdate) AS q, sum(o_totalprice) AS amount FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2), s AS (SELECT DISTINCT o_custkey, date_trunc('quarter', o_orderdate) AS q FROM orders WHERE o_orderstatus = 'O')

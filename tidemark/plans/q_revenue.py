@@ -357,5 +357,5 @@ def expand_charges_monthly(t):
 x AS (SELECT *, CAST(unnest(generate_series(valid_from, coalesce(CAST(valid_to - INTERVAL 1 DAY AS DATE), DATE '2001-12-31'), INTERVAL 1 DAY)) AS DATE) AS period FROM plan_history)
 SELECT period, value, count(*) AS customers FROM x GROUP BY 1, 2""")
 def expand_plan_daily(t):
-    x = calendar.expand_interval(i.plan_history(t), "valid_from", "valid_to", "day", i.ORDERS_AS_OF)
-    return x.groupBy("period", "value").agg(F.count("*").alias("customers"))
+    x = calendar.open_per_day(i.plan_history(t), ["value"], "valid_from", "valid_to", i.ORDERS_AS_OF, name="period")
+    return x.select("period", "value", F.col("open_count").alias("customers"))
