@@ -168,6 +168,43 @@ def active_users(events: DataFrame, user: str, account: str, ts: str, kind: str,
     ).join(names, ["month", "stage"])
 
 
+def stages_over_groups(metrics: DataFrame) -> DataFrame:
+    """Stages whose stage metric spans several groups, or mixes events that do and don't count for a group."""
+    own = metrics.where("smau").groupBy("stage").agg(F.countDistinct("group").alias("groups"), F.countDistinct("gmau").alias("flags"))
+    return own.where("groups > 1 or flags > 1").select("stage")
+
+
+def active_users_by_metric(events: DataFrame, metrics: DataFrame, user: str, account: str, ts: str, kind: str, paid: Column,
+                           window_days: int = 28) -> DataFrame:
+    """Active users per month and metric level (``umau``, ``gmau``, ``smau``, stage, group), as total, free and paid.
+
+    ``metrics`` has a row per event name (``kind, stage, group, umau, gmau, smau``). Where a stage metric spans several groups, its
+    events count once more for the stage as a whole, without group, and no longer for it at group level. Events of the
+    month's last ``window_days`` count; an account's plan is the one at its last event of the month, and events without an account count in
+    the total only.
+    """
+    day = F.to_date(F.col(ts))
+    named = metrics.select(F.col("kind").alias("__kind"), "stage", "group", "umau", "gmau", "smau").where("umau or gmau or smau")
+    wide = stages_over_groups(metrics).select(F.col("stage").alias("__wide"))
+    levels = named.join(wide, F.col("stage") == F.col("__wide"), "left")
+    over = F.col("__wide").isNotNull()
+    level = lambda gmau, smau, group: F.struct(gmau.alias("gmau"), smau.alias("smau"), group.alias("group"))
+    own = F.when(F.col("umau") | F.col("gmau") | (F.col("smau") & ~over), level(F.col("gmau"), F.col("smau") & ~over, F.col("group")))
+    whole = F.when(over & F.col("smau"), level(F.lit(False), F.lit(True), F.lit(None).cast(metrics.schema["group"].dataType)))
+    levels = levels.select("__kind", "stage", "umau", F.explode(F.array_compact(F.array(own, whole))).alias("__l")).select("__kind", "stage", "umau", "__l.*")
+
+    e = events.where(day >= F.date_sub(F.last_day(day), window_days - 1)).select(
+        F.trunc(day, "month").alias("month"), F.col(user).alias("user"), F.col(account).alias("account"), F.col(ts).alias("ts"), F.col(kind).alias("kind"), paid.alias("paid"))
+    e = e.join(named.select("__kind"), F.col("kind") == F.col("__kind"), "left_semi").where(F.col("user").isNotNull())
+    plan = e.where(F.col("account").isNotNull()).groupBy("month", "account").agg(F.max_by("paid", F.struct("ts", "kind")).alias("paid"))
+    folded = e.groupBy("month", "kind", "account", "user").agg(F.count("*").alias("n")).join(plan, ["month", "account"], "left")
+    groups = F.explode(F.array_compact(F.array(F.lit("total"), F.when(F.col("paid"), "paid").when(~F.col("paid"), "free"))))
+    rows = folded.join(levels, F.col("kind") == F.col("__kind")).select("*", groups.alias("user_group"))
+    return rows.groupBy("month", "umau", "gmau", "smau", "stage", "group", "user_group").agg(
+        F.sum("n").alias("event_count"), F.countDistinct("account").alias("account_count"), F.countDistinct("user").alias("user_count"),
+        F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("event_names"))
+
+
 def first_last_version(df: DataFrame, metric: str, version: str, install: str) -> DataFrame:
     """First and last version a metric was seen in, as sortable integer major * 100 + minor, with approximate installs."""
     parts = F.split(version, "\\.")

@@ -124,6 +124,27 @@ def active_users_monthly(t):
     return usage.active_users(e, "user_id", "account", "ts", "event_type", stage, K() % 3 == 0)
 
 
+METRICS = (("view", "browse", "read", False, True, True), ("click", "browse", "act", False, True, True), ("signup", "convert", "join", True, False, True),
+           ("purchase", "convert", "join", False, True, True), ("error", "other", "fail", False, True, True))
+
+
+@query("active_users_by_metric", covers="P37 A04 A15", sql=f"""WITH m(kind, stage, grp, umau, gmau, smau) AS (VALUES {', '.join(str(m) for m in METRICS)}),
+w AS (SELECT stage FROM m WHERE smau GROUP BY 1 HAVING count(DISTINCT grp) > 1 OR count(DISTINCT gmau) > 1),
+e AS (SELECT *, CAST(date_trunc('month', ts) AS DATE) AS month, nullif(user_id % 40, 7) AS account, {K_SQL} % 3 = 0 AS paid FROM events WHERE CAST(ts AS DATE) >= last_day(CAST(ts AS DATE)) - INTERVAL 27 DAY AND event_type IN (SELECT kind FROM m)),
+p AS (SELECT month, account, arg_max(paid, (ts, event_type)) AS account_paid FROM e WHERE account IS NOT NULL GROUP BY 1, 2),
+j AS (SELECT e.*, account_paid, m.stage, grp, umau, gmau, smau, m.stage IN (SELECT stage FROM w) AS over FROM e JOIN m ON event_type = kind LEFT JOIN p ON p.month = e.month AND p.account = e.account),
+l AS (SELECT * REPLACE (smau AND NOT over AS smau) FROM j WHERE umau OR gmau OR (smau AND NOT over) UNION ALL SELECT * REPLACE (false AS gmau, NULL AS grp) FROM j WHERE over AND smau),
+g AS (SELECT *, 'total' AS user_group FROM l UNION ALL SELECT *, CASE WHEN account_paid THEN 'paid' ELSE 'free' END FROM l WHERE account_paid IS NOT NULL)
+SELECT month, umau, gmau, smau, stage, grp AS "group", user_group, count(*) AS event_count, count(DISTINCT account) AS account_count, count(DISTINCT user_id) AS user_count, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_names FROM g GROUP BY ALL""")
+def active_users_by_metric(t):
+    kinds = t.events.select(F.col("event_type").alias("kind")).distinct()
+    row = lambda m: F.struct(*[F.lit(v).alias(n) for v, n in zip(m[1:], ("stage", "group", "umau", "gmau", "smau"))])
+    meaning = F.coalesce(*[F.when(F.col("kind") == m[0], row(m)) for m in METRICS])
+    metrics = kinds.select("kind", meaning.alias("m")).where("m is not null").select("kind", "m.*")
+    e = t.events.withColumn("account", F.nullif(F.col("user_id") % 40, F.lit(7)))
+    return usage.active_users_by_metric(e, metrics, "user_id", "account", "ts", "event_type", K() % 3 == 0)
+
+
 @query("first_last_version", covers="P38 A13", sql=f"""SELECT event_type, min({K_SQL} % 17 * 100 + {K_SQL} % 13) AS first_version, max({K_SQL} % 17 * 100 + {K_SQL} % 13) AS last_version, true AS estimate_is_near FROM events GROUP BY 1""")
 def first_last_version(t):
     """The approximate number of installs stands within 15 % of the exact one (three times its stated deviation)."""
