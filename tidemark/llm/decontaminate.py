@@ -27,8 +27,6 @@ from tidemark.llm.common import fresh, scratch, smaller_batches
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
-_built: dict[int, tuple[object, ahocorasick.Automaton]] = {}
-
 
 def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(NORMAL).split()
@@ -72,15 +70,14 @@ def scan(text: str | None, found: ahocorasick.Automaton) -> tuple[int, list[tupl
     return len(w), runs, names
 
 
-def _scan(items, size: int, key: int, text: str, outs: tuple[str, ...]):
+def _scan(sent, size: int, text: str, outs: tuple[str, ...]):
     n_words, hits, found_items, spans = outs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told = items.value
-        if _built.get(key, (None,))[0] is not told:
-            _built.clear()
-            _built[key] = (told, automaton(told, size))
-        machine = _built[key][1]
+        told = sent.value  # a worker keeps it from task to task, and the automaton with it
+        if "machine" not in told:
+            told["machine"] = automaton(told["items"], size)
+        machine = told["machine"]
         for b in batches:
             before = zip(b[hits].to_pylist(), b[found_items].to_pylist(), strict=True) if hits in b.schema.names else None
             n, runs, names, places = [], [], [], []
@@ -139,8 +136,8 @@ def contamination(
     shape = StructType([*df.schema.fields, *[StructField(o, t) for o, t in zip(outs, types, strict=True)]])
     for part in range(parts):
         own = told.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).collect()  # about ``limit`` bytes
-        sent = spark.sparkContext.broadcast([(r.id, r.text) for r in own])
-        df = df.mapInArrow(_scan(sent, size, part, text, outs), shape)
+        sent = spark.sparkContext.broadcast({"items": [(r.id, r.text) for r in own]})
+        df = df.mapInArrow(_scan(sent, size, text, outs), shape)
         if part + 1 < parts:
             df = scratch(df)  # one automaton at a time in a worker
     return df
