@@ -66,29 +66,24 @@ def copies(
         F.col(f"`{source}`").alias("source"),
         F.col(f"`{doc_id}`").alias("id"),
     )
-    at = at.withColumn("class", F.floor(16 * F.log2(F.col("size") + 1.5)).cast("int"))
-    at = at.withColumn("bucket", F.floor(buckets * unit(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))).cast("int"))
-    cell = ["source", "class", "bucket"]
+    # a struct isn't null and equals another where all parts do, so null sources meet and rows are dealt out only once
+    kind = F.floor(16 * F.log2(F.col("size") + 1.5)).cast("int").alias("class")
+    bucket = F.floor(buckets * unit(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))).cast("int").alias("bucket")
+    at = at.select("row", "size", "id", F.struct("source", kind, bucket).alias("cell"))
 
-    cells = scratch(at.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").cast("double").alias("words")))
-    line = W.partitionBy("source").orderBy("class", "bucket").rowsBetween(W.unboundedPreceding, -1)
+    cells = scratch(at.groupBy("cell").agg(F.count("*").alias("n"), F.sum("size").cast("double").alias("words")))
+    line = W.partitionBy("cell.source").orderBy("cell.class", "cell.bucket").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(line), F.lit(0)))
-    aims = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, at_most)
+    aims = targets(cells.groupBy(F.col("cell.source").alias("source")).agg(F.sum("words").alias("source_size")), weights, share, at_most)
     aims = aims.select(
         F.col("source").alias("aim"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"),
     )
-    cells = cells.join(aims, F.col("source").eqNullSafe(F.col("aim")), "left").select(
-        F.struct(*cell).alias("cell"), "before", "rate", F.col("source_size").cast("long").alias("source_size"), "target"
-    )
-    placed = at.withColumn("rank", F.row_number().over(W.partitionBy(*cell).orderBy("size", "id")))
-    both = placed.join(
-        cells,
-        (F.coalesce("source", F.lit("")) == F.coalesce("cell.source", F.lit("")))
-        & (F.col("source").isNull() == F.col("cell.source").isNull())
-        & (F.col("class") == F.col("cell.class"))
-        & (F.col("bucket") == F.col("cell.bucket")),
+    cells = cells.join(aims, F.col("cell.source").eqNullSafe(F.col("aim")), "left").select(
+        "cell", "before", "rate", F.col("source_size").cast("long").alias("source_size"), "target"
     )
+    placed = at.withColumn("rank", F.row_number().over(W.partitionBy("cell").orderBy("size", "id")))
+    both = placed.join(cells, "cell").withColumn("source", F.col("cell.source"))
     offset = unit(seed, F.col("source").isNull(), F.coalesce("source", F.lit("")))
     end = F.col("before") + F.col("rank")
     emitted = F.floor(F.col("rate") * end + offset) - F.floor(F.col("rate") * (end - 1) + offset)
