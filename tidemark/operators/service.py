@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import least_or_null, ratio, seconds_between
