@@ -33,7 +33,7 @@ def csv_million(spark, folder: str) -> float:
     path = f"{shared_dir(spark)}/csv-million-{os.getpid()}"
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
     rows = items.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(-(-1_000_000 // items.count()))))).limit(1_000_000)
-    rows.select(F.monotonically_increasing_id().alias("id"), F.col("l_shipmode").alias("name"), F.col("l_extendedprice").cast("decimal(12,2)").alias("purchase_amount"),
+    rows.select(F.monotonically_increasing_id().alias("id"), F.col("l_returnflag").alias("name"), F.col("l_extendedprice").cast("decimal(12,2)").alias("purchase_amount"),
                 F.to_date("l_shipdate").alias("purchase_date")).write.csv(f"{path}/in", header=True)
     start = time.perf_counter()
     files.csv_update(spark, f"{path}/in", f"{path}/out", CSV_COLUMNS, "id", "purchase_amount", lambda x: x + 10)
