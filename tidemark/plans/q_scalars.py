@@ -46,6 +46,17 @@ def masked_random(t):
     return m.select("c_custkey", F.length("masked").alias("n"), F.col("masked").rlike("^[A-Za-z0-9]*$").alias("is_plain"))
 
 
+@query("timestamps_from_text", covers="F05", sql="""WITH x AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS good, CASE WHEN o_orderkey % 7 = 0 THEN 'no date' WHEN o_orderkey % 7 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS maybe FROM orders)
+SELECT o_orderkey, CAST(good AS TIMESTAMP) AS strict, TRY_CAST(maybe AS TIMESTAMP) AS tried, maybe AS held FROM x""")
+def timestamps_from_text(t):
+    """Text to time, failing or NULL where it doesn't parse, and a value held as a variant."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    maybe = F.when(k % 7 == 0, "no date").when(k % 7 != 1, F.date_format(day, "yyyy-MM-dd"))
+    x = t.orders.select(k, F.date_format(day, "yyyy-MM-dd HH:mm:ss").alias("good"), maybe.alias("maybe"))
+    held = F.variant_get(F.to_variant_object(F.struct("maybe")), "$.maybe", "string")
+    return x.select("o_orderkey", F.to_timestamp_ntz("good").alias("strict"), F.try_to_timestamp("maybe").cast("timestamp_ntz").alias("tried"), held.alias("held"))
+
+
 @query("conditional_functions", covers="F05 F06 F12", sql="""WITH x AS (SELECT p_partkey, nullif(p_size % 5, 0) AS a, nullif(p_size % 3, 0) AS b FROM part) SELECT p_partkey, coalesce(a, b, -1) AS co, ifnull(a, 9) AS ifn, coalesce(a, 0) AS zin, nullif(b, 0) AS niz, CASE WHEN a > b THEN 'y' ELSE 'n' END AS iff, CASE a WHEN 1 THEN 'one' WHEN 2 THEN 'two' ELSE 'more' END AS dec,
  a IS NOT DISTINCT FROM b AS eqn, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN least(a, b) END AS lst, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN greatest(a, b) END AS grt FROM x""")
 def conditional_functions(t):
