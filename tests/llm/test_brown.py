@@ -73,3 +73,29 @@ def test_odd_rows(spark, odd, empty):
     blank = brown.fit(empty)
     r = brown.score(odd.where("doc_id = 1"), blank).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (1, 0, 0) and math.isfinite(r.score)
+
+
+def test_all_frequent_words_choose_their_class(spark):
+    rng = np.random.default_rng(2)  # a- and b-words take turns; all end alike, and two of them are seeds
+    kinds = [[f"{k}{i:02}same" for i in range(30)] for k in "ab"]
+    texts = [(i, " ".join(kinds[(i + j) % 2][rng.integers(0, 30)] for j in range(40))) for i in range(100)]
+    model = brown.fit(spark.createDataFrame(texts, "doc_id long, text string"), clustered=2, groups=1, classes=3)
+    items = brown.Items(model.common, model.groups)
+    a, b = ({int(model.own[items.of(w.encode())]) for w in kind} for kind in kinds)
+    assert len(model.common) == 60 and len(a) == len(b) == 1 and a != b
+
+
+def test_many_moves_at_once_are_those_of_one():
+    rng = np.random.default_rng(3)
+    pairs = rng.poisson(2.0, (30, 30)).astype(float)
+    own = np.append(0, 1 + np.arange(29) % 4)
+    member = np.eye(5)[own]
+    between, (r, c) = member.T @ pairs @ member, (pairs @ member, pairs.T @ member)
+    got = brown.best_class(between, own, r, c, np.diag(pairs).copy())
+    for i in range(1, 30):
+        values = []
+        for k in range(1, 5):
+            m = member.copy()
+            m[i] = np.eye(5)[k]
+            values.append(brown._likelihood(m.T @ pairs @ m))
+        assert got[i] == 1 + int(np.argmax(values))

@@ -1,14 +1,16 @@
 """Language-model scoring with word classes: P(text) = product of P(class | class before) * P(word | class).
 
-Classes come from exchange clustering of the commonest words, and of the endings that all other words are grouped by, so every
-word has a class that its spelling and the list of common words tell. Counts of words and of neighbouring classes cover all training text;
-both are added up in the workers before they are shuffled. A worker knows the counts of ``head`` words; the counts of other words reach a document by a
+Classes come from exchange clustering of every word above a small count, and of the endings that rarer words are grouped by, so every
+word has a class that its spelling and the table of clustered words (by hash) tell. Counts of words and of neighbours cover all training text;
+both are added up in the workers before they are shuffled. The neighbours of an item are kept together, so a round of the
+exchange shuffles nothing: workers get the classes of all items and the counts of class pairs, and give back the moves. A worker knows the counts of ``head`` words; the counts of other words reach a document by a
 join on the word, which can have no hot key, as such words are rare. Both the base and the model add 1 to the count of a word, so one sum per
 document, of log10(count + 1) over its rare words, completes both scores.
 """
 
 from __future__ import annotations
 
+import contextlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,7 +19,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc, scratch, smaller_batches
@@ -57,37 +59,136 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class Items:
-    """Numbers of what is clustered: 0 the end of a text, then common words, then endings."""
+    """Numbers of what is clustered: 0 the end of a text, then the words whose hashes are in ``common`` (sorted), then endings."""
 
-    def __init__(self, common: list[bytes], groups: int):
-        self.groups, self.size = groups, 1 + len(common) + groups
-        self.known = {END: 0} | {w: i + 1 for i, w in enumerate(common)}
+    def __init__(self, common: np.ndarray, groups: int, most: int = 500_000):
+        self.common, self.groups, self.most = common, groups, most
         self.first_group = 1 + len(common)
-        self.endings: dict[bytes, int] = {}
+        self.size = self.first_group + groups
+        self.known = {END: 0}
+
+    def numbers(self, line: list[bytes]) -> np.ndarray:
+        if len(self.known) > self.most:
+            self.known = {END: 0}
+        new = list(set(line) - self.known.keys())
+        if new:
+            found = np.array([self.first_group + ending(w, self.groups) for w in new], np.int64)
+            if len(self.common):
+                own = _hashes(new)
+                at = np.minimum(np.searchsorted(self.common, own), len(self.common) - 1)
+                found = np.where(self.common[at] == own, 1 + at, found)
+            self.known.update(zip(new, found.tolist(), strict=True))
+        return np.fromiter(map(self.known.__getitem__, line), np.int64, len(line))
 
     def of(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            found = self.endings.get(word[-3:])
-            if found is None:
-                found = self.endings[word[-3:]] = self.first_group + ending(word, self.groups)
-        return found
+        return int(self.numbers([word])[0])
+
+
+@contextlib.contextmanager
+def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within, Python workers get at most ``rows`` rows at once, as each is an array of many counts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
-def _neighbours(common: list[bytes], groups: int):
+def _named(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(common, groups)
-        pairs = np.zeros(items.size**2, np.int64)
         for b in batches:
-            line = [0]
+            words = b["word"].to_pylist()
+            found = [pa.array(_hashes(words).view(np.int64)), pa.array([ending(w, groups) for w in words], pa.int32()), b["n"]]
+            yield pa.RecordBatch.from_arrays(found, names=["hash", "group", "n"])
+
+    return run
+
+
+def _pack(item: np.ndarray, other: np.ndarray, n: np.ndarray) -> bytes:
+    return item.astype(np.uint32).tobytes() + other.astype(np.uint32).tobytes() + n.astype(np.int64).tobytes()
+
+
+def _unpack(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k = len(cells) // 16
+    item, other = np.frombuffer(cells, np.uint32, 2 * k).astype(np.int64).reshape(2, k)
+    return item, other, np.frombuffer(cells, np.int64, k, 8 * k)
+
+
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sum of ``n`` of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _neighbours(sent, groups: int, buckets: int, chunk: int = 2_000_000):
+    """Per bucket of items, counts of (item, item after it) and (item, size + item before it), added up over ``chunk`` tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(sent.value, groups)
+        size, waiting, held = items.size, [], 0
+
+        def told() -> pa.RecordBatch:
+            pair, n = np.unique(np.concatenate(waiting), return_counts=True)
+            a, b = pair // size, pair % size
+            item, other = np.concatenate([a, b]), np.concatenate([b, size + a])
+            order = np.lexsort((other, item, item % buckets))
+            item, other, n = item[order], other[order], np.concatenate([n, n])[order]
+            ends = np.append(np.searchsorted(item % buckets, np.arange(buckets)), len(item)).tolist()
+            parts = [(k, _pack(item[i:j], other[i:j], n[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["bucket", "cells"])
+
+        for b in batches:
+            line = [END]
             for text in b["text"].to_pylist():
-                line += map(items.of, tokens(text))
-                line.append(0)
-            own = np.array(line)
-            pairs += np.bincount(own[:-1] * items.size + own[1:], minlength=len(pairs))
-        at = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(pairs[at])], names=["pair", "n"])
+                line += tokens(text)
+                line.append(END)
+            own = items.numbers(line)
+            waiting.append(own[:-1] * size + own[1:])
+            held += len(own)
+            if held > chunk:
+                yield told()
+                waiting, held = [], 0
+        if held:
+            yield told()
+
+    return run
+
+
+def _merge(most: int = 4_000_000):
+    """Rows sorted by bucket -> one row per bucket, with every item's neighbours."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts, held = None, [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            return _added(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+
+        def told() -> pa.RecordBatch:
+            keys, n = added()
+            cells = _pack(keys >> 32, keys & 0xFFFFFFFF, n)
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([cells], pa.binary())], names=["bucket", "cells"])
+
+        for b in batches:
+            for k, cells in zip(b["bucket"].to_pylist(), b["cells"].to_pylist(), strict=True):
+                if k != bucket and parts:
+                    yield told()
+                    parts, held = [], 0
+                bucket = k
+                item, other, n = _unpack(cells)
+                parts.append((item << 32 | other, n))
+                held += len(n)
+                if held > most + 2 * len(parts[0][0]):
+                    parts = [added()]
+                    held = 0
+        if parts:
+            yield told()
 
     return run
 
@@ -149,26 +250,147 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     return own
 
 
+def _seeds(sent, first: int):
+    """Counts of neighbouring seeds: items as ``fold`` names them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold = sent.value
+        size = len(fold)
+        pairs = np.zeros(first**2, np.int64)
+        for b in batches:
+            for cells in b["cells"].to_pylist():
+                item, other, n = _unpack(cells)
+                after = other < size
+                pairs += np.bincount(fold[item[after]] * first + fold[other[after]], n[after], len(pairs)).astype(np.int64)
+        at = np.flatnonzero(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(pairs[at])], names=["pair", "n"])
+
+    return run
+
+
 def _cluster(size: int, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(size**2)
         for b in batches:
             pairs[b["pair"].to_numpy()] += b["n"].to_numpy()
-        pairs = pairs.reshape(size, size)
-        own = exchange(pairs, classes)
-        member = np.zeros((size, classes))
-        member[np.arange(size), own] = 1
-        between = member.T @ pairs @ member
-        yield pa.RecordBatch.from_arrays([pa.array([own.tolist()]), pa.array([between.ravel().tolist()])], names=["own", "between"])
+        own = exchange(pairs.reshape(size, size), classes)
+        yield pa.RecordBatch.from_arrays([pa.array([own.tolist()])], names=["own"])
 
     return run
 
 
-def _classed(common: list[bytes], groups: int, own: np.ndarray):
+def _between(sent, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        sums = np.zeros(classes**2)
+        for b in batches:
+            for cells in b["cells"].to_pylist():
+                item, other, n = _unpack(cells)
+                after = other < len(own)
+                sums += np.bincount(own[item[after]].astype(np.int64) * classes + own[other[after]], n[after], classes**2)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()])], names=["sums"])
+
+    return run
+
+
+def best_class(between: np.ndarray, old: np.ndarray, r: np.ndarray, c: np.ndarray, loop: np.ndarray) -> np.ndarray:
+    """The step of :func:`exchange` for many items at once, each as if it alone moved: the class of each that suits it best.
+
+    ``r`` and ``c`` are its counts to classes after it and from classes before it, ``loop`` those of the item after itself.
+    """
+    k, each = np.arange(len(old)), np.arange(len(between))
+    r, c = r.copy(), c.copy()
+    r[k, old] -= loop
+    c[k, old] -= loop
+    b = np.repeat(between[None], len(old), axis=0)
+    b[k, old] -= r
+    b[k, :, old] -= c
+    b[k, old, old] -= loop
+    base = _xlogx(b)
+    gain = (_xlogx(b + r[:, None, :]) - base).sum(axis=2) + (_xlogx(b + c[:, :, None]) - base).sum(axis=1)
+    diagonal, loop = b[:, each, each], loop[:, None]
+    gain += _xlogx(diagonal + r + c + loop) + _xlogx(diagonal) - _xlogx(diagonal + r) - _xlogx(diagonal + c)
+    out, come = b.sum(axis=2) + c, b.sum(axis=1) + r
+    gain -= _xlogx(out + r.sum(axis=1, keepdims=True) + loop) - _xlogx(out) + _xlogx(come + c.sum(axis=1, keepdims=True) + loop) - _xlogx(come)
+    gain[:, 0] = -np.inf
+    new = gain.argmax(axis=1)
+    return np.where(gain[k, new] > gain[k, old] + 1e-9, new, old)
+
+
+def _moves(sent, classes: int, turn: int, share: int):
+    """Of the items whose turn it is (one in ``share``), those that another class suits better, and this class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, between = sent.value
+        size = len(own)
+        for b in batches:
+            for cells in b["cells"].to_pylist():
+                item, other, n = _unpack(cells)
+                asked = (item > 0) & (((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % share == turn % share)
+                item, other, n = item[asked], other[asked], n[asked]
+                if not len(item):
+                    continue
+                first = np.append(True, item[1:] != item[:-1])
+                at, row = item[first], np.cumsum(first) - 1
+                after = other < size
+                both = np.bincount((row * 2 + ~after) * classes + own[np.where(after, other, other - size)], n, len(at) * 2 * classes)
+                both = both.reshape(len(at), 2, classes)
+                loop = np.bincount(row, n * (other == item), len(at))
+                old = own[at].astype(np.int64)
+                new = np.concatenate([
+                    best_class(between, old[i : i + 64], both[i : i + 64, 0], both[i : i + 64, 1], loop[i : i + 64]) for i in range(0, len(at), 64)
+                ])
+                gone = new != old
+                yield pa.RecordBatch.from_arrays([pa.array([np.stack([at[gone], new[gone]]).tobytes()], pa.binary())], names=["moves"])
+
+    return run
+
+
+def _likelihood(between: np.ndarray) -> float:
+    return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
+
+
+def exchange_all(cells: DataFrame, own: np.ndarray, classes: int, few: float = 5e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all items and the counts of neighbouring classes, from the classes ``own`` on.
+
+    In a round, half of the items move at once, each to the class that suits it best as the classes are. If that doesn't raise the likelihood, half
+    of the moves are made, and so on. It ends when a turn of all items moves none or raises the likelihood by less than ``few`` nats per token.
+    """
+    spark = cells.sparkSession
+
+    def counted(own: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(own)
+        found = sum((np.array(r.sums) for r in cells.mapInArrow(_between(sent, classes), "sums array<double>").collect()), np.zeros(classes**2))
+        sent.unpersist()
+        return found.reshape(classes, classes)
+
+    own = own.astype(np.int16)
+    between = counted(own)
+    best, share, draw = _likelihood(between), 2, np.random.default_rng(1)
+    while True:
+        before = best
+        for turn in range(share):
+            sent = spark.sparkContext.broadcast((own, between))
+            found = [np.frombuffer(r.moves, np.int64).reshape(2, -1) for r in cells.mapInArrow(_moves(sent, classes, turn, share), "moves binary").collect()]
+            sent.unpersist()
+            moves = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+            moves = moves[:, draw.permutation(np.argsort(moves[0]))]
+            while moves.shape[1]:
+                trial = own.copy()
+                trial[moves[0]] = moves[1]
+                table = counted(trial)
+                if (now := _likelihood(table)) > best:
+                    own, between, best = trial, table, now
+                    break
+                moves = moves[:, : moves.shape[1] // 2]
+        if best - before <= few * between.sum():
+            return own, between
+
+
+def _classed(sent, groups: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, own = sent.value
         items = Items(common, groups)
         for b in batches:
-            found = own[np.fromiter(map(items.of, b["word"].to_pylist()), np.int64, len(b))]
+            found = own[items.numbers(b["word"].to_pylist())].astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), b["n"]], names=["class", "n"])
 
     return run
@@ -176,12 +398,12 @@ def _classed(common: list[bytes], groups: int, own: np.ndarray):
 
 @dataclass
 class Model:
-    """``counts`` (word, n) is a table of all words; all else is bounded by the parameters."""
+    """``counts`` (word, n) is a table of all words; ``common`` and ``own`` have some 10 bytes per clustered word; all else is bounded by the parameters."""
 
     counts: DataFrame
     tokens: int
     types: int
-    common: list[bytes]
+    common: np.ndarray  # sorted hashes of the words clustered one by one
     groups: int
     own: np.ndarray  # class of each item
     step: np.ndarray  # log10 P(class | class before)
@@ -189,9 +411,11 @@ class Model:
     head: dict[bytes, int]
 
 
-def fit(docs: DataFrame, text: str = "text", head: int = 200_000, clustered: int = 800, groups: int = 128, classes: int = 48) -> Model:
-    """Model of all rows of ``docs``. ``head`` bounds the words sent to workers with their counts, ``clustered`` the words clustered one by one.
+def fit(docs: DataFrame, text: str = "text", head: int = 200_000, clustered: int = 800, groups: int = 128, classes: int = 48, often: int = 10) -> Model:
+    """Model of all rows of ``docs``. ``head`` bounds the words sent to workers with their counts.
 
+    Every word that occurs ``often`` times has a class of its own choice. The ``clustered`` commonest and the endings are moved one after the other
+    first; then all of them, starting from the classes of their endings, in parallel (:func:`exchange_all`).
     Words are taken into the head from the highest counts down, all words of about the same count together (a 64th of an octave).
     """
     docs = docs.select(F.col(f"`{text}`").alias("text"))
@@ -206,15 +430,30 @@ def fit(docs: DataFrame, text: str = "text", head: int = 200_000, clustered: int
         least = r.level
     top = counts.where(level >= least).collect() if least is not None else []
     known = {bytes(r.word): r.n for r in top}
-    common = [w for w in sorted(known, key=lambda w: (-known[w], w)) if w != END][:clustered]
-
+    spark = docs.sparkSession
+    named = counts.where((F.col("n") >= often) & (F.length("word") > 0)).mapInArrow(_named(groups), "hash long, group int, n long").toArrow()
+    common, at = np.unique(named["hash"].to_numpy().view(np.uint64), return_index=True)
     size = 1 + len(common) + groups
-    pairs = docs.mapInArrow(_neighbours(common, groups), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    found = pairs.repartition(1).mapInArrow(_cluster(size, classes), "own array<bigint>, between array<double>").first()
-    own, between = (np.array(found.own), np.array(found.between)) if found else (np.minimum(np.arange(size), 1), np.zeros(classes**2))
-    between = between.reshape(classes, classes) + 0.1
+    seeds = np.lexsort((common, -named["n"].to_numpy()[at]))[:clustered]
+    first = 1 + len(seeds) + groups
+    fold = np.concatenate([[0], 1 + len(seeds) + named["group"].to_numpy()[at], 1 + len(seeds) + np.arange(groups)])
+    fold[1 + seeds] = 1 + np.arange(len(seeds))
+
+    told = spark.sparkContext.broadcast(common)
+    buckets = max(64, int(total.n or 0) >> 20)
+    with _batches(spark, 64):
+        parts = docs.mapInArrow(_neighbours(told, groups, buckets), "bucket int, cells binary")
+        cells = scratch(parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(), "bucket int, cells binary"))
+    with _batches(spark, 2):
+        folded = scratch(cells.mapInArrow(_seeds(spark.sparkContext.broadcast(fold), first), "pair long, n long"))
+    pairs = folded.groupBy("pair").agg(F.sum("n").alias("n"))
+    found = pairs.repartition(1).mapInArrow(_cluster(first, classes), "own array<bigint>").first()
+    with _batches(spark, 2):
+        own, between = exchange_all(cells, np.array(found.own)[fold] if found else np.minimum(fold, 1), classes)
+    between = between + 0.1
     spread = np.full(classes, np.log10(2.0))
-    for r in counts.mapInArrow(_classed(common, groups, own), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
+    told = spark.sparkContext.broadcast((common, own))
+    for r in counts.mapInArrow(_classed(told, groups), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
         spread[r["class"]] = np.log10(r.n + r.types + 1)
     step = np.log10(between / between.sum(axis=1, keepdims=True))
     return Model(counts, int(total.n or 0), int(total.types), common, groups, own, step, spread, known)
@@ -224,13 +463,12 @@ def _score(sent, base: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, groups, own, step, spread, head = sent.value
         items = Items(common, groups)
-        own = np.asarray(own)
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("row", "word", "m", "known", "part", "score", "base_score", "doc_id")}
             for row, doc_id, text in zip(*(b[k].to_pylist() for k in ("row", "doc_id", "text")), strict=True):
                 words = tokens(text)
                 words.append(END)
-                line = own[np.fromiter(map(items.of, words), np.int64, len(words))]
+                line = own[items.numbers(words)]
                 walk = step[np.append(0, line[:-1]), line].sum() - spread[line].sum()
                 rare, part, seen = Counter(), 0.0, 0
                 for w, k in Counter(words).items():
@@ -264,7 +502,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     smaller_batches(spark)
     base = float(np.log10(model.tokens + model.types + 1))
-    sent = spark.sparkContext.broadcast((model.common, model.groups, model.own.tolist(), model.step, model.spread, model.head))
+    sent = spark.sparkContext.broadcast((model.common, model.groups, model.own, model.step, model.spread, model.head))
     kind = docs.select(F.col(f"`{doc_id}`")).dtypes[0][1]
     at = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").alias("text"))
 
