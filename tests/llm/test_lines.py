@@ -84,3 +84,20 @@ def test_kept_text_is_what_the_hash_says(spark):
     docs = odd_documents(spark, [(i, t, "s") for i, t in rows])
     for r, want in zip(told(lines.dedup_lines(docs)), brute(rows), strict=True):
         assert hashlib.sha256(r[3].encode()).hexdigest() == hashlib.sha256(want[3].encode()).hexdigest()
+
+
+def test_key_leaves_only_the_filter_that_holds_it(spark):
+    def rows(keys, doc):
+        return spark.createDataFrame([(k, 1, doc) for k in keys], "k1 long, k2 long, id long")
+
+    few = [(i + 1 << 48) + i for i in range(40)]
+    like = [k + (1 << 30) for k in few]  # same mark and bucket in the filters of both batches
+    many = like + [(i + 1000 << 48) + i for i in range(4000)]
+    anew = [
+        lines.insert(lines.empty_index(spark, 1), rows(few, 1).unionByName(rows(few, 3))),
+        lines.insert(lines.empty_index(spark, 1), rows(many, 2).unionByName(rows(many, 3))),
+    ]
+    both = lines.insert(lines.insert(lines.empty_index(spark, 1), rows(few, 1)), rows(many, 2))
+    for gone, again, want in ((2, few, anew[0]), (1, many, anew[1])):
+        index = lines.delete(both, spark.createDataFrame([(gone,)], "doc_id long"))
+        assert state(lines.insert(index, rows(again, 3))) == state(want)

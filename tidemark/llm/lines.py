@@ -3,9 +3,9 @@
 The index knows every line key of the documents inserted so far: ``postings`` (key, document), ``refs`` (key, number of documents, largest
 document) and, per shard of the key space, cuckoo filters with a fingerprint of each live key. A batch is inserted by counting its
 keys and asking the filters of each shard: a key that no filter knows is surely new and is only appended; the others, known keys
-and a few false alarms, are merged with the exact table. Deleting documents takes their references back, and a key without references
-leaves its filter. A filter is sized for the keys a batch adds to a shard and never grows; the next batch adds another one. Counting
-comes first, so a line that a third of all documents share is one row by the time it reaches a shard.
+and a few false alarms, are merged with the exact table, and the false alarms get a small filter of their own. The table tells which filter holds a
+key. Deleting documents takes their references back, and a key without references leaves this filter and no other. A filter is sized for
+the keys a batch adds to a shard and never grows; the next batch adds another one. Counting comes first, so a line that a third of all documents share is one row by the time it reaches a shard.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ class Cuckoo:
 @dataclass
 class LineIndex:
     postings: DataFrame  # k1, k2, id
-    refs: DataFrame  # k1, k2, n_docs, last
+    refs: DataFrame  # k1, k2, n_docs, last, batch (of the filter that holds the key)
     filters: DataFrame  # shard, batch, cells
     shards: int
     batch: int = 0
@@ -108,7 +108,7 @@ REFS, FILTERS = "k1 long, k2 long, n_docs long, last long", "shard long, batch i
 def empty_index(spark: SparkSession, shards: int) -> LineIndex:
     """An index without documents. ``shards`` should keep a batch's keys per shard below a million or so."""
     return LineIndex(
-        spark.createDataFrame([], "k1 long, k2 long, id long"), spark.createDataFrame([], REFS), spark.createDataFrame([], FILTERS), shards
+        spark.createDataFrame([], "k1 long, k2 long, id long"), spark.createDataFrame([], f"{REFS}, batch int"), spark.createDataFrame([], FILTERS), shards
     )
 
 
@@ -168,6 +168,7 @@ def _ask(key: tuple, batch: pd.DataFrame, filters: pd.DataFrame, number: int) ->
 def insert(index: LineIndex, found: DataFrame) -> LineIndex:
     """The index with the :func:`postings` of further documents. No rows change nothing."""
     found, number = scratch(found), index.batch + 1
+    late = number + 1  # the filter of false alarms
     counted = found.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("id").alias("last")).select(_shard(index.shards), "*")
     shape = f"shard long, {REFS}, seen boolean, cells binary"
     asked = scratch(
@@ -180,35 +181,46 @@ def insert(index: LineIndex, found: DataFrame) -> LineIndex:
         "k1", "k2",
         (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"),
         F.greatest("last", "later").alias("last"),
+        F.coalesce("batch", F.lit(late)).alias("batch"),
     )
-    refs = scratch(merged.unionByName(rows.where("not seen").select("k1", "k2", "n_docs", "last")))
+    refs = scratch(merged.unionByName(rows.where("not seen").select("k1", "k2", "n_docs", "last", F.lit(number).alias("batch"))))
     fresh = asked.where("cells is not null").select("shard", F.lit(number).alias("batch"), "cells")
-    return LineIndex(index.postings.unionByName(found), refs, index.filters.unionByName(fresh), index.shards, number)
+    alarms = refs.where(F.col("batch") == late).select(_shard(index.shards), "k1", "batch")
+    alarms = scratch(alarms.groupBy("shard").applyInPandas(_hold, FILTERS))
+    return LineIndex(index.postings.unionByName(found), refs, index.filters.unionByName(fresh).unionByName(alarms), index.shards, late)
+
+
+def _hold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    cells = Cuckoo.build(rows["k1"].to_numpy(np.int64).view(np.uint64)).table.tobytes()
+    return pd.DataFrame([{"shard": key[0], "batch": rows["batch"].iloc[0], "cells": cells}])
 
 
 def _forget(key: tuple, dead: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    keys = dead["k1"].to_numpy(np.int64).view(np.uint64)
+    keys = {batch: k.to_numpy(np.int64).view(np.uint64) for batch, k in dead.groupby("batch")["k1"]}
     cells = []
-    for c in filters.sort_values("batch")["cells"]:
+    for batch, c in zip(filters["batch"], filters["cells"], strict=True):
         one = Cuckoo(np.frombuffer(c, np.uint16).reshape(-1, SLOTS).copy())
-        keys = keys[~one.remove(keys)]
+        if batch in keys:
+            one.remove(keys[batch])
         cells.append(one.table.tobytes())
-    return filters.sort_values("batch").assign(cells=cells)
+    return filters.assign(cells=cells)
 
 
 def delete(index: LineIndex, ids: DataFrame, doc_id: str = "doc_id") -> LineIndex:
     """The index as if the documents with these ids had never been inserted; unknown ids change nothing.
 
-    A key that stays gets its count and largest document anew from the exact postings; one that goes leaves the filters too (a filter
-    may give up the equal fingerprint of another key of its bucket, which is then the one that stays).
+    A key that stays gets its count and largest document anew from the exact postings; one that goes leaves the filter that holds it too (which
+    may give up the equal fingerprint of another key of the same two buckets, which is then the one that stays).
     """
     gone = ids.select(_id(doc_id)).distinct()
     left = scratch(index.postings.join(gone, "id", "left_anti").select("k1", "k2", "id"))
     touched = scratch(index.postings.join(gone, "id", "left_semi").select("k1", "k2").distinct())
     again = left.join(touched, ["k1", "k2"]).groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("id").alias("last"))
-    again = scratch(again)
-    refs = scratch(index.refs.join(touched, ["k1", "k2"], "left_anti").unionByName(again))
-    dead = touched.join(again, ["k1", "k2"], "left_anti").select(_shard(index.shards), "k1")
+    held = index.refs.select("k1", "k2", "batch").join(touched, ["k1", "k2"])
+    again = scratch(held.join(again, ["k1", "k2"], "left").select("k1", "k2", "n_docs", "last", "batch"))
+    stay = again.where("n_docs is not null")
+    refs = scratch(index.refs.join(touched, ["k1", "k2"], "left_anti").unionByName(stay))
+    dead = again.where("n_docs is null").select(_shard(index.shards), "k1", "batch")
     filters = scratch(dead.groupBy("shard").cogroup(index.filters.groupBy("shard")).applyInPandas(_forget, FILTERS))
     return LineIndex(left, refs, filters, index.shards, index.batch)
 
