@@ -83,3 +83,13 @@ def test_forest_and_components(spark):
     found = components(spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)], "a long, b long"))
     assert {r.node: r.root for r in found.collect()} == {i: int(r) for i, r in enumerate(want) if r != i}
     assert components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).limit(0)).count() == 0
+
+
+def test_samples_of_similar_pairs_agree_often_enough():
+    from inspect import signature
+    from math import ceil, comb
+
+    own = signature(jaccard.similar).parameters
+    p, n = own["threshold"].default, jaccard.SAMPLES
+    cut = ceil(n * (p - own["slack"].default) - 1e-9)
+    assert sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(cut)) < 1e-6

@@ -236,7 +236,7 @@ def similar(
     recall: float = 0.995,
     depth: int = 3,
     bucket: int = 1024,
-    slack: float = 0.2,
+    slack: float = 0.3,
     sent: int = 500_000,
 ) -> DataFrame:
     """A row per row of ``docs``: ``doc_id``, ``class_id``, ``n_links``, ``n_copies``, ``n_shingles``, ``first`` (this row stands for its class).
@@ -246,7 +246,7 @@ def similar(
     ``n_copies`` the rows with the same set, itself included. A class is what links connect, named by its least id (a null id counts as the least and
     names it null). A text without words (null, empty) is linked to nothing and a class of its own, with no copies but itself. Repeated rows are
     copies. Extra columns are ignored; no rows give no rows. A bucket misses a pair when fewer than ``threshold - slack`` of its samples agree
-    (at 0.8, once in 10,000 pairs), which another run or the rest of the group makes up for. Up to ``sent`` rows of candidate groups (48 bytes
+    (at 0.8, twice in 100 million pairs). All runs compare the same samples, so only the rest of the group makes up for it. Up to ``sent`` rows of candidate groups (48 bytes
     each) are broadcast to find their texts.
     """
     smaller_batches(docs.sparkSession)
