@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import brown, chat, decontaminate, jaccard, lines, mixing, quality, rules, substrings, urls
+from tidemark.llm import brown, chat, decontaminate, divergence, jaccard, lines, mixing, quality, resampling, rules, sharding, substrings, urls
 from tidemark.llm.common import n_words, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,109 @@ FROM j LEFT JOIN cut USING (stratum)
 
 
 SQL["op2_quality_rules"] = _rules_sql()
+
+
+@query
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length("text") + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("same"),
+    ).fillna({"size": 8})
+    dealt = sharding.shard(docs, size=F.col("size"), group=F.col("same"), shards=24)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: crc32 of the bytes whose hexadecimal digits are in {h}, by a table made from the polynomial.
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc)"
+_CRC = (
+    "xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all({h}, '..'), lambda x: ('0x' || x)::BIGINT), "
+    "lambda c, x: xor(c // 256, crc[xor(c % 256, x) + 1])), 4294967295)"
+)
+
+SQL["op11_sharding"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, (strlen(coalesce(text, '')) + 8)::BIGINT AS size, md5(coalesce(text, '')) AS g FROM documents),
+code AS (
+  SELECT g, {_CRC.format(h="h")}::BIGINT AS text_crc32 FROM (SELECT DISTINCT g, hex(encode(t)) AS h FROM d) x, {_CRC_TABLE}),
+grp AS (SELECT g, sum(size)::BIGINT AS bytes, min(coalesce(doc_id, -9223372036854775808)) AS first FROM d GROUP BY g),
+line AS (SELECT *, row_number() OVER (ORDER BY bytes DESC, first, g) AS k FROM grp),
+lpt AS (
+  SELECT 0::BIGINT AS k, -1::BIGINT AS shard, list_transform(range(24), lambda i: 0::BIGINT) AS loads
+  UNION ALL
+  SELECT line.k, list_position(loads, list_min(loads)) - 1,
+         list_transform(loads, lambda x, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN x + bytes ELSE x END)
+  FROM lpt JOIN line ON line.k = lpt.k + 1),
+place AS (
+  SELECT a.g, b.shard
+  FROM (SELECT g, bytes, row_number() OVER (PARTITION BY bytes ORDER BY k) AS n FROM line) a
+  JOIN (SELECT bytes, shard, row_number() OVER (PARTITION BY bytes ORDER BY shard) AS n FROM lpt JOIN line USING (k)) b USING (bytes, n))
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, g) - 1 AS slot, NULL::INT AS grown_shard
+FROM d JOIN place USING (g) JOIN code USING (g)
+"""
+
+
+@query
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+SQL["op12_divergence"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+own AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+lang AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY 1),
+grp AS (SELECT DISTINCT lang, source FROM d),
+total AS (SELECT lang, source, sum(n) AS n FROM own GROUP BY 1, 2),
+cell AS (
+  SELECT grp.lang, source, term, coalesce(own.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(own.n, 0) + 1) // (coalesce(total.n, 0) + lang.v))::HUGEINT AS p,
+         (1 + 1000000000::HUGEINT * (kept.n + 1) // (lang.n + lang.v))::HUGEINT AS q
+  FROM grp JOIN kept USING (lang) JOIN lang USING (lang) LEFT JOIN own USING (lang, source, term) LEFT JOIN total USING (lang, source)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM cell a JOIN cell b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+every AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+term AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM cell WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)))::INT AS rank FROM every
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)))::INT AS rank FROM term)
+WHERE rank <= 200
+"""
+
+
+@query
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op13_resampling"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+i AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+own AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY 1, 2),
+aim AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM i) GROUP BY 1),
+code AS (
+  SELECT w, {_CRC.format(h="h")} % 10000 AS b
+  FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM own UNION SELECT w FROM aim)) x, {_CRC_TABLE}),
+s AS (SELECT b, sum(n)::DOUBLE AS s FROM own JOIN code USING (w) GROUP BY 1),
+t AS (SELECT b, sum(n)::DOUBLE AS t FROM aim JOIN code USING (w) GROUP BY 1),
+gain AS (
+  SELECT s.b, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM s) + 10000) / ((s + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (b)),
+weight AS (SELECT r, sum(n * gain)::BIGINT AS weight FROM own JOIN code USING (w) JOIN gain USING (b) GROUP BY 1),
+score AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN weight USING (r)),
+line AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features) END AS k FROM score)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= (SELECT count(*) FROM score WHERE n_features >= 20) * 10 // 100 THEN k END AS rank FROM line
+"""
