@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -99,3 +100,24 @@ def test_many_moves_at_once_are_those_of_one():
             m[i] = np.eye(5)[k]
             values.append(brown._likelihood(m.T @ pairs @ m))
         assert got[i] == 1 + int(np.argmax(values))
+
+
+def test_class_tables_are_bounded(spark):
+    docs = read(spark, MIDDLE, "documents")
+    small, large = (brown.fit(docs, clustered=20, groups=8, classes=6, most=m) for m in (40, 10**6))
+    assert 30 <= len(small.common) <= 40 < len(large.common) and len(small.own) == 1 + len(small.common) + 8
+    totals = [brown.score(docs, m).agg(F.sum("score")).first()[0] for m in (small, large)]
+    assert totals[1] > totals[0]  # what the bound costs
+
+
+def test_a_document_costs_its_own_words():
+    """2,000 short documents after one with 300,000 words: what a worker remembers doesn't slow it down."""
+    head = {f"w{i}".encode(): 2 for i in range(300_000)}
+    items = brown.Items(np.zeros(0, np.uint64), 16, most=400_000)
+    items.numbers(list(head))
+    assert len(items.known) > 300_000
+    lines = [[f"w{(i * 37 + j) % 300_000}".encode() for j in range(40)] for i in range(2000)]
+    start = time.perf_counter()
+    for line in lines:
+        items.numbers(line)
+    assert (time.perf_counter() - start) / len(lines) < 1e-3

@@ -1,6 +1,6 @@
 """Language-model scoring with word classes: P(text) = product of P(class | class before) * P(word | class).
 
-Classes come from exchange clustering of every word above a small count, and of the endings that rarer words are grouped by, so every
+Classes come from exchange clustering of the words above a small count, and of the endings that rarer words are grouped by, so every
 word has a class that its spelling and the table of clustered words (by hash) tell. Counts of words and of neighbours cover all training text;
 both are added up in the workers before they are shuffled. The neighbours of an item are kept together, so a round of the
 exchange shuffles nothing: workers get the classes of all items and the counts of class pairs, and give back the moves. A worker knows the counts of ``head`` words; the counts of other words reach a document by a
@@ -66,7 +66,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 class Items:
     """Numbers of what is clustered: 0 the end of a text, then the words whose hashes are in ``common`` (sorted), then endings."""
 
-    def __init__(self, common: np.ndarray, groups: int, most: int = 500_000):
+    def __init__(self, common: np.ndarray, groups: int, most: int = 300_000):
         self.common, self.groups, self.most = common, groups, most
         self.first_group = 1 + len(common)
         self.size = self.first_group + groups
@@ -75,7 +75,7 @@ class Items:
     def numbers(self, line: list[bytes]) -> np.ndarray:
         if len(self.known) > self.most:
             self.known = {END: 0}
-        new = list(set(line) - self.known.keys())
+        new = [w for w in set(line) if w not in self.known]
         if new:
             found = np.array([self.first_group + ending(w, self.groups) for w in new], np.int64)
             if len(self.common):
@@ -129,7 +129,7 @@ def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
-def _neighbours(sent, groups: int, buckets: int, chunk: int = 2_000_000):
+def _neighbours(sent, groups: int, buckets: int, chunk: int = 1_000_000):
     """Per bucket of items, counts of (item, item after it) and (item, size + item before it), added up over ``chunk`` tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(sent.value, groups)
@@ -278,68 +278,80 @@ def _cluster(size: int, classes: int):
     return run
 
 
-def _between(sent, classes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        sums = np.zeros(classes**2)
-        for b in batches:
-            for cells in b["cells"].to_pylist():
-                item, other, n = _unpack(cells)
-                after = other < len(own)
-                sums += np.bincount(own[item[after]].astype(np.int64) * classes + own[other[after]], n[after], classes**2)
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()])], names=["sums"])
+def _of_class(values: np.ndarray, other: np.ndarray, table: np.ndarray, old: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """For each item and class k: by how much the sum of x log x over row k of ``table`` rises when the item's ``values`` are added to it.
 
-    return run
+    Before that the item is taken out of row and column ``old``: there go ``values`` and ``other``, and the cell of both is ``both``.
+    """
+    item, j = np.nonzero(values)
+    gain = np.zeros(values.shape)
+    if not len(item):
+        return gain
+    v, own = values[item, j], old[item]
+    cells, low = table.T[j], _xlogx(table).T[j]  # of column j, one row per entry, by class
+    e = np.arange(len(item))
+    cells[e, own] -= v
+    low[e, own] = _xlogx(cells[e, own])
+    at = np.flatnonzero(j == own)
+    cells[at] -= other[item[at]]
+    cells[at, own[at]] = both[item[at]]
+    low[at] = _xlogx(cells[at])
+    first = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+    gain[item[first]] = np.add.reduceat(_xlogx(cells + v[:, None]) - low, first, axis=0)
+    return gain
 
 
 def best_class(between: np.ndarray, old: np.ndarray, r: np.ndarray, c: np.ndarray, loop: np.ndarray) -> np.ndarray:
     """The step of :func:`exchange` for many items at once, each as if it alone moved: the class of each that suits it best.
 
-    ``r`` and ``c`` are its counts to classes after it and from classes before it, ``loop`` those of the item after itself.
+    ``r`` and ``c`` are its counts to classes after it and from classes before it, ``loop`` those of the item after itself. The work follows
+    the cells of ``r`` and ``c`` that aren't 0, which are few for a rare word.
     """
     k, each = np.arange(len(old)), np.arange(len(between))
     r, c = r.copy(), c.copy()
     r[k, old] -= loop
     c[k, old] -= loop
-    b = np.repeat(between[None], len(old), axis=0)
-    b[k, old] -= r
-    b[k, :, old] -= c
-    b[k, old, old] -= loop
-    base = _xlogx(b)
-    gain = (_xlogx(b + r[:, None, :]) - base).sum(axis=2) + (_xlogx(b + c[:, :, None]) - base).sum(axis=1)
-    diagonal, loop = b[:, each, each], loop[:, None]
-    gain += _xlogx(diagonal + r + c + loop) + _xlogx(diagonal) - _xlogx(diagonal + r) - _xlogx(diagonal + c)
-    out, come = b.sum(axis=2) + c, b.sum(axis=1) + r
-    gain -= _xlogx(out + r.sum(axis=1, keepdims=True) + loop) - _xlogx(out) + _xlogx(come + c.sum(axis=1, keepdims=True) + loop) - _xlogx(come)
+    both = between[old, old] - r[k, old] - c[k, old] - loop
+    gain = _of_class(r, c, between, old, both) + _of_class(c, r, between.T, old, both)
+    diagonal = np.repeat(between[each, each][None], len(old), axis=0)
+    diagonal[k, old] = both
+    touched = (r != 0) | (c != 0) | (loop != 0)[:, None]
+    d, x, y, z = diagonal[touched], r[touched], c[touched], np.repeat(loop[:, None], len(each), axis=1)[touched]
+    gain[touched] += _xlogx(d + x + y + z) + _xlogx(d) - _xlogx(d + x) - _xlogx(d + y)
+    for side, own in ((between.sum(axis=1), r), (between.sum(axis=0), c)):  # with the item, wherever it goes
+        whole = own.sum(axis=1) + loop
+        side = np.repeat(side[None], len(old), axis=0)
+        side[k, old] -= whole
+        gain -= _xlogx(side + whole[:, None]) - _xlogx(side)
     gain[:, 0] = -np.inf
     new = gain.argmax(axis=1)
     return np.where(gain[k, new] > gain[k, old] + 1e-9, new, old)
 
 
-def _moves(sent, classes: int, turn: int, share: int):
-    """Of the items whose turn it is (one in ``share``), those that another class suits better, and this class."""
+def _turn(sent, classes: int, share: int, at_once: int = 256):
+    """Counts of class pairs, and of the items whose turn it is (one in ``share``) those that another class suits better, with this class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, between = sent.value
-        size = len(own)
+        own, between, turn = sent.value
+        size, sums, found = len(own), np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
         for b in batches:
             for cells in b["cells"].to_pylist():
                 item, other, n = _unpack(cells)
+                after = other < size
+                near = own[np.where(after, other, other - size)].astype(np.int64)
+                sums += np.bincount(own[item[after]].astype(np.int64) * classes + near[after], n[after], classes**2)
                 asked = (item > 0) & (((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % share == turn % share)
-                item, other, n = item[asked], other[asked], n[asked]
-                if not len(item):
+                if between is None or not asked.any():
                     continue
+                item, other, n, after, near = item[asked], other[asked], n[asked], after[asked], near[asked]
                 first = np.append(True, item[1:] != item[:-1])
                 at, row = item[first], np.cumsum(first) - 1
-                after = other < size
-                both = np.bincount((row * 2 + ~after) * classes + own[np.where(after, other, other - size)], n, len(at) * 2 * classes)
-                both = both.reshape(len(at), 2, classes)
+                both = np.bincount((row * 2 + ~after) * classes + near, n, len(at) * 2 * classes).reshape(len(at), 2, classes)
                 loop = np.bincount(row, n * (other == item), len(at))
                 old = own[at].astype(np.int64)
-                new = np.concatenate([
-                    best_class(between, old[i : i + 64], both[i : i + 64, 0], both[i : i + 64, 1], loop[i : i + 64]) for i in range(0, len(at), 64)
-                ])
-                gone = new != old
-                yield pa.RecordBatch.from_arrays([pa.array([np.stack([at[gone], new[gone]]).tobytes()], pa.binary())], names=["moves"])
+                new = [best_class(between, *(x[i : i + at_once] for x in (old, both[:, 0], both[:, 1], loop))) for i in range(0, len(at), at_once)]
+                new = np.concatenate(new)
+                found.append(np.stack([at, new])[:, new != old])
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary()), pa.array([np.concatenate(found, axis=1).tobytes()], pa.binary())], names=["sums", "moves"])
 
     return run
 
@@ -348,40 +360,46 @@ def _likelihood(between: np.ndarray) -> float:
     return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
 
 
-def exchange_all(cells: DataFrame, own: np.ndarray, classes: int, few: float = 5e-4) -> tuple[np.ndarray, np.ndarray]:
+def exchange_all(cells: DataFrame, own: np.ndarray, classes: int, few: float = 1e-2, share: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all items and the counts of neighbouring classes, from the classes ``own`` on.
 
-    In a round, half of the items move at once, each to the class that suits it best as the classes are. If that doesn't raise the likelihood, half
-    of the moves are made, and so on. It ends when a turn of all items moves none or raises the likelihood by less than ``few`` nats per token.
+    In a turn, one in ``share`` items moves, all at once, each to the class that suits it best. One job counts the class pairs after these moves and
+    asks the next items already, by the counts from before them. If the moves didn't raise the likelihood, half of them are made,
+    and so on. It ends when a round of ``share`` turns raises the likelihood by less than ``few`` nats per token.
     """
-    spark = cells.sparkSession
-
-    def counted(own: np.ndarray) -> np.ndarray:
-        sent = spark.sparkContext.broadcast(own)
-        found = sum((np.array(r.sums) for r in cells.mapInArrow(_between(sent, classes), "sums array<double>").collect()), np.zeros(classes**2))
+    spark, draw = cells.sparkSession, np.random.default_rng(1)
+
+    def asked(own: np.ndarray, between: np.ndarray | None, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        sent = spark.sparkContext.broadcast((own, between, turn))
+        sums, moves = np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
+        for r in cells.mapInArrow(_turn(sent, classes, share), "sums binary, moves binary").collect():
+            sums += np.frombuffer(r.sums)
+            moves.append(np.frombuffer(r.moves, np.int64).reshape(2, -1))
         sent.unpersist()
-        return found.reshape(classes, classes)
+        moves = np.concatenate(moves, axis=1)
+        return sums.reshape(classes, classes), moves[:, draw.permutation(np.argsort(moves[0]))]
 
     own = own.astype(np.int16)
-    between = counted(own)
-    best, share, draw = _likelihood(between), 2, np.random.default_rng(1)
+    between, _ = asked(own, None, 0)
+    best, turn, seen = _likelihood(between), 0, []
+    _, moves = asked(own, between, turn)
     while True:
-        before = best
-        for turn in range(share):
-            sent = spark.sparkContext.broadcast((own, between))
-            found = [np.frombuffer(r.moves, np.int64).reshape(2, -1) for r in cells.mapInArrow(_moves(sent, classes, turn, share), "moves binary").collect()]
-            sent.unpersist()
-            moves = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-            moves = moves[:, draw.permutation(np.argsort(moves[0]))]
-            while moves.shape[1]:
-                trial = own.copy()
-                trial[moves[0]] = moves[1]
-                table = counted(trial)
-                if (now := _likelihood(table)) > best:
-                    own, between, best = trial, table, now
-                    break
+        if moves.shape[1]:
+            trial = own.copy()
+            trial[moves[0]] = moves[1]
+            table, next_moves = asked(trial, between, turn + 1)
+            if (now := _likelihood(table)) <= best:
                 moves = moves[:, : moves.shape[1] // 2]
-        if best - before <= few * between.sum():
+                if moves.shape[1]:
+                    continue
+                now, next_moves = best, asked(own, between, turn + 1)[1]
+            else:
+                own, between = trial, table
+        else:
+            now, next_moves = best, asked(own, between, turn + 1)[1]
+        seen.append(now - best)
+        best, moves, turn = now, next_moves, turn + 1
+        if turn % share == 0 and sum(seen[-share:]) <= few * between.sum():
             return own, between
 
 
@@ -411,29 +429,37 @@ class Model:
     head: dict[bytes, int]
 
 
-def fit(docs: DataFrame, text: str = "text", head: int = 200_000, clustered: int = 800, groups: int = 128, classes: int = 48, often: int = 10) -> Model:
-    """Model of all rows of ``docs``. ``head`` bounds the words sent to workers with their counts.
+def _down_to(levels: list, room: int) -> int:
+    """The least level that ``room`` words reach, counted from the highest level down; all words of a level together."""
+    least = 1 << 30
+    for level, n in levels:
+        room -= n
+        if room < 0:
+            break
+        least = level
+    return least
+
+
+def fit(
+    docs: DataFrame, text: str = "text", head: int = 200_000, clustered: int = 800, groups: int = 128, classes: int = 48, often: int = 10, most: int = 500_000
+) -> Model:
+    """Model of all rows of ``docs``. ``head`` bounds the words sent to workers with their counts, ``most`` those with a class of their own.
 
-    Every word that occurs ``often`` times has a class of its own choice. The ``clustered`` commonest and the endings are moved one after the other
-    first; then all of them, starting from the classes of their endings, in parallel (:func:`exchange_all`).
-    Words are taken into the head from the highest counts down, all words of about the same count together (a 64th of an octave).
+    Of the words that occur ``often`` times, the ``most`` commonest have a class of their own choice: the driver and each worker hold some 10 bytes
+    for each. The ``clustered`` commonest and the endings are moved one after the other first; then all of them, starting from the classes of their
+    endings, in parallel (:func:`exchange_all`). All other words have the class of their ending.
+    Both bounds take words from the highest counts down, all words of about the same count together (a 64th of an octave).
     """
     docs = docs.select(F.col(f"`{text}`").alias("text"))
     counts = scratch(word_counts(docs))
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
     level = F.floor(F.log2("n") * 64)
-    room, least = head, None
-    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
-        room -= r["count"]
-        if room < 0:
-            break
-        least = r.level
-    top = counts.where(level >= least).collect() if least is not None else []
-    known = {bytes(r.word): r.n for r in top}
+    levels = sorted(((r.level, r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)  # 64 an octave
+    known = {bytes(r.word): r.n for r in counts.where(level >= _down_to(levels, head)).collect()}
     spark = docs.sparkSession
-    named = counts.where((F.col("n") >= often) & (F.length("word") > 0)).mapInArrow(_named(groups), "hash long, group int, n long").toArrow()
+    frequent = (level >= _down_to(levels, most)) & (F.col("n") >= often) & (F.length("word") > 0)
+    named = counts.where(frequent).mapInArrow(_named(groups), "hash long, group int, n long").toArrow()
     common, at = np.unique(named["hash"].to_numpy().view(np.uint64), return_index=True)
-    size = 1 + len(common) + groups
     seeds = np.lexsort((common, -named["n"].to_numpy()[at]))[:clustered]
     first = 1 + len(seeds) + groups
     fold = np.concatenate([[0], 1 + len(seeds) + named["group"].to_numpy()[at], 1 + len(seeds) + np.arange(groups)])
