@@ -115,7 +115,7 @@ def test_a_document_costs_its_own_words():
     head = {f"w{i}".encode(): 2 for i in range(300_000)}
     items = brown.Items(np.zeros(0, np.uint64), 16, most=400_000)
     items.numbers(list(head))
-    assert len(items.known) > 300_000
+    assert len(items.known) == 300_000
     lines = [[f"w{(i * 37 + j) % 300_000}".encode() for j in range(40)] for i in range(2000)]
     start = time.perf_counter()
     for line in lines:

@@ -14,7 +14,7 @@ import contextlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log10
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -63,32 +63,75 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+class Numbers(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 class Items:
-    """Numbers of what is clustered: 0 the end of a text, then the words whose hashes are in ``common`` (sorted), then endings."""
+    """Numbers of what is clustered: 0 the end of a text, then the words whose hashes are in ``common`` (sorted), then endings.
+
+    A worker looks a word up once and remembers up to ``most`` words; what is known of each stands in arrays by its place among them.
+    """
 
-    def __init__(self, common: np.ndarray, groups: int, most: int = 300_000):
+    def __init__(self, common: np.ndarray, groups: int, most: int = 150_000):
         self.common, self.groups, self.most = common, groups, most
         self.first_group = 1 + len(common)
         self.size = self.first_group + groups
-        self.known = {END: 0}
+        self._forget()
 
-    def numbers(self, line: list[bytes]) -> np.ndarray:
+    def _forget(self) -> None:
+        self.known, self.words, self.item = Numbers(), [], np.zeros(0, np.int64)
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        found = np.array([self.first_group + ending(w, self.groups) if w else 0 for w in words], np.int64)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            found = np.where(self.common[at] == hashes, 1 + at, found)
+        self.item = np.append(self.item, found)
+
+    def places(self, line: list[bytes]) -> np.ndarray:
+        """The place of each word among the remembered ones."""
         if len(self.known) > self.most:
-            self.known = {END: 0}
-        new = [w for w in set(line) if w not in self.known]
-        if new:
-            found = np.array([self.first_group + ending(w, self.groups) for w in new], np.int64)
-            if len(self.common):
-                own = _hashes(new)
-                at = np.minimum(np.searchsorted(self.common, own), len(self.common) - 1)
-                found = np.where(self.common[at] == own, 1 + at, found)
-            self.known.update(zip(new, found.tolist(), strict=True))
-        return np.fromiter(map(self.known.__getitem__, line), np.int64, len(line))
+            self._forget()
+        out = np.fromiter(map(self.known.__getitem__, line), np.int64, len(line))
+        if len(self.known) > len(self.words):
+            new = list(islice(reversed(self.known), len(self.known) - len(self.words)))[::-1]
+            self.words += new
+            self._learn(new, _hashes(new))
+        return out
+
+    def numbers(self, line: list[bytes]) -> np.ndarray:
+        at = self.places(line)  # may renew the arrays
+        return self.item[at]
 
     def of(self, word: bytes) -> int:
         return int(self.numbers([word])[0])
 
 
+class Scored(Items):
+    """Also the class of each word, and for words of the head log10(count + 1)."""
+
+    def __init__(self, common: np.ndarray, groups: int, own: np.ndarray, head: np.ndarray, counts: np.ndarray):
+        self.own, self.head, self.counts = own, head, counts
+        super().__init__(common, groups)
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.kind, self.log, self.in_head = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        super()._learn(words, hashes)
+        at = np.minimum(np.searchsorted(self.head, hashes), max(len(self.head) - 1, 0))
+        known = self.head[at] == hashes if len(self.head) else np.zeros(len(words), bool)
+        self.kind = np.append(self.kind, self.own[self.item[-len(words) :]].astype(np.int64))
+        self.in_head = np.append(self.in_head, known)
+        self.log = np.append(self.log, np.where(known, np.log10(self.counts[at] + 1.0), 0.0) if len(self.head) else np.zeros(len(words)))
+
+
 @contextlib.contextmanager
 def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within, Python workers get at most ``rows`` rows at once, as each is an array of many counts."""
@@ -129,7 +172,7 @@ def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
-def _neighbours(sent, groups: int, buckets: int, chunk: int = 1_000_000):
+def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
     """Per bucket of items, counts of (item, item after it) and (item, size + item before it), added up over ``chunk`` tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(sent.value, groups)
@@ -138,10 +181,11 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 1_000_000):
         def told() -> pa.RecordBatch:
             pair, n = np.unique(np.concatenate(waiting), return_counts=True)
             a, b = pair // size, pair % size
-            item, other = np.concatenate([a, b]), np.concatenate([b, size + a])
-            order = np.lexsort((other, item, item % buckets))
-            item, other, n = item[order], other[order], np.concatenate([n, n])[order]
-            ends = np.append(np.searchsorted(item % buckets, np.arange(buckets)), len(item)).tolist()
+            item, other, n = np.concatenate([a, b]), np.concatenate([b, size + a]), np.concatenate([n, n])
+            bucket = item % buckets
+            order = np.argsort((bucket * size + item) * (2 * size) + other) if buckets * size * 2 * size < 1 << 62 else np.lexsort((other, item, bucket))
+            bucket, item, other, n = bucket[order], item[order], other[order], n[order]
+            ends = np.append(np.searchsorted(bucket, np.arange(buckets)), len(item)).tolist()
             parts = [(k, _pack(item[i:j], other[i:j], n[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["bucket", "cells"])
 
@@ -162,7 +206,7 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 1_000_000):
     return run
 
 
-def _merge(most: int = 4_000_000):
+def _merge(most: int = 1_000_000):
     """Rows sorted by bucket -> one row per bucket, with every item's neighbours."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, held = None, [], 0
@@ -426,7 +470,7 @@ class Model:
     own: np.ndarray  # class of each item
     step: np.ndarray  # log10 P(class | class before)
     spread: np.ndarray  # by class, log10 of what the count + 1 of a word is divided by
-    head: dict[bytes, int]
+    head: tuple[np.ndarray, np.ndarray]  # hashes (sorted) and counts of the words sent to workers
 
 
 def _down_to(levels: list, room: int) -> int:
@@ -455,7 +499,9 @@ def fit(
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
     level = F.floor(F.log2("n") * 64)
     levels = sorted(((r.level, r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)  # 64 an octave
-    known = {bytes(r.word): r.n for r in counts.where(level >= _down_to(levels, head)).collect()}
+    top = counts.where(level >= _down_to(levels, head)).mapInArrow(_named(groups), "hash long, group int, n long").toArrow()
+    known = top["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(known)
     spark = docs.sparkSession
     frequent = (level >= _down_to(levels, most)) & (F.col("n") >= often) & (F.length("word") > 0)
     named = counts.where(frequent).mapInArrow(_named(groups), "hash long, group int, n long").toArrow()
@@ -482,39 +528,48 @@ def fit(
     for r in counts.mapInArrow(_classed(told, groups), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
         spread[r["class"]] = np.log10(r.n + r.types + 1)
     step = np.log10(between / between.sum(axis=1, keepdims=True))
-    return Model(counts, int(total.n or 0), int(total.types), common, groups, own, step, spread, known)
+    return Model(counts, int(total.n or 0), int(total.types), common, groups, own, step, spread, (known[order], top["n"].to_numpy()[order]))
 
 
-def _score(sent, base: float):
+def _score(sent, base: float, at_once: int = 200_000):
+    """Per text a row with its sums, and a row per distinct word that isn't in the head."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, groups, own, step, spread, head = sent.value
-        items = Items(common, groups)
+        common, groups, own, step, spread, head, counts = sent.value
+        items = Scored(common, groups, own, head, counts)
+
+        def told(row: list[int], ids: pa.Array, line: list[bytes], ends: list[int]) -> pa.RecordBatch:
+            at, size, n = items.places(line), np.diff(ends, prepend=0), len(row)
+            first = np.array(ends) - size
+            kind, known = items.kind[at], items.in_head[at]
+            walk = step[np.append(0, kind[:-1]), kind] - spread[kind]  # an end comes before each text
+            sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), items.log[at], walk)]
+            rare = np.flatnonzero(~known)
+            text = np.repeat(np.arange(n), size)[rare]
+            cell, m = np.unique(text * len(items.words) + at[rare], return_counts=True)
+            word = [items.words[i] for i in (cell % len(items.words)).tolist()]
+            row = np.array(row, np.int64)
+            whole = lambda x, t: pa.concat_arrays([pa.array(x, t), pa.nulls(len(word), t)])
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(row, row[cell // len(items.words)])), pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(word, pa.binary())]),
+                    pa.array(np.append(size, m)), whole(sums[0], pa.int64()), whole(sums[1], pa.float64()), whole(sums[2], pa.float64()),
+                    whole(-base * size, pa.float64()), pa.concat_arrays([ids, pa.nulls(len(word), ids.type)]),
+                ],
+                names=["row", "word", "m", "known", "part", "score", "base_score", "doc_id"],
+            )
+
         for b in batches:
-            out: dict[str, list] = {k: [] for k in ("row", "word", "m", "known", "part", "score", "base_score", "doc_id")}
-            for row, doc_id, text in zip(*(b[k].to_pylist() for k in ("row", "doc_id", "text")), strict=True):
-                words = tokens(text)
-                words.append(END)
-                line = own[items.numbers(words)]
-                walk = step[np.append(0, line[:-1]), line].sum() - spread[line].sum()
-                rare, part, seen = Counter(), 0.0, 0
-                for w, k in Counter(words).items():
-                    n = head.get(w)
-                    if n is None:
-                        rare[w] = k
-                    else:
-                        part += k * log10(n + 1)
-                        seen += k
-                own_row = (row, None, len(words), seen, part, walk, -base * len(words), doc_id)
-                for column, v in zip(out.values(), own_row, strict=True):
-                    column.append(v)
-                out["row"] += [row] * len(rare)
-                out["word"] += rare
-                out["m"] += rare.values()
-                for k in ("known", "part", "score", "base_score", "doc_id"):
-                    out[k] += [None] * len(rare)
-            number, real = pa.int64(), pa.float64()
-            types = (number, pa.binary(), number, number, real, real, real, b["doc_id"].type)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
+            rows, from_, line, ends = [], 0, [], []
+            for i, (row, text) in enumerate(zip(b["row"].to_pylist(), b["text"].to_pylist(), strict=True)):
+                line += tokens(text)
+                line.append(END)
+                rows.append(row)
+                ends.append(len(line))
+                if len(line) > at_once:
+                    yield told(rows, b["doc_id"].slice(from_, len(rows)), line, ends)
+                    rows, from_, line, ends = [], i + 1, [], []
+            if rows:
+                yield told(rows, b["doc_id"].slice(from_, len(rows)), line, ends)
 
     return run
 
@@ -528,7 +583,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     smaller_batches(spark)
     base = float(np.log10(model.tokens + model.types + 1))
-    sent = spark.sparkContext.broadcast((model.common, model.groups, model.own, model.step, model.spread, model.head))
+    sent = spark.sparkContext.broadcast((model.common, model.groups, model.own, model.step, model.spread, *model.head))
     kind = docs.select(F.col(f"`{doc_id}`")).dtypes[0][1]
     at = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").alias("text"))
 
