@@ -378,23 +378,25 @@ def _turn(sent, classes: int, share: int, at_once: int = 256):
         own, between, turn = sent.value
         size, sums, found = len(own), np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
         for b in batches:
-            for cells in b["cells"].to_pylist():
-                item, other, n = _unpack(cells)
-                after = other < size
-                near = own[np.where(after, other, other - size)].astype(np.int64)
-                sums += np.bincount(own[item[after]].astype(np.int64) * classes + near[after], n[after], classes**2)
-                asked = (item > 0) & (((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % share == turn % share)
-                if between is None or not asked.any():
-                    continue
-                item, other, n, after, near = item[asked], other[asked], n[asked], after[asked], near[asked]
-                first = np.append(True, item[1:] != item[:-1])
-                at, row = item[first], np.cumsum(first) - 1
-                both = np.bincount((row * 2 + ~after) * classes + near, n, len(at) * 2 * classes).reshape(len(at), 2, classes)
-                loop = np.bincount(row, n * (other == item), len(at))
-                old = own[at].astype(np.int64)
-                new = [best_class(between, *(x[i : i + at_once] for x in (old, both[:, 0], both[:, 1], loop))) for i in range(0, len(at), at_once)]
-                new = np.concatenate(new)
-                found.append(np.stack([at, new])[:, new != old])
+            parts = [_unpack(cells) for cells in b["cells"].to_pylist()]
+            if not parts:
+                continue
+            item, other, n = (np.concatenate(x) for x in zip(*parts, strict=True))  # an item is in one row
+            after = other < size
+            near = own[np.where(after, other, other - size)].astype(np.int64)
+            sums += np.bincount(own[item[after]].astype(np.int64) * classes + near[after], n[after], classes**2)
+            asked = (item > 0) & (((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % share == turn % share)
+            if between is None or not asked.any():
+                continue
+            item, other, n, after, near = item[asked], other[asked], n[asked], after[asked], near[asked]
+            first = np.append(True, item[1:] != item[:-1])
+            at, row = item[first], np.cumsum(first) - 1
+            both = np.bincount((row * 2 + ~after) * classes + near, n, len(at) * 2 * classes).reshape(len(at), 2, classes)
+            loop = np.bincount(row, n * (other == item), len(at))
+            old = own[at].astype(np.int64)
+            new = [best_class(between, *(x[i : i + at_once] for x in (old, both[:, 0], both[:, 1], loop))) for i in range(0, len(at), at_once)]
+            new = np.concatenate(new)
+            found.append(np.stack([at, new])[:, new != old])
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary()), pa.array([np.concatenate(found, axis=1).tobytes()], pa.binary())], names=["sums", "moves"])
 
     return run
@@ -512,15 +514,15 @@ def fit(
     fold[1 + seeds] = 1 + np.arange(len(seeds))
 
     told = spark.sparkContext.broadcast(common)
-    buckets = max(64, int(total.n or 0) >> 20)
+    buckets = max(64, int(total.n or 0) >> 14)  # rows of some 200 KB, as JVM and worker hold several at once
     with _batches(spark, 64):
         parts = docs.mapInArrow(_neighbours(told, groups, buckets), "bucket int, cells binary")
         cells = scratch(parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(), "bucket int, cells binary"))
-    with _batches(spark, 2):
+    with _batches(spark, 16):
         folded = scratch(cells.mapInArrow(_seeds(spark.sparkContext.broadcast(fold), first), "pair long, n long"))
     pairs = folded.groupBy("pair").agg(F.sum("n").alias("n"))
     found = pairs.repartition(1).mapInArrow(_cluster(first, classes), "own array<bigint>").first()
-    with _batches(spark, 2):
+    with _batches(spark, 16):
         own, between = exchange_all(cells, np.array(found.own)[fold] if found else np.minimum(fold, 1), classes)
     between = between + 0.1
     spread = np.full(classes, np.log10(2.0))
