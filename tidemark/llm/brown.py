@@ -46,7 +46,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in b["text"].to_pylist():
             often.update(tokens(text))
             often[END] += 1
-        if len(often) > 200_000:
+        if len(often) > 100_000:
             yield told()
             often.clear()
     yield told()
@@ -189,14 +189,21 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
             parts = [(k, _pack(item[i:j], other[i:j], n[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["bucket", "cells"])
 
+        def take(line: list[bytes]) -> None:
+            nonlocal held
+            own = items.numbers(line)
+            waiting.append(own[:-1] * size + own[1:])
+            held += len(own)
+
         for b in batches:
             line = [END]
             for text in b["text"].to_pylist():
                 line += tokens(text)
                 line.append(END)
-            own = items.numbers(line)
-            waiting.append(own[:-1] * size + own[1:])
-            held += len(own)
+                if len(line) > chunk // 4:
+                    take(line)
+                    line = [END]
+            take(line)
             if held > chunk:
                 yield told()
                 waiting, held = [], 0
@@ -206,23 +213,28 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
     return run
 
 
-def _merge(most: int = 1_000_000):
-    """Rows sorted by bucket -> one row per bucket, with every item's neighbours."""
+def _merge(most: int = 1_000_000, cells_at_once: int = 16_384):
+    """Rows sorted by bucket -> rows with all neighbours of some items each, of 256 KB unless one item has more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, held = None, [], 0
 
         def added() -> tuple[np.ndarray, np.ndarray]:
             return _added(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
 
-        def told() -> pa.RecordBatch:
+        def told() -> Iterator[pa.RecordBatch]:
             keys, n = added()
-            cells = _pack(keys >> 32, keys & 0xFFFFFFFF, n)
-            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([cells], pa.binary())], names=["bucket", "cells"])
+            item, other = keys >> 32, keys & 0xFFFFFFFF
+            new = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+            ends = np.append(new[np.unique(np.searchsorted(new, np.arange(cells_at_once, len(keys), cells_at_once), side="right") - 1)], len(keys))
+            for i, j in zip([0, *ends], ends):
+                if j > i:
+                    cells = _pack(item[i:j], other[i:j], n[i:j])
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([cells], pa.binary())], names=["bucket", "cells"])
 
         for b in batches:
             for k, cells in zip(b["bucket"].to_pylist(), b["cells"].to_pylist(), strict=True):
                 if k != bucket and parts:
-                    yield told()
+                    yield from told()
                     parts, held = [], 0
                 bucket = k
                 item, other, n = _unpack(cells)
@@ -232,7 +244,7 @@ def _merge(most: int = 1_000_000):
                     parts = [added()]
                     held = 0
         if parts:
-            yield told()
+            yield from told()
 
     return run
 
@@ -514,7 +526,7 @@ def fit(
     fold[1 + seeds] = 1 + np.arange(len(seeds))
 
     told = spark.sparkContext.broadcast(common)
-    buckets = max(64, int(total.n or 0) >> 14)  # rows of some 200 KB, as JVM and worker hold several at once
+    buckets = max(256, int(total.n or 0) >> 21)
     with _batches(spark, 64):
         parts = docs.mapInArrow(_neighbours(told, groups, buckets), "bucket int, cells binary")
         cells = scratch(parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(), "bucket int, cells binary"))
