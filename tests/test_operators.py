@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tidemark.functions import scalars as s
 from tidemark.operators import calendar, finance, graphs, history, keys, ordered, planning, quality, revenue, semistructured, service, text_rules, usage
@@ -50,6 +51,74 @@ def test_blocked_windows_equal_plain_windows(skewed):
     assert rows(out.select("id", "px", "pid", "nx", "nid", "n", "sx", "lx", "fx")) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("parts", [1, 8, 40, 400])
+def test_keys_cut_by_volume_equal_plain_windows(skewed, parts):
+    df, con = skewed
+    split = ordered.cut(df, ["k"], ["ts", "id"], parts=parts)
+    out = ordered.with_previous(df, ["k"], ["ts", "id"], split, {"px": "x", "pid": "id"})
+    out = ordered.with_next(out, ["k"], ["ts", "id"], split, {"nx": "x", "nid": "id"})
+    out = ordered.with_running_sum(out, ["k"], ["ts", "id"], split, {"n": F.lit(1).cast("long"), "sx": "x"})
+    out = ordered.with_last_known(out, ["k"], ["ts", "id"], split, {"lx": "x"})
+    out = ordered.with_next_known(out, ["k"], ["ts", "id"], split, {"fx": "x"})
+    want = con.execute("""SELECT id, lag(x) OVER w, lag(id) OVER w, lead(x) OVER w, lead(id) OVER w, row_number() OVER w, sum(x) OVER (PARTITION BY k ORDER BY ts, id ROWS UNBOUNDED PRECEDING),
+      last_value(x IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, id ROWS UNBOUNDED PRECEDING), first_value(x IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+      FROM d WINDOW w AS (PARTITION BY k ORDER BY ts, id)""").fetchall()
+    assert rows(out.select("id", "px", "pid", "nx", "nid", "n", "sx", "lx", "fx")) == sorted(want, key=repr)
+    ahead = ordered.with_next_rows(df, ["k"], ["ts", "id"], split, {"id": "id"}, 5, "ahead")
+    want = con.execute("SELECT id, coalesce(list(id) OVER (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING), []) FROM d").fetchall()
+    assert rows(ahead.select("id", F.transform("ahead", lambda r: r["id"]).alias("a"))) == sorted(want, key=repr)
+
+
+def test_user_of_one_day_is_spread_and_read_once(spark):
+    """A user with 90 % of a day's events: every range holds about its share, and rows and summaries read one exchange."""
+    n, parts = 40_000, 16
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id") % 997).alias("u"), F.col("id"),
+        (F.lit(dt.datetime(2024, 5, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 7919 % n) * 2)).alias("ts"))
+    split = ordered.cut(df, ["u"], ["ts", "id"], parts=parts, sample=16 * parts)
+    base, hot = ordered._laid(df, ["u"], ["ts", "id"], split)
+    sizes = [r["count"] for r in base.where(hot).groupBy(ordered.KEY, ordered.BLOCK).count().collect()]
+    assert len(sizes) >= parts * 0.8 and max(sizes) < 2.5 * n / parts
+    out = ordered.with_islands(df, ["u"], ["ts", "id"], split, {"ts": "ts"}, lambda p: F.timestamp_diff("SECOND", p["ts"], F.col("ts")) > 2, "s")
+    w = W.partitionBy("u").orderBy("ts", "id")
+    gap = F.timestamp_diff("SECOND", F.lag("ts").over(w), F.col("ts"))
+    plain = df.withColumn("o", F.coalesce((gap > 2).cast("int"), F.lit(1))).withColumn("s", F.sum("o").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("o")
+    assert out.exceptAll(plain).count() == 0 and out.count() == n
+    out.write.format("noop").mode("overwrite").save()
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().explainString(spark_mode(df))
+    return plan.split("== Physical Plan ==")[1].count("FileScan")
+
+
+def spark_mode(df):
+    return df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+
+
+@pytest.mark.parametrize("name, most", [("sessions_by_gap", 1), ("merge_histories", 3), ("collapse_plan_history", 1)])
+def test_ordered_queries_scan_their_input_once(spark, name, most):
+    assert scans(run(name, spark, FOLDER)) <= most
+
+
+@pytest.mark.parametrize("cells, most", [(8, 20), (16, 1), (4, 500), (1024, 10)])
+def test_quantiles_by_narrowing(skewed, cells, most):
+    df, con = skewed
+    probs = {"a": 0.0, "b": 0.013, "m": 0.5, "n": 0.501, "c": 0.9, "z": 1.0}
+    want = con.execute("SELECT k, " + ", ".join(f"quantile_cont(x, {p})" for p in probs.values()) + " FROM d WHERE x IS NOT NULL GROUP BY k").fetchall()
+    got = rows(ordered.quantiles(df, ["k"], "x", probs, most=most, cells=cells))
+    assert [[round(v, 6) for v in r] for r in got] == [[round(v, 6) for v in r] for r in sorted(want, key=repr)]
+
+
+def test_last_round_of_quantiles_reads_few_rows(spark):
+    """Far apart values, half of them equal: what is sorted doesn't grow with the table."""
+    big = spark.range(200_000).select(F.lit(1).alias("k"), F.when(F.col("id") % 2 == 0, 5.0).otherwise(F.pow(F.lit(1.0001), F.col("id"))).alias("x"))
+    probs = {"q1": 0.2, "q2": 0.77, "q3": 0.999}
+    got = ordered.quantiles(big, ["k"], "x", probs, most=2000, cells=64).first()
+    want = big.agg(*[F.percentile("x", F.lit(p)) for p in probs.values()]).first()
+    assert [got[n] for n in probs] == pytest.approx(list(want))
+
+
 def test_next_rows_cross_blocks(skewed):
     df, con = skewed
     for unit in ("hour", "day", "year"):
@@ -170,10 +239,11 @@ def test_null_keys_are_a_key(spark):
     assert [(r.label, r.cost) for r in out] == [("half", 50.0)]
 
 
-def test_outlier_leaves_bins_even(spark):
+def test_outlier_leaves_ranges_even(spark):
     df = spark.range(20000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, 1e15).otherwise(F.col("id").cast("double")).alias("x"))
-    depth = ordered._binned_counts(df, ["k"], "x").groupBy("__bin").count().agg(F.max("count"), F.count("*")).first()
-    assert depth[0] < 3 * 20000 / ordered.BINS and depth[1] > ordered.BINS / 2
+    base, hot = ordered._laid(df, ["k"], ["x"], ordered.cut(df, ["k"], ["x"], parts=64, sample=16 * 64))
+    depth = base.where(hot).groupBy(ordered.BLOCK).count().agg(F.max("count"), F.count("*")).first()
+    assert depth[0] < 4 * 20000 / 64 and depth[1] > 48
 
 
 def test_cycles_and_lost_ends_have_no_root(spark):

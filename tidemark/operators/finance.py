@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import ratio
 from tidemark.operators import ordered
+from tidemark.operators.intervals import overlaps, points_in
 from tidemark.operators.calendar import densify
 
 
@@ -54,19 +55,15 @@ def apply_mapping_by_priority(facts: DataFrame, mapping: DataFrame, patterns: Se
 def overlap_attribution(intervals: DataFrame, meters: DataFrame, key: str, interval_id: str, credits: str) -> DataFrame:
     """Metered cost split over the intervals that overlap it, by overlapped time.
 
-    Both sides carry ``start`` and ``end``. They are cut into hour bins and joined by (key, bin); a pair is kept in
-    the bin where its overlap begins, so it appears once. Where both bounds are equal the split has no duration, as
-    all four overlap classes compare strictly.
+    Both sides carry ``start`` and ``end``. They meet in cells of hours, days and longer (``intervals.overlaps``), a year-long one in 26 at most.
+    An interval with exactly the meter's bounds, or with its start and an earlier end, has no duration: the classes that
+    end within the meter start strictly after or before it.
     """
-    def binned(df, *cols):
-        first, last = F.date_trunc("hour", F.col("start")), F.date_trunc("hour", F.col("end"))
-        return df.select(*cols, "start", "end", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("__bin"))
-
-    a = binned(intervals, key, interval_id)
-    b = binned(meters, key, credits).withColumnsRenamed({"start": "meter_start", "end": "meter_end"})
-    j = a.join(b, [key, "__bin"]).where(
-        (F.col("meter_end") > F.col("start")) & (F.col("meter_start") < F.col("end"))
-        & (F.col("__bin") == F.date_trunc("hour", F.greatest("start", "meter_start"))))
+    hour = lambda x: F.floor(F.unix_seconds(F.col(x).cast("timestamp")) / 3600)
+    a = intervals.select(key, interval_id, "start", "end")
+    b = meters.select(key, credits, F.col("start").alias("meter_start"), F.col("end").alias("meter_end"))
+    j = overlaps(a, b, [key], (hour("start"), hour("end")), (hour("meter_start"), hour("meter_end"))).where(
+        (F.col("meter_end") > F.col("start")) & (F.col("meter_start") < F.col("end")))
     s, e, ms, me = (F.col(x) for x in ("start", "end", "meter_start", "meter_end"))
     millis = lambda x, y: F.timestamp_diff("MILLISECOND", x, y)
     spent = (F.when((s >= ms) & (e > me), millis(s, me)).when((s < ms) & (e > me), millis(ms, me))
@@ -162,7 +159,7 @@ def collections_matrix(payments: DataFrame) -> DataFrame:
     return g.withColumn("months_to_pay", lag)
 
 
-def discount_analysis(items: DataFrame, invoice: str, order: Sequence[str], block: Column, list_price: Column, price: Column,
+def discount_analysis(items: DataFrame, invoice: str, order: Sequence[str], block: ordered.Block, list_price: Column, price: Column,
                       quantity: str, term_days: Column) -> DataFrame:
     """List against realised price per unit, change of quantity from the previous item of the invoice, and the amount
     normalised to a year."""
@@ -200,7 +197,5 @@ def coalesce_sources(sources: Sequence[tuple[str, DataFrame]], keys: Sequence[st
 
 
 def ip_to_region(ips: DataFrame, ip_number: str, ranges: DataFrame, first: str, last: str) -> DataFrame:
-    """Range of every address. Ranges are cut at /16 blocks and joined by block, so the look-up is an equi-join."""
-    r = ranges.withColumn("__bin", F.explode(F.sequence(F.shiftright(first, 16), F.shiftright(last, 16))))
-    a = ips.withColumn("__bin", F.shiftright(F.col(ip_number), 16))
-    return a.join(r, "__bin").where(F.col(ip_number).between(F.col(first), F.col(last))).drop("__bin", first, last)
+    """Range of every address. Ranges are covered by networks of /32, /24, /16 and /8, and an address looks up its own four."""
+    return points_in(ips, ranges, [], F.col(ip_number), F.col(first), F.col(last), bits=8).drop(first, last)

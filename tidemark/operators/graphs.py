@@ -11,34 +11,44 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 
+def _kept_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Cut from its lineage and dealt by ``keys``; joins and groupings by them need no exchange of it, in any round that follows."""
+    return cut_lineage(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys))
+
+
 def resolve_chains(df: DataFrame, node: str, target: str) -> DataFrame:
     """End of the chain every node points along, and the number of steps to it.
 
-    Pointer doubling: each round every open node jumps to where its pointer points, so a chain of length n takes
-    log2(n) joins on unique ids. A finished node is written once; only open ones are carried on. Nodes that run into a missing
-    node drop out, and those in a cycle stay open while none finishes any more: both have no end and are left out.
+    Pointer doubling: each round every open node jumps twice, to where its pointer points and on from there, so a chain of length n takes
+    log4(n) rounds. A node that is finished is written once. Open nodes look up only the finished nodes they point to, which
+    are dealt by id once and not exchanged again. Nodes that run into a missing node drop out, and those in a cycle stay open
+    while none finishes any more: both have no end and are left out.
     """
-    def done(state: DataFrame) -> DataFrame:
-        return state.where(F.col("up").isNull())
-
-    state = cut_lineage(df.select(
+    state = df.select(
         F.col(node).alias("id"), F.col(target).alias("up"),
         F.when(F.col(target).isNull(), F.col(node)).alias("root"),
         F.when(F.col(target).isNull(), 0).otherwise(1).cast("long").alias("steps"),
-    ))
-    finished, open_nodes, before = [done(state)], state.where(F.col("up").isNotNull()), None
+    )
+    state = _kept_by(state, "id")
+    finished, before = [], None
     while True:
-        left = open_nodes.agg(F.count("*"), F.sum("steps")).first()
-        # round k leaves only nodes more than 2 ** k steps from their end; as many as before twice over are cycles
-        if not left[0] or (before is not None and left[0] == before[0] and len(finished) > 1 and finished[-1].isEmpty()):
+        counts = state.agg(F.count_if(F.col("up").isNotNull()), F.count_if(F.col("up").isNull())).first()
+        finished.append(state.where(F.col("up").isNull()))
+        # as many open nodes as before and none that ended: what is left are cycles
+        if not counts[0] or (before == counts[0] and not counts[1]):
             break
-        before = left
-        known = reduce(DataFrame.unionByName, finished).unionByName(open_nodes)
-        jump = known.select(F.col("id").alias("up"), F.col("up").alias("__up"), F.col("root").alias("__root"), F.col("steps").alias("__s"))
-        moved = cut_lineage(open_nodes.join(jump, "up").select(
-            "id", F.col("__up").alias("up"), F.col("__root").alias("root"), (F.col("steps") + F.col("__s")).alias("steps")))
-        finished.append(done(moved))
-        open_nodes = moved.where(F.col("up").isNotNull())
+        before = counts[0]
+        open_nodes = state.where(F.col("up").isNotNull())
+
+        def jumped(rows: DataFrame) -> DataFrame:
+            ends = [x.select(F.col("id").alias("up"), "root", "steps") for x in finished]
+            ahead = open_nodes.select(F.col("id").alias("up"), F.lit(None).cast(open_nodes.schema["root"].dataType).alias("root"), "steps", F.col("up").alias("__up"))
+            ahead = reduce(DataFrame.unionByName, [x.withColumn("__up", F.lit(None).cast(open_nodes.schema["up"].dataType)) for x in ends], ahead)
+            ahead = ahead.select("up", F.col("__up"), F.col("root").alias("__root"), F.col("steps").alias("__s"))
+            return rows.join(ahead, "up").select("id", F.col("__up").alias("up"), F.col("__root").alias("root"), (F.col("steps") + F.col("__s")).alias("steps"))
+
+        once = jumped(open_nodes)
+        state = _kept_by(once.where(F.col("up").isNull()).unionByName(jumped(once.where(F.col("up").isNotNull()))), "id")
     return reduce(DataFrame.unionByName, finished).select(F.col("id").alias(node), "root", "steps")
 
 
@@ -90,25 +100,30 @@ def flatten_hierarchy(tree: DataFrame, node: str, parent: str, name: str, levels
 def temporal_lineage(scd_edges: DataFrame, node: str, parent: str, start: str, end: str) -> DataFrame:
     """Root paths of effective-dated edges, valid only where all intervals on the way overlap.
 
-    Level by level from the roots until none is left; every step narrows the interval and drops empty ones and cycles, so it ends.
+    Pointer doubling over pieces of paths. A piece leads from a node up to the node it still has to go to, with the interval in which all its edges
+    hold; two pieces that meet make one whose interval is the intersection, and an empty one is dropped. Every round doubles the length of open
+    pieces, so a chain of n steps takes log2(n) joins. A piece that comes back to one of its own nodes is a cycle and is dropped.
     """
-    e = cut_lineage(scd_edges.select(node, parent, start, end))
-    front = e.where(F.col(parent).isNull()).select(
-        node, F.col(start).alias("valid_from"), F.col(end).alias("valid_to"), F.array(node).alias("path"))
-    levels = []
+    pieces = _kept_by(scd_edges.select(
+        F.col(node).alias("__id"), F.col(parent).alias("__up"), F.col(start).alias("__a"), F.col(end).alias("__b"), F.array(node).alias("__path")), "__id")
+    finished = []
     while True:
-        front = cut_lineage(front)
-        levels.append(front)
-        if front.isEmpty():
+        ended, open_pieces = pieces.where(F.col("__up").isNull()), pieces.where(F.col("__up").isNotNull())
+        finished.append(ended)
+        if open_pieces.isEmpty():
             break
-        up = front.select(F.col(node).alias(parent), "valid_from", "valid_to", "path")
-        front = e.join(up, parent).select(
-            node, F.greatest("valid_from", F.col(start)).alias("valid_from"),
-            F.least("valid_to", F.col(end)).alias("valid_to"), "path",
-        ).where((F.col("valid_from") < F.col("valid_to")) & ~F.array_contains("path", F.col(node))).withColumn(
-            "path", F.array_append("path", F.col(node)))
-    whole = reduce(DataFrame.unionByName, levels)
-    return whole.select(node, F.get("path", F.lit(0)).alias("root"), F.size("path").alias("depth"), "path", "valid_from", "valid_to")
+        above = reduce(DataFrame.unionByName, finished, open_pieces).select(
+            F.col("__id").alias("__up"), F.col("__up").alias("__next"), F.col("__a").alias("__a2"), F.col("__b").alias("__b2"), F.col("__path").alias("__path2"))
+        met = open_pieces.join(above, "__up").where(~F.arrays_overlap("__path", "__path2"))
+        pieces = met.select(
+            "__id", F.col("__next").alias("__up"), F.greatest("__a", "__a2").alias("__a"), F.least("__b", "__b2").alias("__b"),
+            F.concat("__path2", "__path").alias("__path"),
+        ).where("__a < __b")
+        pieces = _kept_by(pieces, "__id")
+    whole = reduce(DataFrame.unionByName, finished)
+    return whole.select(
+        F.col("__id").alias(node), F.get("__path", F.lit(0)).alias("root"), F.size("__path").alias("depth"), F.col("__path").alias("path"),
+        F.col("__a").alias("valid_from"), F.col("__b").alias("valid_to"))
 
 
 def expand_membership(group_members: DataFrame, project_members: DataFrame, projects: DataFrame, group_links: DataFrame,
@@ -156,44 +171,51 @@ def flag_billable(members: DataFrame, state: str, kind: str, requested_at: str,
 def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost: str) -> DataFrame:
     """Costliest start-to-end path of every run; the last node's own cost is not counted.
 
-    ``edges(run, parent, child)``. The longest path is relaxed for all runs at once, one round per level of the
-    deepest graph; only nodes improved in the last round send to their children, and each keeps one best entry. A path has no
-    more steps than its run has nodes, so a further round proves a cycle and fails.
+    ``edges(run, parent, child)``. All runs at once: a node is settled when all its parents are, and then tells its children, so an edge is used
+    once and there are as many rounds as levels in the deepest graph. A node's state is its length and the parent that gave it. The path is put
+    together afterwards: from the end of each run, pointers to parents are doubled, so n steps take log2(n) joins. Nodes left
+    when none can be settled any more are on or behind a cycle, which fails.
     """
-    n = cut_lineage(nodes.select(run, node, F.col(cost).alias("__cost")))
-    known = n.select(F.col(run).alias("__run"), F.col(node).alias("__node"))
-    e = edges.select(F.col(run).alias("__run"), "parent", "child")
-    e = cut_lineage(e.join(known.withColumnRenamed("__node", "parent"), ["__run", "parent"], "left_semi"))
-    children = e.select("__run", F.col("child").alias("__node")).distinct()
-    parents = e.select("__run", F.col("parent").alias("__node")).distinct()
-    best = n.select(F.col(run).alias("__run"), F.col(node).alias("__node"), "__cost").join(children, ["__run", "__node"], "left_anti").select(
-        "__run", "__node", F.lit(0.0).alias("length"), F.array("__node").alias("path"), F.lit(0).alias("__round"))
-    costs = n.select(F.col(run).alias("__run"), F.col(node).alias("parent"), "__cost")
-    out_edges = cut_lineage(e.join(costs, ["__run", "parent"]))
-    best = cut_lineage(best)
-    finished = []
-    most = n.groupBy(run).count().agg(F.max("count")).first()[0] or 0
-    for r in range(1, most + 1):
-        grown = best.where(F.col("__round") == r - 1)
-        if grown.isEmpty():
+    at = ["__run", "__node"]
+    n = nodes.select(F.col(run).alias("__run"), F.col(node).alias("__node"), F.col(cost).cast("double").alias("__cost"))
+    out = _kept_by(edges.select(F.col(run).alias("__run"), F.col("parent").alias("__node"), F.col("child").alias("__child")).join(n, at), *at)
+    waits = out.groupBy("__run", F.col("__child").alias("__node")).agg(F.count("*").alias("__wait"))
+    none = F.lit(None).cast(out.schema["__node"].dataType)
+    state = n.join(waits, at, "full").select(
+        *at, F.coalesce("__wait", F.lit(0).cast("long")).alias("__wait"),
+        F.struct(F.when(F.col("__wait").isNull(), 0.0).alias("length"), none.alias("parent")).alias("__best"))
+    settled = []
+    while True:
+        state = _kept_by(state, *at)
+        ready = state.where("__wait = 0")
+        left, open_nodes = state.agg(F.count_if(F.col("__wait") == 0), F.count_if(F.col("__wait") > 0)).first()
+        settled.append(ready)
+        if not open_nodes:
             break
-        # runs that did not change any more leave the working set
-        live = grown.select("__run").distinct()
-        finished.append(best.join(live, "__run", "left_anti"))
-        sent = grown.withColumnRenamed("__node", "parent").join(out_edges, ["__run", "parent"]).select(
-            "__run", F.col("child").alias("__node"), (F.col("length") + F.col("__cost")).alias("length"),
-            F.array_append("path", F.col("child")).alias("path"), F.lit(r).alias("__round"))
-        # on equal length the earlier entry stays, so a round without gain ends
-        pick = F.struct("length", -F.col("__round"), "path")
-        best = cut_lineage(best.join(live, "__run", "left_semi").unionByName(sent).groupBy("__run", "__node").agg(
-            F.max_by(F.struct("length", "path", "__round"), pick).alias("b")).select("__run", "__node", "b.*"))
-    else:
-        if not best.where(F.col("__round") == most).isEmpty():
+        if not left:
             raise ValueError("a run's graph has a cycle")
-    best = reduce(DataFrame.unionByName, finished, best)
-    ends = best.join(parents, ["__run", "__node"], "left_anti")
-    top = ends.groupBy("__run").agg(F.max_by(F.struct("length", "path"), F.struct("length", "path")).alias("b"))
-    return top.select(F.col("__run").alias(run), F.col("b.length").alias("path_length"), F.col("b.path").alias("critical_path"))
+        told = ready.join(out, at).select(
+            "__run", F.col("__child").alias("__node"), F.lit(-1).cast("long").alias("__wait"),
+            F.struct((F.col("__best.length") + F.col("__cost")).alias("length"), F.col("__node").alias("parent")).alias("__best"))
+        state = state.where("__wait > 0").unionByName(told).groupBy(*at).agg(F.sum("__wait").alias("__wait"), F.max("__best").alias("__best"))
+    best = reduce(DataFrame.unionByName, settled)
+    ends = best.join(out.select(*at).distinct(), at, "left_anti")
+    ends = ends.groupBy("__run").agg(F.max_by(F.struct("__node", F.col("__best.length").alias("length")), F.struct("__best.length", "__node")).alias("e"))
+    ends = cut_lineage(ends.select("__run", "e.*"))
+    on_path = [ends.select(*at, F.lit(0).cast("long").alias("__back"))]
+    up = _kept_by(best.where(F.col("__best.parent").isNotNull()).select(*at, F.col("__best.parent").alias("__up")), *at)
+    step = 1
+    while True:
+        more = _kept_by(reduce(DataFrame.unionByName, on_path).join(up, at).select(
+            "__run", F.col("__up").alias("__node"), (F.col("__back") + step).alias("__back")), *at)
+        if more.isEmpty():
+            break
+        on_path.append(more)
+        step *= 2
+        up = _kept_by(up.join(up.select("__run", F.col("__node").alias("__up"), F.col("__up").alias("__next")), ["__run", "__up"]).select(*at, F.col("__next").alias("__up")), *at)
+    path = reduce(DataFrame.unionByName, on_path).groupBy("__run").agg(F.sort_array(F.collect_list(F.struct((-F.col("__back")).alias("o"), "__node"))).alias("p"))
+    return ends.join(path, "__run").select(
+        F.col("__run").alias(run), F.col("length").alias("path_length"), F.transform("p", lambda x: x["__node"]).alias("critical_path"))
 
 
 def account_entitlements(accounts: DataFrame, users: DataFrame, segments: DataFrame, account: str, owners: Sequence[str], segment: str, user: str,

@@ -15,11 +15,11 @@ from tidemark.operators.calendar import expand_interval
 from tidemark.operators.keys import latest_per_key
 
 
-def collapse_scd(df: DataFrame, keys: Sequence[str], values: Sequence[str], start: str, end: str, block: Column) -> DataFrame:
+def collapse_scd(df: DataFrame, keys: Sequence[str], values: Sequence[str], start: str, end: str, block: ordered.Block = None) -> DataFrame:
     """Merge consecutive validity rows that carry equal values; a value that comes back later is a new row.
 
     ``start`` must be unique per key. Two rows are consecutive when the later starts where the earlier ends. The
-    previous row and the island number are carried over time blocks, so a key with a long history is spread.
+    previous row and the island number are carried over blocks, so a key with a long history is spread.
     """
     def opens(prev):
         out = F.coalesce(prev["__end"] != F.col(start), F.lit(True))
@@ -37,10 +37,10 @@ def collapse_scd(df: DataFrame, keys: Sequence[str], values: Sequence[str], star
 
 
 def asof_scd(fact: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence[str], start: str, end: str | None,
-             block_unit: str = "day") -> DataFrame:
+             block: ordered.Block = None) -> DataFrame:
     """Attributes valid at the fact's time, [start, end); no end means the latest version at or before it.
 
-    Facts and versions are laid on one time line per key and the last version is filled forward over time blocks. A
+    Facts and versions are laid on one time line per key and the last version is filled forward over its blocks. A
     hot key thus costs facts + versions rows, never facts x versions.
     """
     at = "__at"
@@ -49,7 +49,7 @@ def asof_scd(fact: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence
     d = dim.where(F.col(key).isNotNull()).select(key, F.col(start).cast(kind).alias(at), F.lit(0).alias("__side"), ver.alias("__ver"))
     f = fact.select(key, F.col(ts).alias(at), F.lit(1).alias("__side"), F.struct(*[F.col(x) for x in fact.columns]).alias("__fact"))
     line = d.unionByName(f, allowMissingColumns=True)
-    filled = ordered.with_last_known(line, [key], [at, "__side"], F.date_trunc(block_unit, F.col(at)), {"__now": "__ver"})
+    filled = ordered.with_last_known(line, [key], [at, "__side"], block, {"__now": "__ver"})
     live = F.col("__now").isNotNull()
     if end:
         live = live & (F.col("__now.__until").isNull() | (F.col(at) < F.col("__now.__until")))
@@ -59,7 +59,7 @@ def asof_scd(fact: DataFrame, dim: DataFrame, key: str, ts: str, attrs: Sequence
 
 
 def next_match(requests: DataFrame, actions: DataFrame, keys: Sequence[str], at: str, values: Sequence[str],
-               block: Column) -> DataFrame:
+               block: ordered.Block = None) -> DataFrame:
     """First action at or after each request of the same keys, by filling backward on one time line."""
     act = F.struct(F.col(at).alias("__when"), *[F.col(v) for v in values])
     a = actions.select(*keys, F.col(at), F.lit(1).alias("__side"), act.alias("__act"))
@@ -89,16 +89,18 @@ def scd_latest_state(df: DataFrame, key: str, loaded_at: str) -> DataFrame:
     return last.withColumn("is_deleted", F.col(loaded_at) < newest)
 
 
-def scd_type_2(df: DataFrame, key: str, values: Sequence[str], loaded_at: str, block: Column) -> DataFrame:
+def scd_type_2(df: DataFrame, key: str, values: Sequence[str], loaded_at: str, block: ordered.Block = None) -> DataFrame:
     """Loads of full slices to validity rows: a new version whenever a tracked value changes."""
+    block = ordered.cut(df, [key], [loaded_at]) if block is None else block  # one sample for both steps
     nxt = ordered.with_next(df, [key], [loaded_at], block, {"valid_to": loaded_at})
     rows = nxt.select(key, *values, F.col(loaded_at).alias("valid_from"), "valid_to")
-    return collapse_scd(rows, [key], values, "valid_from", "valid_to", F.date_trunc("month", F.col("valid_from")))
+    return collapse_scd(rows, [key], values, "valid_from", "valid_to", block if isinstance(block, ordered.Cut) else None)
 
 
-def versions_to_history(audit: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column) -> DataFrame:
+def versions_to_history(audit: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: ordered.Block = None) -> DataFrame:
     """Change rows per (id, field) with the previous value and time, and the time of the next change."""
     at = order[0]
+    block = ordered.cut(audit, keys, order) if block is None else block
     prev = ordered.with_previous(audit, keys, order, block, {"previous_value": value, "previous_at": at})
     return ordered.with_next(prev, keys, order, block, {"valid_to": at})
 
@@ -163,11 +165,23 @@ def union_partitions(parts: Sequence[DataFrame], key: str, loaded_at: str, since
 
 
 def merge_histories(a: DataFrame, b: DataFrame, key: str, start: str, a_values: Sequence[str], b_values: Sequence[str],
-                    block: Column) -> DataFrame:
-    """Two systems' effective-dated rows on one line: every change date carries the last known values of both."""
+                    block: ordered.Block = None) -> DataFrame:
+    """Two systems' effective-dated rows on one line: a row from each date on which the last known values of both change.
+
+    A run of equal values starts where the values before differ and ends where the next run starts, so the runs alone are numbered and no row
+    needs its neighbour's date.
+    """
+    values = [*a_values, *b_values]
     line = a.select(key, start, *a_values).unionByName(b.select(key, start, *b_values), allowMissingColumns=True)
-    days = line.groupBy(key, start).agg(*[F.max(v).alias(v) for v in [*a_values, *b_values]])
-    filled = ordered.with_last_known(days, [key], [start], block, {f"known_{v}": v for v in [*a_values, *b_values]})
-    nxt = ordered.with_next(filled.select(key, start, *[F.col(f"known_{v}").alias(v) for v in [*a_values, *b_values]]),
-                            [key], [start], block, {"valid_to": start})
-    return collapse_scd(nxt, [key], [*a_values, *b_values], start, "valid_to", block).drop("merged_rows")
+    days = line.groupBy(key, start).agg(*[F.max(v).alias(v) for v in values])
+    block = ordered.cut(days, [key], [start]) if block is None else block
+    filled = ordered.with_last_known(days, [key], [start], block, {f"known_{v}": v for v in values})
+    filled = filled.select(key, start, *[F.col(f"known_{v}").alias(v) for v in values])
+
+    def opens(prev):
+        return reduce(lambda x, y: x | y, [~F.col(v).eqNullSafe(prev[v]) for v in values])
+
+    runs = ordered.with_islands(filled, [key], [start], block, {v: v for v in values}, opens, "__run")
+    runs = runs.groupBy(key, "__run", *values).agg(F.min(start).alias(start))
+    # a run is one row now; its end is the start of the next run
+    return ordered.with_next(runs, [key], [start], block, {"valid_to": start}).drop("__run")

@@ -58,16 +58,17 @@ def stage_progression(hist: DataFrame, item: str, stage: str, at: str, created:
     return out.select("*", *days, F.when(is_open, F.datediff(F.lit(as_of), last_known)).alias("current_days"))
 
 
-def stage_regression(hist: DataFrame, item: str, stage_number: str, order: Sequence[str], block: Column) -> DataFrame:
+def stage_regression(hist: DataFrame, item: str, stage_number: str, order: Sequence[str], block: ordered.Block = None) -> DataFrame:
     """Whether an item ever moved back to an earlier stage."""
     prev = ordered.with_previous(hist, [item], order, block, {"__p": stage_number})
     back = F.coalesce(F.col("__p") > F.col(stage_number), F.lit(False))
     return prev.groupBy(item).agg(F.max(back.cast("int")).alias("is_stage_regression"))
 
 
-def journey(milestones: DataFrame, item: str, stage: str, order: Sequence[str], block: Column) -> DataFrame:
+def journey(milestones: DataFrame, item: str, stage: str, order: Sequence[str], block: ordered.Block = None) -> DataFrame:
     """Ordered stage history: position, entry, exit, next stage and days in the stage."""
     at = order[0]
+    block = ordered.cut(milestones, [item], order) if block is None else block
     numbered = ordered.with_row_index(milestones, [item], order, block, "stage_order")
     nxt = ordered.with_next(numbered, [item], order, block, {"next_stage": stage, "exit_at": at})
     return nxt.select(item, "stage_order", stage, F.col(at).alias("entry_at"), "exit_at", "next_stage", F.datediff("exit_at", at).alias("days_in_stage"))
@@ -93,8 +94,7 @@ def attribution(touches: DataFrame, conversions: DataFrame, key: str, at: str, t
     0.4 time decay and 0.6 channel weight, renormalised. The sums of a conversion come from its touches folded to one
     row per day and channel (at most ``window_days`` days), so a conversion with very many touches is never gathered.
     """
-    linked = history.next_match(touches.select(key, at, touch_id, channel), conversions.select(key, at, conversion_id), [key], at,
-                                [conversion_id], F.date_trunc("day", F.col(at)))
+    linked = history.next_match(touches.select(key, at, touch_id, channel), conversions.select(key, at, conversion_id), [key], at, [conversion_id])
     conv, conv_at = f"matched_{conversion_id}", f"matched_{at}"
     t = linked.where(F.datediff(conv_at, at).between(0, window_days)).select(
         F.col(conv).alias("conversion"), touch_id, channel, F.to_date(F.col(at)).alias("__day"), weight.alias("__w"))

@@ -147,16 +147,16 @@ def segment_by_amount_and_rank(df: DataFrame, amount: str, ranks: Sequence[int],
     return out.select("*", F.coalesce(rank_band, F.lit("Other")).alias("rank_band"), band.alias("amount_band"))
 
 
-def available_to_renew(terms: DataFrame, name: str, version: str, block: Column, look_ahead: int = 14) -> DataFrame:
+def available_to_renew(terms: DataFrame, name: str, version: str, block: ordered.Block = None, look_ahead: int = 14) -> DataFrame:
     """Terms that come up for renewal.
 
     Wants ``term_start, term_end, ramp_id``. A term outside a ramp is a duplicate when the next one outside a ramp
     starts in the same month. Of the others a version is left out when the next one repeats its start month, end
     month or fiscal end year, the second next its end month, or any of the next ``look_ahead`` starts earlier (it was
     backed out). The newest version per term end counts, and the segments of one ramp are merged to the ramp's first
-    start and last end. The look-ahead works over blocks of versions (``block`` does not decrease with the version),
-    so a subscription with very many versions is spread.
+    start and last end. The look-ahead works over blocks of versions, so a subscription with very many versions is spread.
     """
+    block = ordered.cut(terms, [name], [version]) if block is None else block
     start_month, end_month = F.trunc("term_start", "month"), F.trunc("term_end", "month")
     end_year = fiscal_attributes(F.col("term_end"))["fiscal_year"]
     alone = ordered.with_next(terms.where(F.col("ramp_id").isNull()), [name], [version], block, {"__next_start": start_month})

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import boundary_diff, div0, least_or_null, ratio, surrogate_key
-from tidemark.operators import ordered
+from tidemark.operators import bitmaps, ordered
+from tidemark.operators.intervals import points_in
 from tidemark.operators.keys import latest_per_key
 
 # Repaired and rejected spellings of a browser's time zone.
@@ -70,10 +72,10 @@ def drop_bots(df: DataFrame, agent: str, words: Sequence[str] = BOT_WORDS, famil
 def sessionize(events: DataFrame, user: str, ts: str, tie: str, minutes: int = 30) -> DataFrame:
     """Session number per user; a gap of more than ``minutes`` opens a new one.
 
-    The previous time and the count are carried over days, so a very active user is spread.
+    The previous time and the count are carried over ranges of a very active user, who is spread by volume.
     """
     gap = lambda prev: F.timestamp_diff("MICROSECOND", prev["ts"], F.col(ts)) > minutes * 60_000_000
-    return ordered.with_islands(events, [user], [ts, tie], F.to_date(F.col(ts)), {"ts": ts}, gap, "session_index")
+    return ordered.with_islands(events, [user], [ts, tie], None, {"ts": ts}, gap, "session_index")
 
 
 def page_views(events: DataFrame, page: str, kind: str, ts: str, width: str, height: str, x: str, y: str,
@@ -198,11 +200,38 @@ def active_users_by_metric(events: DataFrame, metrics: DataFrame, user: str, acc
     e = e.join(named.select("__kind"), F.col("kind") == F.col("__kind"), "left_semi").where(F.col("user").isNotNull())
     plan = e.where(F.col("account").isNotNull()).groupBy("month", "account").agg(F.max_by("paid", F.struct("ts", "kind")).alias("paid"))
     folded = e.groupBy("month", "kind", "account", "user").agg(F.count("*").alias("n")).join(plan, ["month", "account"], "left")
-    groups = F.explode(F.array_compact(F.array(F.lit("total"), F.when(F.col("paid"), "paid").when(~F.col("paid"), "free"))))
-    rows = folded.join(levels, F.col("kind") == F.col("__kind")).select("*", groups.alias("user_group"))
-    return rows.groupBy("month", "umau", "gmau", "smau", "stage", "group", "user_group").agg(
-        F.sum("n").alias("event_count"), F.countDistinct("account").alias("account_count"), F.countDistinct("user").alias("user_count"),
-        F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("event_names"))
+    folded = folded.withColumn("plan", F.when(F.col("paid"), "paid").when(~F.col("paid"), "free"))
+    # one table of bitmaps by month, event and plan; every level and user group is a union of some of its rows
+    who = bitmaps.table(bitmaps.numbered(folded, "user"), ["month", "kind", "plan"], "number").withColumn("of", F.lit("user"))
+    what = bitmaps.table(bitmaps.numbered(folded.where(F.col("account").isNotNull()), "account"), ["month", "kind", "plan"], "number").withColumn("of", F.lit("account"))
+    groups = F.explode(F.array_compact(F.array(F.lit("total"), F.col("plan")))).alias("user_group")
+    by = ["month", "umau", "gmau", "smau", "stage", "group", "user_group"]
+
+    def on_levels(df: DataFrame) -> DataFrame:
+        return df.join(levels, F.col("kind") == F.col("__kind")).select("*", groups)
+
+    counts = bitmaps.counted(on_levels(who.unionByName(what)), [*by, "of"], "n")
+    # levels may have NULL parts: a struct is equal to another where all parts are
+    counts = counts.groupBy(F.struct(*by).alias("__by")).agg(
+        F.coalesce(F.max(F.when(F.col("of") == "account", F.col("n"))), F.lit(0)).alias("account_count"), F.max(F.when(F.col("of") == "user", F.col("n"))).alias("user_count"))
+    events_of = on_levels(folded.groupBy("month", "kind", "plan").agg(F.sum("n").alias("n"))).groupBy(F.struct(*by).alias("__by")).agg(
+        F.sum("n").alias("event_count"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("event_names"))
+    return events_of.join(counts, "__by").select("__by.*", "event_count", "account_count", "user_count", "event_names")
+
+
+def trailing_active_users(events: DataFrame, keys: Sequence[str], user: str, ts: str, window_days: int = 28) -> DataFrame:
+    """Distinct users of the ``window_days`` days that end with each day, exactly, for every day on which ``keys`` have an event.
+
+    Users are set in one bitmap per day; a day's window is the union of its days' bitmaps, so no user is counted or moved more than once.
+    """
+    day = F.to_date(F.col(ts)).alias("day")
+    e = bitmaps.numbered(events.select(*keys, day, F.col(user).alias("user")).where(F.col("user").isNotNull()), "user")
+    daily = bitmaps.table(e, [*keys, "day"], "number")
+    ends = daily.select(*keys, F.col("day").alias("__end")).distinct()
+    until = F.explode(F.sequence(F.lit(0), F.lit(window_days - 1))).alias("__ahead")
+    reach = daily.select("*", until).withColumn("__end", F.date_add("day", F.col("__ahead")))
+    unions = bitmaps.counted(reach.join(ends, [*keys, "__end"], "left_semi"), [*keys, "__end"], "active_users")
+    return unions.withColumnRenamed("__end", "day")
 
 
 def first_last_version(df: DataFrame, metric: str, version: str, install: str) -> DataFrame:
@@ -234,7 +263,7 @@ def monthly_delta(df: DataFrame, keys: Sequence[str], month: str, counter: str)
     return df.withColumn(f"{counter}_delta", F.greatest(step, F.lit(0)))
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, measures: Sequence[str]) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: ordered.Block, measures: Sequence[str]) -> DataFrame:
     return ordered.with_running_sum(df, keys, order, block, {f"{m}_to_date": m for m in measures})
 
 
@@ -315,18 +344,27 @@ def health_score(df: DataFrame, age: str, metric: str, by_age: Sequence[tuple[in
     return out.select("*", *[colour(F.col(f"{m}_score")).alias(f"{m}_color") for m in scores], ratio(total, weight).alias("overall_score"))
 
 
-def license_utilization(use: DataFrame, subscription: str, day: str, instance: str, users: str, trials: DataFrame,
-                        trial_key: str) -> DataFrame:
-    """Trial flag by existence of a covering interval and flag of the day's largest instance per subscription.
+def license_utilization(use: DataFrame, subscription: str, day: str, instance: str, users: str, licensed: str, kind: str,
+                        trials: Sequence[tuple[DataFrame, str]], products: Mapping[str, str], production: str = "Production") -> DataFrame:
+    """Flags ``is_<name>_trial`` per trial product and ``is_max_instance``, for every row of use.
 
-    Trials ``(key, start, end)`` are expanded to days and semi-joined by (key, day): no interval comparison per pair.
+    A row with licensed users is in a trial of a product when any of ``trials`` covers its day: pairs of a table ``(key, product, start, end)``, both
+    ends included, and its key in ``use`` (installation, namespace). Of a subscription's instances of a day the one with most ``users`` (NULL last) is the
+    largest, and it is flagged only if its ``kind`` is ``production``. Trials are met in cells of days, not day by day.
     """
-    days = trials.select(F.col(trial_key), F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias(day)).distinct()
-    flagged = use.join(days.withColumn("__trial", F.lit(True)), [trial_key, day], "left")
+    out = use
+    date = lambda x: F.unix_date(F.col(x).cast("date"))
+    for n, (table, key) in enumerate(trials):
+        days = use.where(F.col(key).isNotNull() & (F.col(licensed) > 0)).select(F.col(key).alias("__key"), F.col(day).alias("__day")).distinct()
+        spans = table.select(F.col(key).alias("__key"), "product", F.col("start").alias("__from"), F.col("end").alias("__to"))
+        hit = points_in(days, spans, ["__key"], date("__day"), date("__from"), date("__to"))
+        hit = hit.groupBy("__key", "__day").agg(*[F.max(F.col("product") == p).alias(f"__{n}_{x}") for x, p in products.items()])
+        out = out.join(hit, (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day")), "left").drop("__key", "__day")
     top = use.groupBy(subscription, day).agg(F.max_by(instance, F.struct(users, instance)).alias("__top"))
-    return flagged.join(top, [subscription, day]).select(
-        *use.columns, F.coalesce(F.col("__trial") & (F.col(users) > 0), F.lit(False)).alias("is_trial"),
-        (F.col("__top") == F.col(instance)).alias("is_max_instance"))
+    some = lambda x: reduce(lambda a, b: a | b, [F.coalesce(f"__{n}_{x}", F.lit(False)) for n in range(len(trials))], F.lit(False)) & (F.col(licensed) > 0)
+    return out.join(top, [subscription, day]).select(
+        *use.columns, *[F.coalesce(some(x), F.lit(False)).alias(f"is_{x}_trial") for x in products],
+        F.coalesce((F.col("__top") == F.col(instance)) & (F.col(kind) == production), F.lit(False)).alias("is_max_instance"))
 
 
 def storage_allowance(df: DataFrame, owner: Sequence[str], size: str, free_limit: str, purchased_limit: str) -> DataFrame:

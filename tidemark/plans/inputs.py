@@ -24,10 +24,6 @@ def month(x: str):
     return F.trunc(F.col(x).cast("date"), "month")
 
 
-def events_day_block():
-    return F.col("ts").cast("date")
-
-
 # --- revenue ------------------------------------------------------------------------------
 
 SQL_ACCOUNT_MONTH = """account_month AS (
@@ -107,7 +103,7 @@ SQL_ORDER_EDGES = """order_edges AS (
 def order_edges(t: Tables) -> DataFrame:
     """Order and the order of the same customer it follows."""
     prev = ordered.with_previous(
-        t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], month("o_orderdate"), {"parent_id": "o_orderkey"}
+        t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], None, {"parent_id": "o_orderkey"}
     )
     return prev.select(F.col("o_orderkey").alias("id"), "parent_id", F.col("o_orderdate").alias("starts"))
 

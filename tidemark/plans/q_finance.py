@@ -152,7 +152,7 @@ def discount_analysis(t):
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
     items = t.lineitem.select("l_orderkey", *order, "l_quantity", "l_discount").join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey")
     price = F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")
-    d = finance.discount_analysis(items, "l_orderkey", order, F.col("l_linenumber"), F.round("p_retailprice", 2), price, "l_quantity", F.lit(30))
+    d = finance.discount_analysis(items, "l_orderkey", order, None, F.round("p_retailprice", 2), price, "l_quantity", F.lit(30))
     return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "list_price", "realised_price", "delta_quantity")
 
 

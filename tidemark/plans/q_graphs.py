@@ -105,7 +105,7 @@ ends AS (SELECT run_id, max(node) AS node FROM nodes GROUP BY 1)
 SELECT run_id, round(length, 2) AS path_length, path FROM paths JOIN ends USING (run_id, node) QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY length DESC, path) = 1""")
 def critical_path(t):
     cols = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-    ranked = ordered.with_row_index(t.lineitem.select("l_orderkey", *cols), ["l_orderkey"], cols, F.col("l_linenumber"), "node")
+    ranked = ordered.with_row_index(t.lineitem.select("l_orderkey", *cols), ["l_orderkey"], cols, None, "node")
     nodes = ranked.select(F.col("l_orderkey").alias("run_id"), "node", F.col("l_extendedprice").alias("cost"))
     edges = nodes.select("run_id", F.explode(F.array(F.col("node") - 1, F.col("node") - 3)).alias("parent"), F.col("node").alias("child")).where(F.col("parent") >= 1)
     out = graphs.critical_path(nodes, edges, "run_id", "node", "cost")

@@ -18,7 +18,7 @@ f AS (SELECT *, CASE WHEN value IS DISTINCT FROM lag(value) OVER (PARTITION BY k
 g AS (SELECT *, sum(o) OVER (PARTITION BY key ORDER BY valid_from ROWS UNBOUNDED PRECEDING) AS island FROM f)
 SELECT key, value, min(valid_from) AS valid_from, CASE WHEN count(*) = count(valid_to) THEN max(valid_to) END AS valid_to, count(*) AS merged_rows FROM g GROUP BY key, value, island""")
 def collapse_plan_history(t):
-    return history.collapse_scd(i.plan_history(t), ["key"], ["value"], "valid_from", "valid_to", F.trunc("valid_from", "year"))
+    return history.collapse_scd(i.plan_history(t), ["key"], ["value"], "valid_from", "valid_to")
 
 
 @query("order_with_valid_plan", covers="P24 J11", sql=f"""WITH {i.SQL_PLAN_HISTORY}
@@ -28,7 +28,7 @@ def order_with_valid_plan(t):
     fact = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", i.day("l_shipdate").alias("ship_date"))
     dim = i.plan_history(t).select(F.col("key").alias("o_custkey"), F.col("value").alias("priority_then"), "valid_from", "valid_to")
-    return history.asof_scd(fact, dim, "o_custkey", "ship_date", ["priority_then"], "valid_from", "valid_to", "month")
+    return history.asof_scd(fact, dim, "o_custkey", "ship_date", ["priority_then"], "valid_from", "valid_to")
 
 
 @query("purchase_last_view", covers="P75 J12", sql="""SELECT p.event_id, p.user_id, p.ts, v.event_id AS view_id, v.value AS view_value FROM events p
@@ -62,14 +62,14 @@ g AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY d ROWS UNBOUNDED PREC
 SELECT user_id, state, min(d) AS valid_from, CASE WHEN count(*) = count(nx) THEN max(nx) END AS valid_to, count(*) AS merged_rows FROM g GROUP BY user_id, state, island""")
 def scd_type_2_daily(t):
     loads = t.events.groupBy("user_id", i.day("ts").alias("loaded_at")).agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("state"))
-    return history.scd_type_2(loads, "user_id", ["state"], "loaded_at", F.trunc("loaded_at", "month"))
+    return history.scd_type_2(loads, "user_id", ["state"], "loaded_at")
 
 
 @query("field_history", covers="P26", sql="""SELECT event_id, user_id, event_type AS field, value, ts, lag(value) OVER w AS previous_value, lag(ts) OVER w AS previous_at, lead(ts) OVER w AS valid_to
 FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)""")
 def field_history(t):
     audit = t.events.select("event_id", "user_id", F.col("event_type").alias("field"), "value", "ts")
-    return history.versions_to_history(audit, ["user_id", "field"], ["ts", "event_id"], "value", i.events_day_block())
+    return history.versions_to_history(audit, ["user_id", "field"], ["ts", "event_id"], "value")
 
 
 @query("order_state_on_day", covers="P80", sql=f"""WITH {i.SQL_PLAN_HISTORY},
@@ -102,7 +102,7 @@ def merge_histories(t):
     a = t.orders.select(F.col("o_custkey").alias("key"), i.day("o_orderdate").alias("start"), F.col("o_orderpriority").alias("priority"))
     b = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
-    return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"], F.trunc("start", "year"))
+    return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"])
 
 
 @query("history_plus_current", covers="P113", sql="""SELECT month, source, round(sum(amount), 2) AS amount FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, 'history' AS source, o_totalprice AS amount FROM orders WHERE o_orderdate < DATE '2001-07-01'

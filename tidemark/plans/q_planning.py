@@ -69,13 +69,13 @@ SQL_STAGE_NO = "CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'cl
 def stage_regression(t):
     from tidemark.functions.scalars import decode
     e = t.events.where(F.col("event_type") != "error").select("user_id", "ts", "event_id", decode("event_type", STAGE_NO).alias("n"))
-    return planning.stage_regression(e, "user_id", "n", ["ts", "event_id"], i.events_day_block())
+    return planning.stage_regression(e, "user_id", "n", ["ts", "event_id"])
 
 
 @query("journey", covers="P47", sql=f"""WITH {i.SQL_STAGE_DATES} SELECT item_id, CAST(row_number() OVER w AS BIGINT) AS stage_order, stage, stage_ts AS entry_at, lead(stage_ts) OVER w AS exit_at, lead(stage) OVER w AS next_stage, date_diff('day', CAST(stage_ts AS DATE), CAST(lead(stage_ts) OVER w AS DATE)) AS days_in_stage
 FROM stage_history WINDOW w AS (PARTITION BY item_id ORDER BY stage_ts, stage)""")
 def journey(t):
-    return planning.journey(i.stage_history(t), "item_id", "stage", ["stage_ts", "stage"], F.to_date(F.col("stage_ts")))
+    return planning.journey(i.stage_history(t), "item_id", "stage", ["stage_ts", "stage"])
 
 
 @query("stage_funnel", covers="P112", sql="""WITH g AS (SELECT user_id AS item_id, min(ts) FILTER (event_type = 'signup') AS a, min(ts) FILTER (event_type = 'view') AS b, min(ts) FILTER (event_type = 'purchase') AS c FROM events GROUP BY 1)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import scalars as s
-from tidemark.operators import calendar, keys, ordered, revenue
+from tidemark.operators import calendar, keys, linking, ordered, revenue
 from tidemark.plans import inputs as i
 from tidemark.plans.registry import query
 
@@ -150,7 +150,7 @@ def renewals(t):
         F.col("o_custkey").alias("account_id"), F.col("o_orderkey").alias("version"), d.alias("term_start"),
         F.add_months(d, F.when(F.col("o_orderpriority") < "3", 12).otherwise(24)).alias("term_end"),
         F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("R"), F.col("o_custkey").cast("string"))).alias("ramp_id"))
-    return revenue.available_to_renew(terms, "account_id", "version", F.floor(F.col("version") / 4096))
+    return revenue.available_to_renew(terms, "account_id", "version")
 
 
 @query("available_to_renew", covers="P37a W06", sql=f"WITH {SQL_RENEW} SELECT * FROM renewals")
@@ -197,6 +197,34 @@ def link_orders_to_items(t):
     return linked.select(F.col("o_orderkey").alias("order_id"), F.col("l_partkey").alias("part_id"), "amount", "link_pass", "link_rule")
 
 
+SQL_LINKS = """inv AS (SELECT o_orderkey AS invoice_id, o_custkey AS customer, round(sum(l_extendedprice), 2) AS amount, CAST(sum(l_quantity) AS BIGINT) * 10 AS quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
+opp AS (SELECT invoice_id + 7000000000 AS deal_id, customer, CASE WHEN invoice_id % 3 = 0 THEN round(amount / 1000) * 1000 ELSE amount END AS deal_amount,
+ CASE WHEN invoice_id % 2 = 0 THEN 'Renewal, ' || format('{:,}', quantity - quantity % 50) || ' seats' WHEN invoice_id % 5 = 0 THEN 'Add-on ' || CAST(quantity AS VARCHAR) ELSE 'New deal' END AS deal_name FROM inv
+ UNION ALL SELECT 9000000000 + min(invoice_id), customer, min(amount), 'Copy' FROM inv GROUP BY customer),
+pair AS (SELECT invoice_id, deal_id, inv.customer, 5 * (round(amount, 2) = round(deal_amount, 2))::INT
+  + 5 * list_contains(list_transform(regexp_extract_all(deal_name, '[0-9][0-9,]*'), lambda x: replace(x, ',', '')::BIGINT), quantity)::INT
+  + (list_contains(list_transform(regexp_extract_all(deal_name, '[0-9][0-9,]*'), lambda x: replace(x, ',', '')::BIGINT), quantity) AND contains(deal_name, format('{:,}', quantity)))::INT AS points FROM inv JOIN opp USING (customer))"""
+
+
+@query("link_one_to_one", covers="P39a J23", sql=f"""WITH RECURSIVE {SQL_LINKS},
+line AS (SELECT *, row_number() OVER (PARTITION BY customer ORDER BY points DESC, invoice_id, deal_id) AS k FROM pair WHERE points > 0),
+walk AS (SELECT customer, 0::BIGINT AS k, []::BIGINT[] AS used, -1::BIGINT AS invoice_id, -1::BIGINT AS deal_id, 0 AS points, false AS taken FROM (SELECT DISTINCT customer FROM line)
+ UNION ALL SELECT w.customer, l.k, CASE WHEN list_has_any(used, [l.invoice_id, l.deal_id]) THEN used ELSE used || [l.invoice_id, l.deal_id] END, l.invoice_id, l.deal_id, l.points, NOT list_has_any(used, [l.invoice_id, l.deal_id])
+ FROM walk w JOIN line l ON l.customer = w.customer AND l.k = w.k + 1)
+SELECT invoice_id, deal_id, points FROM walk WHERE taken""")
+def link_one_to_one(t):
+    """Invoices to deals of the customer by amount and by the quantity in the deal's name; several may fit, each is used once."""
+    k = F.col("invoice_id")
+    inv = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("o_orderkey").alias("invoice_id"), F.col("o_custkey").alias("customer")).agg(
+        r2(F.sum("l_extendedprice")).alias("amount"), (F.sum("l_quantity").cast("long") * 10).alias("quantity"))
+    q = F.col("quantity")
+    name = F.when(k % 2 == 0, F.concat(F.lit("Renewal, "), F.format_number(q - q % 50, 0), F.lit(" seats"))).when(k % 5 == 0, F.concat(F.lit("Add-on "), q.cast("string"))).otherwise("New deal")
+    deals = inv.select((k + 7_000_000_000).alias("deal_id"), "customer", F.when(k % 3 == 0, F.round(F.col("amount") / 1000) * 1000).otherwise(F.col("amount")).alias("deal_amount"), name.alias("deal_name"))
+    copies = inv.groupBy("customer").agg((F.min("invoice_id") + 9_000_000_000).alias("deal_id"), F.min("amount").alias("deal_amount")).withColumn("deal_name", F.lit("Copy"))
+    pairs = linking.amount_and_quantity(inv, deals.unionByName(copies), ["customer"], "amount", "quantity", "deal_amount", "deal_name")
+    return linking.one_to_one(pairs, "invoice_id", "deal_id", [-F.col("points")]).select("invoice_id", "deal_id", "points")
+
+
 @query("revenue_waterfall", covers="P40a", sql="""WITH s AS (SELECT l_returnflag, l_linestatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS created,
   CAST(date_trunc('month', l_shipdate) AS DATE) AS period, l_extendedprice AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 x AS (SELECT *, CAST(unnest(generate_series(created, period, INTERVAL 1 MONTH)) AS DATE) AS as_of_period FROM s WHERE created <= period)

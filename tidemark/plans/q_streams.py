@@ -11,9 +11,9 @@ from tidemark.operators import usage
 from tidemark.plans import inputs as i
 from tidemark.plans.registry import query
 from tidemark.session import shared_dir
-from tidemark.sources import files
+from tidemark.sources import files, tables
 from tidemark.streaming import incremental as inc
-from tidemark.streaming import streams
+from tidemark.streaming import log, stateful, streams
 
 r2 = lambda x: F.round(x, 2)
 
@@ -81,6 +81,49 @@ def stream_sessions(t):
     return t.spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
 
+def out_of_order(t, df, name: str, start, parts: int = 3):
+    """The events as drops that don't follow time: each of them reaches back over the whole range. All but the last are run one by one."""
+    base = scratch(t, name)
+    land, out, state = f"{base}/land", f"{base}/out", f"{base}/state"
+    for n in range(parts):
+        df.where(F.col("event_id") % parts == n).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{land}/drop={n}")
+        start(streams.stream_files(t.spark, land, t.spark.read.parquet(f"{land}/drop={n}").schema), out, state)
+    return out
+
+
+@query("stream_late_sessions", covers="T07 T13", sql="""WITH g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events), s AS (SELECT *, sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS events FROM s GROUP BY user_id, n""")
+def stream_late_sessions(t):
+    """Two thirds of the events come after others of the same time have been answered; the log holds what is true in the end."""
+    e = t.events.select("event_id", "user_id", "ts")
+    out = out_of_order(t, e, "late-sessions", lambda s, o, c: streams.run_to_log(stateful.session_changes(s, "user_id", "ts", 1800, keep_days=60), o, c, "append"))
+    done = stateful.settled(t.spark, out, ["user_id", "session_start"])
+    return done.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "last_event")})
+
+
+@query("stream_only_once", covers="T08", sql="""WITH e AS (SELECT *, event_id % (SELECT CAST(count(*) * 0.7 AS BIGINT) FROM events) AS clean_id FROM events) SELECT clean_id, min(user_id) AS user_id, min(ts) AS ts FROM e GROUP BY 1 HAVING count(*) = 1""")
+def stream_only_once(t):
+    """Ids seen once by the end; those repeated by a later drop are taken back."""
+    n = t.events.agg((F.count("*") * F.expr("0.7BD")).cast("long").alias("n")).scalar()
+    e = t.events.select("event_id", (F.col("event_id") % n).alias("clean_id"), "user_id", "ts")
+    out = out_of_order(t, e, "only-once", lambda s, o, c: streams.run_to_log(stateful.once_changes(s.select("clean_id", "user_id", "ts"), "clean_id"), o, c, "append"))
+    return stateful.settled(t.spark, out, ["clean_id"]).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_compacted_log", covers="T02 T04 T05", sql="""SELECT user_id, count(*) AS events, max(ts) AS last_seen FROM events GROUP BY 1""")
+def stream_compacted_log(t):
+    """Twelve micro-batches; the log is compacted after seven of them and again at the end."""
+    base = scratch(t, "compacted")
+    land, out, state = f"{base}/land", f"{base}/out", f"{base}/state"
+    e = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    for part in (F.col("event_id") % 12 < 7, F.col("event_id") % 12 >= 7):
+        e.where(part).withColumn("drop", F.col("event_id") % 12).repartition("drop").write.mode("append").partitionBy("drop").parquet(land)
+        stream = streams.stream_files(t.spark, land, e.schema, files_per_batch=1)
+        streams.run_to_log(stream.groupBy("user_id").agg(F.count("*").alias("events"), F.max("ts").alias("last_seen")), out, state)
+        log.compact(t.spark, out, ["user_id"])
+    return streams.read_log(t.spark, out, ["user_id"]).withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
+
+
 def dropped(t, day: str):
     return t.events.where(F.col("ts") < ntz(day)), t.events.where(F.col("ts") >= ntz(day))
 
@@ -100,6 +143,32 @@ def incremental_upsert(t):
     return inc.upsert(old, agg(t.events.where(F.col("ts") >= ntz("2024-01-20"))), ["user_id", "day"])
 
 
+def bucketed(t, df, keys: list[str], buckets: int = 8) -> str:
+    name = f"tm_{uuid.uuid4().hex}"
+    tables.write_bucketed(df, name, scratch(t, "bucketed"), keys, buckets)
+    return name
+
+
+@query("bucketed_upsert", covers="T02 T18", sql="""SELECT o_orderkey, o_custkey, round(CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice * 2 ELSE o_totalprice END, 2) AS o_totalprice FROM orders""")
+def bucketed_upsert(t):
+    """A stored table of orders; changed and new ones are merged in, version by version, without moving the stored ones."""
+    o = t.orders.select("o_orderkey", "o_custkey", r2("o_totalprice").alias("o_totalprice"))
+    k = F.col("o_orderkey")
+    name, after = bucketed(t, o.where(k % 7 != 0), ["o_orderkey"]), f"tm_{uuid.uuid4().hex}"
+    tables.rewrite_bucketed(t.spark, name, o.where(k % 7 == 0), ["o_orderkey"], 8, scratch(t, "bucketed"), after)
+    doubled = t.orders.where(k % 10 == 0).select("o_orderkey", "o_custkey", r2(F.col("o_totalprice") * 2).alias("o_totalprice"))
+    return tables.upsert_bucketed(t.spark, after, doubled, ["o_orderkey"])
+
+
+@query("bucketed_stale_rows", covers="P08", sql="""SELECT o_orderkey, o_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'OLD' ELSE c_mktsegment END AS c_mktsegment FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 13 = 0 AND c_mktsegment <> 'OLD'""")
+def bucketed_stale_rows(t):
+    stored = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_custkey", F.when(F.col("c_custkey") % 13 == 0, "OLD").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    fact = bucketed(t, stored, ["o_custkey"])
+    dim = bucketed(t, t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), ["o_custkey"])
+    return tables.stale_rows(t.spark, fact, dim, "o_custkey", ["c_mktsegment"])
+
+
 @query("incremental_delete_insert", covers="T04 T07", sql=f"""WITH {i.SQL_SESSIONED} SELECT user_id, count(DISTINCT session_index) AS sessions, count(*) AS events FROM sessioned GROUP BY 1""")
 def incremental_delete_insert(t):
     def build(d):

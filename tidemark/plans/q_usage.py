@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import history, keys, ordered, usage
+from tidemark.operators import history, keys, ordered, sketches, usage
 from tidemark.plans import inputs as i
 from tidemark.plans.registry import query
+from tidemark.session import shared_dir
 
 r2 = lambda x: F.round(x, 2)
 r4 = lambda x: F.round(x, 4)
@@ -73,7 +75,7 @@ SELECT *, CASE WHEN time_engaged_in_s < 10 THEN '0s to 9s' WHEN time_engaged_in_
 def sessions_from_pages(t):
     v = page_view_rows(t).withColumn("session_id", i.day("page_view_start"))
     s = usage.sessions(v, "user_id", "session_id", "page_id", "page_view_start", "page_view_end", "user_engaged", "time_engaged_in_s", ["page_url"])
-    return ordered.with_row_index(s, ["user_id"], ["session_start"], F.trunc("session_start", "month"), "session_index")
+    return ordered.with_row_index(s, ["user_id"], ["session_start"], None, "session_index")
 
 
 @query("last_page_in_session", covers="P10", sql=f"""WITH {SQL_PAGE_EVENTS}, s AS (SELECT *, CAST(page_view_start AS DATE) AS session_id FROM pages_done)
@@ -184,14 +186,14 @@ def monthly_delta(t):
 SELECT user_id, event_type, day, events, CAST(sum(events) OVER w AS BIGINT) AS events_to_date, round(sum(value) OVER w, 2) AS value_to_date FROM d WINDOW w AS (PARTITION BY user_id, event_type ORDER BY day ROWS UNBOUNDED PRECEDING)""")
 def running_totals(t):
     d = t.events.groupBy("user_id", "event_type", i.day("ts").alias("day")).agg(F.count("*").alias("events"), r2(F.sum("value")).alias("value"))
-    out = usage.running_total(d, ["user_id", "event_type"], ["day"], F.trunc("day", "month"), ["events", "value"])
+    out = usage.running_total(d, ["user_id", "event_type"], ["day"], None, ["events", "value"])
     return out.withColumn("value_to_date", r2("value_to_date")).drop("value")
 
 
 @query("running_event_value", covers="W10 P41", sql="""SELECT event_id, user_id, row_number() OVER w AS position, round(sum(value) OVER w, 2) AS value_so_far FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def running_event_value(t):
     e = t.events.select("event_id", "user_id", "ts", "value")
-    out = ordered.with_running_sum(e, ["user_id"], ["ts", "event_id"], i.events_day_block(), {"position": F.lit(1).cast("long"), "value_so_far": "value"})
+    out = ordered.with_running_sum(e, ["user_id"], ["ts", "event_id"], None, {"position": F.lit(1).cast("long"), "value_so_far": "value"})
     return out.select("event_id", "user_id", "position", r2("value_so_far").alias("value_so_far"))
 
 
@@ -247,17 +249,58 @@ def health_score(t):
     return s.select("c_custkey", "license_use_score", "engagement_score", "activity_score", "license_use_color", r4("overall_score").alias("overall_score"))
 
 
-@query("license_utilization", covers="P73 F13 J17", sql="""WITH u AS (SELECT o_custkey AS subscription, CAST(o_orderdate AS DATE) AS day, o_orderkey AS instance, CAST(sum(l_quantity) AS BIGINT) - 50 AS users FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
-tr AS (SELECT c_custkey AS subscription, DATE '1996-01-01' + CAST(c_custkey % 700 AS INTEGER) AS a, DATE '1996-01-01' + CAST(c_custkey % 700 + 400 AS INTEGER) AS b FROM customer WHERE c_custkey % 3 = 0)
-SELECT subscription, day, instance, users, users > 0 AND EXISTS (SELECT 1 FROM tr WHERE tr.subscription = u.subscription AND u.day BETWEEN a AND b) AS is_trial,
- row_number() OVER (PARTITION BY subscription, day ORDER BY users DESC, instance DESC) = 1 AS is_max_instance FROM u""")
+@query("license_utilization", covers="P73 F13 J17", sql="""WITH u AS (SELECT o_custkey AS subscription, CAST(o_orderdate AS DATE) AS day, o_orderkey AS instance, CAST(sum(l_quantity) AS BIGINT) AS users, CAST(sum(l_quantity) AS BIGINT) - 50 AS licensed,
+ CASE WHEN o_orderkey % 4 = 0 THEN 'Staging' ELSE 'Production' END AS kind FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
+tr AS (SELECT c_custkey AS key, CASE WHEN c_custkey % 2 = 0 THEN 'Pro' ELSE 'Enterprise' END AS product, DATE '1996-01-01' + CAST(c_custkey % 700 AS INTEGER) AS a, DATE '1996-01-01' + CAST(c_custkey % 700 + 400 AS INTEGER) AS b FROM customer WHERE c_custkey % 3 = 0),
+ti AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 7 < 3 THEN 'Pro' ELSE 'Enterprise' END AS product, CAST(o_orderdate AS DATE) - 10 AS a, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) - 15 AS b FROM orders WHERE o_orderkey % 5 = 0)
+SELECT subscription, day, instance, users, licensed, kind,
+ licensed > 0 AND (EXISTS (SELECT 1 FROM tr WHERE key = subscription AND product = 'Pro' AND day BETWEEN a AND b) OR EXISTS (SELECT 1 FROM ti WHERE key = instance AND product = 'Pro' AND day BETWEEN a AND b)) AS is_pro_trial,
+ licensed > 0 AND (EXISTS (SELECT 1 FROM tr WHERE key = subscription AND product = 'Enterprise' AND day BETWEEN a AND b) OR EXISTS (SELECT 1 FROM ti WHERE key = instance AND product = 'Enterprise' AND day BETWEEN a AND b)) AS is_enterprise_trial,
+ kind = 'Production' AND row_number() OVER (PARTITION BY subscription, day ORDER BY users DESC NULLS LAST, instance DESC) = 1 AS is_max_instance FROM u""")
 def license_utilization(t):
-    u = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
-        F.col("o_custkey").alias("subscription"), i.day("o_orderdate").alias("day"), F.col("o_orderkey").alias("instance")
-    ).agg((F.sum("l_quantity").cast("long") - 50).alias("users"))
-    base, c = F.lit(dt.date(1996, 1, 1)), F.col("c_custkey")
-    trials = t.customer.where(c % 3 == 0).select(c.alias("subscription"), F.date_add(base, (c % 700).cast("int")).alias("start"), F.date_add(base, (c % 700 + 400).cast("int")).alias("end"))
-    return usage.license_utilization(u, "subscription", "day", "instance", "users", trials, "subscription")
+    """Two trial products, each by subscription and by instance; instances that aren't in production."""
+    k, c, d = F.col("o_orderkey"), F.col("c_custkey"), i.day("o_orderdate")
+    u = t.orders.join(t.lineitem, F.col("l_orderkey") == k).groupBy(F.col("o_custkey").alias("subscription"), d.alias("day"), k.alias("instance")).agg(F.sum("l_quantity").cast("long").alias("users"))
+    u = u.select("*", (F.col("users") - 50).alias("licensed"), F.when(F.col("instance") % 4 == 0, "Staging").otherwise("Production").alias("kind"))
+    base = F.lit(dt.date(1996, 1, 1))
+    by_subscription = t.customer.where(c % 3 == 0).select(c.alias("subscription"), F.when(c % 2 == 0, "Pro").otherwise("Enterprise").alias("product"),
+                                                          F.date_add(base, (c % 700).cast("int")).alias("start"), F.date_add(base, (c % 700 + 400).cast("int")).alias("end"))
+    by_instance = t.orders.where(k % 5 == 0).select(k.alias("instance"), F.when(k % 7 < 3, "Pro").otherwise("Enterprise").alias("product"),
+                                                    F.date_sub(d, 10).alias("start"), F.date_add(d, (k % 20 - 15).cast("int")).alias("end"))
+    return usage.license_utilization(u, "subscription", "day", "instance", "users", "licensed", "kind",
+                                     [(by_subscription, "subscription"), (by_instance, "instance")], {"pro": "Pro", "enterprise": "Enterprise"})
+
+
+SQL_TRAILING = """d AS (SELECT event_type, CAST(ts AS DATE) AS day, user_id, value FROM events), e AS (SELECT DISTINCT event_type, day FROM d)"""
+
+
+@query("trailing_active_users", covers="T15 A04 W16", sql=f"""WITH {SQL_TRAILING}
+SELECT e.event_type, e.day, count(DISTINCT user_id) AS active_users FROM e JOIN d ON d.event_type = e.event_type AND d.day BETWEEN e.day - 27 AND e.day GROUP BY 1, 2""")
+def trailing_active_users(t):
+    return usage.trailing_active_users(t.events, ["event_type"], "user_id", "ts")
+
+
+@query("trailing_sketches", covers="A12 A13 P38", sql=f"""WITH {SQL_TRAILING}
+SELECT e.event_type, e.day, count(DISTINCT d.day) AS days, count(*) AS n, true AS users_are_near, true AS median_is_near, true AS p90_is_near FROM e JOIN d ON d.event_type = e.event_type AND d.day BETWEEN e.day - 27 AND e.day GROUP BY 1, 2""")
+def trailing_sketches(t):
+    """28-day estimates from stored daily sketches, held against the exact ones: five standard errors of the distinct count, twice the rank error of a quantile."""
+    path = f"{shared_dir(t.spark)}/sketches-{uuid.uuid4().hex[:8]}"
+    e = t.events.select("event_type", "user_id", i.day("ts").alias("day"), "value")
+    sketches.daily(e, ["event_type"], "day", "user_id", "value").write.parquet(path)
+    probs = {"median": 0.5, "p90": 0.9}
+    got = sketches.trailing(t.spark.read.parquet(path), ["event_type"], "day", 28, probs)
+    exact = usage.trailing_active_users(t.events, ["event_type"], "user_id", "ts")
+    off = 2 * sketches.rank_error()
+    ends = e.select("event_type", F.col("day").alias("end")).distinct()
+    reach = e.select("event_type", "value", F.explode(F.sequence(F.lit(0), F.lit(27))).alias("ahead"), "day").withColumn("end", F.date_add("day", F.col("ahead")))
+    ranked = reach.join(ends, ["event_type", "end"], "left_semi").join(got.select("event_type", F.col("day").alias("end"), *probs), ["event_type", "end"])
+    share = lambda x: F.avg(x.cast("double"))
+    ranked = ranked.groupBy("event_type", F.col("end").alias("day")).agg(
+        *[share(F.col("value") < F.col(n)).alias(f"{n}_below") for n in probs], *[share(F.col("value") <= F.col(n)).alias(f"{n}_upto") for n in probs])
+    near = got.join(exact, ["event_type", "day"]).join(ranked, ["event_type", "day"])
+    fits = lambda n, p: (F.col(f"{n}_below") <= p + off + 1 / F.col("n")) & (F.col(f"{n}_upto") >= p - off - 1 / F.col("n"))
+    return near.select("event_type", "day", "days", "n", (F.abs(F.col("items_estimate") - F.col("active_users")) <= 1 + 0.041 * F.col("active_users")).alias("users_are_near"),
+                       *[fits(n, p).alias(f"{n}_is_near") for n, p in probs.items()])
 
 
 @query("storage_allowance", covers="P74a W13", sql="""WITH p AS (SELECT l_orderkey, l_partkey, sum(l_quantity) AS size, 30 AS free_limit, CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE 20 END AS bought FROM lineitem GROUP BY 1, 2),
@@ -327,5 +370,5 @@ def first_engagement(t):
     c = t.conversations
     r = c.where(F.col("role") == "user").select("conv_id", F.col("turn").alias("at"))
     a = c.where(F.col("role") == "assistant").select("conv_id", F.col("turn").alias("at"), F.length("text").alias("chars"))
-    m = history.next_match(r, a, ["conv_id"], "at", ["chars"], F.floor(F.col("at") / 64))
+    m = history.next_match(r, a, ["conv_id"], "at", ["chars"])
     return m.select("conv_id", F.col("at").alias("asked"), F.col("matched_at").alias("answered")).distinct()

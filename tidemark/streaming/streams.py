@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.keys import latest_per_key
+from tidemark.streaming import log
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -46,11 +46,8 @@ def run_append(df: DataFrame, path: str, checkpoint: str):
 
 
 def read_log(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Contents of a log: with keys, the newest row per key."""
-    log = spark.read.option("basePath", path).parquet(path)
-    if keys is None:
-        return log.drop("batch")
-    return latest_per_key(log, keys, [F.col("batch").desc()]).drop("batch")
+    """Contents of a log, compacted or not: with keys, the newest row per key."""
+    return log.read(spark, path, keys)
 
 
 def merge_sum_counts(stream: DataFrame, event_id: str, loaded_at: str, valid: Column) -> DataFrame:
@@ -74,7 +71,7 @@ def sliding_active(stream: DataFrame, ts: str, width: str, slide: str, user: str
 def sessions(stream: DataFrame, user: str, ts: str, gap: str, late: str) -> DataFrame:
     """Sessions by inactivity gap; a session is final once the watermark has passed its end.
 
-    Events later than ``late`` are not in the stream's answer: reprocessing the touched sessions in batch wins.
+    Events later than ``late`` are not in the stream's answer; ``stateful.session_changes`` takes them in.
     """
     w = F.session_window(ts, gap)
     return stream.withWatermark(ts, late).groupBy(user, w.alias("w")).agg(F.count("*").alias("events")).select(
