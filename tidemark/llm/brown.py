@@ -134,14 +134,16 @@ class Scored(Items):
 
 @contextlib.contextmanager
 def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Within, Python workers get at most ``rows`` rows at once, as each is an array of many counts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    """Within, scans and Python workers take at most ``rows`` rows at once, as each is a long text or an array of many counts."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def _named(groups: int):
@@ -384,7 +386,7 @@ def best_class(between: np.ndarray, old: np.ndarray, r: np.ndarray, c: np.ndarra
     return np.where(gain[k, new] > gain[k, old] + 1e-9, new, old)
 
 
-def _turn(sent, classes: int, share: int, at_once: int = 256):
+def _turn(sent, classes: int, share: int, at_once: int = 128):
     """Counts of class pairs, and of the items whose turn it is (one in ``share``) those that another class suits better, with this class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, between, turn = sent.value
