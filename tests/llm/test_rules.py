@@ -49,19 +49,30 @@ def test_cutoffs_need_proof(spark):
     one = rules.Rule("symbols", True, "n_symbols", "n_words", (2.0, 0.5))
     # P(X = 0) = 0.99 ** n <= 0.05 / (2 cutoffs * 3 strata) needs n >= 477; two rejected good ones of 1200 pass, nine don't
     data = held(spark, 477, 0, 20, "a").unionByName(held(spark, 476, 0, 20, "b")).unionByName(held(spark, 1200, 9, 20, "c"))
-    chosen = {r.stratum: r.cutoffs for r in rules.choose(data, rules=(one,)).collect()}
+    chosen = {r.stratum: r.cutoffs for r in rules.choose(data, rules=(one,), risk=0.01).collect()}
     assert chosen == {"a": {0: 2}} or chosen == {"a": {0: 1}}
     data = held(spark, 1200, 2, 20, "a")
-    assert rules.choose(data, rules=(one,)).count() == 1
+    assert rules.choose(data, rules=(one,), risk=0.01).count() == 1
     assert rules.choose(data.limit(0), rules=(one,)).count() == 0
 
 
+def test_rules_share_the_risk_of_a_stratum(spark):
+    """Each of four rules alone could reject 1 % of the good documents; together they are held to 1 %."""
+    four = tuple(rules.Rule(f"r{k}", True, c, "n_words", (0.5,)) for k, c in enumerate(("n_symbols", "n_dup_lines", "n_capitals", "n_exclamations")))
+    zero = {c: 0 for c in rules.STATS} | {"n_words": 100, "word_chars": 500, "n_lines": 5, "stratum": "a"}
+    lost = [{four[k % 4].top: 90} for k in range(48)]  # 0.6 % for each rule, 2.4 % for all
+    data = spark.createDataFrame([zero | {"good": True} | x for x in lost + [{}] * 1952] + [zero | {"good": False} | {r.top: 90 for r in four}] * 50)
+    assert rules.choose(data, rules=four, risk=0.01).count() == 0
+    assert len(rules.choose(data, rules=four, risk=0.05).first().cutoffs) == 4
+
+
 def test_rejection_on_check_tables_holds_its_promise(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    judged = rules.quality(docs, labels, risk=0.03).join(labels, "doc_id").where("not base_failed")
+    risk = 0.03 * len(rules.RULES)  # of a stratum, all rules together
+    judged = rules.quality(docs, labels, risk=risk).join(labels, "doc_id").where("not base_failed")
     shares = judged.where("quality = 1").groupBy("stratum").agg(F.avg((~F.col("kept")).cast("double")).alias("lost"), F.count("*").alias("n")).collect()
-    assert all(r.lost <= 0.03 * len(rules.RULES) for r in shares)
+    assert all(r.lost <= risk for r in shares)
     assert judged.where("quality = 0 and not kept").count() > 0.5 * judged.where("quality = 0").count()
     assert rules.quality(empty, labels).count() == 0
     assert rules.quality(docs.limit(20), labels.limit(0)).where("kept = base_failed").count() == 0

@@ -59,3 +59,11 @@ def test_table_and_odd_rows(spark, odd, empty):
     assert told(docs) == brute([tuple(r) for r in docs.collect()], 400)
     assert told(odd) == brute([(r.doc_id, r.text) for r in odd.collect()], 400)
     assert substrings.remove_repeats(empty).count() == 0
+
+
+def test_a_crowded_core_is_counted_by_spark(spark):
+    """Near copies of one passage, more starts than ``most``: the same result as in one task."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(k, f"{k} x{k % 7} {base} y{k % 11} {k * k}") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert told(df, length=80, span=40, most=500) == told(df, length=80, span=40) == brute(rows, 80)

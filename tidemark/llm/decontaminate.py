@@ -4,8 +4,9 @@ Texts and items are normalised alike: A-Z lower-cased, words of letters and digi
 an item with a blank at each end, so it matches whole words only, and scans a text once. Matches are mapped to words and from
 there to places in the original text.
 
-The automaton is built in the worker from the items' texts, which the driver sends along. Their size is checked: items
-beyond ``limit`` bytes are split into more automata, and the texts pass one after the other.
+The automaton is built in the worker from the items' texts, which the driver sends along. What it holds is checked: a window for almost every item
+word, so some ``size`` times the items' bytes, with a node of about 40 bytes for each. Beyond ``limit`` bytes of windows the items are
+split into more automata, and the texts pass one after the other.
 """
 
 from __future__ import annotations
@@ -114,7 +115,7 @@ def _union(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
 
 
 def contamination(
-    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10, limit: int = 64 << 20,
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10, limit: int = 8 << 20,
     outs: tuple[str, str, str, str] = ("n_words", "hits", "items", "spans"),
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (runs of hit words: first, end), ``items`` (ids as sorted strings), ``spans`` (code points of the text).
@@ -128,14 +129,15 @@ def contamination(
     rest = [c for c in docs.columns if c.lower() not in {o.lower() for o in outs}]
     df = docs.select(*[F.col(f"`{c}`") for c in rest])
     told = items.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").alias("text")).where("text is not null").distinct()
-    bytes_ = told.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-bytes_ // limit))
+    words = F.size(F.split(F.trim("text"), r"\s+"))
+    windows_ = F.octet_length("text") * F.least(words, F.lit(size))  # a word stands in up to ``size`` windows
+    parts = max(1, -(-(told.agg(F.sum(windows_)).first()[0] or 0) // limit))
     runs = ArrayType(StructType([StructField("first", IntegerType()), StructField("end", IntegerType())]))
     places = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
     types = (LongType(), runs, told.select(F.array("id").alias("a")).schema["a"].dataType, places)
     shape = StructType([*df.schema.fields, *[StructField(o, t) for o, t in zip(outs, types, strict=True)]])
     for part in range(parts):
-        own = told.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).collect()  # about ``limit`` bytes
+        own = told.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).collect()  # less than ``limit`` bytes
         sent = spark.sparkContext.broadcast({"items": [(r.id, r.text) for r in own]})
         df = df.mapInArrow(_scan(sent, size, text, outs), shape)
         if part + 1 < parts:

@@ -121,7 +121,10 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = substrings.remove_repeats(table(spark, folder, "documents"))
-    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("repeated"), F.coalesce(F.try_divide("n_removed", "n_bytes"), F.lit(0.0)).alias("removed_share"),
+    )
 
 
 @query
@@ -221,13 +224,14 @@ FROM s JOIN class USING (r) LEFT JOIN n_link USING (r)
 """
 
 
-def _rules_sql(risk: float = 0.01, error: float = 0.05) -> str:
+def _rules_sql(risk: float = 0.05, error: float = 0.05) -> str:
     """The operator's steps over the same rules, with the binomial bound as a plain sum."""
     def passed(r: rules.Rule) -> str:
         sign = ">" if r.above else "<"
         return " + ".join(f"coalesce(({r.top} / nullif({r.bottom}, 0) {sign} {c})::INT, 0)" for c in r.grid)
 
     places = ", ".join(f"[{i}, {passed(r)}]" for i, r in enumerate(rules.RULES))
+    risk /= len(rules.RULES)
     cutoffs = sum(len(r.grid) for r in rules.RULES)
     lone = r"[^\x20\x09-\x0D]"
     return rf"""

@@ -1,8 +1,9 @@
 """Quality rules whose cutoffs are chosen under a guaranteed risk. DataFrame functions only.
 
 A rule compares one ratio of a document with a cutoff. Which cutoff is safe is learned from labelled documents: in each stratum, every
-cutoff of a grid fixed beforehand is tested for "rejects at most ``risk`` of the good documents". With k of n good ones rejected, the test
-passes when a binomial count of n trials with chance ``risk`` would be k or lower with probability at most ``error`` / number of tests
+cutoff of a grid fixed beforehand is tested for "rejects at most its share of ``risk`` of the good documents", where the rules share the
+risk equally: all of them together reject at most ``risk`` of a stratum's good documents. With k of n good ones rejected, the test
+passes when a binomial count of n trials with that chance would be k or lower with probability at most ``error`` / number of tests
 (the exact one-sided bound of Clopper and Pearson, with Bonferroni's correction over strata, rules and cutoffs). So with probability
 1 - ``error`` all chosen cutoffs keep their promise at once. Among the safe cutoffs of a rule the one that parts good from bad best is taken;
 a rule that parts nothing rejects nothing. Too few labels in a stratum prove nothing, and then no rule acts there.
@@ -129,12 +130,12 @@ def choose(
     stratum: str = "stratum",
     good: str = "good",
     rules: tuple[Rule, ...] = RULES,
-    risk: float = 0.01,
+    risk: float = 0.05,
     error: float = 0.05,
 ) -> DataFrame:
     """Labelled rows (``stratum``, ``good`` boolean, counts) -> ``stratum, cutoffs``: map from a rule's index to the place of its cutoff.
 
-    A row of labels without document or with a null label must be left out before; no rows give no cutoffs.
+    ``risk`` is promised for a stratum, whatever its rules. A row of labels without document or with a null label must be left out before; no rows give no cutoffs.
     """
     cells = (
         held.select(F.col(stratum).alias("stratum"), F.col(good).alias("good"), F.posexplode(strictness(rules)).alias("rule", "passed"))
@@ -154,7 +155,7 @@ def choose(
     ).where("passed > 0")
     found = found.withColumn("strata", F.lit(int(strata.first()[0])))
     gain = F.col("k_bad") * F.col("n") - F.col("k") * F.col("n_bad")
-    safe = found.where((gain > 0) & (binomial_tail(F.col("k"), F.col("n"), risk) * tests <= error))
+    safe = found.where((gain > 0) & (binomial_tail(F.col("k"), F.col("n"), risk / len(rules)) * tests <= error))
     best = safe.groupBy("stratum", "rule").agg(F.max(F.struct(gain.alias("gain"), F.col("passed").alias("passed")))["passed"].alias("passed"))
     return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "passed"))).alias("cutoffs"))
 

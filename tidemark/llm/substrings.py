@@ -10,7 +10,7 @@ all that the order is asked for, namely which starts agree for ``length`` bytes.
 3. Entries found once that share a core with other entries are compared start by start: the suffixes of a core's entries, cut at
    ``length`` bytes, are sorted by hash, and neighbours that agree are repeated.
 
-Equal bytes are told by two independent 64-bit hashes (core and text, or core and suffix). A core with more than ``most`` entries
+Equal bytes are told by two independent 64-bit hashes (core and text, or core and suffix). A core whose entries have more than ``most`` starts
 isn't gathered in a task: its suffixes are counted by a Spark aggregation, with the same result.
 """
 
@@ -217,7 +217,7 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, span: int = 256, most: int = 100_000
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, span: int = 256, most: int = 1_000_000
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans`` and ``kept``, the bytes that stay (a cut may fall inside a character), per row of ``docs``.
 
@@ -245,9 +245,9 @@ def remove_repeats(
         mixed.join(entries.where("n > 1").select("core", "whole"), ["core", "whole"]).select("id", "fp", "lo", "hi")
     ).select("id", "fp", F.col("lo").alias("a"), (F.col("hi") + length).alias("b"))
 
-    kinds = entries.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+    kinds = entries.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least"), F.sum(F.col("here.hi") - F.col("here.lo") + 1).alias("starts")).where("kinds > 1 and least = 1")
     asked = scratch(
-        entries.join(scratch(kinds.select("core", (F.col("kinds") > most).alias("crowd"))), "core")
+        entries.join(scratch(kinds.select("core", (F.col("starts") > most).alias("crowd"))), "core")
         .select("here.*", "core", (F.col("n") > 1).alias("known"), "crowd")
         .groupBy("id", "fp")
         .agg(F.collect_list(F.struct("lo", "hi", "at", "core", "known", "crowd")).alias("entries"))
