@@ -72,7 +72,8 @@ lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS namespace_id, unnest([CAST(n_r
 ways AS (SELECT source_id AS namespace_id, 'group_membership' AS source_type, source_id, access_level, CAST(NULL AS INTEGER) AS group_access, user_id FROM gm
  UNION SELECT group_id, 'project_membership', project_id, access_level, NULL, user_id FROM pm JOIN projects USING (project_id)
  UNION SELECT group_id, CASE WHEN via = guest_id THEN 'group_group_link' ELSE 'group_group_link_ancestor' END, link_id, access_level, group_access, user_id FROM gl JOIN lineage ON guest_id = namespace_id JOIN gm ON via = source_id
- UNION SELECT group_id, CASE WHEN via = guest_id THEN 'project_group_link' ELSE 'project_group_link_ancestor' END, link_id, access_level, group_access, user_id FROM pl JOIN lineage ON guest_id = namespace_id JOIN gm ON via = source_id)
+ UNION SELECT group_id, CASE WHEN via = guest_id THEN 'project_group_link' ELSE 'project_group_link_ancestor' END, link_id, access_level, group_access, user_id FROM pl JOIN lineage ON guest_id = namespace_id JOIN gm ON via = source_id
+ UNION SELECT CAST(c_nationkey AS BIGINT), 'individual_namespace', CAST(c_nationkey AS BIGINT), 50, NULL, min(c_custkey) FROM customer GROUP BY c_nationkey)
 SELECT w.*, top AS ultimate_parent_id, coalesce(access_level = 10, false) OR coalesce(group_access = 10, false) AS is_guest FROM ways w JOIN (SELECT DISTINCT namespace_id, top FROM lineage) USING (namespace_id)""")
 def expand_membership(t):
     big = lambda x: x.cast("long")
@@ -83,7 +84,7 @@ def expand_membership(t):
     gl = t.nation.select(n.alias("link_id"), n.alias("group_id"), ((n * 7 + 1) % 25).alias("guest_id"), ((n % 5 + 1) * 10).cast("int").alias("group_access"))
     pl = projects.select((F.col("project_id") + 1000).alias("link_id"), "project_id", ((F.col("project_id") * 3) % 25).alias("guest_id"), F.lit(20).alias("group_access"))
     lineage = t.nation.select(n.alias("namespace_id"), F.array(big(F.col("n_regionkey")) + 100, n).alias("upstream"))
-    owners = t.customer.where(F.lit(False)).select(F.col("c_custkey").alias("namespace_id"), F.col("c_custkey").alias("user_id"))
+    owners = t.customer.groupBy(big(F.col("c_nationkey")).alias("namespace_id")).agg(F.min("c_custkey").alias("user_id"))
     return graphs.expand_membership(gm, pm, projects, gl, pl, lineage, owners)
 
 

@@ -32,11 +32,17 @@ def regex_functions(t):
                          F.array_join(s.strtok_array(n, " e"), "|").alias("tokens"))
 
 
-@query("hash_functions", covers="M05 P17", sql="""SELECT c_custkey, md5(c_name) AS m, sha256(c_name) AS h, 'AbCdEfGhIjKlMnO' || '' AS raw_id, 'AbCdEfGhIjKlMnOVKV' AS safe_id, CAST(strftime(TIMESTAMP '2024-01-01 05:00:00' + to_hours(CAST(c_custkey % 10 AS INTEGER)) - INTERVAL 8 HOUR, '%Y%m%d') AS INTEGER) AS zoned FROM customer""")
+@query("hash_functions", covers="M05 P17", sql="""WITH x AS (SELECT *, upper(substr(md5(c_name), 1, 4)) || substr(md5(c_name), 5, 3) || upper(substr(md5(c_name), 8, 5)) || substr(md5(c_name), 13, CASE WHEN c_custkey % 9 = 0 THEN 2 ELSE 3 END) AS raw_id FROM customer)
+SELECT c_custkey, md5(c_name) AS m, sha256(c_name) AS h, raw_id, CASE WHEN length(raw_id) <> 15 THEN raw_id ELSE raw_id || array_to_string(list_transform([0, 5, 10], lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ012345',
+ 1 + list_sum(list_transform([0, 1, 2, 3, 4], lambda i: CASE WHEN substr(raw_id, g + i + 1, 1) BETWEEN 'A' AND 'Z' THEN (2 ** i)::INTEGER ELSE 0 END))::INTEGER, 1)), '') END AS safe_id,
+ CAST(strftime(TIMESTAMP '2024-01-01 05:00:00' + to_hours(CAST(c_custkey % 10 AS INTEGER)) - INTERVAL 8 HOUR, '%Y%m%d') AS INTEGER) AS zoned FROM x""")
 def hash_functions(t):
-    raw = F.lit("AbCdEfGhIjKlMnO")
-    at = F.timestamp_add("HOUR", (F.col("c_custkey") % 10).cast("int"), F.expr("timestamp_ntz'2024-01-01 05:00:00'"))
-    return t.customer.select("c_custkey", F.md5("c_name").alias("m"), F.sha2("c_name", 256).alias("h"), raw.alias("raw_id"), s.case_safe_id(raw).alias("safe_id"), s.zoned_date_id(at).alias("zoned"))
+    """Ids of mixed case made from names; every ninth has 14 characters and stays as it is."""
+    m, k = F.md5("c_name"), F.col("c_custkey")
+    raw = F.concat(F.upper(F.substring(m, 1, 4)), F.substring(m, 5, 3), F.upper(F.substring(m, 8, 5)), F.when(k % 9 == 0, F.substring(m, 13, 2)).otherwise(F.substring(m, 13, 3)))
+    at = F.timestamp_add("HOUR", (k % 10).cast("int"), F.expr("timestamp_ntz'2024-01-01 05:00:00'"))
+    x = t.customer.withColumn("raw_id", raw)
+    return x.select("c_custkey", m.alias("m"), F.sha2("c_name", 256).alias("h"), "raw_id", s.case_safe_id("raw_id").alias("safe_id"), s.zoned_date_id(at).alias("zoned"))
 
 
 @query("masked_random", covers="M05", sql="SELECT c_custkey, 12 AS n, true AS is_plain FROM customer")

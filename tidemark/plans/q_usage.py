@@ -331,15 +331,19 @@ def peak_rate(t):
     return usage.peak_rate(t.events, "ts", "minute", "day")
 
 
-@query("feature_matrix", covers="P102 A05 A24", sql="""WITH e AS (SELECT user_id % 20 AS account, user_id, event_type AS stage, CASE WHEN ts >= TIMESTAMP '2024-01-24' THEN 'week' ELSE 'month' END AS frame FROM events),
-g AS (SELECT account, count(DISTINCT CASE WHEN stage = 'view' AND frame = 'week' THEN user_id END) AS view_week, count(DISTINCT CASE WHEN stage = 'view' AND frame = 'month' THEN user_id END) AS view_month,
- count(DISTINCT CASE WHEN stage = 'click' AND frame = 'week' THEN user_id END) AS click_week, count(DISTINCT CASE WHEN stage = 'click' AND frame = 'month' THEN user_id END) AS click_month FROM e GROUP BY 1)
-SELECT *, CASE WHEN view_week + click_week = 0 THEN 0 ELSE round(view_week / (view_week + click_week), 6) END AS view_week_share, CASE WHEN view_week + click_week = 0 THEN 0 ELSE round(click_week / (view_week + click_week), 6) END AS click_week_share FROM g""")
+STAGES = ("view", "click", "signup", "purchase", "error")
+SQL_MATRIX = ", ".join(f"count(DISTINCT CASE WHEN stage = '{k}' AND frame = '{f}' THEN user_id END) AS {k}_{f}" for k in STAGES for f in ("week", "month"))
+SQL_WEEK = " + ".join(f"{k}_week" for k in STAGES)
+
+
+@query("feature_matrix", covers="P102 A05 A24", sql=f"""WITH e AS (SELECT user_id % 20 AS account, user_id, event_type AS stage, CASE WHEN ts >= TIMESTAMP '2024-01-24' THEN 'week' ELSE 'month' END AS frame FROM events),
+g AS (SELECT account, {SQL_MATRIX} FROM e GROUP BY 1)
+SELECT *, {', '.join(f"CASE WHEN {SQL_WEEK} = 0 THEN 0 ELSE round({k}_week / ({SQL_WEEK}), 6) END AS {k}_week_share" for k in STAGES)} FROM g""")
 def feature_matrix(t):
     e = t.events.select((F.col("user_id") % 20).alias("account"), "user_id", F.col("event_type").alias("stage"),
                         F.when(F.col("ts") >= F.expr("timestamp_ntz'2024-01-24'"), "week").otherwise("month").alias("frame"))
-    m = usage.feature_matrix(e, ["account"], "stage", "frame", "user_id", ["view", "click"], ["week", "month"])
-    return m.select("account", "view_week", "view_month", "click_week", "click_month", *[F.round(f"{s}_week_share", 6).alias(f"{s}_week_share") for s in ("view", "click")])
+    m = usage.feature_matrix(e, ["account"], "stage", "frame", "user_id", list(STAGES), ["week", "month"])
+    return m.select("account", *[f"{k}_{f}" for k in STAGES for f in ("week", "month")], *[F.round(f"{k}_week_share", 6).alias(f"{k}_week_share") for k in STAGES])
 
 
 @query("weighted_usage_share", covers="P103 W14", sql="""WITH g AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_returnflag, sum(l_quantity * CASE l_linestatus WHEN 'F' THEN 0.5 ELSE 2.0 END) AS weighted, sum(l_extendedprice) AS cost FROM lineitem GROUP BY 1, 2)
