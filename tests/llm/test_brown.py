@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import MIDDLE, read
 from pyspark.sql import functions as F
@@ -121,3 +122,28 @@ def test_a_document_costs_its_own_words():
     for line in lines:
         items.numbers(line)
     assert (time.perf_counter() - start) / len(lines) < 1e-3
+
+
+def test_changes_of_a_turn_are_those_of_counting_anew():
+    rng = np.random.default_rng(5)
+    size, classes = 40, 6
+    pairs = rng.poisson(1.5, (size, size))
+    shares, rows = brown.share_of(np.arange(size)), []
+    for i in range(size):
+        after, before = np.flatnonzero(pairs[i]), np.flatnonzero(pairs[:, i])
+        other, n = np.append(after, size + before), np.append(pairs[i, after], pairs[before, i])
+        rows.append((int(shares[i]), brown._pack(np.full(len(other), i), other, n)))
+    own = np.append(0, 1 + rng.integers(0, classes - 1, size - 1)).astype(np.int16)
+    trial = own.copy()
+    movers = np.flatnonzero((shares == 3) & (np.arange(size) > 0))
+    trial[movers] = 1 + rng.integers(0, classes - 1, len(movers))
+    table = lambda c: np.eye(classes)[c].T @ pairs @ np.eye(classes)[c]
+
+    class Sent:
+        value = (own, trial, table(own), 4)
+
+    batch = pa.record_batch({"share": pa.array([s for s, _ in rows if s in (3, 4)], pa.int32()), "cells": pa.array([c for s, c in rows if s in (3, 4)], pa.binary())})
+    found = list(brown._turn(Sent, classes)(iter([batch])))[0].to_pylist()[0]
+    assert np.array_equal(table(own) + np.frombuffer(found["change"]).reshape(classes, classes), table(trial))
+    moved = np.frombuffer(found["moves"], np.int64).reshape(2, -1)
+    assert set(moved[0]) <= set(np.flatnonzero(shares == 4))

@@ -184,9 +184,8 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
             pair, n = np.unique(np.concatenate(waiting), return_counts=True)
             a, b = pair // size, pair % size
             item, other, n = np.concatenate([a, b]), np.concatenate([b, size + a]), np.concatenate([n, n])
-            bucket = item % buckets
-            order = np.argsort((bucket * size + item) * (2 * size) + other) if buckets * size * 2 * size < 1 << 62 else np.lexsort((other, item, bucket))
-            bucket, item, other, n = bucket[order], item[order], other[order], n[order]
+            order = np.argsort(item % buckets, kind="stable")  # the rows of a bucket are added up, and sorted, where they meet
+            bucket, item, other, n = (item % buckets)[order], item[order], other[order], n[order]
             ends = np.append(np.searchsorted(bucket, np.arange(buckets)), len(item)).tolist()
             parts = [(k, _pack(item[i:j], other[i:j], n[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["bucket", "cells"])
@@ -215,6 +214,14 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
     return run
 
 
+SHARES = 8
+
+
+def share_of(item: np.ndarray) -> np.ndarray:
+    """The turn in which an item moves."""
+    return ((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % SHARES
+
+
 def _merge(most: int = 1_000_000, cells_at_once: int = 16_384):
     """Rows sorted by bucket -> rows with all neighbours of some items each, of 256 KB unless one item has more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,13 +232,17 @@ def _merge(most: int = 1_000_000, cells_at_once: int = 16_384):
 
         def told() -> Iterator[pa.RecordBatch]:
             keys, n = added()
+            part = share_of(keys >> 32)
+            order = np.argsort(part, kind="stable")  # of each share, then by item
+            keys, n, part = keys[order], n[order], part[order]
             item, other = keys >> 32, keys & 0xFFFFFFFF
             new = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
-            ends = np.append(new[np.unique(np.searchsorted(new, np.arange(cells_at_once, len(keys), cells_at_once), side="right") - 1)], len(keys))
+            cuts = [new[np.unique(np.searchsorted(new, np.arange(cells_at_once, len(keys), cells_at_once), side="right") - 1)], np.searchsorted(part, np.arange(1, SHARES))]
+            ends = np.unique(np.concatenate([*cuts, [len(keys)]])).tolist()
             for i, j in zip([0, *ends], ends):
                 if j > i:
-                    cells = _pack(item[i:j], other[i:j], n[i:j])
-                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([cells], pa.binary())], names=["bucket", "cells"])
+                    found = [pa.array([int(part[i])], pa.int32()), pa.array([_pack(item[i:j], other[i:j], n[i:j])], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(found, names=["share", "cells"])
 
         for b in batches:
             for k, cells in zip(b["bucket"].to_pylist(), b["cells"].to_pylist(), strict=True):
@@ -386,32 +397,52 @@ def best_class(between: np.ndarray, old: np.ndarray, r: np.ndarray, c: np.ndarra
     return np.where(gain[k, new] > gain[k, old] + 1e-9, new, old)
 
 
-def _turn(sent, classes: int, share: int, at_once: int = 128):
-    """Counts of class pairs, and of the items whose turn it is (one in ``share``) those that another class suits better, with this class."""
+def _totals(sent, classes: int):
+    """Counts of class pairs over all cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, between, turn = sent.value
-        size, sums, found = len(own), np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
+        own, sums = sent.value, np.zeros(classes**2)
         for b in batches:
-            parts = [_unpack(cells) for cells in b["cells"].to_pylist()]
-            if not parts:
-                continue
-            item, other, n = (np.concatenate(x) for x in zip(*parts, strict=True))  # an item is in one row
-            after = other < size
-            near = own[np.where(after, other, other - size)].astype(np.int64)
-            sums += np.bincount(own[item[after]].astype(np.int64) * classes + near[after], n[after], classes**2)
-            asked = (item > 0) & (((item * 0x9E3779B1 & 0xFFFFFFFF) >> 12) % share == turn % share)
-            if between is None or not asked.any():
-                continue
-            item, other, n, after, near = item[asked], other[asked], n[asked], after[asked], near[asked]
-            first = np.append(True, item[1:] != item[:-1])
-            at, row = item[first], np.cumsum(first) - 1
-            both = np.bincount((row * 2 + ~after) * classes + near, n, len(at) * 2 * classes).reshape(len(at), 2, classes)
-            loop = np.bincount(row, n * (other == item), len(at))
-            old = own[at].astype(np.int64)
-            new = [best_class(between, *(x[i : i + at_once] for x in (old, both[:, 0], both[:, 1], loop))) for i in range(0, len(at), at_once)]
-            new = np.concatenate(new)
-            found.append(np.stack([at, new])[:, new != old])
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary()), pa.array([np.concatenate(found, axis=1).tobytes()], pa.binary())], names=["sums", "moves"])
+            for cells in b["cells"].to_pylist():
+                item, other, n = _unpack(cells)
+                after = other < len(own)
+                sums += np.bincount(own[item[after]].astype(np.int64) * classes + own[other[after]], n[after], classes**2)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+    return run
+
+
+def _turn(sent, classes: int, at_once: int = 128):
+    """Of the items that were moved, what it changed in the counts of class pairs; of those next in turn, which another class suits better, and this class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, trial, between, asked = sent.value
+        size, change, found = len(own), np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
+        for b in batches:
+            for share in np.unique(b["share"].to_numpy()).tolist():
+                mask = pa.array(b["share"].to_numpy() == share)
+                item, other, n = (np.concatenate(x) for x in zip(*[_unpack(c) for c in b["cells"].filter(mask).to_pylist()], strict=True))  # an item is in one row
+                after = other < size
+                near = np.where(after, other, other - size)
+                if share != asked:
+                    # a pair of two moved items counts once, as what comes after the first
+                    moved = (trial[item] != own[item]) & (after | (trial[near] == own[near]))
+                    item, near, n, after = item[moved], near[moved], n[moved], after[moved]
+                    first, second = np.where(after, item, near), np.where(after, near, item)
+                    for kind, sign in ((own, -1.0), (trial, 1.0)):
+                        change += sign * np.bincount(kind[first].astype(np.int64) * classes + kind[second], n, classes**2)
+                    continue
+                ours = item > 0
+                item, near, other, n, after = item[ours], near[ours], other[ours], n[ours], after[ours]
+                if not len(item):
+                    continue
+                first = np.append(True, item[1:] != item[:-1])
+                at, row = item[first], np.cumsum(first) - 1
+                both = np.bincount((row * 2 + ~after) * classes + trial[near], n, len(at) * 2 * classes).reshape(len(at), 2, classes)
+                loop = np.bincount(row, n * (other == item), len(at))
+                old = trial[at].astype(np.int64)
+                new = [best_class(between, *(x[i : i + at_once] for x in (old, both[:, 0], both[:, 1], loop))) for i in range(0, len(at), at_once)]
+                new = np.concatenate(new)
+                found.append(np.stack([at, new])[:, new != old])
+        yield pa.RecordBatch.from_arrays([pa.array([change.tobytes()], pa.binary()), pa.array([np.concatenate(found, axis=1).tobytes()], pa.binary())], names=["change", "moves"])
 
     return run
 
@@ -420,46 +451,51 @@ def _likelihood(between: np.ndarray) -> float:
     return float(_xlogx(between).sum() - _xlogx(between.sum(axis=0)).sum() - _xlogx(between.sum(axis=1)).sum())
 
 
-def exchange_all(cells: DataFrame, own: np.ndarray, classes: int, few: float = 1e-2, share: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def exchange_all(cells: DataFrame, own: np.ndarray, classes: int, few: float = 2e-2) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all items and the counts of neighbouring classes, from the classes ``own`` on.
 
-    In a turn, one in ``share`` items moves, all at once, each to the class that suits it best. One job counts the class pairs after these moves and
-    asks the next items already, by the counts from before them. If the moves didn't raise the likelihood, half of them are made,
-    and so on. It ends when a round of ``share`` turns raises the likelihood by less than ``few`` nats per token.
+    In a turn, one share of the items moves, all at once, each to the class that suits it best. One job reads two shares: it counts what these moves
+    change in the class pairs, and asks the items next in turn already, by the counts from before. If the moves didn't raise the
+    likelihood, half of them are made, and so on. It ends when a round of all shares raises it by less than ``few`` nats per token.
     """
     spark, draw = cells.sparkSession, np.random.default_rng(1)
 
-    def asked(own: np.ndarray, between: np.ndarray | None, turn: int) -> tuple[np.ndarray, np.ndarray]:
-        sent = spark.sparkContext.broadcast((own, between, turn))
-        sums, moves = np.zeros(classes**2), [np.zeros((2, 0), np.int64)]
-        for r in cells.mapInArrow(_turn(sent, classes, share), "sums binary, moves binary").collect():
-            sums += np.frombuffer(r.sums)
-            moves.append(np.frombuffer(r.moves, np.int64).reshape(2, -1))
-        sent.unpersist()
-        moves = np.concatenate(moves, axis=1)
-        return sums.reshape(classes, classes), moves[:, draw.permutation(np.argsort(moves[0]))]
+    def told(rows: DataFrame, run, names: str, *sent) -> list:
+        value = spark.sparkContext.broadcast(sent if len(sent) > 1 else sent[0])
+        found = rows.mapInArrow(run(value, classes), ", ".join(f"{n} binary" for n in names.split())).collect()
+        value.unpersist()
+        return found
+
+    def asked(own: np.ndarray, trial: np.ndarray, between: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts after the moves of the turn before, and moves of this turn."""
+        shares = [turn % SHARES] if trial is own else [turn % SHARES, (turn - 1) % SHARES]
+        rows = told(cells.where(F.col("share").isin(shares)).select("share", "cells"), _turn, "change moves", own, trial, between, turn % SHARES)
+        change = sum((np.frombuffer(r.change) for r in rows), np.zeros(classes**2))
+        moves = np.concatenate([np.zeros((2, 0), np.int64), *[np.frombuffer(r.moves, np.int64).reshape(2, -1) for r in rows]], axis=1)
+        return between + change.reshape(classes, classes), moves[:, draw.permutation(np.argsort(moves[0]))]
 
     own = own.astype(np.int16)
-    between, _ = asked(own, None, 0)
+    sums = (np.frombuffer(r.sums) for r in told(cells.select("cells"), _totals, "sums", own))
+    between = sum(sums, np.zeros(classes**2)).reshape(classes, classes)
     best, turn, seen = _likelihood(between), 0, []
-    _, moves = asked(own, between, turn)
+    _, moves = asked(own, own, between, turn)
     while True:
         if moves.shape[1]:
             trial = own.copy()
             trial[moves[0]] = moves[1]
-            table, next_moves = asked(trial, between, turn + 1)
+            table, next_moves = asked(own, trial, between, turn + 1)
             if (now := _likelihood(table)) <= best:
                 moves = moves[:, : moves.shape[1] // 2]
                 if moves.shape[1]:
                     continue
-                now, next_moves = best, asked(own, between, turn + 1)[1]
+                now, next_moves = best, asked(own, own, between, turn + 1)[1]
             else:
                 own, between = trial, table
         else:
-            now, next_moves = best, asked(own, between, turn + 1)[1]
+            now, next_moves = best, asked(own, own, between, turn + 1)[1]
         seen.append(now - best)
         best, moves, turn = now, next_moves, turn + 1
-        if turn % share == 0 and sum(seen[-share:]) <= few * between.sum():
+        if turn % SHARES == 0 and sum(seen[-SHARES:]) <= few * between.sum():
             return own, between
 
 
@@ -531,7 +567,7 @@ def fit(
     buckets = max(256, int(total.n or 0) >> 21)
     with _batches(spark, 64):
         parts = docs.mapInArrow(_neighbours(told, groups, buckets), "bucket int, cells binary")
-        cells = scratch(parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(), "bucket int, cells binary"))
+        cells = scratch(parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(), "share int, cells binary"), by=("share",))
     with _batches(spark, 16):
         folded = scratch(cells.mapInArrow(_seeds(spark.sparkContext.broadcast(fold), first), "pair long, n long"))
     pairs = folded.groupBy("pair").agg(F.sum("n").alias("n"))

@@ -18,15 +18,15 @@ WHITE_BYTES = b" \t\n\x0b\x0c\r"
 _folders: dict[str, SparkSession] = {}
 
 
-def scratch(df: DataFrame) -> DataFrame:
+def scratch(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back: a lost executor replays nothing before it.
 
-    The folder goes when Python exits.
+    With ``by`` it is written in folders of these columns, so that a filter on them reads no other. The folder goes when Python exits.
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     _folders[folder] = spark
-    df.write.parquet(folder)
+    (df.write.partitionBy(*by) if by else df.write).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
