@@ -89,3 +89,13 @@ def test_table_comes_back(spark):
     assert {k: v[0] for k, v in got.items()} == want
     assert {k: "".join(v[1]) for k, v in got.items()} == {k: "".join(t for a, t in v if a == "assistant") for k, v in want.items()}
     assert chat.read_back(chat.render(chat.fold(chat.as_events(turns)))).where(F.col("formatted").isNull()).count() == 0
+
+
+def test_streamed_logs_give_the_same_messages(spark):
+    rows = [(c, t, r, x) for c in range(40) for t, (r, x) in enumerate([("user", "hi"), ("assistant", ""), ("user", None), (None, "é漢😀\n</s>\\"), ("assistant", "x" * 1000)])]
+    rows += [(None, 1, "user", "n"), (7, 1, "user", "again"), (7, 1, "user", "again"), (8, None, "user", "no turn"), (9, -5, "assistant", "before")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.as_streamed(turns)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    plain, streamed = (sorted(map(str, chat.fold(e).select("conv_id", "msg", "n", "role", "text").collect())) for e in (chat.as_events(turns), log))
+    assert plain == streamed

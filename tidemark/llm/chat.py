@@ -130,3 +130,34 @@ def as_events(conversations: DataFrame) -> DataFrame:
     return conversations.select(
         "conv_id", F.col("turn").alias("seq"), F.col("turn").alias("msg"), F.lit("message").alias("kind"), "role", "text"
     )
+
+
+def as_streamed(conversations: DataFrame) -> DataFrame:
+    """The same turns as a log of what led to them; folding it gives the same messages as :func:`as_events`.
+
+    By a hash of conversation and turn, a turn is a whole message, three deltas, a draft and the edit that replaces it, or a wrong answer that is
+    regenerated and streamed anew. Of a message and its edit both name the role, of deltas only the first. Turns that stand more than once in a conversation, or
+    have a null number, stay whole messages.
+    """
+    steps = 8
+    place = W.partitionBy("conv_id", "turn")
+    t = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.count("*").over(place).alias("_copies"))
+    way = F.when((F.col("_copies") > 1) | F.col("turn").isNull(), 0).otherwise(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)))
+    text, third = F.col("text"), F.ceil(F.length("text") / 3).cast("int")
+    none = F.lit(None).cast("string")
+
+    def event(step: int, kind: str, text: Column, first: bool = False) -> Column:
+        return F.struct(
+            F.lit(step).alias("step"), F.lit(kind).alias("kind"), (F.col("role") if first else none).alias("role"), text.alias("text"))
+
+    pieces = [F.substring(text, 1, third), F.substring(text, third + 1, third), F.substring(text, 2 * third + 1, third)]
+    wrong = F.concat(F.lit("draft of "), F.reverse(text))
+    log = (
+        F.when(way == 1, F.array(*[event(k, "delta", p, k == 0) for k, p in enumerate(pieces)]))
+        .when(way == 2, F.array(event(0, "message", wrong, True), event(1, "edit", text, True)))
+        .when(way == 3, F.array(event(0, "message", wrong, True), event(1, "delta", F.lit(" and more")), event(2, "regenerate", none),
+                                *[event(3 + k, "delta", p, k == 0) for k, p in enumerate(pieces)]))
+        .otherwise(F.array(event(0, "message", text, True)))
+    )
+    e = t.select("conv_id", "turn", F.explode(log).alias("e"))
+    return e.select("conv_id", (F.col("turn") * steps + F.col("e.step")).alias("seq"), F.col("turn").alias("msg"), "e.kind", "e.role", "e.text")

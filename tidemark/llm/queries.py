@@ -73,7 +73,7 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
-    back = chat.read_back(chat.render(chat.fold(chat.as_events(turns))))
+    back = chat.read_back(chat.render(chat.fold(chat.as_streamed(turns))))
     learnt = F.array_join("learnt", "")
     told = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return back.select(
