@@ -2,7 +2,8 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
-from llm_data import odd_documents
+from llm_data import SMALL, odd_documents, read
+from pyspark.sql import functions as F
 
 from tidemark.llm import lines
 
@@ -101,3 +102,11 @@ def test_key_leaves_only_the_filter_that_holds_it(spark):
     for gone, again, want in ((2, few, anew[0]), (1, many, anew[1])):
         index = lines.delete(both, spark.createDataFrame([(gone,)], "doc_id long"))
         assert state(lines.insert(index, rows(again, 3))) == state(want)
+
+
+def test_withdrawn_documents_leave_no_trace(spark, odd):
+    docs = read(spark, SMALL, "documents").select("doc_id", "text")
+    for df, options in ((docs, {}), (odd, {"least": 3})):
+        copies = df.where("doc_id is not null").select((F.col("doc_id") + 10**9).alias("doc_id"), F.concat("text", F.lit("\nanother line that only withdrawn documents have")).alias("text"))
+        plain, after = (sorted(map(str, lines.dedup_lines(df, withdrawn=w, **options).collect())) for w in (None, copies))
+        assert plain == after

@@ -273,11 +273,19 @@ def clean(
 
 def dedup_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 20, at_least: int = 3, batches: int = 2, keys_per_shard: int = 500_000,
-    counts: tuple[str, str] = ("n_lines", "n_dropped"),
+    counts: tuple[str, str] = ("n_lines", "n_dropped"), withdrawn: DataFrame | None = None,
 ) -> DataFrame:
-    """:func:`clean` for a whole table, inserted into a new index in ``batches`` by a hash of the id, as deliveries would be."""
+    """:func:`clean` for a whole table, inserted into a new index in ``batches`` by a hash of the id, as deliveries would be.
+
+    ``withdrawn`` are documents with ids of their own that were delivered first and are deleted again after the first batch: the result is as if they
+    had never been there.
+    """
     found = scratch(postings(docs, doc_id, text, least))
     index = empty_index(docs.sparkSession, max(1, -(-found.count() // keys_per_shard)))
+    if withdrawn is not None:
+        index = insert(index, postings(withdrawn, doc_id, text, least))
     for i in range(batches):
         index = insert(index, found.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == i))
+        if i == 0 and withdrawn is not None:
+            index = delete(index, withdrawn, doc_id)
     return clean(docs, found, index, doc_id, text, least, at_least, counts)

@@ -135,7 +135,11 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    """The whole table, after copies of a tenth of it were delivered under ids beyond the table's and withdrawn again."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    span = docs.agg(F.max("doc_id") - F.min("doc_id") + 1).first()[0] or 0
+    copies = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).where("doc_id is not null").select((F.col("doc_id") + span).alias("doc_id"), "text")
+    cleaned = lines.dedup_lines(docs, withdrawn=copies)
     return cleaned.select(
         "doc_id", "n_lines", "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
