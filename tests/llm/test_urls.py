@@ -1,6 +1,7 @@
 import math
 
 from llm_data import MIDDLE, odd_documents, read
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.llm import urls
@@ -55,3 +56,37 @@ def test_odd_and_empty(spark):
     twice = read(spark, MIDDLE, "pages")
     found = urls.judge(twice.unionByName(twice), URL_RULES)
     assert found.count() == 2 * twice.count() and found.distinct().count() == twice.count()
+
+
+def test_given_labels_are_held_out_in_part(spark):
+    pages = read(spark, "/root/testdata/sf0.1", "pages").select("page_id", "url")
+    block = (F.length(F.regexp_replace("url", "[^0-9]", "")) > 4).cast("int")
+    labels = pages.select("url", block.alias("block")).distinct()
+    report = {}
+    got = urls.judge(pages, [urls.PathRule("allow", "org", "/")], labels=labels, report=report)
+    assert report["auc"] > 0.95 and 0 < report["threshold"] < 1
+    right = got.join(pages.withColumn("block", block), "page_id").where("rule is null").agg(F.avg(((F.col("verdict") == "block") == (F.col("block") == 1)).cast("double"))).first()[0]
+    assert right > 0.95 and got.where("rule = 'org/' and verdict <> 'allow'").count() == 0
+
+
+def test_auc_counts_ties_as_half(spark):
+    class Fixed:
+        def transform(self, df):
+            return df.withColumn("_chance", array_to_vector(F.array(1 - F.col("p"), F.col("p"))))
+
+    rows = [(0.9, 1), (0.8, 0), (0.8, 1), (0.3, 0), (0.1, 0), (0.5, None)]
+    auc, threshold = urls.tested(Fixed(), spark.createDataFrame(rows, "p double, y int"), "y")
+    assert math.isclose(auc, 5.5 / 6) and 0.3 < threshold <= 0.8
+    assert urls.tested(Fixed(), spark.createDataFrame(rows[:1], "p double, y int"), "y") == (None, 0.5)
+
+
+def test_many_rules_meet_by_host(spark):
+    rules = spark.range(100_000).select(
+        F.when(F.col("id") % 2 == 0, "block").otherwise("allow").alias("verdict"), F.concat(F.lit("h"), F.col("id") % 50_000, F.lit(".net")).alias("host"),
+        F.when(F.col("id") < 50_000, "/").otherwise("/a/").alias("path"))
+    pages = spark.range(2000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://www.h"), F.col("id") * 31, F.lit(".net/"), F.when(F.col("id") % 3 == 0, "a/x").otherwise("b")).alias("url"))
+    host, path = urls.parts(F.col("url"))
+    found = {(r._host, r._path): r.rule for r in urls.ruled(pages.select(host.alias("host"), path.alias("path")), rules).collect()}
+    for r in pages.select(host.alias("host"), path.alias("path")).collect():
+        own = r.host.removeprefix("www.")
+        assert found.get((r.host, r.path)) == (own + ("/a/" if r.path.startswith("/a/") else "/") if int(own[1:-4]) < 50_000 else None)

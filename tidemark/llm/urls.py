@@ -1,6 +1,6 @@
 """URL filters: path rules first, gradient-boosted trees on lexical features for the rest. DataFrame functions and Spark ML only.
 
-The trees learn from labelled URLs: here those that a rule decides. A URL is described by lengths, depth, counts and ratios of its
+The trees learn from labelled URLs, given or those that a rule decides, and are tested on held-out ones. A URL is described by lengths, depth, counts and ratios of its
 characters, their entropy, parameters, and how common its host's suffixes are among all URLs.
 """
 
@@ -11,10 +11,11 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, scratch
+from tidemark.llm.common import scratch
 
 A, Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,13 +38,21 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(url, whole, 1), A, Z), F.regexp_extract(url, whole, 2)
 
 
-def fitting(host: Column, path: Column, rules: list[PathRule]) -> Column:
-    """The longest fitting rule as struct ``rule, verdict``, else null. Equal lengths: the first in the order of names."""
-    chosen = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for r in sorted(rules, key=lambda r: (len(r.name), [-ord(c) for c in r.name])):
-        fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
-        chosen = F.when(fits, F.struct(F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict"))).otherwise(chosen)
-    return chosen
+def ruled(urls: DataFrame, rules: list[PathRule] | DataFrame) -> DataFrame:
+    """``host, path`` of any rows -> distinct ``_host, _path, rule, verdict`` of those that a rule fits: the longest, of equal lengths the first by name.
+
+    ``rules`` may be a table (``verdict, host, path``) of any length: a host's suffixes meet the rules' hosts by equality, and of these the
+    rules whose path the URL's starts with count.
+    """
+    spark = urls.sparkSession
+    table = rules if isinstance(rules, DataFrame) else spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    told = table.select("verdict", F.col("host").alias("_suffix"), F.col("path").alias("_prefix"), F.concat("host", "path").alias("rule"))
+    pairs = urls.select(F.col("host").alias("_host"), F.col("path").alias("_path")).where("host <> ''").distinct()
+    labels = F.split("_host", "[.]")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."))
+    met = pairs.withColumn("_suffix", F.explode(suffixes)).join(told, "_suffix").where(F.startswith("_path", F.col("_prefix")))
+    longest = F.struct(-F.length("rule"), F.col("rule"))
+    return met.groupBy("_host", "_path").agg(F.min_by(F.struct("rule", "verdict"), longest).alias("_fit")).select("_host", "_path", "_fit.*")
 
 
 def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
@@ -79,26 +88,19 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
 SUFFIXES = {"suffix_1": 1, "suffix_2": 2}
 
 
-def described(pages: DataFrame, url: str, keep: list[str], rules: list[PathRule]) -> tuple[DataFrame, list[str]]:
-    """Columns ``keep``, ``host``, ``path``, ``rule``, ``verdict`` (null without rule) and the features, one of them each suffix's frequency."""
-    text = fresh(pages, "_url")
-    host, path = (fresh(pages, c) for c in ("_host", "_path"))
-    df = pages.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{url}`"), F.lit("")).alias(text))
-    cut_host, cut_path = parts(F.col(text))
-    df = df.select("*", cut_host.alias(host), cut_path.alias(path))
-    features = lexical(F.col(text), F.col(host), F.col(path))
-    suffix = {k: F.substring_index(F.col(host), ".", -n) for k, n in SUFFIXES.items()}
-    fit = fitting(F.col(host), F.col(path), rules)
-    df = scratch(
-        df.select(
-            *[F.col(f"`{c}`") for c in keep], F.col(host).alias("host"), F.col(path).alias("path"),
-            fit["rule"].alias("rule"), fit["verdict"].alias("verdict"),
-            *[c.alias(k) for k, c in features.items()], *[c.alias(k) for k, c in suffix.items()],
-        )
-    )
+def described(pages: DataFrame, url: str, keep: list[str], rules: list[PathRule] | DataFrame) -> tuple[DataFrame, list[str]]:
+    """Columns ``keep``, ``_url``, ``host``, ``path``, ``rule``, ``verdict`` (null without rule) and the features, one of them each suffix's frequency."""
+    df = pages.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{url}`"), F.lit("")).alias("_url"))
+    cut_host, cut_path = parts(F.col("_url"))
+    df = df.select("*", cut_host.alias("host"), cut_path.alias("path"))
+    features = lexical(F.col("_url"), F.col("host"), F.col("path"))
+    suffix = {k: F.substring_index(F.col("host"), ".", -n) for k, n in SUFFIXES.items()}
+    df = scratch(df.select("*", *[c.alias(k) for k, c in features.items()], *[c.alias(k) for k, c in suffix.items()]))
     for k in SUFFIXES:
         counts = scratch(df.groupBy(F.col(k).alias("_key")).agg(F.log1p(F.count("*").cast("double")).alias(f"{k}_frequency")))
         df = df.join(counts, F.col(k) == F.col("_key")).drop("_key", k)
+    fit = scratch(ruled(df, rules))
+    df = df.join(fit, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left").drop("_host", "_path")
     return df, [*features, *[f"{k}_frequency" for k in SUFFIXES]]
 
 
@@ -116,19 +118,64 @@ def train(labelled: DataFrame, features: list[str], label: str, trees: int = 20,
     return PipelineModel([ready, model])
 
 
-def judge(pages: DataFrame, rules: list[PathRule], url: str = "url", keep: tuple[str, ...] = ("page_id",), otherwise: str = "allow") -> DataFrame:
+def held_out(url: Column, part: int = 5) -> Column:
+    """One URL in ``part``, all its rows alike: not trained on, but used to set the threshold and to tell how good the trees are."""
+    return F.pmod(F.xxhash64(F.coalesce(url, F.lit("")), F.lit(11)), F.lit(part)) == 0
+
+
+def _chance() -> Column:
+    return vector_to_array("_chance")[1]
+
+
+def tested(model: PipelineModel, held: DataFrame, label: str, steps: int = 100) -> tuple[float | None, float]:
+    """Of labelled rows: the chance that one with label 1 scores above one with 0 (AUC), and the threshold with the best mean of both hit rates.
+
+    Scores are counted in ``steps`` bins, so only these meet; without both labels there is no AUC and the threshold is one half.
+    """
+    scored = model.transform(held.where(F.col(label).isNotNull())).select(F.floor(_chance() * steps).cast("int").alias("at"), F.col(label).alias("label"))
+    bins = scored.groupBy("at").agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros"))
+    rows = sorted((r["at"], r["ones"], r["zeros"]) for r in bins.collect())  # at most ``steps`` + 1
+    ones, zeros = sum(r[1] for r in rows), sum(r[2] for r in rows)
+    if not ones or not zeros:
+        return None, 0.5
+    below, won, best, threshold = 0, 0.0, -1.0, 0.5
+    missed = 0
+    for at, one, zero in rows:
+        hits = (ones - missed) / ones + below / zeros  # cut below this bin
+        if hits > best:
+            best, threshold = hits, at / steps
+        won += one * (below + zero / 2)
+        below, missed = below + zero, missed + one
+    return won / (ones * zeros), threshold
+
+
+def judge(
+    pages: DataFrame, rules: list[PathRule] | DataFrame, url: str = "url", keep: tuple[str, ...] = ("page_id",), otherwise: str = "allow",
+    labels: DataFrame | None = None, report: dict | None = None,
+) -> DataFrame:
     """A row per URL: ``keep``, ``host``, ``path``, ``rule``, ``verdict``.
 
-    The longest rule decides; the trees, trained on all URLs that a rule decides, judge the others. Without both kinds of labels
-    ``otherwise`` stands for the trees. A null or malformed URL has an empty host and path and is judged by the trees. Repeated rows are
-    judged alike, no rows give no rows; extra columns are ignored.
+    The longest rule decides, see :func:`ruled`; the trees judge the others. They learn from ``labels`` (``url, block`` 0 or 1, a null not
+    counting), or where these aren't given from the URLs that a rule decides. One labelled URL in five is held out of training and sets the
+    threshold; ``report`` gets the ``auc`` on these and the ``threshold``. Without both kinds of labels ``otherwise`` stands for the trees. A null or
+    malformed URL has an empty host and path and is judged by the trees. Repeated rows are judged alike, a URL with several labels counts as often;
+    no rows give no rows; extra columns are ignored.
     """
     df, features = described(pages, url, list(keep), rules)
-    df = scratch(df)
-    model = train(df.withColumn("_block", (F.col("verdict") == "block").cast("double")), features, "_block")
+    if labels is None:
+        df = df.withColumn("_block", (F.col("verdict") == "block").cast("double"))
+        taught = df
+    else:
+        told = labels.select(F.coalesce("url", F.lit("")).alias("_url"), F.col("block").cast("double").alias("_block")).where("_block is not null")
+        taught = scratch(df).dropDuplicates(["_url"]).join(told, "_url")
+    df, taught = scratch(df), scratch(taught.select("_url", *features, "_block"))
+    model = train(taught.where(~held_out(F.col("_url"))), features, "_block")
     if model is None:
         guess = F.lit(otherwise)
     else:
+        auc, threshold = tested(model, taught.where(held_out(F.col("_url"))), "_block")
+        if report is not None:
+            report |= {"auc": auc, "threshold": threshold}
         df = model.transform(df)
-        guess = F.when(F.col("_predicted") == 1, "block").otherwise("allow")
+        guess = F.when(_chance() >= threshold, "block").otherwise("allow")
     return df.select(*[F.col(f"`{c}`") for c in keep], "host", "path", "rule", F.coalesce("verdict", guess).alias("verdict"))
