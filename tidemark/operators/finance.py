@@ -12,8 +12,8 @@ from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import ratio
 from tidemark.operators import ordered
-from tidemark.operators.intervals import overlaps, points_in
 from tidemark.operators.calendar import densify
+from tidemark.operators.intervals import overlaps, points_in
 
 
 def allocation_ratio(df: DataFrame, within: Sequence[str], keys: Sequence[str], measure: str) -> DataFrame:
@@ -42,9 +42,8 @@ def apply_mapping_by_priority(facts: DataFrame, mapping: DataFrame, patterns: Se
     rules = mapping.select(*[F.col(k).alias(f"__m_{k}") for k in keys], percent, *outputs)
     same = reduce(lambda a, b: a & b, [F.col(f"__{k}").eqNullSafe(F.col(f"__m_{k}")) for k in keys])
     found = combos.join(rules, same).select(*keys, "__rank", percent, *outputs)
-    own = F.struct(*keys).alias("__own")  # equal to another where all parts are, NULLs included
-    best = found.groupBy(own).agg(F.min("__rank").alias("__rank"))
-    winners = found.select("*", own).join(best, ["__own", "__rank"]).drop("__own", "__rank")
+    first = F.rank().over(W.partitionBy(*keys).orderBy("__rank"))
+    winners = found.withColumn("__first", first).where("__first = 1").drop("__first", "__rank")
     share = F.coalesce(percent, F.lit(1.0))
     rest = [x for x in facts.columns if x not in measures]
     winners = winners.withColumnsRenamed({k: f"__w_{k}" for k in keys})

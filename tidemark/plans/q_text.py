@@ -67,13 +67,11 @@ def payload_fields(t):
 
 @query("document_words", covers="P15 J07 J08", sql="""SELECT lang, lower(w) AS word, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, lang, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1, 2""")
 def document_words(t):
-    # a document's words are sorted and counted inside its row, so a common word reaches the shuffle once per task
-    d = t.documents.select("lang", F.sort_array(F.split(F.lower("text"), " ")).alias("w"))
-    first = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda n: (n == 0) | (F.get("w", n) != F.get("w", n - 1)))
-    d = d.select("lang", "w", first.alias("first"))
-    counts = F.transform("first", lambda n, k: F.struct(F.get("w", n).alias("word"), (F.coalesce(F.get("first", k + 1), F.size("w")) - n).alias("c")))
-    words = ss.explode_list(d, counts, "x")
-    return words.groupBy("lang", F.col("x.word").alias("word")).agg(F.sum("x.c").alias("n"), F.count("*").alias("docs"))
+    # every word counts once, and once more per document as one of its distinct words; both are added up before the shuffle
+    d = t.documents.select("lang", F.split(F.lower("text"), " ").alias("w"))
+    every = ss.explode_list(d, F.col("w"), "word").select("lang", "word", F.lit(1).alias("n"), F.lit(0).alias("docs"))
+    own = ss.explode_list(d, F.array_distinct("w"), "word").select("lang", "word", F.lit(0).alias("n"), F.lit(1).alias("docs"))
+    return every.unionByName(own).groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 @query("explode_outer_lists", covers="P15 J08", sql="""SELECT conv_id, turn, word FROM (SELECT conv_id, turn, unnest(CASE WHEN len(list_filter(string_split(text, ' '), lambda x: len(x) > 12)) = 0 THEN [NULL] ELSE list_filter(string_split(text, ' '), lambda x: len(x) > 12) END) AS word FROM conversations)""")
