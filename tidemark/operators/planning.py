@@ -177,23 +177,27 @@ def clean_company_name(x: Column) -> Column:
 
 
 def match_entities(left: DataFrame, right: DataFrame, left_id: str, left_name: str, left_domain: str, right_id: str, right_name: str,
-                   right_domain: str, stop_names: Sequence[str] = (), too_common: int = 25, min_length: int = 4) -> DataFrame:
+                   right_domain: str, most_common: int = 25, trusted: Sequence[str] = (), without: Sequence[str] = (), without_raw: Sequence[str] = (),
+                   min_length: int = 4) -> DataFrame:
     """Match two lists by mail domain and by cleaned company name; one best match per left row.
 
-    Names on the stop list, too short, or borne by ``too_common`` rows of the left list or more do not match by
-    name. The domain beats the name and the smallest right id wins, so the right list is folded to one id per domain
-    and per name before the join: a common domain costs its rows, never all pairs.
+    The ``most_common`` names of the left list are taken for bad guesses, unless ``trusted``: their rows match neither by name nor by domain. Names
+    shorter than ``min_length`` don't match by name. Right rows are left out whose cleaned name is like one of ``without`` (LIKE patterns) or
+    whose own name, lower-cased, is like one of ``without_raw``. The domain beats the name and the smallest right id wins, so the right
+    list is folded to one id per domain and per name before the join: a common domain costs its rows, never all pairs.
     """
     clean = left.select(left_id, F.lower(left_domain).alias("__d"), clean_company_name(F.col(left_name)).alias("__n"))
-    usable = F.length("__n") >= min_length
-    if stop_names:
-        usable = usable & ~F.col("__n").isin(*stop_names)
-    keyed = clean.withColumn("__k", F.when(usable, F.col("__n")))
-    if too_common:
-        counts = clean.groupBy("__n").agg(F.count("*").alias("c"))
-        common = counts.where(F.col("c") >= too_common).select(F.col("__n").alias("__k"), F.lit(True).alias("__common"))
-        keyed = keyed.join(common, "__k", "left").withColumn("__k", F.when(F.col("__common").isNull(), F.col("__k"))).drop("__common")
-    r = right.select(F.col(right_id).alias("id"), F.lower(right_domain).alias("__d"), clean_company_name(F.col(right_name)).alias("__k"))
+    common = clean.where(F.col("__n").isNotNull()).groupBy("__n").agg(F.count("*").alias("__c")).orderBy(F.col("__c").desc(), "__n").limit(most_common)
+    if trusted:
+        common = common.where(~F.col("__n").isin(*trusted))
+    bad = common.select(F.col("__n").alias("__bad"))
+    keyed = clean.join(bad, F.col("__n") == F.col("__bad"), "left").select(
+        left_id, F.when(F.col("__bad").isNull(), F.col("__d")).alias("__d"),
+        F.when(F.col("__bad").isNull() & (F.length("__n") >= min_length), F.col("__n")).alias("__k"))
+    r = right.select(F.col(right_id).alias("id"), F.lower(right_domain).alias("__d"), clean_company_name(F.col(right_name)).alias("__k"), F.lower(right_name).alias("__raw"))
+    for column, patterns in (("__k", without), ("__raw", without_raw)):
+        for x in patterns:
+            r = r.where(F.col(column).isNull() | ~F.col(column).like(x))
     by_domain = r.where(F.col("__d").isNotNull()).groupBy("__d").agg(F.min("id").alias("__by_domain"))
     by_name = r.groupBy("__k").agg(F.min("id").alias("__by_name"))
     out = keyed.join(by_domain, "__d", "left").join(by_name, "__k", "left")

@@ -153,15 +153,19 @@ def forecast_buckets(t):
     return planning.forecast_buckets(booked, o.where(F.col("o_orderstatus") == "O"), "o_custkey", "quarter").groupBy("quarter", "bucket").agg(F.count("*").alias("accounts"), r2(F.sum("amount")).alias("amount"))
 
 
-@query("match_entities", covers="P62", sql="""WITH l AS (SELECT s_suppkey AS left_id, CASE WHEN s_suppkey % 3 = 0 THEN 'n' || s_nationkey || '.example.com' END AS d, 'company' || (s_suppkey % 60) AS n FROM supplier), r AS (SELECT c_custkey AS match_id, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey || '.example.com' END AS d, 'company' || (c_custkey % 90) AS n FROM customer),
-common AS (SELECT n FROM l GROUP BY 1 HAVING count(*) >= 2), h AS (SELECT left_id, match_id, 'domain' AS rule, 1 AS p FROM l JOIN r USING (d) UNION ALL SELECT left_id, match_id, 'name', 2 FROM l JOIN r USING (n) WHERE n NOT IN (SELECT n FROM common))
+@query("match_entities", covers="P62", sql="""WITH l AS (SELECT s_suppkey AS left_id, CASE WHEN s_suppkey % 3 = 0 THEN 'n' || s_nationkey || '.example.com' END AS d, 'company' || (s_suppkey % 60) AS n FROM supplier),
+r AS (SELECT c_custkey AS match_id, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey || '.example.com' END AS d, 'company' || (c_custkey % 90) AS n FROM customer WHERE c_custkey % 17 <> 0 AND 'company' || (c_custkey % 90) NOT LIKE 'company8%'),
+top AS (SELECT n FROM l GROUP BY 1 ORDER BY count(*) DESC, n LIMIT 3), k AS (SELECT left_id, CASE WHEN NOT bad THEN d END AS d, CASE WHEN NOT bad THEN n END AS n FROM (SELECT *, n IN (SELECT n FROM top) AND n <> 'company1' AS bad FROM l)),
+h AS (SELECT left_id, match_id, 'domain' AS rule, 1 AS p FROM k JOIN r USING (d) UNION ALL SELECT left_id, match_id, 'name', 2 FROM k JOIN r USING (n))
 SELECT left_id, match_id, rule FROM h QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY p, match_id) = 1""")
 def match_entities(t):
+    """The three commonest names are bad guesses but for one; names like a pattern and accounts marked as duplicates are out."""
     left = t.supplier.select(F.col("s_suppkey").alias("left_id"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("N"), F.col("s_nationkey").cast("string"), F.lit(".Example.com"))).alias("domain"),
                              F.concat(F.lit("Company"), (F.col("s_suppkey") % 60).cast("string"), F.lit(" GmbH")).alias("name"))
+    mark = F.when(F.col("c_custkey") % 17 == 0, " Dupe").otherwise("")
     right = t.customer.select(F.col("c_custkey").alias("right_id"), F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(".example.com"))).alias("domain"),
-                              F.concat(F.lit("COMPANY"), (F.col("c_custkey") % 90).cast("string"), F.lit(", Inc.")).alias("name"))
-    return planning.match_entities(left, right, "left_id", "name", "domain", "right_id", "name", "domain", ["company"], too_common=2)
+                              F.concat(F.lit("COMPANY"), (F.col("c_custkey") % 90).cast("string"), F.lit(", Inc."), mark).alias("name"))
+    return planning.match_entities(left, right, "left_id", "name", "domain", "right_id", "name", "domain", 3, ["company1"], ["company8%"], ["%dupe%"])
 
 
 @query("company_score", covers="P63 W16", sql="""WITH d AS (SELECT l_suppkey % 50 AS grp, o_custkey % 7 AS company, o_custkey AS usr, CASE l_returnflag WHEN 'A' THEN 'creator' WHEN 'N' THEN 'owner' ELSE 'user' END AS role FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
