@@ -16,20 +16,28 @@ from tidemark.operators.keys import latest_per_key
 
 # Repaired and rejected spellings of a browser's time zone.
 ZONE_REPAIRS = {
+    "America/A": None,
+    "America/Buenos_Airesnos_Aires": "America/Buenos_Aires",
+    "America/Coyhaique": None,
+    "America/New_York01ix691pvh": None,
     "Asia/Calcutt": "Asia/Calcutta",
     "Asia/Rangoo": "Asia/Rangoon",
-    "Asia/Shangh": "Asia/Shanghai",
-    "America/Buenos_Airesnos_Aires": "America/Buenos_Aires",
     "Asia/SaigonMinh": "Asia/Ho_Chi_Minh",
-    "EuropeALondon": "Europe/London",
-    "UTC": "UTC",
+    "Asia/Shangh": "Asia/Shanghai",
+    "Asia/Singaporegpad8vnkdm": "Asia/Singapore",
+    "Asia/Singaporen27lirczxx": "Asia/Singapore",
+    "Asia/Singaporere6mvs9sb0": "Asia/Singapore",
     "Etc/Unknown": None,
-    "America/A": None,
-    "SystemV/EST5": None,
+    "EuropeALondon": "Europe/London",
     "SystemV/CST6": None,
-    "SystemV/MST7": None,
+    "SystemV/EST5": None,
     "SystemV/HST10": None,
+    "SystemV/MST7": None,
+    "UTC": "UTC",
 }
+# What a zone starts with and is cut to, and what no zone may hold.
+ZONE_PREFIX = "Europe/Zurich"
+ZONE_JUNK = "oastify.com"
 
 # Words of a user agent that mark a bot.
 BOT_WORDS = ("bot", "crawl", "slurp", "spider", "archiv", "spinn", "sniff", "seo", "audit", "survey", "pingdom", "worm", "capture",
@@ -41,10 +49,11 @@ BOT_TYPES = ("Bot/Crawler", "Robot")
 
 
 def repair_zone(zone: Column) -> Column:
-    """Known spellings repaired, known junk and anything that is no Area/City name dropped."""
+    """Known spellings repaired, a known prefix cut off from what follows it, known junk and anything that is no Area/City name dropped."""
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for wrong, right in ZONE_REPAIRS.items():
         out = out.when(zone == wrong, F.lit(right).cast("string"))
+    out = out.when(zone.rlike(ZONE_JUNK), F.lit(None).cast("string")).when(F.startswith(zone, F.lit(ZONE_PREFIX)), F.lit(ZONE_PREFIX))
     shape = zone.rlike(r"^[A-Za-z0-9_+-]+/[A-Za-z0-9_+-]+(/[A-Za-z0-9_+-]+)*$")
     return F.replace(out.when(~shape, F.lit(None).cast("string")).otherwise(zone), F.lit("%2F"), F.lit("/"))
 

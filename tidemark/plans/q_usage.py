@@ -104,13 +104,15 @@ def drop_bots(t):
     return kept.groupBy("agent", "family", "kind").agg(F.count("*").alias("events"))
 
 
-ZONES = ("Asia/Calcutt", "America/New_York", "bad zone", "UTC", "EuropeALondon", "SystemV/EST5", "Asia%2FTokyo", "America/Argentina/Salta")
+ZONES = ("Asia/Calcutt", "America/New_York", "bad zone", "UTC", "EuropeALondon", "SystemV/EST5", "Asia%2FTokyo", "America/Argentina/Salta", "Europe/Zurich", "Europe/Zurich01' x",
+         "Asia/Singaporen27lirczxx", "America/Coyhaique", "America/oastify-com", "Asia/Singapore", "America/New_York01ix691pvh")
 
 
-@query("repair_zones", covers="P10", sql=f"""WITH a AS (SELECT [{', '.join("'" + a + "'" for a in ZONES)}][event_id % 8 + 1] AS zone FROM events)
-SELECT zone, CASE zone WHEN 'Asia/Calcutt' THEN 'Asia/Calcutta' WHEN 'America/New_York' THEN 'America/New_York' WHEN 'UTC' THEN 'UTC' WHEN 'EuropeALondon' THEN 'Europe/London' WHEN 'America/Argentina/Salta' THEN zone END AS repaired, count(*) AS events FROM a GROUP BY 1, 2""")
+@query("repair_zones", covers="P10", sql=f"""WITH a AS (SELECT [{', '.join("'" + a.replace("'", "''") + "'" for a in ZONES)}][event_id % {len(ZONES)} + 1] AS zone FROM events)
+SELECT zone, CASE WHEN zone = 'Asia/Calcutt' THEN 'Asia/Calcutta' WHEN zone = 'EuropeALondon' THEN 'Europe/London' WHEN zone LIKE 'Asia/Singapore%' THEN 'Asia/Singapore' WHEN zone LIKE 'Europe/Zurich%' THEN 'Europe/Zurich'
+ WHEN zone IN ('America/New_York', 'UTC', 'America/Argentina/Salta') THEN zone END AS repaired, count(*) AS events FROM a GROUP BY 1, 2""")
 def repair_zones(t):
-    z = F.element_at(F.array(*[F.lit(x) for x in ZONES]), (F.col("event_id") % 8 + 1).cast("int"))
+    z = F.element_at(F.array(*[F.lit(x) for x in ZONES]), (F.col("event_id") % len(ZONES) + 1).cast("int"))
     return t.events.select(z.alias("zone")).groupBy("zone", usage.repair_zone(F.col("zone")).alias("repaired")).agg(F.count("*").alias("events"))
 
 
