@@ -165,18 +165,29 @@ def union_partitions(parts: Sequence[DataFrame], key: str, loaded_at: str, since
 
 
 def merge_histories(a: DataFrame, b: DataFrame, key: str, start: str, a_values: Sequence[str], b_values: Sequence[str],
-                    block: ordered.Block = None) -> DataFrame:
+                    block: ordered.Block = None, cut_over: dt.date | None = None) -> DataFrame:
     """Two systems' effective-dated rows on one line: a row from each date on which the last known values of both change.
 
-    A run of equal values starts where the values before differ and ends where the next run starts, so the runs alone are numbered and no row
+    With ``cut_over`` the first system holds until the day before and the second from that date on, with what it knew by then; the other's values are
+    NULL. A run of equal values starts where the values before differ and ends where the next run starts, so the runs alone are numbered and no row
     needs its neighbour's date.
     """
     values = [*a_values, *b_values]
-    line = a.select(key, start, *a_values).unionByName(b.select(key, start, *b_values), allowMissingColumns=True)
+    a, b = a.select(key, start, *a_values), b.select(key, start, *b_values)
+    if cut_over:
+        at = F.lit(cut_over).cast(a.schema[start].dataType)
+        ended = a.select(key).distinct().select(key, at.alias(start))  # the day on which the first system says no more
+        a = a.where(F.col(start) < at).unionByName(ended, allowMissingColumns=True)
+        b = b.groupBy(key, start).agg(*[F.max(v).alias(v) for v in b_values]).withColumn("__from", F.col(start)).withColumn(start, F.greatest(start, at))
+        b = b.groupBy(key, start).agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("__from"))).alias(v) for v in b_values])
+    line = a.unionByName(b, allowMissingColumns=True)
     days = line.groupBy(key, start).agg(*[F.max(v).alias(v) for v in values])
     block = ordered.cut(days, [key], [start]) if block is None else block
     filled = ordered.with_last_known(days, [key], [start], block, {f"known_{v}": v for v in values})
-    filled = filled.select(key, start, *[F.col(f"known_{v}").alias(v) for v in values])
+    known = {v: F.col(f"known_{v}") for v in values}
+    if cut_over:
+        known = {v: F.when((F.col(start) < at) if v in a_values else (F.col(start) >= at), x) for v, x in known.items()}
+    filled = filled.select(key, start, *[x.alias(v) for v, x in known.items()])
 
     def opens(prev):
         return reduce(lambda x, y: x | y, [~F.col(v).eqNullSafe(prev[v]) for v in values])

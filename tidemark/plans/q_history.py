@@ -105,6 +105,24 @@ def merge_histories(t):
     return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"])
 
 
+CUT_OVER = dt.date(1997, 3, 1)
+
+
+@query("merge_histories_cut_over", covers="P105 W08", sql=f"""WITH a AS (SELECT o_custkey AS key, CAST(o_orderdate AS DATE) AS start, max(o_orderpriority) AS priority FROM orders WHERE o_orderdate < DATE '{CUT_OVER}' GROUP BY 1, 2),
+b AS (SELECT key, greatest(start, DATE '{CUT_OVER}') AS start, arg_max(flag, start) AS flag FROM (SELECT o_custkey AS key, CAST(l_shipdate AS DATE) AS start, max(l_returnflag) AS flag FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) GROUP BY 1, 2),
+d AS (SELECT key, start, max(priority) AS priority, max(flag) AS flag FROM (SELECT key, start, priority, NULL AS flag FROM a UNION ALL SELECT key, start, NULL, flag FROM b UNION ALL SELECT DISTINCT o_custkey, DATE '{CUT_OVER}', NULL, NULL FROM orders) GROUP BY 1, 2),
+f AS (SELECT key, start, CASE WHEN start < DATE '{CUT_OVER}' THEN last_value(priority IGNORE NULLS) OVER w END AS priority, CASE WHEN start >= DATE '{CUT_OVER}' THEN last_value(flag IGNORE NULLS) OVER w END AS flag FROM d WINDOW w AS (PARTITION BY key ORDER BY start ROWS UNBOUNDED PRECEDING)),
+n AS (SELECT *, lead(start) OVER w AS nx, CASE WHEN row_number() OVER w = 1 OR priority IS DISTINCT FROM lag(priority) OVER w OR flag IS DISTINCT FROM lag(flag) OVER w THEN 1 ELSE 0 END AS o FROM f WINDOW w AS (PARTITION BY key ORDER BY start)),
+g AS (SELECT *, sum(o) OVER (PARTITION BY key ORDER BY start ROWS UNBOUNDED PRECEDING) AS island FROM n)
+SELECT key, priority, flag, min(start) AS start, CASE WHEN count(*) = count(nx) THEN max(nx) END AS valid_to FROM g GROUP BY key, priority, flag, island""")
+def merge_histories_cut_over(t):
+    """Priorities until the cut-over, return flags from then on, the one known by then first."""
+    a = t.orders.select(F.col("o_custkey").alias("key"), i.day("o_orderdate").alias("start"), F.col("o_orderpriority").alias("priority"))
+    b = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
+    return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"], cut_over=CUT_OVER)
+
+
 @query("history_plus_current", covers="P113", sql="""SELECT month, source, round(sum(amount), 2) AS amount FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, 'history' AS source, o_totalprice AS amount FROM orders WHERE o_orderdate < DATE '2001-07-01'
 UNION ALL SELECT CAST(date_trunc('month', o_orderdate) AS DATE), 'live', o_totalprice FROM orders WHERE o_orderdate >= DATE '2001-07-01') GROUP BY 1, 2""")
 def history_plus_current(t):
