@@ -81,6 +81,12 @@ def business_days_between(start: Column, end: Column) -> Column:
     return (weekdays_to(end) - weekdays_to(F.date_sub(start, 1)) - holidays_to(end)).cast("int")
 
 
+def nth_business_day(start: Column, n: int) -> Column:
+    """The n-th business day from ``start`` (a date) on, by trying the days that can be it."""
+    days = F.sequence(start, F.date_add(start, 2 * n + 8), F.expr("INTERVAL 1 DAY"))
+    return F.get(F.filter(days, lambda d: business_days_between(start, d) >= n), F.lit(0))
+
+
 def date_dimension(spine: DataFrame, start_month: int = 2) -> DataFrame:
     """Calendar and fiscal attributes of every day of a spine (``date_day``).
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import Window as W
 
 from tidemark.functions.scalars import div0, div0null, ratio
 from tidemark.operators import history, ordered
-from tidemark.operators.calendar import expand_interval, fiscal_attributes
+from tidemark.operators.calendar import expand_interval, fiscal_attributes, nth_business_day
 from tidemark.operators.keys import latest_per_key
 
 
@@ -167,6 +168,28 @@ def forecast_buckets(booked: DataFrame, snapshots: DataFrame, account: str, quar
     return out.withColumn("bucket", F.when(F.col("__had"), "from open business").otherwise("new in quarter")).drop("__had")
 
 
+def booking_buckets(booked: DataFrame, snapshots: DataFrame, account: str, quarter: str, closed: str, name: str, order_type: str, category: str, won: Column,
+                    business_day: int = 3) -> DataFrame:
+    """Bookings of a quarter (its first day) by where they came from, the first that fits.
+
+    ``Bad Debt`` (won, by its name), ``Churn/Contraction`` (order types 4 to 6), ``Accounting`` (decommissioned or internal), ``Already Booked`` (closed by the
+    third business day of its quarter); then by what the account had open on that day in ``snapshots`` (account, quarter, ``snapshot_date``,
+    ``close_quarter``): ``Starting`` with a deal to close in the quarter, ``Pulled Forward`` with one to close later; else ``Created and Closed``.
+    """
+    open_then = snapshots.where(F.col("snapshot_date") == nth_business_day(F.col(quarter), business_day)).groupBy(account, quarter).agg(
+        F.max(F.col("close_quarter") == F.col(quarter)).alias("__starting"), F.max(F.col("close_quarter") > F.col(quarter)).alias("__later"))
+    low = F.lower(F.col(name))
+    bad_debt = won & (low.like("%bad debt%") | low.like("% bd %") | low.like("% bdd %"))
+    some = lambda x, patterns: reduce(lambda a, b: a | b, [F.col(x).like(p) for p in patterns])
+    no = F.lit(False)
+    bucket = (
+        F.when(F.coalesce(bad_debt, no), "Bad Debt").when(F.coalesce(some(order_type, ("%4%", "%5%", "%6%")), no), "Churn/Contraction")
+        .when(F.coalesce(some(category, ("%Decom%", "%Internal%")), no), "Accounting")
+        .when(F.coalesce((F.trunc(closed, "quarter") == F.col(quarter)) & (F.col(closed) <= nth_business_day(F.col(quarter), business_day)), no), "Already Booked")
+        .when(F.coalesce("__starting", no), "Starting").when(F.coalesce("__later", no), "Pulled Forward").otherwise("Created and Closed"))
+    return booked.join(open_then, [account, quarter], "left").withColumn("bucket", bucket).drop("__starting", "__later")
+
+
 # Company suffixes a name is cleaned of.
 COMPANY_SUFFIXES = ("llc", "inc", "ltd", "corporation", "corp", "co", "limited", "gmbh", "university", "bv")
 

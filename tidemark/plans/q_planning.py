@@ -153,6 +153,27 @@ def forecast_buckets(t):
     return planning.forecast_buckets(booked, o.where(F.col("o_orderstatus") == "O"), "o_custkey", "quarter").groupBy("quarter", "bucket").agg(F.count("*").alias("accounts"), r2(F.sum("amount")).alias("amount"))
 
 
+SQL_BOOKED = """o AS (SELECT o_orderkey AS k, o_custkey AS account, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter, CAST(o_orderdate AS DATE) AS closed, o_orderstatus <> 'P' AS won, o_totalprice AS amount FROM orders),
+third AS (SELECT quarter, d AS third_day FROM (SELECT quarter, d, row_number() OVER (PARTITION BY quarter ORDER BY d) AS n FROM (SELECT quarter, CAST(unnest(generate_series(quarter, quarter + INTERVAL 14 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT DISTINCT quarter FROM o))
+ WHERE isodow(d) < 6 AND strftime(d, '%m-%d') NOT IN ('01-01', '12-25', '12-26')) WHERE n = 3),
+s AS (SELECT account, quarter, CAST(quarter + to_months(CAST(3 * (k % 2) AS INTEGER)) AS DATE) AS close_quarter FROM o JOIN third USING (quarter) WHERE k % 3 < 2)"""
+
+
+@query("booking_buckets", covers="P52a", sql=f"""WITH {SQL_BOOKED}
+SELECT k, account, o.quarter, CASE WHEN won AND k % 40 IN (0, 1) THEN 'Bad Debt' WHEN k % 9 BETWEEN 4 AND 6 THEN 'Churn/Contraction' WHEN k % 11 < 2 THEN 'Accounting' WHEN closed <= third_day THEN 'Already Booked'
+ WHEN EXISTS (SELECT 1 FROM s WHERE s.account = o.account AND s.quarter = o.quarter AND close_quarter = o.quarter) THEN 'Starting'
+ WHEN EXISTS (SELECT 1 FROM s WHERE s.account = o.account AND s.quarter = o.quarter AND close_quarter > o.quarter) THEN 'Pulled Forward' ELSE 'Created and Closed' END AS bucket FROM o JOIN third ON o.quarter = third.quarter""")
+def booking_buckets(t):
+    """Every third snapshot was taken on the day before the third business day and doesn't count."""
+    k, day = F.col("k"), i.day("o_orderdate")
+    o = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("account"), F.trunc(day, "quarter").alias("quarter"), day.alias("closed"), (F.col("o_orderstatus") != "P").alias("won"))
+    booked = o.select("*", F.when(k % 40 == 0, "Old Bad Debt").when(k % 40 == 1, "the BD part").otherwise("deal").alias("name"),
+                      F.concat((k % 9).cast("string"), F.lit(". type")).alias("order_type"), F.when(k % 11 == 0, "Decommission").when(k % 11 == 1, "Internal fix").otherwise("Standard").alias("category"))
+    third = calendar.nth_business_day(F.col("quarter"), 3)
+    seen = o.select("account", "quarter", F.when(k % 3 < 2, third).otherwise(F.date_sub(third, 1)).alias("snapshot_date"), F.add_months("quarter", (3 * (k % 2)).cast("int")).alias("close_quarter"))
+    return planning.booking_buckets(booked, seen, "account", "quarter", "closed", "name", "order_type", "category", F.col("won")).select("k", "account", "quarter", "bucket")
+
+
 @query("match_entities", covers="P62", sql="""WITH l AS (SELECT s_suppkey AS left_id, CASE WHEN s_suppkey % 3 = 0 THEN 'n' || s_nationkey || '.example.com' END AS d, 'company' || (s_suppkey % 60) AS n FROM supplier),
 r AS (SELECT c_custkey AS match_id, CASE WHEN c_custkey % 10 = 0 THEN 'n' || c_nationkey || '.example.com' END AS d, 'company' || (c_custkey % 90) AS n FROM customer WHERE c_custkey % 17 <> 0 AND 'company' || (c_custkey % 90) NOT LIKE 'company8%'),
 top AS (SELECT n FROM l GROUP BY 1 ORDER BY count(*) DESC, n LIMIT 3), k AS (SELECT left_id, CASE WHEN NOT bad THEN d END AS d, CASE WHEN NOT bad THEN n END AS n FROM (SELECT *, n IN (SELECT n FROM top) AND n <> 'company1' AS bad FROM l)),
