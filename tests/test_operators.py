@@ -427,3 +427,12 @@ def test_available_to_renew_drops_backed_out(spark):
     terms = spark.createDataFrame([("s", 1, d(2024, 1, 1), d(2025, 1, 1), None), ("s", 2, d(2023, 6, 1), d(2024, 6, 1), None), ("s", 3, d(2024, 7, 1), d(2025, 7, 1), None)],
                                   "name string, version int, term_start date, term_end date, ramp_id string")
     assert [r.version for r in revenue.available_to_renew(terms, "name", "version", F.col("version")).orderBy("version").collect()] == [2, 3]
+
+
+def test_critical_path_of_a_deep_graph(spark):
+    """Forty levels: the path is put together by doubled pointers."""
+    nodes = spark.range(41).select(F.lit(1).alias("run"), F.col("id").alias("node"), F.lit(1.5).alias("cost"))
+    edges = spark.range(40).select(F.lit(1).alias("run"), F.col("id").alias("parent"), (F.col("id") + 1).alias("child"))
+    shortcuts = spark.range(35).select(F.lit(1).alias("run"), F.col("id").alias("parent"), (F.col("id") + 5).alias("child"))
+    got = graphs.critical_path(nodes, edges.unionByName(shortcuts), "run", "node", "cost").collect()
+    assert [(r.path_length, r.critical_path) for r in got] == [(60.0, list(range(41)))]

@@ -173,7 +173,8 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
 
     ``edges(run, parent, child)``. All runs at once: a node is settled when all its parents are, and then tells its children, so an edge is used
     once and there are as many rounds as levels in the deepest graph. A node's state is its length and the parent that gave it. The path is put
-    together afterwards: from the end of each run, pointers to parents are doubled, so n steps take log2(n) joins. Nodes left
+    together afterwards from the end of each run: step by step where graphs have up to eight levels, else pointers to parents are doubled, so n
+    steps take log2(n) joins. Nodes left
     when none can be settled any more are on or behind a cycle, which fails.
     """
     at = ["__run", "__node"]
@@ -204,13 +205,15 @@ def critical_path(nodes: DataFrame, edges: DataFrame, run: str, node: str, cost:
     ends = cut_lineage(ends.select("__run", "e.*"))
     on_path = [ends.select(*at, F.lit(0).cast("long").alias("__back"))]
     up = _kept_by(best.where(F.col("__best.parent").isNotNull()).select(*at, F.col("__best.parent").alias("__up")), *at)
-    step = 1
+    step, doubled = 1, len(settled) > 8  # on few levels, stepping back along one path per run costs less than pointers for all nodes
     while True:
-        more = _kept_by(reduce(DataFrame.unionByName, on_path).join(up, at).select(
-            "__run", F.col("__up").alias("__node"), (F.col("__back") + step).alias("__back")), *at)
+        last = reduce(DataFrame.unionByName, on_path) if doubled else on_path[-1]
+        more = _kept_by(last.join(up, at).select("__run", F.col("__up").alias("__node"), (F.col("__back") + step).alias("__back")), *at)
         if more.isEmpty():
             break
         on_path.append(more)
+        if not doubled:
+            continue
         step *= 2
         up = _kept_by(up.join(up.select("__run", F.col("__node").alias("__up"), F.col("__up").alias("__next")), ["__run", "__up"]).select(*at, F.col("__next").alias("__up")), *at)
     path = reduce(DataFrame.unionByName, on_path).groupBy("__run").agg(F.sort_array(F.collect_list(F.struct((-F.col("__back")).alias("o"), "__node"))).alias("p"))
