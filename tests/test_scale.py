@@ -36,3 +36,20 @@ def test_no_sketch_per_order(spark):
     plan = plan_of(out)
     assert not re.search(r"ObjectHashAggregate\(keys=\[[^\]]*l_orderkey", plan)
     assert "SortMergeJoin" not in plan
+
+
+def test_ids_seen_once_are_kept_in_buckets(spark):
+    base, r, seen = place(spark, "once"), random.Random(3), []
+    for n in range(3):
+        drop = [(f"id {r.randrange(4000)}" if k % 50 else None, n * 10_000 + k) for k in range(3000)]
+        seen += drop
+        df = spark.createDataFrame(drop, "id string, v long")
+        df.write.parquet(f"{base}/land/drop={n}")
+        stream = streams.stream_files(spark, f"{base}/land", df.schema)
+        q = streams.run_to_log(stateful.once_changes(stream, "id"), f"{base}/out", f"{base}/state", "append")
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= 1024
+        often = Counter(k for k, _ in seen)
+        assert rows(stateful.settled(spark, f"{base}/out", ["id"])) == sorted(((k, v) for k, v in seen if k and often[k] == 1), key=repr)
+    # a change is told once: set when first seen, unset when seen again, nothing after that
+    told = Counter(tuple(x) for x in spark.read.parquet(f"{base}/out").select("id", "op").collect())
+    assert set(told.values()) == {1}

@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -59,20 +60,33 @@ def _sessions(gap: int, keep: int, idle_ms: int):
 
 
 def _once(idle_ms: int):
-    """Rows of one id; the state is how many there were."""
+    """Rows of the ids of one bucket; the state is how many rows each id had and when the last came, as an Arrow table."""
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        out = pd.DataFrame(columns=["id", "payload", "op"])
+        known = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else pd.DataFrame({"id": [], "n": [], "ms": []})
+        out = pd.DataFrame(columns=["bucket", "id", "payload", "op"])
         if state.hasTimedOut:
-            state.remove()
+            after, fresh = known, False
+        else:
+            rows = pd.concat(list(batches))
+            new = rows.groupby("id", sort=False, dropna=False).agg(k=("ms", "size"), payload=("payload", "first"), at=("ms", "max")).reset_index()
+            # the known side may have no rows, and then no type
+            both = new.merge(known.astype({"id": new["id"].dtype}), on="id", how="outer") if len(known) else new.assign(n=0, ms=0)
+            before, more = both["n"].fillna(0).astype("int64"), both["k"].fillna(0).astype("int64")
+            after = pd.DataFrame({"id": both["id"], "n": before + more, "ms": both[["ms", "at"]].max(axis=1).astype("int64")})
+            fresh = more > 0
+            first, again = fresh & (after["n"] == 1), fresh & (before == 1)
+            out = pd.concat([
+                pd.DataFrame({"bucket": key[0], "id": both["id"][first], "payload": both["payload"][first], "op": "set"}),
+                pd.DataFrame({"bucket": key[0], "id": both["id"][again], "payload": None, "op": "unset"})])
+        after = after[fresh | (after["ms"] + idle_ms >= state.getCurrentWatermarkMs())]
+        if len(after):
+            table, sink = pa.Table.from_pandas(after, preserve_index=False), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            state.update((sink.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(max(int(after["ms"].min()) + idle_ms, state.getCurrentWatermarkMs()))
         else:
-            before, rows = state.get[0] if state.exists else 0, pd.concat(list(batches))
-            n = before + len(rows)
-            state.update((n,))
-            state.setTimeoutTimestamp(int(rows["ms"].max()) + idle_ms)
-            if n == 1:
-                out = pd.DataFrame({"id": [key[0]], "payload": [rows["payload"].iloc[0]], "op": ["set"]})
-            elif before == 1:
-                out = pd.DataFrame({"id": [key[0]], "payload": [None], "op": ["unset"]})
+            state.remove()
         yield out
 
     return run
@@ -95,11 +109,15 @@ def session_changes(stream: DataFrame, user: str, ts: str, gap_seconds: int, kee
     return out.select(F.col("user").alias(user), F.timestamp_micros("start").alias("session_start"), F.timestamp_micros("last").alias("last_event"), "events", "op")
 
 
-def once_changes(stream: DataFrame, event_id: str, idle_ms: int = 30 * 86_400_000) -> DataFrame:
-    """The columns of ``stream`` and ``op``: an id's row when it is seen first, and the id with ``unset`` and NULLs when it is seen again."""
+def once_changes(stream: DataFrame, event_id: str, idle_ms: int = 30 * 86_400_000, buckets: int = 1024) -> DataFrame:
+    """The columns of ``stream`` and ``op``: an id's row when it is seen first, and the id with ``unset`` and NULLs when it is seen again.
+
+    The ids are kept in ``buckets`` by their hash, a state each, so Python is called per bucket and batch, not per id. The number is fixed for the life of a stream.
+    """
     kind, shape = stream.schema[event_id].dataType.simpleString(), stream.drop(event_id).schema
-    rows = stream.where(F.col(event_id).isNotNull()).select(F.col(event_id).alias("id"), F.to_json(F.struct(*shape.names), STAMPS).alias("payload"))
-    out = _processed(rows, "id", _once(idle_ms), f"id {kind}, payload string, op string", "n long")
+    rows = stream.where(F.col(event_id).isNotNull()).select(
+        F.pmod(F.xxhash64(event_id), F.lit(buckets)).cast("int").alias("bucket"), F.col(event_id).alias("id"), F.to_json(F.struct(*shape.names), STAMPS).alias("payload"))
+    out = _processed(rows, "bucket", _once(idle_ms), f"bucket int, id {kind}, payload string, op string", "ids binary")
     return out.select(F.col("id").alias(event_id), F.from_json("payload", shape, STAMPS).alias("__row"), "op").select(event_id, "__row.*", "op")
 
 
