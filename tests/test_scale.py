@@ -53,3 +53,15 @@ def test_ids_seen_once_are_kept_in_buckets(spark):
     # a change is told once: set when first seen, unset when seen again, nothing after that
     told = Counter(tuple(x) for x in spark.read.parquet(f"{base}/out").select("id", "op").collect())
     assert set(told.values()) == {1}
+
+
+def test_pairs_of_a_segment_are_spread_and_distinct(spark):
+    accounts = spark.range(2000).select((F.col("id") % 1500).alias("a"), F.lit("only").alias("s"), F.when(F.col("id") % 9 == 0, 3).alias("o"))
+    users = spark.createDataFrame([(k, None, True) for k in range(30)], "u long, m long, active boolean")
+    segments = spark.createDataFrame([(k % 30, "only", "segment") for k in range(60)], "u long, s string, b string")
+    out = graphs.account_entitlements(accounts, users, segments, "a", ["o"], "s", "u", "m", "active", "b")
+    geo = out.where("entitlement_basis = 'geo_segment'")
+    assert rows(geo.select("a", "u")) == sorted(((a, u) for a in range(1500) for u in range(30) if u != 3), key=repr)
+    sizes = [len(x) for x in geo.select("a").rdd.glom().collect()]
+    assert max(sizes) < 0.6 * sum(sizes)
+    assert not re.search(r"hashpartitioning\([^)]*entitlement_basis", plan_of(out))
