@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import graphs
+from tidemark.operators import graphs, ordered
 from tidemark.plans import run
 from tidemark.session import shared_dir
 from tidemark.streaming import stateful, streams
@@ -65,3 +65,16 @@ def test_pairs_of_a_segment_are_spread_and_distinct(spark):
     sizes = [len(x) for x in geo.select("a").rdd.glom().collect()]
     assert max(sizes) < 0.6 * sum(sizes)
     assert not re.search(r"hashpartitioning\([^)]*entitlement_basis", plan_of(out))
+
+
+def test_quantiles_never_gather_a_key(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), (F.col("id") * 31 % 6007).cast("double").alias("x"))
+    want = rows(df.groupBy("k").agg(F.percentile("x", F.lit(0.5)), F.percentile("x", F.lit(0.9))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ordered.quantiles(df, ["k"], "x", {"a": 0.5, "b": 0.9}, most=500, cells=64)
+        assert rows(out) == want
+        assert "SortMergeJoin" not in plan_of(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -274,39 +274,41 @@ def with_percent_rank(df: DataFrame, keys: Sequence[str], x: str, name: str = "p
 def quantiles(df: DataFrame, keys: Sequence[str], x: str, probs: Mapping[str, float], most: int = 1_000_000, cells: int = 1024) -> DataFrame:
     """Exact continuous quantiles per key (linear interpolation between the neighbouring ranks), as ``percentile`` gives them.
 
-    A key of up to ``most`` values is left to ``percentile``, which holds the distinct values of a key in memory. Larger ones are narrowed, see
-    :func:`_narrowed`. One job counts the values of each key first.
+    A key of up to ``most`` values is left to ``percentile``, which holds the distinct values of a key in memory, once for all quantiles. Larger
+    ones are narrowed, see :func:`_narrowed`. One job counts the values of each key first.
     """
     values = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("__x"))
     sizes = values.groupBy(_key(keys).alias(KEY)).agg(F.count("*").alias("__rows"))
-    if (sizes.agg(F.max("__rows")).first()[0] or 0) <= most:
-        return values.groupBy(*keys).agg(*[F.percentile("__x", F.lit(p)).alias(n) for n, p in probs.items()])
-    keyed = values.select(_key(keys).alias(KEY), "__x").join(sizes, KEY)
-    small = keyed.where(F.col("__rows") <= most).groupBy(KEY).agg(*[F.percentile("__x", F.lit(p)).alias(n) for n, p in probs.items()])
-    large = _narrowed(keyed.where(F.col("__rows") > most), probs, most, cells)
-    return small.unionByName(large).select(*[F.col(KEY)[k].alias(k) for k in keys], *probs)
+    large = cut_lineage(sizes.where(F.col("__rows") > most))  # at most a row per ``most`` values of the table, so it may be broadcast
+    every = F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__every")
+    named = [F.get("__every", F.lit(k)).alias(n) for k, n in enumerate(probs)]
+    if large.isEmpty():
+        return values.groupBy(*keys).agg(every).select(*keys, *named)
+    keyed = values.select(_key(keys).alias(KEY), "__x")
+    small = keyed.join(F.broadcast(large), KEY, "left_anti").groupBy(KEY).agg(every).select(KEY, *named)
+    return small.unionByName(_narrowed(keyed, large, probs, most, cells)).select(*[F.col(KEY)[k].alias(k) for k in keys], *probs)
 
 
-def _narrowed(rows: DataFrame, probs: Mapping[str, float], most: int, cells: int) -> DataFrame:
-    """Quantiles of ``__x`` per KEY of ``__rows`` values each, from ever fewer of them.
+def _narrowed(rows: DataFrame, sizes: DataFrame, probs: Mapping[str, float], most: int, cells: int) -> DataFrame:
+    """Quantiles of ``__x`` per KEY of ``sizes`` (``__rows`` values each), from ever fewer of them.
 
     A sketch gives ``cells`` edges of about equal depth, off by less than a fifth of a cell in rank. The cell that holds a wanted rank and its
     neighbours make the bracket that surely holds it; the rows below a bracket are counted exactly, those inside go into the
     next round, until no bracket holds more than ``most`` or none gets smaller, as when its few values are
     repeated ever so often. The last round alone sorts, distinct values with their counts, about ``most`` per quantile however large the
-    table. Each round divides the rows by some ``cells`` / 4.
+    table. Each round divides the rows by some ``cells`` / 4. Rows never meet by key before that: brackets, at most one per quantile and ``most`` values
+    of the table, are sent to the rows.
     """
     names = list(probs)
     shares = [k / cells for k in range(cells + 1)]
-    wanted = rows.groupBy(KEY).agg(F.first("__rows").alias("__rows")).select(
+    state = sizes.select(
         KEY, F.explode(F.array(*[F.struct(F.lit(n).alias("__name"), (F.lit(p) * (F.col("__rows") - 1)).alias("__pos")) for n, p in probs.items()])).alias("__w"),
-        F.lit(0).cast("long").alias("__below"), F.col("__rows").alias("__n"))
-    state = wanted.select(KEY, "__w.*", "__below", "__n")
-    active = rows.select(KEY, "__x", F.explode(F.array(*[F.lit(n) for n in names])).alias("__name"))
-    sketched = rows.groupBy(KEY).agg(F.percentile_approx("__x", shares, 5 * cells).alias("__edges"))  # one for all quantiles
-    at = [KEY, "__name"]
+        F.lit(0).cast("long").alias("__below"), F.col("__rows").alias("__n")).select(KEY, "__w.*", "__below", "__n")
+    active = rows.join(F.broadcast(sizes.select(KEY)), KEY)
+    at, on = [KEY, "__name"], [KEY]  # in the first round, one sketch and the same rows for all quantiles
     while True:
-        state = state.join(sketched, [KEY] if "__name" not in sketched.columns else at)
+        sketched = active.groupBy(*on).agg(F.percentile_approx("__x", shares, 5 * cells).alias("__edges"))
+        state = state.join(sketched, on)
         cell = (F.col("__pos") - F.col("__below")) / F.greatest(F.col("__n") - 1, F.lit(1)) * cells
         # a rank sits at most a cell beside where the sketch has it, and the rank after it is wanted too
         low = F.get("__edges", F.greatest(F.floor(cell) - 1, F.lit(0)).cast("int"))
@@ -314,21 +316,20 @@ def _narrowed(rows: DataFrame, probs: Mapping[str, float], most: int, cells: int
         done = F.col("__n") <= max(most, 2 * cells)
         low = F.when(done | (F.floor(cell) - 1 <= 0), F.lit(float("-inf"))).otherwise(low)
         high = F.when(done | (F.ceil(cell) + 2 >= cells), F.lit(float("nan"))).otherwise(high)  # NaN sorts last
-        state = state.select(*at, "__pos", F.col("__below").alias("__before"), F.col("__n").alias("__was"), low.alias("__low"), high.alias("__high"))
-        near = active.join(state, at).where(F.col("__x") <= F.col("__high"))
+        state = cut_lineage(state.select(*at, "__pos", F.col("__below").alias("__before"), F.col("__n").alias("__was"), low.alias("__low"), high.alias("__high")))
+        near = active.join(F.broadcast(state), on).where(F.col("__x") <= F.col("__high"))
         inside = F.col("__x") >= F.col("__low")
         counts = near.groupBy(*at).agg(F.count_if(~inside).alias("__less"), F.count_if(inside).alias("__n"))
         state = state.join(counts, at).select(*at, "__pos", (F.col("__before") + F.col("__less")).alias("__below"), "__n", "__was", "__low", "__high")
         state = cut_lineage(state)
-        active = active.join(state.select(*at, "__low", "__high"), at).where(F.col("__x").between(F.col("__low"), F.col("__high"))).select(KEY, "__name", "__x")
+        active = active.join(F.broadcast(state.select(*at, "__low", "__high")), on).where(F.col("__x").between(F.col("__low"), F.col("__high"))).select(*at, "__x")
         if state.where((F.col("__n") > most) & (F.col("__n") < F.col("__was"))).isEmpty():
             break
-        active = cut_lineage(active)
-        sketched = active.groupBy(*at).agg(F.percentile_approx("__x", shares, 5 * cells).alias("__edges"))
+        active, on = cut_lineage(active), at
         state = state.select(*at, "__pos", "__below", "__n")
 
     # distinct values with their counts: a bracket of equal values is one row
-    counts = active.groupBy(*at, "__x").agg(F.count("*").alias("__k")).join(state.select(*at, "__pos", "__below"), at)
+    counts = active.groupBy(*at, "__x").agg(F.count("*").alias("__k")).join(F.broadcast(state.select(*at, "__pos", "__below")), at)
     upto = F.col("__below") + F.sum("__k").over(W.partitionBy(*at).orderBy("__x").rowsBetween(W.unboundedPreceding, 0))
     placed = counts.withColumn("__upto", upto)
 
