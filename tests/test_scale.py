@@ -5,10 +5,12 @@ import re
 import uuid
 from collections import Counter
 
+import duckdb
+from oracle import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.operators import graphs, ordered
-from tidemark.plans import run
+from tidemark.plans import REGISTRY, run
 from tidemark.session import shared_dir
 from tidemark.streaming import stateful, streams
 
@@ -78,3 +80,46 @@ def test_quantiles_never_gather_a_key(spark):
         assert "SortMergeJoin" not in plan_of(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def lines_and_orders(spark, n=400):
+    folder, day = place(spark, "tables"), lambda x: F.date_add(F.lit("1995-01-01").cast("date"), x.cast("int")).cast("timestamp_ntz")
+    k = F.col("id")
+    spark.range(n).select(k.alias("o_orderkey"), (k % 40).alias("o_custkey"), day(k * 7 % 900).alias("o_orderdate"), F.concat(F.lit("p"), k % 5).alias("o_orderpriority")).write.parquet(f"{folder}/orders.parquet")
+    spark.range(4 * n).select((k % n).alias("l_orderkey"), (k % 11).alias("l_suppkey"), day(k % n * 7 % 900 + k % 100).alias("l_shipdate"), (k % 97).cast("double").alias("l_extendedprice"),
+                              (k % 3).cast("string").alias("l_returnflag"), k.alias("l_partkey"), k.cast("double").alias("l_quantity")).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(11).select(k.alias("s_suppkey"), (k % 4).alias("s_nationkey")).write.parquet(f"{folder}/supplier.parquet")
+    return folder
+
+
+def same_as_sql(df, folder):
+    con = duckdb.connect()
+    for t in ("orders", "lineitem", "supplier"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder.removeprefix('file://').removeprefix('file:')}/{t}.parquet/*.parquet'")
+    return lambda name: spark_and_sql(df, con.execute(REGISTRY[name].sql))
+
+
+def spark_and_sql(df, found):
+    return rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of([d[0] for d in found.description], found.fetchall())
+
+
+def test_merged_histories_stay_apart(spark):
+    folder = lines_and_orders(spark)
+    out = run("merge_histories", spark, folder)
+    assert same_as_sql(out, folder)("merge_histories")
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_items_stay_apart(spark):
+    folder = lines_and_orders(spark)
+    out = run("collaboration_count", spark, folder)
+    assert same_as_sql(out, folder)("collaboration_count")
+    assert "REPARTITION_BY_NUM" in plan_of(out)
+
+
+def test_months_of_charges_never_travel(spark):
+    folder = lines_and_orders(spark)
+    out = run("expand_charges_monthly", spark, folder)
+    assert same_as_sql(out, folder)("expand_charges_monthly")
+    assert not re.search(r"hashpartitioning\(account_id[^)]*period", plan_of(out))
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from tidemark.operators import ordered
 from tidemark.operators.calendar import expand_interval
 from tidemark.operators.keys import latest_per_key
+from tidemark.session import dealt
 
 
 def collapse_scd(df: DataFrame, keys: Sequence[str], values: Sequence[str], start: str, end: str, block: ordered.Block = None) -> DataFrame:
@@ -183,6 +184,8 @@ def merge_histories(a: DataFrame, b: DataFrame, key: str, start: str, a_values:
     line = a.unionByName(b, allowMissingColumns=True)
     days = line.groupBy(key, start).agg(*[F.max(v).alias(v) for v in values])
     block = ordered.cut(days, [key], [start]) if block is None else block
+    if isinstance(block, ordered.Cut) and block.splits is None:
+        days = dealt(days, key)  # once for all windows that follow
     filled = ordered.with_last_known(days, [key], [start], block, {f"known_{v}": v for v in values})
     known = {v: F.col(f"known_{v}") for v in values}
     if cut_over:

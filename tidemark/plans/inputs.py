@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from tidemark.operators import ordered
 from tidemark.plans.registry import Tables
+from tidemark.session import dealt
 
 ORDERS_AS_OF = dt.date(2001, 12, 31)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -63,9 +64,14 @@ SQL_CHARGE = """charge AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def order_lines(t: Tables) -> DataFrame:
+    """Lines with their order, dealt by the order."""
+    return dealt(t.lineitem, "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def charge(t: Tables) -> DataFrame:
     start = month("l_shipdate")
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return order_lines(t).select(
         F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("account_id"), F.col("l_partkey").alias("part_id"),
         F.col("l_quantity").alias("quantity"), start.alias("start_date"), F.add_months(start, 12).alias("end_date"),
         (F.col("l_extendedprice") / 12).alias("mrr"), F.col("l_extendedprice").alias("amount"),

@@ -100,8 +100,7 @@ g AS (SELECT *, sum(o) OVER (PARTITION BY key ORDER BY start ROWS UNBOUNDED PREC
 SELECT key, priority, flag, min(start) AS start, CASE WHEN count(*) = count(nx) THEN max(nx) END AS valid_to FROM g GROUP BY key, priority, flag, island""")
 def merge_histories(t):
     a = t.orders.select(F.col("o_custkey").alias("key"), i.day("o_orderdate").alias("start"), F.col("o_orderpriority").alias("priority"))
-    b = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
+    b = i.order_lines(t).select(F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
     return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"])
 
 
@@ -118,8 +117,7 @@ SELECT key, priority, flag, min(start) AS start, CASE WHEN count(*) = count(nx)
 def merge_histories_cut_over(t):
     """Priorities until the cut-over, return flags from then on, the one known by then first."""
     a = t.orders.select(F.col("o_custkey").alias("key"), i.day("o_orderdate").alias("start"), F.col("o_orderpriority").alias("priority"))
-    b = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
+    b = i.order_lines(t).select(F.col("o_custkey").alias("key"), i.day("l_shipdate").alias("start"), F.col("l_returnflag").alias("flag"))
     return history.merge_histories(a, b, "key", "start", ["priority"], ["flag"], cut_over=CUT_OVER)
 
 
