@@ -365,7 +365,7 @@ def campaign_metrics(t):
 @query("collaboration_count", covers="P111 A09 A10", sql="""WITH p AS (SELECT l_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(DISTINCT s_nationkey) AS groups FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
 SELECT month, round(avg(groups), 6) AS mean_groups, count(*) AS items, CAST(median(groups) AS DOUBLE) AS median_groups FROM p GROUP BY 1""")
 def collaboration_count(t):
-    j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    j = i.order_lines(t).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     c = usage.collaboration_count(j.select("l_orderkey", i.month("o_orderdate").alias("month"), "s_nationkey"), "l_orderkey", "month", "s_nationkey")
     return c.withColumn("mean_groups", F.round("mean_groups", 6))
 
