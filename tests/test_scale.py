@@ -1,5 +1,6 @@
 """Plans and tasks that must not grow with a few common keys; rows of their own."""
 
+import datetime as dt
 import random
 import re
 import uuid
@@ -9,7 +10,7 @@ import duckdb
 from oracle import rows_of
 from pyspark.sql import functions as F
 
-from tidemark.operators import graphs, ordered
+from tidemark.operators import graphs, history, ordered
 from tidemark.plans import REGISTRY, run
 from tidemark.session import shared_dir
 from tidemark.streaming import stateful, streams
@@ -123,3 +124,25 @@ def test_months_of_charges_never_travel(spark):
     assert same_as_sql(out, folder)("expand_charges_monthly")
     assert not re.search(r"hashpartitioning\(account_id[^)]*period", plan_of(out))
     assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_labels_and_entities_meet_in_years(spark):
+    day = lambda n: dt.date(1999, 11, 1) + dt.timedelta(days=n)
+    r = random.Random(5)
+    labels = [(k, f"s{k}{j}", day(60 * j + k), day(60 * j + k + 35 + 25 * (j % 2)) if j < 7 else None) for k in range(4) for j in range(8)]
+    entities = [(n, n % 5, day(a := r.randrange(-20, 420)), day(a + r.randrange(-3, 90)) if n % 6 else None) for n in range(90)]
+    horizon = day(500)
+    e, lab = spark.createDataFrame(entities, "id int, k int, a date, b date"), spark.createDataFrame(labels, "k int, v string, f date, u date")
+    out = history.state_intervals(e, lab, "k", "a", "b", horizon, "v", "f", "u")
+    end, want = horizon + dt.timedelta(days=1), Counter()
+    for n, k, a, b in entities:
+        for x in range((max((b or end), a) - a).days):
+            at = a + dt.timedelta(days=x)
+            want[n, next((v for j, v, f, u in labels if j == k and f <= at < (u or end)), None), at] += 1
+    got, cuts = Counter(), 0
+    for x in out.collect():
+        assert x.open_from < x.open_to and (x.open_from.year, x.open_from.month) == ((x.open_to - dt.timedelta(days=1)).year, (x.open_to - dt.timedelta(days=1)).month)
+        got.update((x.id, x.v, x.open_from + dt.timedelta(days=d)) for d in range((x.open_to - x.open_from).days))
+        cuts += 1
+    assert got == want and cuts > len(entities)
+    assert not re.search(r"hashpartitioning\([^)]*__bin", plan_of(out))

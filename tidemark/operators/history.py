@@ -106,10 +106,10 @@ def versions_to_history(audit: DataFrame, keys: Sequence[str], order: Sequence[s
     return ordered.with_next(prev, keys, order, block, {"valid_to": at})
 
 
-def _months_touched(start: Column, end: Column) -> Column:
-    """Firsts of the months that [start, end) touches."""
+def _years_touched(start: Column, end: Column) -> Column:
+    """Years that [start, end) touches."""
     last = F.date_sub(end, 1)
-    return F.when(start <= last, F.sequence(F.trunc(start, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH")))
+    return F.when(start <= last, F.sequence(F.year(start), F.year(last)))
 
 
 def _without_gaps(scd: DataFrame, key: str, value: str, start: str, end: str, first: Column, horizon_end: Column) -> DataFrame:
@@ -133,18 +133,25 @@ def state_intervals(entities: DataFrame, labels: DataFrame, key: str, opened: st
                     label: str, label_from: str, label_to: str) -> DataFrame:
     """Intervals ``[open_from, open_to)`` in which an entity is open under one label (NULL when there is none), cut at months.
 
-    Entities and label versions meet in month bins by equality.
+    Entities and label versions meet in years by equality, the versions of a key and year as one array (they are bounded by the calendar); months are
+    made afterwards, inside the row, and never travel.
     """
     end_of_time = F.lit(horizon + dt.timedelta(days=1))
     e = entities.withColumns({"__a": F.col(opened), "__b": F.coalesce(closed, end_of_time)})
     first = entities.agg(F.min(opened).alias("m")).scalar()
     lab = _without_gaps(labels, key, label, label_from, label_to, first, end_of_time)
-    lab = lab.select(key, label, "__from", "__to", F.explode(_months_touched(F.col("__from"), F.col("__to"))).alias("__bin"))
-    binned = e.withColumn("__bin", F.explode(_months_touched(F.col("__a"), F.col("__b"))))
-    j = binned.join(lab, [key, "__bin"], "left")
-    a = F.greatest("__a", "__bin", F.coalesce("__from", "__bin"))
-    b = F.least("__b", F.add_months("__bin", 1), F.coalesce("__to", "__b"))
-    return j.where(a < b).select(*[F.col(x) for x in entities.columns], label, a.alias("open_from"), b.alias("open_to"))
+    lab = lab.select(key, label, "__from", "__to", F.explode(_years_touched(F.col("__from"), F.col("__to"))).alias("__year"))
+    lab = lab.groupBy(key, "__year").agg(F.collect_list(F.struct(F.col(label).alias("label"), "__from", "__to")).alias("__versions"))
+    met = e.withColumn("__year", F.explode(_years_touched(F.col("__a"), F.col("__b")))).join(lab, [key, "__year"], "left")
+    from_month = F.greatest(F.trunc("__a", "month"), F.make_date("__year", F.lit(1), F.lit(1)))
+    to_month = F.least(F.trunc(F.date_sub("__b", 1), "month"), F.make_date("__year", F.lit(12), F.lit(1)))
+    binned = met.withColumn("__bin", F.explode(F.sequence(from_month, to_month, F.expr("INTERVAL 1 MONTH"))))
+    until = F.add_months("__bin", 1)
+    live = F.filter("__versions", lambda v: (v["__from"] < v["__to"]) & (v["__from"] < until) & (v["__to"] > F.col("__bin")))
+    j = binned.withColumn("__v", F.explode_outer(live))
+    a = F.greatest("__a", "__bin", F.coalesce("__v.__from", "__bin"))
+    b = F.least("__b", until, F.coalesce("__v.__to", "__b"))
+    return j.where(a < b).select(*[F.col(x) for x in entities.columns], F.col("__v.label").alias(label), a.alias("open_from"), b.alias("open_to"))
 
 
 def state_on_day(entities: DataFrame, labels: DataFrame, key: str, opened: str, closed: str, horizon: dt.date,
