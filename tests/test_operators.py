@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.functions import scalars as s
-from tidemark.operators import calendar, finance, graphs, history, keys, ordered, planning, quality, revenue, semistructured, service, text_rules, usage
+from tidemark.operators import calendar, finance, graphs, history, keys, ordered, paths, planning, quality, revenue, semistructured, service, text_rules, usage
 from tidemark.plans import run
 from tidemark.sources import files
 
@@ -436,3 +436,50 @@ def test_critical_path_of_a_deep_graph(spark):
     shortcuts = spark.range(35).select(F.lit(1).alias("run"), F.col("id").alias("parent"), (F.col("id") + 5).alias("child"))
     got = graphs.critical_path(nodes, edges.unionByName(shortcuts), "run", "node", "cost").collect()
     assert [(r.path_length, r.critical_path) for r in got] == [(60.0, list(range(41)))]
+
+
+def _random_graphs(spark):
+    """Ties, unknown costs, repeated and unlisted nodes, null runs and nodes, runs without edges."""
+    draw = random.Random(7)
+    nodes, edges = [(None, 1, 1.0), (900, None, 1.0), (901, 5, 2.0)], [(None, 1, 2), (902, 1, 2), (901, None, 5), (901, 7, 5)]
+    for run in range(80):
+        n = draw.randint(1, 9)
+        nodes += [(run, k, None if draw.random() < 0.1 else float(draw.randint(0, 3))) for k in range(n)]
+        edges += [(run, a, b) for a in range(n) for b in range(a + 1, n + 1) if draw.random() < 0.35]  # n is a child that isn't listed
+    return spark.createDataFrame(nodes, "run int, node long, cost double"), spark.createDataFrame(edges, "run int, parent long, child long")
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_critical_path_is_the_same_in_a_task_and_by_rounds(spark, kind):
+    nodes, edges = _random_graphs(spark)
+    nodes, edges = nodes.withColumn("node", F.col("node").cast(kind)), edges.withColumns({c: F.col(c).cast(kind) for c in ("parent", "child")})
+    twice = nodes.unionByName(nodes.where("run % 3 = 0").withColumn("cost", F.lit(-1.0)))
+    few, many = (12, 0) if kind == "long" else (0, 12)
+    got = [sorted(map(str, graphs.critical_path(x, edges, "run", "node", "cost", most).collect())) for x, n in ((nodes, few), (twice, many)) for most in (300_000, n)]
+    assert len(got[0]) == 82 and got[0] == got[1] and got[2] == got[3]
+
+
+def test_critical_path_takes_no_round_per_level(spark):
+    sc = spark.sparkContext
+    nodes = spark.range(41).select(F.lit(1).alias("run"), F.col("id").alias("node"), F.lit(1.5).alias("cost"))
+    edges = spark.range(40).select(F.lit(1).alias("run"), F.col("id").alias("parent"), (F.col("id") + 1).alias("child"))
+    sc.setJobGroup("paths", "paths")
+    try:
+        assert graphs.critical_path(nodes, edges, "run", "node", "cost").first().path_length == 60.0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("paths")) < 20
+
+
+def test_critical_path_of_nested_nodes(spark):
+    nodes = spark.range(3).select(F.lit(1).alias("run"), F.struct("id").alias("node"), F.lit(1.0).alias("cost"))
+    edges = spark.range(2).select(F.lit(1).alias("run"), F.struct("id").alias("parent"), F.struct((F.col("id") + 1).alias("id")).alias("child"))
+    r = graphs.critical_path(nodes, edges, "run", "node", "cost").first()
+    assert (r.path_length, [x.id for x in r.critical_path]) == (2.0, [0, 1, 2])
+
+
+def test_whole_runs_are_cut_between_runs():
+    rows = [(r, k, None, 1.0, False) for r in range(50) for k in range(3)] + [(r, k, k + 1, None, True) for r in range(50) for k in range(2)]
+    t = pa.table(dict(zip(["__run", "__node", "__child", "__cost", "__is_edge"], zip(*sorted(rows, key=lambda x: x[0])))))
+    out = pa.Table.from_batches(paths.whole_runs(7)(iter(t.to_batches(max_chunksize=4)))).to_pylist()
+    assert out == [{"__run": r, "length": 2.0, "p": [0, 1, 2]} for r in range(50)]
