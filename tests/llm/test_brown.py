@@ -147,3 +147,33 @@ def test_changes_of_a_turn_are_those_of_counting_anew():
     assert np.array_equal(table(own) + np.frombuffer(found["change"]).reshape(classes, classes), table(trial))
     moved = np.frombuffer(found["moves"], np.int64).reshape(2, -1)
     assert set(moved[0]) <= set(np.flatnonzero(shares == 4))
+
+
+def test_words_of_many_texts_are_those_of_each():
+    draw = np.random.default_rng(4)
+    texts = [None, "", " ", "\x0b\x0cA b\tB\r\n", "  x", "x  ", "É ÀB\xa0c\u2003d \x1c e\x85f \x00 g"]
+    texts += ["".join(draw.choice(list("aBc \t\n\x0b\x0c\r\x1cé\u3000"), draw.integers(0, 40))) for _ in range(500)]
+    for part in (pa.array(texts), pa.array(texts)[5:], pa.array(["", None]), pa.array([], pa.string())):
+        words, n = brown.split(part)
+        assert words.to_pylist() == [w for x in part.to_pylist() for w in tokens(x)[:-1]] and n.tolist() == [len(tokens(x)) - 1 for x in part.to_pylist()]
+    rows = pa.table({"row": range(len(texts)), "text": texts})
+    for most in (1, 50, 10**6):
+        found = list(brown._chunks(iter(rows.to_batches(max_chunksize=7)), most))
+        assert pa.concat_tables(found) == rows and (most > 1 or len(found) == len(texts)) and (most < 10**6 or len(found) == 1)
+
+
+def test_scoring_costs_few_times_the_splitting(spark):
+    """Words are looked up once in some megabytes of text, not one by one."""
+    docs = read(spark, MIDDLE, "documents").select("doc_id", "text").toArrow().combine_chunks()
+    batches = [pa.record_batch({"row": b["doc_id"], "text": b["text"], "doc_id": b["doc_id"]}) for b in docs.to_batches(max_chunksize=512)] * 4
+
+    class Sent:
+        value = (np.zeros(0, np.uint64), 128, np.zeros(129, np.int16), np.zeros((1, 1)), np.zeros(1), np.zeros(0, np.uint64), np.zeros(0))
+
+    def seconds(run):
+        start = time.process_time()
+        run()
+        return time.process_time() - start
+
+    plain = min(seconds(lambda: [tokens(x) for b in batches for x in b["text"].to_pylist()]) for _ in range(3))
+    assert min(seconds(lambda: list(brown._score(Sent, 5.0)(iter(batches)))) for _ in range(3)) < 1.5 * plain

@@ -11,13 +11,13 @@ document, of log10(count + 1) over its rare words, completes both scores.
 from __future__ import annotations
 
 import contextlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +27,38 @@ from tidemark.llm.common import crc, scratch, smaller_batches
 END = b""  # the token after each text; no word is empty
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words of a text, A-Z lower-cased."""
-    return (text or "").encode().lower().split()
+def split(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts one after the other, A-Z lower-cased, and how many each text has; null has none."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(text.fill_null("")))
+    words, ends = parts.flatten().cast(pa.binary()), np.cumsum(parts.value_lengths().to_numpy())
+    full = pc.greater(pc.binary_length(words), 0)
+    return words.filter(full), np.diff(np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[ends], prepend=0)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[pa.Table]:
+    """The rows of all batches, joined or cut so that the texts of a chunk have some ``most`` bytes, or are a single text."""
+    held, size = [], 0
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b["text"]).fill_null(0).to_numpy().astype(np.int64) + 8)
+        begin, before = 0, 0
+        while begin < len(b):
+            stop = min(int(np.searchsorted(ends, before + most - size)) + 1, len(b))
+            held.append(b.slice(begin, stop - begin))
+            size += int(ends[stop - 1]) - before
+            begin, before = stop, int(ends[stop - 1])
+            if size >= most:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _with_ends(sizes: np.ndarray, first: int) -> np.ndarray:
+    """Which places of a line hold words, when an end follows each text and ``first`` ends stand before the first."""
+    words = np.ones(first + sizes.sum() + len(sizes), bool)
+    words[:first] = False
+    words[first - 1 + np.cumsum(sizes + 1)] = False
+    return words
 
 
 def ending(word: bytes, groups: int) -> int:
@@ -37,19 +66,10 @@ def ending(word: bytes, groups: int) -> int:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    often: Counter = Counter()
-
-    def told() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(often), pa.binary()), pa.array(list(often.values()), pa.int64())], names=["word", "n"])
-
-    for b in batches:
-        for text in b["text"].to_pylist():
-            often.update(tokens(text))
-            often[END] += 1
-        if len(often) > 100_000:
-            yield told()
-            often.clear()
-    yield told()
+    for t in _chunks(batches):
+        found = split(t["text"].combine_chunks())[0].value_counts()
+        word, n = pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())]), np.append(found.field("counts").to_numpy(), len(t))
+        yield pa.RecordBatch.from_arrays([word, pa.array(n, pa.int64())], names=["word", "n"])
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -59,7 +79,9 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(words: list[bytes] | pa.Array) -> np.ndarray:
+    if isinstance(words, pa.Array):
+        words = words.to_numpy(zero_copy_only=False)  # faster than to_pylist
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
@@ -86,12 +108,18 @@ class Items:
     def _forget(self) -> None:
         self.known, self.words, self.item = Numbers(), [], np.zeros(0, np.int64)
 
-    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
-        found = np.array([self.first_group + ending(w, self.groups) if w else 0 for w in words], np.int64)
+    def look_up(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of many words, none of which is remembered."""
+        ends = pc.binary_slice(words, -3).dictionary_encode()
+        group = np.array([self.first_group + ending(w, self.groups) if w else 0 for w in ends.dictionary.to_pylist()], np.int64)
+        found = group[ends.indices.to_numpy()]
         if len(self.common):
             at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
             found = np.where(self.common[at] == hashes, 1 + at, found)
-        self.item = np.append(self.item, found)
+        return found
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        self.item = np.append(self.item, self.look_up(pa.array(words, pa.binary()), hashes))
 
     def places(self, line: list[bytes]) -> np.ndarray:
         """The place of each word among the remembered ones."""
@@ -112,26 +140,6 @@ class Items:
         return int(self.numbers([word])[0])
 
 
-class Scored(Items):
-    """Also the class of each word, and for words of the head log10(count + 1)."""
-
-    def __init__(self, common: np.ndarray, groups: int, own: np.ndarray, head: np.ndarray, counts: np.ndarray):
-        self.own, self.head, self.counts = own, head, counts
-        super().__init__(common, groups)
-
-    def _forget(self) -> None:
-        super()._forget()
-        self.kind, self.log, self.in_head = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)
-
-    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
-        super()._learn(words, hashes)
-        at = np.minimum(np.searchsorted(self.head, hashes), max(len(self.head) - 1, 0))
-        known = self.head[at] == hashes if len(self.head) else np.zeros(len(words), bool)
-        self.kind = np.append(self.kind, self.own[self.item[-len(words) :]].astype(np.int64))
-        self.in_head = np.append(self.in_head, known)
-        self.log = np.append(self.log, np.where(known, np.log10(self.counts[at] + 1.0), 0.0) if len(self.head) else np.zeros(len(words)))
-
-
 @contextlib.contextmanager
 def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within, scans and Python workers take at most ``rows`` rows at once, as each is a long text or an array of many counts."""
@@ -168,7 +176,7 @@ def _unpack(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sum of ``n`` of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n
@@ -184,27 +192,20 @@ def _neighbours(sent, groups: int, buckets: int, chunk: int = 500_000):
             pair, n = np.unique(np.concatenate(waiting), return_counts=True)
             a, b = pair // size, pair % size
             item, other, n = np.concatenate([a, b]), np.concatenate([b, size + a]), np.concatenate([n, n])
-            order = np.argsort(item % buckets, kind="stable")  # the rows of a bucket are added up, and sorted, where they meet
-            bucket, item, other, n = (item % buckets)[order], item[order], other[order], n[order]
+            bucket = (item % buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)  # short numbers are sorted by radix
+            order = np.argsort(bucket, kind="stable")  # the rows of a bucket are added up, and sorted, where they meet
+            bucket, item, other, n = bucket[order], item[order], other[order], n[order]
             ends = np.append(np.searchsorted(bucket, np.arange(buckets)), len(item)).tolist()
             parts = [(k, _pack(item[i:j], other[i:j], n[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["bucket", "cells"])
 
-        def take(line: list[bytes]) -> None:
-            nonlocal held
-            own = items.numbers(line)
+        for t in _chunks(batches):
+            words, sizes = split(t["text"].combine_chunks())
+            coded = words.dictionary_encode()
+            own = np.zeros(1 + sizes.sum() + len(sizes), np.int64)  # an end comes before each text, and after it
+            own[_with_ends(sizes, 1)] = items.look_up(coded.dictionary, _hashes(coded.dictionary))[coded.indices.to_numpy()]
             waiting.append(own[:-1] * size + own[1:])
             held += len(own)
-
-        for b in batches:
-            line = [END]
-            for text in b["text"].to_pylist():
-                line += tokens(text)
-                line.append(END)
-                if len(line) > chunk // 4:
-                    take(line)
-                    line = [END]
-            take(line)
             if held > chunk:
                 yield told()
                 waiting, held = [], 0
@@ -232,7 +233,7 @@ def _merge(most: int = 1_000_000, cells_at_once: int = 16_384):
 
         def told() -> Iterator[pa.RecordBatch]:
             keys, n = added()
-            part = share_of(keys >> 32)
+            part = share_of(keys >> 32).astype(np.uint8)
             order = np.argsort(part, kind="stable")  # of each share, then by item
             keys, n, part = keys[order], n[order], part[order]
             item, other = keys >> 32, keys & 0xFFFFFFFF
@@ -504,7 +505,7 @@ def _classed(sent, groups: int):
         common, own = sent.value
         items = Items(common, groups)
         for b in batches:
-            found = own[items.numbers(b["word"].to_pylist())].astype(np.int64)
+            found = own[items.look_up(b["word"], _hashes(b["word"]))].astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), b["n"]], names=["class", "n"])
 
     return run
@@ -583,46 +584,41 @@ def fit(
     return Model(counts, int(total.n or 0), int(total.types), common, groups, own, step, spread, (known[order], top["n"].to_numpy()[order]))
 
 
-def _score(sent, base: float, at_once: int = 200_000):
+def _score(sent, base: float):
     """Per text a row with its sums, and a row per distinct word that isn't in the head."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, groups, own, step, spread, head, counts = sent.value
-        items = Scored(common, groups, own, head, counts)
-
-        def told(row: list[int], ids: pa.Array, line: list[bytes], ends: list[int]) -> pa.RecordBatch:
-            at, size, n = items.places(line), np.diff(ends, prepend=0), len(row)
-            first = np.array(ends) - size
-            kind, known = items.kind[at], items.in_head[at]
+        items = Items(common, groups)
+        for t in _chunks(batches):
+            words, sizes = split(t["text"].combine_chunks())
+            coded = words.dictionary_encode()
+            known_words = pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())])
+            hashes, size, n = _hashes(known_words), sizes + 1, len(t)
+            in_head, log = np.zeros(len(hashes), bool), np.zeros(len(hashes))
+            if len(head):
+                place = np.minimum(np.searchsorted(head, hashes), len(head) - 1)
+                in_head = head[place] == hashes
+                log = np.where(in_head, np.log10(counts[place] + 1.0), 0.0)
+            at = np.full(size.sum(), len(coded.dictionary))
+            at[_with_ends(sizes, 0)] = coded.indices.to_numpy()
+            first = np.cumsum(size) - size
+            kind, known = own[items.look_up(known_words, hashes)].astype(np.int64)[at], in_head[at]
             walk = step[np.append(0, kind[:-1]), kind] - spread[kind]  # an end comes before each text
-            sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), items.log[at], walk)]
+            sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), log[at], walk)]
             rare = np.flatnonzero(~known)
-            text = np.repeat(np.arange(n), size)[rare]
-            cell, m = np.unique(text * len(items.words) + at[rare], return_counts=True)
-            word = [items.words[i] for i in (cell % len(items.words)).tolist()]
-            row = np.array(row, np.int64)
+            cell, m = np.unique(np.repeat(np.arange(n), size)[rare] * len(hashes) + at[rare], return_counts=True)
+            text, word = cell // len(hashes), known_words.take(pa.array(cell % len(hashes)))
+            row, ids = t["row"].to_numpy(), t["doc_id"].combine_chunks()
             whole = lambda x, t: pa.concat_arrays([pa.array(x, t), pa.nulls(len(word), t)])
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.append(row, row[cell // len(items.words)])), pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(word, pa.binary())]),
+                    pa.array(np.append(row, row[text])), pa.concat_arrays([pa.nulls(n, pa.binary()), word]),
                     pa.array(np.append(size, m)), whole(sums[0], pa.int64()), whole(sums[1], pa.float64()), whole(sums[2], pa.float64()),
                     whole(-base * size, pa.float64()), pa.concat_arrays([ids, pa.nulls(len(word), ids.type)]),
                 ],
                 names=["row", "word", "m", "known", "part", "score", "base_score", "doc_id"],
             )
 
-        for b in batches:
-            rows, from_, line, ends = [], 0, [], []
-            for i, (row, text) in enumerate(zip(b["row"].to_pylist(), b["text"].to_pylist(), strict=True)):
-                line += tokens(text)
-                line.append(END)
-                rows.append(row)
-                ends.append(len(line))
-                if len(line) > at_once:
-                    yield told(rows, b["doc_id"].slice(from_, len(rows)), line, ends)
-                    rows, from_, line, ends = [], i + 1, [], []
-            if rows:
-                yield told(rows, b["doc_id"].slice(from_, len(rows)), line, ends)
-
     return run
 
 
