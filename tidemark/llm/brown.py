@@ -96,7 +96,7 @@ class Numbers(dict):
 class Items:
     """Numbers of what is clustered: 0 the end of a text, then the words whose hashes are in ``common`` (sorted), then endings.
 
-    A worker looks a word up once and remembers up to ``most`` words; what is known of each stands in arrays by its place among them.
+    ``look_up`` takes the distinct words of a chunk of text. ``numbers`` goes word by word and remembers up to ``most`` of them.
     """
 
     def __init__(self, common: np.ndarray, groups: int, most: int = 150_000):
